@@ -1,0 +1,9 @@
+"""Streaming.
+
+The studied system has no streaming capability: its reports are request-time
+batch queries with no watermark, window, state or late-data construct. So this
+package holds no operators. The row-level views (typed-answer decoding,
+record/formlet KAV rows, text cleaning) are plain projections and joins against
+small dimensions, so they already accept a streaming DataFrame as input; the
+report rollups are batch-only by design.
+"""
