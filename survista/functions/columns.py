@@ -101,7 +101,7 @@ def ratio_half_up(num: ColumnOrName, den: ColumnOrName, scale: int = 2,
     d = col(den).cast("long")
     q = div_floor(n * F.lit(2 * unit * times) + d, d * F.lit(2))
     step = F.lit(Decimal(1).scaleb(-scale))
-    return (q.cast("decimal(38,0)") * step).cast(f"decimal({precision},{scale})")
+    return F.when(d != 0, (q.cast("decimal(38,0)") * step).cast(f"decimal({precision},{scale})"))
 
 
 def pct_of(num: ColumnOrName, den: ColumnOrName, scale: int = 2, precision: int = 5) -> Column:
@@ -203,3 +203,15 @@ def zero_bit() -> Column:
 def subtotal_label(c: ColumnOrName, label: str) -> Column:
     """``case when grouping(c) = 0 then c else label end``."""
     return F.when(F.grouping(col(c)) == 0, col(c)).otherwise(F.lit(label))
+
+
+def round_dec(c: ColumnOrName, scale: int = 2, precision: int = 38) -> Column:
+    """``round(x, scale)`` of a double as an exact decimal: first to 10
+    digits (absorbs binary noise), then HALF_UP to ``scale``."""
+    return col(c).cast("decimal(38,10)").cast(f"decimal({precision},{scale})")
+
+
+def float_text(c: ColumnOrName) -> Column:
+    """float -> varchar without a trailing '.0' for whole numbers (6.0 -> '6')."""
+    x = col(c)
+    return F.when(x == F.floor(x), F.floor(x).cast("string")).otherwise(x.cast("string"))

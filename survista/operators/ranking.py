@@ -24,7 +24,7 @@ def _order(measure: str, desc: bool, tie: Sequence[str], nulls_last: bool) -> li
         first = m.desc_nulls_last() if nulls_last else m.desc()
     else:
         first = m.asc_nulls_last() if nulls_last else m.asc()
-    return [first] + [(F.col(t).desc() if desc else F.col(t).asc()) for t in tie]
+    return [first] + [F.col(t).asc() for t in tie]
 
 
 def top_bottom(df: DataFrame, group, measure: str, n: int, tie: Sequence[str] = (),

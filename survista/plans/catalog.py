@@ -73,3 +73,166 @@ def rollup_met_pct(spark: SparkSession, sf: str) -> DataFrame:
     return pso_rollup(proxy.record_kav(t), proxy.answers(t), question_id=1, district_attr="DISTRICT",
                       school_attr="SCHOOL", dimension_attr="DISABILITY", lookup=proxy.disability_codes(spark),
                       fallback=False, levels=3, grants=proxy.grants(spark), user_id="U0")
+
+
+# -- family survey (PL6, RP14-RP19) -------------------------------------------------
+from . import family as FAM  # noqa: E402
+
+QUESTIONS = [q for q, _ in proxy.QUESTION_WEIGHTS]
+N_Q = len(QUESTIONS)
+LIKERT75_MIN = -(-3 * N_Q // 4)  # ceil(0.75 * number of questions)
+
+
+def _master(spark, sf):
+    t = _t(spark, sf, *ORDER_TABLES)
+    return t, FAM.family_master(proxy.instances(t), proxy.answers(t), proxy.question_weights(spark),
+                                n_questions=N_Q)
+
+
+_FM = S.with_base(
+    f"w AS (SELECT * FROM {S.WEIGHTS_SQL})",
+    f"grants AS (SELECT * FROM {S.GRANTS_SQL})",
+    """fm0 AS (SELECT a.instance_id, a.attribute_id AS question, a.option_sequence, a.match AS disability_match,
+               i.org_unit_id, i.au, i.district, i.school, i.priority, i.language, i.roster_year, i.order_date,
+               w.report_weight AS response_weight, a.option_sequence + 1 AS likert_score,
+               (a.option_sequence + 1) * w.report_weight AS weighted_score,
+               CASE WHEN a.option_sequence + 1 > 3 THEN 1 ELSE 0 END AS likert_gt3
+        FROM ans a JOIN inst i ON a.instance_id = i.instance_id LEFT JOIN w ON a.attribute_id = w.question)""",
+    f"""fm AS (SELECT fm0.*, CAST(CASE WHEN k.n >= {LIKERT75_MIN} THEN 1 ELSE 0 END AS INTEGER) AS likert75
+        FROM fm0 LEFT JOIN (SELECT instance_id, count(CASE WHEN likert_score > 3 THEN 1 END) AS n
+                            FROM fm0 GROUP BY instance_id) k ON fm0.instance_id = k.instance_id)""",
+    "fmu AS (SELECT * FROM fm WHERE org_unit_id IN (SELECT org_unit_id FROM grants WHERE user_profile_id = 'U0'))",
+)
+
+
+@query("threshold_flag", _FM + """
+    SELECT instance_id, question, likert_score, response_weight, weighted_score, likert_gt3, likert75 FROM fm""")
+def threshold_flag(spark, sf):
+    """PL6 + AG20: family master rows with the per-instance Likert75 flag."""
+    _, m = _master(spark, sf)
+    return m.select("instance_id", "question", "likert_score", "response_weight", "weighted_score",
+                    "likert_gt3", "likert75")
+
+
+def _lab(bits=("sort_bit", "district_bit", "school_bit")):
+    return (f"CASE WHEN {bits[0]} = 0 THEN au ELSE 'STATE' END AS admin_unit, "
+            f"CASE WHEN {bits[1]} = 0 THEN district ELSE ' ' END AS district, "
+            f"CASE WHEN {bits[2]} = 0 THEN school ELSE ' ' END AS school")
+
+
+_ROLL3 = ("CAST(grouping(au) AS INTEGER) AS sort_bit, CAST(grouping(district) AS INTEGER) AS district_bit, "
+          "CAST(grouping(school) AS INTEGER) AS school_bit")
+
+
+def _money_text(x: str) -> str:
+    return f"CAST(CAST({x} AS DECIMAL(19,2)) AS VARCHAR)"
+
+
+_F2_CELLS = ", ".join(f"max(CASE WHEN qk = '{q}' THEN cell END) AS q{q}" for q in QUESTIONS)
+_F3_CELLS = ", ".join(f"max(CASE WHEN question = {q} THEN cell END) AS q{q}" for q in QUESTIONS)
+
+
+@query("mean_of_means_pivot", _FM + f""",
+    x AS (SELECT au, district, school, question, CAST(sum(likert_score) AS BIGINT) AS s,
+                 count(likert_score) AS c, {_ROLL3}
+          FROM fmu GROUP BY ROLLUP(au, district, school), question),
+    cells AS (SELECT au, district, school, sort_bit, district_bit, school_bit, CAST(question AS VARCHAR) AS qk,
+                     {_money_text(S.ratio_half_up('s', 'c'))} AS cell FROM x
+              UNION ALL
+              SELECT au, district, school, sort_bit, district_bit, school_bit, 'Total',
+                     {_money_text("CAST(CAST(avg(s / NULLIF(c, 0)) AS DECIMAL(38,10)) AS DECIMAL(38,2))")}
+              FROM x GROUP BY au, district, school, sort_bit, district_bit, school_bit)
+    SELECT {_lab()}, {_F2_CELLS}, max(CASE WHEN qk = 'Total' THEN cell END) AS total,
+           sort_bit, district_bit, school_bit
+    FROM cells GROUP BY au, district, school, sort_bit, district_bit, school_bit""")
+def mean_of_means_pivot(spark, sf):
+    """RP14 (AG10, AG14, RS4): mean Likert pivot with a mean-of-means Total."""
+    t, m = _master(spark, sf)
+    return FAM.family_2(m, QUESTIONS, grants=proxy.grants(spark), user_id="U0")
+
+
+@query("pct_ge4_excl_blank", _FM + f""",
+    x AS (SELECT au, district, school, question, count(CASE WHEN likert_score > 3 THEN 1 END) AS n_gt3,
+                 count(likert_score) AS n, {_ROLL3}
+          FROM fmu GROUP BY ROLLUP(au, district, school), question),
+    c AS (SELECT *, CAST(CASE WHEN n > 0 THEN (n_gt3 * 100) // n END AS VARCHAR) || '%' AS cell FROM x)
+    SELECT {_lab()}, {_F3_CELLS}, sort_bit, district_bit, school_bit
+    FROM c GROUP BY au, district, school, sort_bit, district_bit, school_bit""")
+def pct_ge4_excl_blank(spark, sf):
+    """RP15 (AG7, RS5, SF9): percent of answered scoring 4+, as 'NN%' text."""
+    t, m = _master(spark, sf)
+    return FAM.family_3(m, QUESTIONS, grants=proxy.grants(spark), user_id="U0")
+
+
+@query("rollup_regroup_weights", _FM + """,
+    q AS (SELECT *, right(' ' || CAST(question AS VARCHAR), 2) || ' - Question' || CAST(question AS VARCHAR)
+                 AS question_label FROM fmu),
+    y AS (SELECT CASE WHEN grouping(au) = 0 THEN au ELSE 'Total' END AS au,
+                 CASE WHEN grouping(question_label) = 0 THEN question_label ELSE 'Total' END AS question_label,
+                 CAST(sum(likert_score) AS BIGINT) AS score,
+                 CASE WHEN grouping(question_label) = 0 THEN response_weight END AS response_weight,
+                 sum(weighted_score) AS weighted_score
+          FROM q GROUP BY ROLLUP(au, question_label), response_weight)
+    SELECT au AS admin_unit, question_label AS question, CAST(sum(score) AS BIGINT) AS score,
+           response_weight AS weight, sum(weighted_score) AS weighted_score
+    FROM y GROUP BY au, question_label, response_weight""")
+def rollup_regroup_weights(spark, sf):
+    """RP16 (AG13, SF3): score / weight / weighted score with merged totals."""
+    t, m = _master(spark, sf)
+    return FAM.family_6(m, grants=proxy.grants(spark), user_id="U0")
+
+
+@query("pct_ge4_incl_blank", _FM + """
+    SELECT au, district, question, avg(CAST(likert_score AS DOUBLE)) AS mean_likert,
+           avg(CAST(CASE WHEN likert_score > 3 THEN 1 ELSE 0 END AS DOUBLE)) AS pct_gt3
+    FROM fmu GROUP BY au, district, question""")
+def pct_ge4_incl_blank(spark, sf):
+    """RP17 (AG8, AG28): mean and share > 3 counting blanks, District level."""
+    t, m = _master(spark, sf)
+    return FAM.family_7(m, level="District", grants=proxy.grants(spark), user_id="U0")
+
+
+@query("top_bottom_join", _FM + f""",
+    x AS (SELECT CASE WHEN grouping(au) = 0 THEN au ELSE 'STATE' END AS admin_unit,
+                 CAST(grouping(au) AS INTEGER) AS sort_bit, question,
+                 CAST(sum(likert_score) AS BIGINT) AS s, count(likert_score) AS c
+          FROM fmu GROUP BY ROLLUP(au), question),
+    x2 AS (SELECT *, s / NULLIF(c, 0) AS likert, {S.ratio_half_up('s', 'c', scale=4, precision=19)} AS likert_score FROM x),
+    t AS (SELECT *, row_number() OVER (PARTITION BY admin_unit, sort_bit ORDER BY likert DESC NULLS LAST, question) AS r FROM x2),
+    b AS (SELECT *, row_number() OVER (PARTITION BY admin_unit, sort_bit ORDER BY likert ASC NULLS FIRST, question) AS r FROM x2)
+    SELECT t.admin_unit, t.question AS top_question, t.likert_score AS top_likert,
+           b.question AS bottom_question, b.likert_score AS bottom_likert, t.sort_bit, CAST(t.r AS INTEGER) AS sequence
+    FROM t JOIN b ON t.admin_unit = b.admin_unit AND t.sort_bit = b.sort_bit AND t.r = b.r
+    WHERE t.r <= 3""")
+def top_bottom_join(spark, sf):
+    """RP18 (WN4, JN9): top 3 / bottom 3 questions per AU and State side by side."""
+    t, m = _master(spark, sf)
+    return FAM.family_8(m, n=3, grants=proxy.grants(spark), user_id="U0")
+
+
+AS_OF = "2000-03-15"
+
+
+@query("top_bottom_yearly", _FM + f""",
+    yrs AS (SELECT DISTINCT roster_year AS start_year, make_date(roster_year, 7, 1) AS start_date,
+                   make_date(roster_year + 1, 6, 30) AS end_date FROM inst),
+    win AS (SELECT start_year FROM yrs WHERE start_year IN (
+              SELECT start_year FROM yrs WHERE start_date <= DATE '{AS_OF}'
+                 AND DATE '{AS_OF}' <= end_date + INTERVAL 2 YEAR)),
+    x AS (SELECT au AS admin_unit, roster_year, question, CAST(sum(likert_score) AS BIGINT) AS s,
+                 count(likert_score) AS c
+          FROM fmu WHERE roster_year IN (SELECT start_year FROM win) GROUP BY au, roster_year, question),
+    x2 AS (SELECT *, s / NULLIF(c, 0) AS likert, {S.ratio_half_up('s', 'c', scale=4, precision=19)} AS likert_score FROM x),
+    r AS (SELECT *, row_number() OVER (PARTITION BY admin_unit, roster_year
+                      ORDER BY CASE WHEN likert IS NOT NULL THEN 0 ELSE 1 END, likert DESC, question) AS rt,
+                    row_number() OVER (PARTITION BY admin_unit, roster_year
+                      ORDER BY CASE WHEN likert IS NOT NULL THEN 0 ELSE 1 END, likert ASC, question) AS rb
+          FROM x2)
+    SELECT admin_unit, roster_year, question, 'Top' AS position, likert_score, 0 AS sort_bit,
+           CAST(rt AS INTEGER) AS sequence FROM r WHERE rt <= 3
+    UNION ALL
+    SELECT admin_unit, roster_year, question, 'Bottom', likert_score, 0, CAST(rb AS INTEGER) FROM r WHERE rb <= 3""")
+def top_bottom_yearly(spark, sf):
+    """RP19 (FI11, WN4, WN5, ST1): top/bottom 3 per AU per year, 3-year window."""
+    t, m = _master(spark, sf)
+    return FAM.family_9(m, proxy.roster_years(t), AS_OF, n=3, grants=proxy.grants(spark), user_id="U0")

@@ -13,6 +13,8 @@ def values(rows, cols: str) -> str:
             return "NULL"
         if isinstance(v, str):
             return "'" + v.replace("'", "''") + "'"
+        if isinstance(v, float):
+            return f"CAST({v!r} AS DOUBLE)"
         return repr(v)
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
     return f"(VALUES {body}) AS v({cols})"
@@ -21,7 +23,8 @@ def values(rows, cols: str) -> str:
 def ratio_half_up(num: str, den: str, scale: int = 2, precision: int = 38, times: int = 1) -> str:
     unit = 10 ** scale
     step = "0." + "0" * (scale - 1) + "1" if scale > 0 else "1"
-    q = f"((CAST({num} AS BIGINT) * {2 * unit * times} + CAST({den} AS BIGINT)) // (2 * CAST({den} AS BIGINT)))"
+    d = f"NULLIF(CAST({den} AS BIGINT), 0)"
+    q = f"((CAST({num} AS BIGINT) * {2 * unit * times} + {d}) // (2 * {d}))"
     return f"CAST(CAST({q} AS DECIMAL(38,0)) * {step} AS DECIMAL({precision},{scale}))"
 
 

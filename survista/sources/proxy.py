@@ -101,3 +101,11 @@ def gender_codes(spark: SparkSession) -> DataFrame:
 
 def question_weights(spark: SparkSession) -> DataFrame:
     return code_table(spark, QUESTION_WEIGHTS, "question int, report_weight double")
+
+
+def roster_years(t: dict[str, DataFrame]) -> DataFrame:
+    """Roster years (start_year, start_date 1 July, end_date 30 June next
+    year) for every order year."""
+    y = t["orders"].select(F.year("o_orderdate").alias("start_year")).distinct()
+    return y.select("start_year", F.make_date("start_year", F.lit(7), F.lit(1)).alias("start_date"),
+                    F.make_date(F.col("start_year") + 1, F.lit(6), F.lit(30)).alias("end_date"))
