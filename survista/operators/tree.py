@@ -50,9 +50,10 @@ def flatten_tree(nodes: DataFrame, id: str = "id", parent: str = "parent_id", se
 
 
 def attach_parent(tree: DataFrame, id: str = "id", parent: str = "parent_id",
-                  columns: Sequence[str] = (), prefix: str = "parent_") -> DataFrame:
-    """JN7: self-join each node to its parent row (inner: roots drop out)."""
-    p = tree.select(F.col(id).alias("__pid"), *[F.col(c).alias(prefix + c) for c in columns])
+                  columns: Sequence[str] = (), prefix: str = "parent_", parents: DataFrame | None = None) -> DataFrame:
+    """JN7: self-join each node to its parent row (inner: roots drop out).
+    ``parents`` is the node table to look parents up in (default ``tree``)."""
+    p = (tree if parents is None else parents).select(F.col(id).alias("__pid"), *[F.col(c).alias(prefix + c) for c in columns])
     return tree.join(p, F.col(parent) == F.col("__pid"), "inner").drop("__pid")
 
 

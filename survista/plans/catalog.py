@@ -236,3 +236,197 @@ def top_bottom_yearly(spark, sf):
     """RP19 (FI11, WN4, WN5, ST1): top/bottom 3 per AU per year, 3-year window."""
     t, m = _master(spark, sf)
     return FAM.family_9(m, proxy.roster_years(t), AS_OF, n=3, grants=proxy.grants(spark), user_id="U0")
+
+
+# -- compliance checklist (PL4, RP1-RP7) ------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from . import compliance as CMP  # noqa: E402
+from ..operators import tree as TR  # noqa: E402
+
+_STMT_SQL = S.values(proxy.STATEMENTS, "attribute_id, section_id, section, section_sequence, sequence")
+_CK = S.with_base(
+    f"st0 AS (SELECT * FROM {_STMT_SQL})",
+    """st AS (SELECT *, CAST(CASE WHEN row_number() OVER (PARTITION BY section_id
+                 ORDER BY sequence DESC, attribute_id DESC) = 1 THEN 1 ELSE 0 END AS INTEGER) AS is_note FROM st0)""",
+    """det AS (SELECT a.instance_id, i.au, CAST(a.instance_id AS VARCHAR) AS search_key, a.attribute_id, a.value
+               FROM ans a JOIN inst i ON a.instance_id = i.instance_id)""",
+    "d AS (SELECT det.*, st.section_id, st.section, st.section_sequence, st.sequence, st.is_note "
+    "FROM det JOIN st ON det.attribute_id = st.attribute_id)",
+)
+
+
+def _ck(spark, sf):
+    t = _t(spark, sf, *ORDER_TABLES)
+    return proxy.checklist_detail(t), CMP.compliance_attributes(proxy.statements(spark))
+
+
+@query("note_pairing", _CK + """
+    SELECT s.instance_id, s.section, s.sequence, s.attribute_id, s.value, n.value AS note
+    FROM d s LEFT JOIN d n ON s.instance_id = n.instance_id AND s.section_id = n.section_id
+                          AND n.attribute_id IN (SELECT attribute_id FROM st WHERE is_note = 1)
+    WHERE s.attribute_id NOT IN (SELECT attribute_id FROM st WHERE is_note = 1)""")
+def note_pairing(spark, sf):
+    """RP2 (JN8, JN10, JN11, WN2): statements paired with their section's note."""
+    detail, attrs = _ck(spark, sf)
+    return CMP.compliance_2b(detail, attrs)
+
+
+@query("section_pct_met", _CK + f"""
+    SELECT au, section_sequence, section,
+           {S.ratio_half_up("sum(CASE WHEN value = 'Met' THEN 1 END)",
+                            "sum(CASE WHEN value IN ('Met', 'Not Met') THEN 1 END)", scale=4, precision=19, times=100)} AS pct
+    FROM d GROUP BY au, section_sequence, section""")
+def section_pct_met(spark, sf):
+    """RP3 (AG5): percent Met per AU x section (NULL when no Met)."""
+    detail, attrs = _ck(spark, sf)
+    return CMP.compliance_3(detail, attrs)
+
+
+@query("nonzero_mean", _CK + f""",
+    p AS (SELECT au, section,
+           {S.ratio_half_up("sum(CASE WHEN value = 'Met' THEN 1 END)",
+                            "sum(CASE WHEN value IN ('Met', 'Not Met') THEN 1 END)", scale=4, precision=19, times=100)} AS pct
+          FROM d GROUP BY au, section_sequence, section)
+    SELECT au, CAST(CAST(avg(CASE WHEN pct <> 0 THEN CAST(pct AS DOUBLE) / 100.0 END) AS DECIMAL(38,10))
+                    AS DECIMAL(38,6)) AS overall
+    FROM p GROUP BY au""")
+def nonzero_mean_q(spark, sf):
+    """RP3 report group (AG24): overall mean of non-zero section percents."""
+    from ..functions import round_dec
+    detail, attrs = _ck(spark, sf)
+    o = CMP.compliance_3_overall(CMP.compliance_3(detail, attrs))
+    return o.select("au", round_dec("overall", 6).alias("overall"))
+
+
+QUERIES["nonzero_mean"] = nonzero_mean_q
+
+_C4_SUMS = ("CAST(sum(yes) AS DOUBLE) AS yes, CAST(sum(no) AS DOUBLE) AS no, CAST(sum(na) AS DOUBLE) AS na, "
+            "CAST(sum(blank) AS DOUBLE) AS blank, CAST(grouping(au) AS INTEGER) AS sort_bit")
+
+
+@query("yes_no_na_blank", _CK + f""",
+    yn AS (SELECT *, CASE WHEN value = 'Met' THEN 1 ELSE 0 END AS yes, CASE WHEN value = 'Not Met' THEN 1 ELSE 0 END AS no,
+                  CASE WHEN value = 'Not Applicable' THEN 1 ELSE 0 END AS na, CASE WHEN value IS NULL THEN 1 ELSE 0 END AS blank,
+                  CAST(sequence AS DOUBLE) AS position FROM d),
+    b AS (SELECT * FROM yn
+          UNION ALL
+          SELECT instance_id, au, search_key, attribute_id, value, 'A', 'Section A', 1, sequence, is_note,
+                 yes, no, na, blank, 3.5 FROM yn WHERE attribute_id = 7),
+    r AS (SELECT CASE WHEN grouping(au) = 0 THEN au ELSE 'State' END AS au, section_sequence, section, attribute_id,
+                 position, {_C4_SUMS}
+          FROM b GROUP BY ROLLUP(au), section_sequence, section, attribute_id, position
+          UNION ALL
+          SELECT CASE WHEN grouping(au) = 0 THEN au ELSE 'State' END, CAST(NULL AS INTEGER), 'Overall',
+                 CAST(NULL AS INTEGER), 99.0, {_C4_SUMS}
+          FROM b GROUP BY ROLLUP(au))
+    SELECT *, CASE WHEN yes + no > 0 THEN yes / (yes + no) ELSE 0.0 END AS yes_rate FROM r""")
+def yes_no_na_blank(spark, sf):
+    """RP4 (ST2, AG4, AG10, SO5, AG25): Yes/No/NA/Blank per statement per AU
+    and State, with an Overall row and statement 7 borrowed into section A."""
+    detail, attrs = _ck(spark, sf)
+    return CMP.compliance_4(detail, attrs, borrow_attribute=7, borrow_section="A")
+
+
+@query("item_pct_of_sample", _CK + f""",
+    y AS (SELECT *, CASE WHEN value IN ('Met', 'Not Applicable') THEN 1 ELSE 0 END AS yes FROM d),
+    ss AS (SELECT CASE WHEN grouping(au) = 0 THEN au ELSE 'State' END AS au, CAST(grouping(au) AS INTEGER) AS sort_bit,
+                  count(DISTINCT instance_id) AS n_size FROM y GROUP BY ROLLUP(au)),
+    ac AS (SELECT CASE WHEN grouping(au) = 0 THEN au ELSE 'State' END AS au, CAST(grouping(au) AS INTEGER) AS sort_bit,
+                  section, attribute_id, sequence, CAST(sum(yes) AS BIGINT) AS yes_count
+           FROM y GROUP BY ROLLUP(au), section, attribute_id, sequence)
+    SELECT ac.au AS admin_unit, section, attribute_id, sequence, yes_count, n_size,
+           CAST({S.ratio_half_up('yes_count', 'n_size', scale=2, times=100)} AS DECIMAL(5,1)) AS item_pct, ac.sort_bit
+    FROM ac LEFT JOIN ss ON ac.au = ss.au AND ac.sort_bit = ss.sort_bit""")
+def item_pct_of_sample(spark, sf):
+    """RP5 (AG19): statement yes count over the org's sample size, AU and State."""
+    detail, attrs = _ck(spark, sf)
+    return CMP.compliance_4_sample(detail, attrs)
+
+
+@query("top_bottom_global", _CK + f""",
+    c AS (SELECT attribute_id, CAST(sum(CASE WHEN value = 'Met' THEN 1 ELSE 0 END) AS BIGINT) AS yes_count,
+                 CAST(sum(CASE WHEN value = 'Met' THEN 1 ELSE 0 END) + sum(CASE WHEN value = 'Not Met' THEN 1 ELSE 0 END) AS BIGINT) AS total
+          FROM d GROUP BY attribute_id),
+    c2 AS (SELECT *, CAST({S.ratio_half_up('yes_count', 'total', scale=2, times=100)} AS DECIMAL(5,1)) AS pct FROM c WHERE total > 0),
+    r AS (SELECT *, row_number() OVER (ORDER BY pct DESC, yes_count DESC, attribute_id) AS top_sort,
+                    row_number() OVER (ORDER BY pct ASC, yes_count ASC, attribute_id) AS bottom_rank FROM c2)
+    SELECT 'Top' AS position, CAST(top_sort AS INTEGER) AS sort, CAST(bottom_rank AS INTEGER) AS bottom_rank, attribute_id, pct
+    FROM r WHERE top_sort <= 5
+    UNION ALL
+    SELECT 'Bottom', CAST(top_sort AS INTEGER), CAST(bottom_rank AS INTEGER), attribute_id, pct FROM r WHERE bottom_rank <= 5""")
+def top_bottom_global(spark, sf):
+    """RP6 (AG4, WN6, SO2): top/bottom 5 statements overall."""
+    detail, _ = _ck(spark, sf)
+    return CMP.compliance_8(detail, n=5)
+
+
+@query("section_top_bottom", _CK + f""",
+    y AS (SELECT *, CASE WHEN section_id IN ('A', 'B') THEN 1 WHEN section_id IN ('C') THEN 2 END AS part,
+                 CASE WHEN value IN ('Met', 'Not Applicable') THEN 1 ELSE 0 END AS yes FROM d),
+    y2 AS (SELECT * FROM y WHERE part IS NOT NULL),
+    ss AS (SELECT count(DISTINCT instance_id) AS n_size FROM y2),
+    ac AS (SELECT part, attribute_id, CAST(sum(yes) AS BIGINT) AS yes_count FROM y2 GROUP BY part, attribute_id),
+    p AS (SELECT ac.*, ss.n_size, CAST({S.ratio_half_up('yes_count', 'n_size', scale=2, times=100)} AS DECIMAL(5,1)) AS item_pct
+          FROM ac, ss),
+    r AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY item_pct DESC NULLS LAST, attribute_id) AS rt,
+                    row_number() OVER (PARTITION BY part ORDER BY item_pct ASC NULLS LAST, attribute_id) AS rb FROM p)
+    SELECT part, 'Top' AS position, CAST(rt AS INTEGER) AS sequence, attribute_id, yes_count, n_size, item_pct FROM r WHERE rt <= 5
+    UNION ALL
+    SELECT part, 'Bottom', CAST(rb AS INTEGER), attribute_id, yes_count, n_size, item_pct FROM r WHERE rb <= 5""")
+def section_top_bottom(spark, sf):
+    """RP7 (ST3, AG19, WN4, SO2): State-level top/bottom 5 within section groups."""
+    detail, attrs = _ck(spark, sf)
+    return CMP.compliance_8_section(detail, attrs, [["A", "B"], ["C"]], n=5)
+
+
+# -- form layout tree (RS1, JN7, WN1-WN3, PL4) --------------------------------------
+_TREE = """WITH RECURSIVE nodes AS (
+      SELECT 'R' || CAST(r_regionkey AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS parent_id,
+             CAST(r_regionkey % 50 AS INTEGER) AS sequence FROM region
+      UNION ALL SELECT 'N' || CAST(n_nationkey AS VARCHAR), 'R' || CAST(n_regionkey AS VARCHAR),
+             CAST(n_nationkey % 50 AS INTEGER) FROM nation
+      UNION ALL SELECT 'C' || CAST(c_custkey AS VARCHAR), 'N' || CAST(c_nationkey AS VARCHAR),
+             CAST(c_custkey % 50 AS INTEGER) FROM customer),
+    walk AS (
+      SELECT id, parent_id, sequence, id AS root_id, 0 AS level, CAST(100 + sequence AS VARCHAR) AS path,
+             [sequence] AS path_key FROM nodes WHERE parent_id IS NULL
+      UNION ALL
+      SELECT c.id, c.parent_id, c.sequence, w.root_id, w.level + 1, w.path || CAST(100 + c.sequence AS VARCHAR),
+             list_concat(w.path_key, [c.sequence]) FROM nodes c JOIN walk w ON c.parent_id = w.id)
+"""
+
+
+def _tree(spark, sf):
+    t = _t(spark, sf, "region", "nation", "customer")
+    return TR.flatten_tree(proxy.layout_nodes(t))
+
+
+@query("tree_flatten", _TREE + """
+    SELECT id, parent_id, sequence, root_id, level, path,
+           CAST(row_number() OVER (PARTITION BY root_id ORDER BY path_key, id) AS INTEGER) AS attr_seq FROM walk""")
+def tree_flatten(spark, sf):
+    """RS1 + WN1: recursive walk with level, '100+seq' path and per-root sequence."""
+    w = _tree(spark, sf)
+    return TR.sequence(w, "root_id", ["path_key", "id"], "attr_seq").drop("path_key")
+
+
+@query("last_in_section", _TREE + """,
+    st AS (SELECT c.id, c.parent_id AS section_id, p.sequence AS section_sequence, c.sequence, c.root_id, c.path_key
+           FROM walk c JOIN walk p ON c.parent_id = p.id WHERE c.level = 2)
+    SELECT id, section_id, section_sequence, sequence,
+           CAST(row_number() OVER (PARTITION BY root_id ORDER BY path_key, id) AS INTEGER) AS attr_seq,
+           CAST(CASE WHEN row_number() OVER (PARTITION BY section_id ORDER BY sequence DESC, id DESC) = 1
+                THEN 1 ELSE 0 END AS INTEGER) AS is_note,
+           CAST(row_number() OVER (PARTITION BY section_id ORDER BY sequence DESC, id DESC) AS INTEGER) AS reverse_seq
+    FROM st""")
+def last_in_section(spark, sf):
+    """PL4 on the layout tree (JN7, WN1, WN2, WN3): statements with their
+    section, sequence per template, last-in-section flag, reverse sequence."""
+    w = _tree(spark, sf)
+    st = TR.attach_parent(w.filter(F.col("level") == 2), columns=["sequence"], prefix="section_", parents=w)
+    st = st.withColumnRenamed("parent_id", "section_id")
+    st = TR.sequence(st, "root_id", ["path_key", "id"], "attr_seq")
+    st = TR.flag_last(st, "section_id", ["sequence", "id"], "is_note")
+    st = TR.sequence(st, "section_id", ["sequence", "id"], "reverse_seq", desc=True)
+    return st.select("id", "section_id", "section_sequence", "sequence", "attr_seq", "is_note", "reverse_seq")

@@ -109,3 +109,39 @@ def roster_years(t: dict[str, DataFrame]) -> DataFrame:
     y = t["orders"].select(F.year("o_orderdate").alias("start_year")).distinct()
     return y.select("start_year", F.make_date("start_year", F.lit(7), F.lit(1)).alias("start_date"),
                     F.make_date(F.col("start_year") + 1, F.lit(6), F.lit(30)).alias("end_date"))
+
+
+# Checklist statement metadata for the compliance stand-in: question ->
+# section. Fixed values of the stand-in mapping.
+STATEMENTS = [(1, "A", "Section A", 1, 1), (2, "A", "Section A", 1, 2), (3, "A", "Section A", 1, 3),
+              (4, "B", "Section B", 2, 1), (5, "B", "Section B", 2, 2), (6, "B", "Section B", 2, 3),
+              (7, "C", "Section C", 3, 1)]
+
+
+def statements(spark: SparkSession) -> DataFrame:
+    return code_table(spark, STATEMENTS,
+                      "attribute_id int, section_id string, section string, section_sequence int, sequence int")
+
+
+def checklist_detail(t: dict[str, DataFrame]) -> DataFrame:
+    """Answer detail rows with the org of their instance:
+    (instance_id, au, search_key, attribute_id, value, value_id)."""
+    a = answers(t).withColumn("value_id", F.concat_ws("-", *[F.col(c).cast("string") for c in (
+        "instance_id", "attribute_id")]))
+    inst = instances(t).select("instance_id", "au", F.col("instance_id").cast("string").alias("search_key"))
+    return a.join(inst, "instance_id").select("instance_id", "au", "search_key", "attribute_id", "value")
+
+
+def layout_nodes(t: dict[str, DataFrame]) -> DataFrame:
+    """Adjacency list: R<regionkey> (root) > N<nationkey> > C<custkey>,
+    sequence = key % 50."""
+    r = t["region"].select(F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("id"),
+                           F.lit(None).cast("string").alias("parent_id"),
+                           (F.col("r_regionkey") % 50).cast("int").alias("sequence"))
+    n = t["nation"].select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")),
+                           F.concat(F.lit("R"), F.col("n_regionkey").cast("string")),
+                           (F.col("n_nationkey") % 50).cast("int"))
+    c = t["customer"].select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")),
+                             F.concat(F.lit("N"), F.col("c_nationkey").cast("string")),
+                             (F.col("c_custkey") % 50).cast("int"))
+    return r.unionAll(n).unionAll(c)
