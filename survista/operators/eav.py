@@ -141,13 +141,15 @@ def pivot_from_metadata(df: DataFrame, meta: DataFrame, keys: Sequence[str], att
 def emit_scores(df: DataFrame, code: str = "attribute_code", report_label: str = "attribute_report_label",
                 label: str = "attribute_label", item_type: str = "input_item_type",
                 display_sequence: str = "display_sequence", value: str = "value",
-                option_sequence: str = "value_sequence", weight: str = "report_weight") -> DataFrame:
+                option_sequence: str = "value_sequence", weight: str = "report_weight",
+                value_text=None) -> DataFrame:
     """RS7: each answer row once as is, plus - when the item has a report
     weight - a Likert row (option sequence + 1) and a weighted row
     ((sequence + 1) * weight). One scan and one ``explode`` instead of three
     scans + UNION ALL. Adds ``weighted`` (NULL / false / true)."""
     scored = F.col(weight).isNotNull()
     seq1 = F.col(option_sequence) + F.lit(1)
+    as_text = value_text or (lambda c: c.cast("string"))
 
     def variant(kind: int) -> Column:
         if kind == 0:
@@ -161,7 +163,7 @@ def emit_scores(df: DataFrame, code: str = "attribute_code", report_label: str =
                         F.concat(F.lit(text), F.col(code)).alias("l"),
                         F.lit("Derived").alias("t"),
                         F.concat(F.lit(ds), F.col(display_sequence)).alias("ds"),
-                        v.cast("string").alias("v"), F.lit(kind == 2).alias("w"))
+                        (v.cast("string") if kind == 1 else as_text(v)).alias("v"), F.lit(kind == 2).alias("w"))
 
     variants = F.when(scored, F.array(variant(0), variant(1), variant(2))).otherwise(F.array(variant(0)))
     keep = [c for c in df.columns if c not in {code, report_label, label, item_type, display_sequence, value}]

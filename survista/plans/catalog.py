@@ -430,3 +430,105 @@ def last_in_section(spark, sf):
     st = TR.flag_last(st, "section_id", ["sequence", "id"], "is_note")
     st = TR.sequence(st, "section_id", ["sequence", "id"], "reverse_seq", desc=True)
     return st.select("id", "section_id", "section_sequence", "sequence", "attr_seq", "is_note", "reverse_seq")
+
+
+# -- EAV decode / pivot / derived rows (PJ3, JN5, RS2, RS3, RS7) -------------------------
+from ..functions import float_text  # noqa: E402
+from ..operators import eav as EAV  # noqa: E402
+
+_RK_PIVOT = """
+    SELECT instance_id, au,
+           max(CASE WHEN attribute_id = 'DISTRICT' THEN value END) AS {d},
+           max(CASE WHEN attribute_id = 'SCHOOL' THEN value END) AS {s},
+           max(CASE WHEN attribute_id = 'DISABILITY' THEN value END) AS {x},
+           max(CASE WHEN attribute_id = 'GENDER' THEN value END) AS {g},
+           max(CASE WHEN attribute_id = 'YEAR' THEN value END) AS {y}
+    FROM rk GROUP BY instance_id, au"""
+
+
+@query("eav_pivot", S.with_base() + _RK_PIVOT.format(d="district", s="school", x="disability", g="gender", y="year"))
+def eav_pivot(spark, sf):
+    """RS2: fixed-attribute EAV -> wide pivot (max(case when ...))."""
+    t = _t(spark, sf, *ORDER_TABLES)
+    return EAV.pivot_attributes(proxy.record_kav(t), ["instance_id", "au"],
+                                {"DISTRICT": "district", "SCHOOL": "school", "DISABILITY": "disability",
+                                 "GENDER": "gender", "YEAR": "year"})
+
+
+@query("eav_pivot_dynamic", S.with_base() + _RK_PIVOT.format(d="District", s="School", x="Disability",
+                                                             g="Gender", y="Year"))
+def eav_pivot_dynamic(spark, sf):
+    """RS3: pivot whose columns come from attribute metadata at run time."""
+    t = _t(spark, sf, *ORDER_TABLES)
+    return EAV.pivot_from_metadata(proxy.record_kav(t), proxy.record_attributes(spark), ["instance_id", "au"])
+
+
+@query("derived_rows", S.with_base(
+    f"w AS (SELECT * FROM {S.WEIGHTS_SQL})",
+    """f AS (SELECT a.instance_id, a.attribute_id AS question, 'Q' || CAST(a.attribute_id AS VARCHAR) AS code,
+                  a.value, a.option_sequence, w.report_weight FROM ans a LEFT JOIN w ON a.attribute_id = w.question)""") + """
+    SELECT instance_id, question, code AS attribute_code, 'Question ' || code AS attribute_report_label,
+           'Question ' || code AS attribute_label, 'SingleSelect' AS input_item_type,
+           'A' || CAST(question AS VARCHAR) AS display_sequence, value, report_weight, CAST(NULL AS BOOLEAN) AS weighted
+    FROM f
+    UNION ALL
+    SELECT instance_id, question, 'L' || code, 'Likert Score ' || code, 'Likert Score ' || code, 'Derived',
+           'BA' || CAST(question AS VARCHAR), CAST(option_sequence + 1 AS VARCHAR), report_weight, false
+    FROM f WHERE report_weight IS NOT NULL
+    UNION ALL
+    SELECT instance_id, question, 'W' || code, 'Weighted Score ' || code, 'Weighted Score ' || code, 'Derived',
+           'CA' || CAST(question AS VARCHAR),
+           CASE WHEN (option_sequence + 1) * report_weight = floor((option_sequence + 1) * report_weight)
+                THEN CAST(CAST(floor((option_sequence + 1) * report_weight) AS BIGINT) AS VARCHAR)
+                ELSE CAST((option_sequence + 1) * report_weight AS VARCHAR) END,
+           report_weight, true
+    FROM f WHERE report_weight IS NOT NULL""")
+def derived_rows(spark, sf):
+    """RS7 (SF12): each answer as is, plus Likert and weighted rows for scored items."""
+    t = _t(spark, sf, "lineitem")
+    a = proxy.answers(t).join(proxy.question_weights(spark).withColumnRenamed("question", "attribute_id"),
+                              "attribute_id", "left")
+    code = F.concat(F.lit("Q"), F.col("attribute_id").cast("string"))
+    kav = a.select("instance_id", F.col("attribute_id").alias("question"), code.alias("attribute_code"),
+                   F.concat(F.lit("Question "), code).alias("attribute_report_label"),
+                   F.concat(F.lit("Question "), code).alias("attribute_label"),
+                   F.lit("SingleSelect").alias("input_item_type"),
+                   F.concat(F.lit("A"), F.col("attribute_id").cast("string")).alias("display_sequence"),
+                   "value", F.col("option_sequence").alias("value_sequence"), "report_weight")
+    out = EAV.emit_scores(kav, value_text=float_text)
+    return out.drop("value_sequence")
+
+
+@query("typed_value_decode", """
+    WITH b AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS id,
+                      l_orderkey AS interval_id, l_linenumber AS input_field_id,
+                      CAST(ceil(l_quantity / 10) AS INTEGER) - 1 AS seq, l_returnflag, l_linestatus, l_shipdate
+               FROM lineitem),
+    opt AS (SELECT DISTINCT 'O' || CAST(seq AS VARCHAR) AS id, 'Option ' || CAST(seq AS VARCHAR) AS label,
+                   CASE WHEN seq < 2 THEN 'Low' END AS report_label FROM b),
+    it AS (SELECT * FROM """ + S.values(proxy.ITEM_TYPES, "input_field_id, item_type") + """)
+    SELECT b.id AS value_id, b.input_field_id, it.item_type,
+           CASE it.item_type
+             WHEN 'Text' THEN replace(replace(replace(replace(replace(replace(replace(replace(replace(
+                    '<p>' || b.l_returnflag || ';</p>', '<span>', ''), '</span>', ''), '<p>', ''), '</p>', ''),
+                    '&nbsp', ''), ';', ''), chr(13) || chr(10), ''), chr(13), ''), chr(10), '')
+             WHEN 'SingleSelect' THEN opt.label
+             WHEN 'Date' THEN strftime(b.l_shipdate, '%m/%d/%Y')
+             WHEN 'Flag' THEN CAST(CAST(b.l_linestatus = 'F' AS INTEGER) AS VARCHAR)
+             WHEN 'MultiSelect' THEN 'Multi-select data not pulled' END AS export_value,
+           CASE it.item_type
+             WHEN 'Text' THEN '<p>' || b.l_returnflag || ';</p>'
+             WHEN 'SingleSelect' THEN coalesce(opt.report_label, opt.label)
+             WHEN 'Date' THEN strftime(b.l_shipdate, '%m/%d/%Y')
+             WHEN 'Flag' THEN CAST(CAST(b.l_linestatus = 'F' AS INTEGER) AS VARCHAR) END AS report_value
+    FROM b JOIN it ON b.input_field_id = it.input_field_id
+    LEFT JOIN opt ON b.input_field_id IN (3, 4) AND opt.id = 'O' || CAST(b.seq AS VARCHAR)""")
+def typed_value_decode(spark, sf):
+    """JN5 + PJ3 + SF6: typed side tables joined back and decoded per item type."""
+    t = _t(spark, sf, "lineitem")
+    ta = proxy.typed_answers(t)
+    v = EAV.attach_typed_values(ta["values"], ta["text"], ta["select"], ta["options"], ta["date"], ta["flag"])
+    v = v.join(proxy.item_types(spark), "input_field_id")
+    return v.select(F.col("id").alias("value_id"), "input_field_id", "item_type",
+                    EAV.decode_value("item_type", "export").alias("export_value"),
+                    EAV.decode_value("item_type", "report_label").alias("report_value"))

@@ -145,3 +145,42 @@ def layout_nodes(t: dict[str, DataFrame]) -> DataFrame:
                              F.concat(F.lit("N"), F.col("c_nationkey").cast("string")),
                              (F.col("c_custkey") % 50).cast("int"))
     return r.unionAll(n).unionAll(c)
+
+
+# Input item type per question for the typed-answer stand-in (fixed values).
+ITEM_TYPES = [(1, "Text"), (2, "Text"), (3, "SingleSelect"), (4, "SingleSelect"), (5, "Date"), (6, "Flag"),
+              (7, "MultiSelect")]
+
+
+def typed_answers(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Answer values split into the typed side tables by the question's
+    item type: values (id, interval_id, input_field_id), text / select /
+    date / flag side tables keyed by the same id, and select options."""
+    li = t["lineitem"]
+    vid = F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+    seq = F.ceil(F.col("l_quantity") / 10).cast("int") - 1
+    base = li.select(vid.alias("id"), F.col("l_orderkey").alias("interval_id"),
+                     F.col("l_linenumber").alias("input_field_id"), seq.alias("seq"), "l_returnflag",
+                     "l_linestatus", "l_shipdate")
+    q = F.col("input_field_id")
+    return {
+        "values": base.select("id", "interval_id", "input_field_id"),
+        "text": base.filter(q.isin(1, 2)).select("id", F.concat(F.lit("<p>"), F.col("l_returnflag"), F.lit(";"),
+                                                                  F.lit("</p>")).alias("value")),
+        "select": base.filter(q.isin(3, 4)).select("id", F.concat(F.lit("O"), F.col("seq").cast("string"))
+                                                   .alias("selected_option_id")),
+        "date": base.filter(q == 5).select("id", F.col("l_shipdate").alias("value")),
+        "flag": base.filter(q == 6).select("id", (F.col("l_linestatus") == "F").alias("value")),
+        "options": base.select("seq").distinct().select(
+            F.concat(F.lit("O"), F.col("seq").cast("string")).alias("id"),
+            F.concat(F.lit("Option "), F.col("seq").cast("string")).alias("label"),
+            F.when(F.col("seq") < 2, F.lit("Low")).alias("report_label"), F.col("seq").alias("sequence")),
+    }
+
+
+def item_types(spark: SparkSession) -> DataFrame:
+    return code_table(spark, ITEM_TYPES, "input_field_id int, item_type string")
+
+
+def record_attributes(spark: SparkSession) -> DataFrame:
+    return code_table(spark, RECORD_ATTRIBUTES, "attribute_id string, attribute string, attribute_sequence int")
