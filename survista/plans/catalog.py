@@ -532,3 +532,98 @@ def typed_value_decode(spark, sf):
     return v.select(F.col("id").alias("value_id"), "input_field_id", "item_type",
                     EAV.decode_value("item_type", "export").alias("export_value"),
                     EAV.decode_value("item_type", "report_label").alias("report_value"))
+
+
+# -- outcome variants (RP9-RP13, JN6) ---------------------------------------------
+from .outcomes import record_matrix  # noqa: E402
+from ..operators.joins import decode as _decode  # noqa: E402
+
+
+@query("rollup_by_dimension", _pso_sql("GENDER", S.GENDER_SQL, True, 2, "U1"))
+def rollup_by_dimension(spark, sf):
+    """RP12 (AG18, JN6 fallback): rollup AU > District x chosen dimension (gender)."""
+    t = _t(spark, sf, *ORDER_TABLES)
+    return pso_rollup(proxy.record_kav(t), proxy.answers(t), question_id=1, district_attr="DISTRICT",
+                      school_attr="SCHOOL", dimension_attr="GENDER", lookup=proxy.gender_codes(spark),
+                      fallback=True, levels=2, grants=proxy.grants(spark), user_id="U1")
+
+
+def _decode_sql(fallback: bool) -> str:
+    name = "coalesce(g.name, r.value)" if fallback else "g.name"
+    return S.with_base(f"g AS (SELECT * FROM {S.GENDER_SQL})") + f"""
+    SELECT r.instance_id, r.value AS code, {name} AS name
+    FROM rk r LEFT JOIN g ON r.value = g.code WHERE r.attribute_id = 'GENDER'"""
+
+
+def _decode_q(spark, sf, fallback):
+    t = _t(spark, sf, *ORDER_TABLES)
+    rk = proxy.record_kav(t).filter(F.col("attribute_id") == "GENDER")
+    return _decode(rk, "value", proxy.gender_codes(spark), out="name", fallback=fallback).select(
+        "instance_id", F.col("value").alias("code"), "name")
+
+
+@query("decode_with_fallback", _decode_sql(True))
+def decode_with_fallback(spark, sf):
+    """JN6: code -> name, unknown codes kept."""
+    return _decode_q(spark, sf, True)
+
+
+@query("decode_no_fallback", _decode_sql(False))
+def decode_no_fallback(spark, sf):
+    """JN6: code -> name, unknown codes become NULL."""
+    return _decode_q(spark, sf, False)
+
+
+@query("record_matrix", S.with_base() + """
+    SELECT au, attribute_id, arg_min(value, instance_id) AS first_value, count(*) AS n_records
+    FROM rk GROUP BY au, attribute_id""")
+def record_matrix_q(spark, sf):
+    """RP13 (AG26): first value (by record id) and count per AU x attribute."""
+    t = _t(spark, sf, *ORDER_TABLES)
+    return record_matrix(proxy.record_kav(t))
+
+
+QUERIES["record_matrix"] = record_matrix_q
+
+
+# -- gaps shown (RP20, RP21: JN13, JN14, RS8, RS6) ----------------------------------
+from . import gifted as GIF  # noqa: E402
+
+MODE_CODES = ["1", "2", "3", "4", "5"]
+_GIF = S.with_base("""sub AS (SELECT au, roster_year, substr(priority, 1, 1) AS mode, order_date FROM inst
+                                WHERE language = 'F')""",
+                   """sk AS (SELECT a.au, y.roster_year, m.mode FROM (SELECT DISTINCT r_name AS au FROM region) a,
+                                (SELECT DISTINCT roster_year FROM inst) y,
+                                (SELECT DISTINCT substr(priority, 1, 1) AS mode FROM inst) m)""",
+                   """f AS (SELECT au, roster_year, mode, max(strftime(order_date, '%m/%d/%Y')) AS submitted,
+                                 count(*) AS n FROM sub GROUP BY au, roster_year, mode)""",
+                   """dn AS (SELECT sk.*, f.submitted, coalesce(f.n, 0) AS n FROM sk LEFT JOIN f
+                                ON sk.au = f.au AND sk.roster_year = f.roster_year AND sk.mode = f.mode)""",
+                   """lg AS (SELECT au, roster_year, mode, 'Submitted' AS column_label, submitted AS value FROM dn
+                             UNION ALL SELECT au, roster_year, mode, 'Count', CAST(n AS VARCHAR) FROM dn)""")
+
+
+def _gifted_long(spark, sf):
+    t = _t(spark, sf, *ORDER_TABLES)
+    inst = proxy.instances(t)
+    subs = inst.filter(F.col("language") == "F").select(
+        "au", "roster_year", F.substring("priority", 1, 1).alias("mode"), F.col("order_date").alias("submitted_date"))
+    return GIF.gifted_long(subs, t["region"].select(F.col("r_name").alias("au")),
+                           inst.select("roster_year"), inst.select(F.substring("priority", 1, 1)))
+
+
+@query("densify_gaps", _GIF + "SELECT * FROM lg")
+def densify_gaps(spark, sf):
+    """RP20 (JN13, JN14, RS8): org x year x mode skeleton with facts, long form."""
+    return _gifted_long(spark, sf)
+
+
+_WIDE_COLS = ", ".join(
+    f"coalesce(max(CASE WHEN mode = '{m}' AND column_label = '{lab}' THEN value END), '') AS m{m}_{lab.lower()}"
+    for m in MODE_CODES for lab in ("Submitted", "Count"))
+
+
+@query("wide_crosstab_blank_default", _GIF + f"SELECT au, roster_year, {_WIDE_COLS} FROM lg GROUP BY au, roster_year")
+def wide_crosstab_blank_default(spark, sf):
+    """RP21 (RS6): the same as one wide row per org x year, '' for gaps."""
+    return GIF.gifted_wide(_gifted_long(spark, sf), MODE_CODES, names=[f"m{m}" for m in MODE_CODES])
