@@ -627,3 +627,139 @@ _WIDE_COLS = ", ".join(
 def wide_crosstab_blank_default(spark, sf):
     """RP21 (RS6): the same as one wide row per org x year, '' for gaps."""
     return GIF.gifted_wide(_gifted_long(spark, sf), MODE_CODES, names=[f"m{m}" for m in MODE_CODES])
+
+
+# -- text, years, predicates, pickers (SF*, SO4, FI*, JN10-JN12, WN7, PJ2, PJ4, PQ1) ---------
+from ..functions import KEEP, clean_text, map_values, merge_buckets, optional_eq, roster_year_label  # noqa: E402
+from ..operators import filters as FI  # noqa: E402
+from ..operators import joins as JN  # noqa: E402
+from ..operators import ranking as RK  # noqa: E402
+
+_REPL = "html"
+for _s in ("<span>", "</span>", "<p>", "</p>", "&nbsp", ";"):
+    _REPL = f"replace({_REPL}, '{_s}', '')"
+for _s in ("chr(13) || chr(10)", "chr(13)", "chr(10)"):
+    _REPL = f"replace({_REPL}, {_s}, '')"
+
+
+@query("text_clean", f"SELECT page_id, {_REPL} AS text FROM pages")
+def text_clean(spark, sf):
+    """SF6: whole pages through the fixed nested replaces (export cleaning)."""
+    p = _t(spark, sf, "pages")["pages"]
+    return p.select("page_id", clean_text("html").alias("text"))
+
+
+@query("roster_year_label", """
+    SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS start_year,
+           CAST(year(o_orderdate) AS VARCHAR) || ' - ' || right(CAST(year(o_orderdate) + 1 AS VARCHAR), 2) AS label_spaced,
+           CAST(year(o_orderdate) AS VARCHAR) || '-' || right(CAST(year(o_orderdate) + 1 AS VARCHAR), 2) AS label
+    FROM orders""")
+def roster_year_label_q(spark, sf):
+    """SF5: the two roster-year label formats."""
+    y = proxy.roster_years(_t(spark, sf, "orders"))
+    return y.select("start_year", roster_year_label("start_year", " - ").alias("label_spaced"),
+                    roster_year_label("start_year", "-").alias("label"))
+
+
+QUERIES["roster_year_label"] = roster_year_label_q
+
+
+@query("latest_three_years", """
+    WITH y AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS start_year FROM orders)
+    SELECT 'latest' AS which, start_year FROM (SELECT start_year FROM y ORDER BY start_year DESC LIMIT 3)
+    UNION ALL
+    SELECT 'earliest', start_year FROM (SELECT start_year FROM y ORDER BY start_year ASC LIMIT 3)""")
+def latest_three_years(spark, sf):
+    """SO4 (PQ7): the latest three and the literal earliest three roster years."""
+    y = proxy.roster_years(_t(spark, sf, "orders"))
+    latest = RK.roster_years(y, n=3, which="latest").select(F.lit("latest").alias("which"), "start_year")
+    earliest = RK.roster_years(y, n=3, which="earliest").select(F.lit("earliest").alias("which"), "start_year")
+    return latest.unionByName(earliest)
+
+
+@query("year_window", f"""
+    WITH yrs AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS start_year FROM orders),
+    y AS (SELECT start_year, make_date(start_year, 7, 1) AS start_date, make_date(start_year + 1, 6, 30) AS end_date FROM yrs)
+    SELECT * FROM y WHERE start_year IN (SELECT start_year FROM y WHERE start_date <= DATE '{AS_OF}'
+                                         AND DATE '{AS_OF}' <= end_date + INTERVAL 2 YEAR)""")
+def year_window(spark, sf):
+    """FI11: roster years in the 3-year window around the as-of date."""
+    return FI.years_in_window(proxy.roster_years(_t(spark, sf, "orders")), AS_OF)
+
+
+@query("access_semi_join", S.with_base(f"grants AS (SELECT * FROM {S.GRANTS_SQL})") + """
+    SELECT instance_id, au FROM inst
+    WHERE org_unit_id IN (SELECT org_unit_id FROM grants WHERE user_profile_id = 'U1')""")
+def access_semi_join(spark, sf):
+    """FI5 (JN10): rows restricted to the orgs granted to a user."""
+    t = _t(spark, sf, *ORDER_TABLES)
+    return FI.restrict_to_user(proxy.instances(t), proxy.grants(spark), "U1").select("instance_id", "au")
+
+
+@query("not_in_rows", S.with_base() + """
+    SELECT instance_id, attribute_id FROM ans
+    WHERE instance_id NOT IN (SELECT instance_id FROM inst WHERE language = 'F')""")
+def not_in_rows(spark, sf):
+    """JN11: NULL-aware NOT IN (subquery) as a shuffle anti join."""
+    t = _t(spark, sf, *ORDER_TABLES)
+    done = proxy.instances(t).filter(F.col("language") == "F").select("instance_id")
+    return JN.not_in(proxy.answers(t), done, "instance_id").select("instance_id", "attribute_id")
+
+
+@query("all_null_antijoin", S.with_base() + """
+    SELECT instance_id, count(*) AS n_answers, count(likert) AS n_answered FROM ans
+    WHERE instance_id NOT IN (SELECT instance_id FROM ans GROUP BY instance_id HAVING count(likert) = 0)
+    GROUP BY instance_id""")
+def all_null_antijoin(spark, sf):
+    """JN12 + AG15: drop instances whose answers are all blank."""
+    a = proxy.answers(_t(spark, sf, "lineitem"))
+    kept = JN.drop_all_null(a, "instance_id", "likert")
+    return kept.groupBy("instance_id").agg(F.count(F.lit(1)).alias("n_answers"), F.count("likert").alias("n_answered"))
+
+
+@query("optional_filter", _FM + """
+    SELECT au, count(*) AS n, CAST(sum(likert_score) AS BIGINT) AS score FROM fm
+    WHERE left(language, 10) = 'O' GROUP BY au""")
+def optional_filter(spark, sf):
+    """FI6: optional ('All' or match) parameter filters on the family master."""
+    _, m = _master(spark, sf)
+    m = m.filter(optional_eq("language", "O") & optional_eq("disability_match", "All"))
+    return m.groupBy("au").agg(F.count(F.lit(1)).alias("n"), F.sum("likert_score").cast("long").alias("score"))
+
+
+@query("cascading_picker", S.with_base() + """
+    SELECT DISTINCT district, school FROM inst WHERE au = 'AMERICA' AND roster_year = 1998""")
+def cascading_picker(spark, sf):
+    """PQ1 (AG16): the next picker's choices given the chosen AU and year."""
+    inst = proxy.instances(_t(spark, sf, *ORDER_TABLES))
+    return inst.filter((F.col("au") == "AMERICA") & (F.col("roster_year") == 1998)).select(
+        "district", "school").distinct()
+
+
+@query("both_ends_pick", _FM + """,
+    x AS (SELECT au, question, sum(likert_score) / NULLIF(count(likert_score), 0) AS likert FROM fmu GROUP BY au, question),
+    r AS (SELECT *, row_number() OVER (PARTITION BY au ORDER BY likert DESC NULLS LAST, question) AS sequence,
+                    count(*) OVER (PARTITION BY au) AS cnt FROM x)
+    SELECT au, question, likert, CAST(sequence AS INTEGER) AS sequence FROM r
+    WHERE sequence <= 2 OR sequence > cnt - 2""")
+def both_ends_pick(spark, sf):
+    """WN7: the two best and two worst questions per AU (rank <= n or > count - n)."""
+    from ..functions import safe_div
+    _, m = _master(spark, sf)
+    m = FI.restrict_to_user(m, proxy.grants(spark), "U0")
+    x = m.groupBy("au", "question").agg(safe_div(F.sum("likert_score"), F.count("likert_score")).alias("likert"))
+    return RK.both_ends(x, "au", "likert", 2, tie=["question"]).select(
+        "au", "question", "likert", F.col("sequence").cast("int").alias("sequence"))
+
+
+@query("bucket_merge", S.with_base() + """
+    SELECT au, CASE WHEN priority IN ('4-NOT SPECIFIED', '5-LOW') THEN '4-NOT SPECIFIED,5-LOW' ELSE priority END AS bucket,
+           CASE WHEN language = 'F' THEN 'Finished' WHEN language = 'O' THEN 'Open' ELSE language END AS status,
+           count(*) AS n
+    FROM inst GROUP BY 1, 2, 3""")
+def bucket_merge(spark, sf):
+    """PJ4 + PJ2: merge code buckets and map codes to labels, then count."""
+    inst = proxy.instances(_t(spark, sf, *ORDER_TABLES))
+    return inst.groupBy("au", merge_buckets("priority", [["4-NOT SPECIFIED", "5-LOW"]]).alias("bucket"),
+                        map_values("language", {"F": "Finished", "O": "Open"}, KEEP).alias("status")).agg(
+        F.count(F.lit(1)).alias("n"))
