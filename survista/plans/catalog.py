@@ -504,25 +504,33 @@ def derived_rows(spark, sf):
                       l_orderkey AS interval_id, l_linenumber AS input_field_id,
                       CAST(ceil(l_quantity / 10) AS INTEGER) - 1 AS seq, l_returnflag, l_linestatus, l_shipdate
                FROM lineitem),
+    tv AS (SELECT id, '<p>' || l_returnflag || ';</p>' AS value FROM b WHERE input_field_id IN (1, 2)),
+    sv AS (SELECT id, 'O' || CAST(seq AS VARCHAR) AS selected_option_id FROM b WHERE input_field_id IN (3, 4)),
+    dv AS (SELECT id, l_shipdate AS value FROM b WHERE input_field_id = 5),
+    fv AS (SELECT id, l_linestatus = 'F' AS value FROM b WHERE input_field_id = 6),
     opt AS (SELECT DISTINCT 'O' || CAST(seq AS VARCHAR) AS id, 'Option ' || CAST(seq AS VARCHAR) AS label,
                    CASE WHEN seq < 2 THEN 'Low' END AS report_label FROM b),
-    it AS (SELECT * FROM """ + S.values(proxy.ITEM_TYPES, "input_field_id, item_type") + """)
-    SELECT b.id AS value_id, b.input_field_id, it.item_type,
+    it AS (SELECT * FROM """ + S.values(proxy.ITEM_TYPES, "input_field_id, item_type") + """),
+    v AS (SELECT b.id, b.input_field_id, tv.value AS text_value, opt.label AS option_label,
+                 opt.report_label AS option_report_label, dv.value AS date_value, fv.value AS flag_value
+          FROM b LEFT JOIN tv ON b.id = tv.id LEFT JOIN sv ON b.id = sv.id
+          LEFT JOIN opt ON sv.selected_option_id = opt.id
+          LEFT JOIN dv ON b.id = dv.id LEFT JOIN fv ON b.id = fv.id)
+    SELECT v.id AS value_id, v.input_field_id, it.item_type,
            CASE it.item_type
              WHEN 'Text' THEN replace(replace(replace(replace(replace(replace(replace(replace(replace(
-                    '<p>' || b.l_returnflag || ';</p>', '<span>', ''), '</span>', ''), '<p>', ''), '</p>', ''),
+                    text_value, '<span>', ''), '</span>', ''), '<p>', ''), '</p>', ''),
                     '&nbsp', ''), ';', ''), chr(13) || chr(10), ''), chr(13), ''), chr(10), '')
-             WHEN 'SingleSelect' THEN opt.label
-             WHEN 'Date' THEN strftime(b.l_shipdate, '%m/%d/%Y')
-             WHEN 'Flag' THEN CAST(CAST(b.l_linestatus = 'F' AS INTEGER) AS VARCHAR)
+             WHEN 'SingleSelect' THEN option_label
+             WHEN 'Date' THEN strftime(date_value, '%m/%d/%Y')
+             WHEN 'Flag' THEN CAST(CAST(flag_value AS INTEGER) AS VARCHAR)
              WHEN 'MultiSelect' THEN 'Multi-select data not pulled' END AS export_value,
            CASE it.item_type
-             WHEN 'Text' THEN '<p>' || b.l_returnflag || ';</p>'
-             WHEN 'SingleSelect' THEN coalesce(opt.report_label, opt.label)
-             WHEN 'Date' THEN strftime(b.l_shipdate, '%m/%d/%Y')
-             WHEN 'Flag' THEN CAST(CAST(b.l_linestatus = 'F' AS INTEGER) AS VARCHAR) END AS report_value
-    FROM b JOIN it ON b.input_field_id = it.input_field_id
-    LEFT JOIN opt ON b.input_field_id IN (3, 4) AND opt.id = 'O' || CAST(b.seq AS VARCHAR)""")
+             WHEN 'Text' THEN text_value
+             WHEN 'SingleSelect' THEN coalesce(option_report_label, option_label)
+             WHEN 'Date' THEN strftime(date_value, '%m/%d/%Y')
+             WHEN 'Flag' THEN CAST(CAST(flag_value AS INTEGER) AS VARCHAR) END AS report_value
+    FROM v JOIN it ON v.input_field_id = it.input_field_id""")
 def typed_value_decode(spark, sf):
     """JN5 + PJ3 + SF6: typed side tables joined back and decoded per item type."""
     t = _t(spark, sf, "lineitem")
