@@ -8,8 +8,10 @@ where the caller's environment leaves them unset.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 # Defaults tuned for local[N] runs; on a cluster the session's own values win
@@ -35,10 +37,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if active is not None:
         return active
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.appName(app).master(master or f"local[{cpus}]")
+    builder = SparkSession.builder.appName(app)
     conf = dict(_LOCAL_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
-    conf["spark.driver.memory"] = os.environ.get("SPARK_DRIVER_MEMORY", "8g")
+    # A submitted job brings its master, memory and partition count along; only
+    # a plain local run (tests, bench) gets them from here.
+    if master or not SparkConf().contains("spark.master"):
+        builder = builder.master(master or f"local[{cpus}]")
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
+        conf["spark.driver.memory"] = os.environ.get("SPARK_DRIVER_MEMORY", "8g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -52,14 +58,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (HDFS/S3/ABFS) folder there; we never override it.
-    Only when it is unset (local tests) do we point it at a fresh local folder.
+    Only when it is unset and the master is local (tests) do we point it at a
+    fresh local folder; on a cluster executors could not share that.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="survista-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    sc.setCheckpointDir(path)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
