@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from survista.llm import exact, simhash
+import public_tokenizers
+
+from survista.llm import exact, idfile, packing, simhash
 from survista.llm.common import read
 
 QUERIES: dict = {}
@@ -29,3 +31,13 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@query
+def op7_id_files(spark, sf_dir):
+    return idfile.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+@query
+def op10_packing(spark, sf_dir):
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, size=1024)
