@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from survista.llm import exact, idfile, packing, simhash
+from pyspark.sql import functions as F
+
+from survista.llm import exact, idfile, licences, lines, lm, packing, quality, simhash
 from survista.llm.common import read
 
 QUERIES: dict = {}
@@ -41,3 +43,30 @@ def op7_id_files(spark, sf_dir):
 @query
 def op10_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, size=1024)
+
+
+@query
+def op4_quality(spark, sf_dir):
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op5_line_dedup(spark, sf_dir):
+    docs = lines.drop_boilerplate(read(spark, sf_dir, "documents"), "source", ratio=0.01, min_pages=5, counts=("n_lines", "n_dropped"))
+    return docs.select("doc_id", "source", "text", "n_lines", "n_dropped")
+
+
+ORACLE["op5_line_dedup"] = lines.SQL.format(ratio=0.01, min_pages=5)
+
+
+@query
+def op9_licence_scan(spark, sf_dir):
+    return licences.scan(read(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op1_lm_score(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % 7
+    out = lm.score(docs, fold != 2)
+    return out.select("doc_id", (fold == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
