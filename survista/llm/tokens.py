@@ -17,73 +17,64 @@ _ODD = (b"  ", b"\n\n", b" \n", b"\n ", b"\t", b"\r", b"\x0b", b"\x0c", b"\x1c",
 #: ASCII marks, and a letter (ASCII or Latin-1) at the end of a word.
 _MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _LETTER = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])\Z")
-#: A word that is one pre-token of ASCII letters.
-_PLAIN = re.compile(rb"[A-Za-z]+\Z")
+#: Words that are one pre-token and that the normaliser leaves alone: lower-case ASCII or Latin-1 letters for a
+#: lower-casing tokenizer, any of them for a byte-level one.
+_PLAIN = {False: re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+\Z"),
+          True: re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+\Z")}
+#: The characters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_OTHERS = [b for b in range(256) if b not in _PRINTED]
+_BYTE = {b: 256 + i for i, b in enumerate(_OTHERS)}
 
 
-class Encoder:
+class Encoder(dict):
     """ids as little-endian unsigned 32-bit bytes: ``encode(text) == ids of the whole text``.
 
-    No pre-token crosses the cuts below, so a text's ids are those of its chunks in a row. Chunks are encoded by the
-    library once and remembered: at most 2 * ``room`` of them, the least recently used half being dropped.
+    No pre-token crosses the cuts below, so a text's ids are those of its chunks in a row. The library encodes a chunk
+    when it is first seen; the mapping remembers it, for at most 2 * ``room`` chunks, the older half being dropped.
     Strings of special tokens in a text are ordinary text.
     """
 
     def __init__(self, path: str, byte_level: bool, room: int = 600_000):
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.byte_level, self.room = byte_level, room
-        self.young: dict[bytes, bytes] = {}
+        self.plain, self.before = _PLAIN[byte_level], b"\xff" if byte_level else b""
         self.old: dict[bytes, bytes] = {}
 
     def _chunks(self, text: bytes) -> list[bytes]:
-        """Chunks; in byte-level mode those without \\xff in front have a space there."""
+        """Chunks; in byte-level mode those without \xff in front have a space there."""
         if not self.byte_level:
             return text.lower().split()  # A-Z only; the tokenizer lowers the rest
         if text[0] in b" \n" or text[-1] in b" \n" or any(x in text for x in _ODD):
             return [c[1:] if c[:1] == b" " else b"\xff" + c for c in _CUT.split(text)]
         return (b"\xff" + text.replace(b"\n", b" \xff\n \xff")).split(b" ")
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        new = set(chunks).difference(self.young)
-        if not new:
-            return
-        if len(self.young) + len(new) > self.room:
-            self.old, self.young = self.young, {}
-            new = set(chunks)
-        todo, apart = set(), {}
-        for c in new:
-            if (ids := self.old.get(c)) is not None:
-                self.young[c] = ids
-                continue
-            word = c.rstrip(_MARKS)
-            if word != c and _LETTER.search(word):  # a word and the marks after it are separate pre-tokens
-                apart[c] = parts = word, (b"\xff" if self.byte_level else b"") + c[len(word):]
-                todo.update(p for p in parts if p not in self.young and p not in self.old)
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            word = chunk.rstrip(_MARKS)
+            if word != chunk and _LETTER.search(word):  # a word and the marks after it are separate pre-tokens
+                ids = self[word] + self[self.before + chunk[len(word):]]
+            elif self.plain.match(chunk):  # one pre-token: its ids are the model's own
+                word = chunk.decode("latin-1").translate(_BYTE)
+                ids = array("I", [t.id for t in self.model.tokenize("\u0120" + word if self.byte_level else word)]).tobytes()
             else:
-                todo.add(c)
-        rest = []
-        for c in todo:
-            if _PLAIN.match(c):  # one pre-token: its ids are the model's own
-                word = c.decode() if not self.byte_level else "\u0120" + c.decode()
-                self.young[c] = array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
-            else:
-                rest.append(c)
-        if self.byte_level:
-            texts = [(c[1:] if c[:1] == b"\xff" else b" " + c).decode() for c in rest]
-        else:
-            texts = [c.decode() for c in rest]
-        for c, e in zip(rest, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            self.young[c] = array("I", e.ids).tobytes()
-        for c, parts in apart.items():
-            self.young[c] = b"".join(self.young[p] if p in self.young else self.old[p] for p in parts)
+                if self.byte_level:
+                    text = (chunk[1:] if chunk[:1] == b"\xff" else b" " + chunk).decode()
+                else:
+                    text = chunk.decode()
+                ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if len(self) >= self.room:
+            self.old = dict(self)
+            self.clear()
+        self[chunk] = ids
+        return ids
 
     def encode(self, text: bytes) -> bytes:
-        if not text:
-            return b""
-        chunks = self._chunks(text)
-        self._learn(chunks)
-        return b"".join(map(self.young.__getitem__, chunks))
+        return b"".join(map(self.__getitem__, self._chunks(text))) if text else b""
 
 
 @lru_cache(maxsize=2)
