@@ -105,7 +105,7 @@ def best_fit(lengths: np.ndarray, caps: np.ndarray, weights: np.ndarray) -> np.n
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 1024, max_documents: int = 1024,
-         max_attention: int | None = None, weights: tuple = (1.0, 0.05, 0.05), shard_pieces: int = 20_000,
+         max_attention: int | None = None, weights: tuple = (1.0, 0.05, 0.05), shard_pieces: int = 6_000,
          id_col: str = "doc_id", text_col: str = "text", byte_level: bool = True) -> DataFrame:
     """Pack all rows of ``docs`` into sequences of at most ``size`` tokens, ``max_documents`` pieces and
     ``max_attention`` (the sum of squared piece lengths; size squared if None, which every full sequence meets).
