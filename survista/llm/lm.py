@@ -36,8 +36,28 @@ def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+#: Bits of the keys of words and of pairs. Word keys decide the exact counts; a pair key that is shared raises a count as
+#: a wrong bit of the filter does, and far less often.
+WIDTH = {1: 64, 2: 48}
+
+
 def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return _mixed(first, 1) ^ _mixed(second, 2) * _U(0x9E3779B97F4A7C15)
+    return (_mixed(first, 1) ^ _mixed(second, 2) * _U(0x9E3779B97F4A7C15)) >> _U(64 - WIDTH[2])
+
+
+def packed(keys: np.ndarray) -> bytes:
+    """Sorted keys by their distances, 32 bits each; those that take more stand in front in full."""
+    step = np.diff(keys, prepend=_U(0))
+    wide = step >= _U(0xFFFFFFFF)
+    head = np.array([int(wide.sum())], "<i8").tobytes() + step[wide].tobytes()
+    return head + np.where(wide, _U(0xFFFFFFFF), step).astype("<u4").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n = int(np.frombuffer(data, "<i8", 1)[0])
+    step = np.frombuffer(data, "<u4", -1, 8 + 8 * n).astype(np.uint64)
+    step[step == _U(0xFFFFFFFF)] = np.frombuffer(data, np.uint64, n, 8)
+    return np.cumsum(step, dtype=np.uint64)
 
 
 class LogFrequencyBloom:
@@ -95,11 +115,11 @@ class LogFrequencyBloom:
         return level
 
 
-def _shards(keys: np.ndarray, bits: int):
+def _shards(keys: np.ndarray, bits: int, order: int):
     """(shard, first, end) of sorted keys: the ranges by their leading bits."""
     if not bits:
         return [(0, 0, len(keys))] if len(keys) else []
-    shard = (keys >> _U(64 - bits)).astype(np.int64)
+    shard = (keys >> _U(WIDTH[order] - bits)).astype(np.int64)
     cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])[:len(shard)])
     return [(int(shard[a]), int(a), int(z)) for a, z in zip(cuts, [*cuts[1:], len(shard)], strict=True)]
 
@@ -112,6 +132,10 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return k[first], np.add.reduceat(c, first) if len(first) else c
 
 
+def _place_type(words: int):
+    return np.uint16 if words <= 1 << 16 else np.uint32
+
+
 def in_chunks(docs: DataFrame, learn: F.Column, id_col: str, text_col: str, chunk_tokens: int) -> DataFrame:
     """(chunk, ids, learn, lengths, n, keys, places, seen): documents of a task, about ``chunk_tokens`` tokens together. keys
     has the distinct words' keys, sorted; places the tokens as places there; seen each word's count in documents to
@@ -128,7 +152,7 @@ def in_chunks(docs: DataFrame, learn: F.Column, id_col: str, text_col: str, chun
             keys = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
             keys, back = np.unique(keys, return_inverse=True)
             place = dict(zip(words, back.tolist(), strict=True))
-            places = np.fromiter(map(place.__getitem__, toks), np.uint32, len(toks))
+            places = np.fromiter(map(place.__getitem__, toks), _place_type(len(keys)), len(toks))
             learnt = np.repeat(np.array(flags, bool), lengths)
             seen = np.bincount(places[learnt], minlength=len(keys)).astype(np.uint32)
             return pa.RecordBatch.from_arrays(
@@ -160,9 +184,8 @@ class _Chunk:
 
     def __init__(self, r: dict):
         self.keys = np.frombuffer(r["keys"], np.uint64)
-        self.places = np.frombuffer(r["places"], np.uint32)
+        self.places = np.frombuffer(r["places"], _place_type(len(self.keys)))
         self.lengths = np.asarray(r["lengths"], np.int64)
-        self.learn = np.asarray(r["learn"], bool)
         self.ends = np.cumsum(self.lengths)
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
@@ -179,60 +202,68 @@ def _routes(chunks: DataFrame, shard_bits: int, order: int, learn: bool) -> Data
     ``learn`` only those seen in documents to learn from."""
     def split(batches):
         for b in batches:
-            for r in b.to_pylist():
+            for i in range(b.num_rows):
+                r = b.slice(i, 1).to_pylist()[0]
                 if order == 1:
                     keys, seen = np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["seen"], np.uint32)
                 else:
                     c = _Chunk(r)
                     keys, back = c.pairs()
-                    seen = np.bincount(back[np.repeat(c.learn, c.lengths)], minlength=len(keys)).astype(np.uint32)
+                    learnt = np.repeat(np.asarray(r["learn"], bool), c.lengths)
+                    seen = np.bincount(back[learnt], minlength=len(keys)).astype(np.uint32)
                 if learn:
                     keys, seen = keys[seen > 0], seen[seen > 0]
-                parts = _shards(keys, shard_bits)
+                parts = _shards(keys, shard_bits, order)
                 if parts:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([s for s, _, _ in parts]), pa.array([r["chunk"]] * len(parts)),
-                         pa.array([keys[a:z].tobytes() for _, a, z in parts], pa.binary()),
+                         pa.array([packed(keys[a:z]) if order == 2 else keys[a:z].tobytes() for _, a, z in parts], pa.binary()),
                          pa.array([seen[a:z].tobytes() for _, a, z in parts], pa.binary())], ["shard", "chunk", "keys", "counts"])
 
     cols = ["chunk", "keys", "seen"] if order == 1 else ["chunk", "lengths", "learn", "keys", "places"]
     return chunks.select(*cols).mapInArrow(split, "shard bigint, chunk bigint, keys binary, counts binary")
 
 
-def _arrays(rows: pd.DataFrame) -> tuple[list, list]:
-    return [np.frombuffer(x, np.uint64) for x in rows["keys"]], [np.frombuffer(x, np.uint32) for x in rows["counts"]]
+def _arrays(rows: pd.DataFrame, order: int) -> tuple[list, list]:
+    return [unpacked(x) if order == 2 else np.frombuffer(x, np.uint64) for x in rows["keys"]], [np.frombuffer(x, np.uint32) for x in rows["counts"]]
 
 
-def exact_counts(chunks: DataFrame, shard_bits: int) -> DataFrame:
-    """(chunk, shard, counts, total, distinct): for each chunk the corpus counts of its words in a shard, in the order of
-    its keys; on the shard's first row also the shard's number of tokens and of distinct words seen, elsewhere 0."""
+def count_words(chunks: DataFrame, shard_bits: int, hashes: int, base: float) -> DataFrame:
+    """(chunk, shard, counts, total, distinct, size, bits): for each chunk the corpus counts of its words in a shard, in the
+    order of its keys; and for each shard a row without chunk, with the number of tokens and of distinct words seen
+    and the filter of their counts."""
     def count(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("chunk")
-        keys, counts = _arrays(rows)
+        keys, counts = _arrays(rows, 1)
         known, total = _summed(keys, counts)
-        out = pd.DataFrame({"chunk": rows["chunk"].to_numpy(), "shard": key[0], "counts": [total[np.searchsorted(known, k)].tobytes() for k in keys]})
-        out["total"], out["distinct"] = 0, 0
-        out.loc[0, ["total", "distinct"]] = int(total.sum()), int((total > 0).sum())
-        return out
+        f = LogFrequencyBloom.of(known[total > 0], total[total > 0], hashes, base)
+        out = pd.DataFrame({"chunk": rows["chunk"].astype("Int64").to_numpy(), "shard": key[0], "counts": [total[np.searchsorted(known, k)].tobytes() for k in keys]})
+        whole = pd.DataFrame({"chunk": [None], "shard": [key[0]], "total": [int(total.sum())], "distinct": [int((total > 0).sum())], "size": [f.size], "bits": [f.bits.tobytes()]})
+        for c in ("total", "distinct", "size"):
+            out[c] = 0
+        out["bits"], whole["counts"] = None, None
+        return pd.concat([whole[_COUNTED], out[_COUNTED]], ignore_index=True).astype({"chunk": "Int64"})
+
+    return _routes(chunks, shard_bits, 1, False).groupBy("shard").applyInPandas(
+        count, "chunk bigint, shard bigint, counts binary, total bigint, distinct bigint, size bigint, bits binary")
+
 
-    return _routes(chunks, shard_bits, 1, False).groupBy("shard").applyInPandas(count, "chunk bigint, shard bigint, counts binary, total bigint, distinct bigint")
+_COUNTED = ["chunk", "shard", "counts", "total", "distinct", "size", "bits"]
 
 
-def build_filters(chunks: DataFrame, shard_bits: int, hashes: int, base: float) -> DataFrame:
-    """(shard, size, bits): a filter for each shard with the counts of words and of pairs seen in documents to learn from."""
+def pair_filters(chunks: DataFrame, shard_bits: int, hashes: int, base: float) -> DataFrame:
+    """(shard, size, bits): a filter for each shard with the counts of pairs seen in documents to learn from."""
     def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        f = LogFrequencyBloom.of(*_summed(*_arrays(rows)), hashes, base)
+        f = LogFrequencyBloom.of(*_summed(*_arrays(rows, 2)), hashes, base)
         return pd.DataFrame({"shard": [key[0]], "size": [f.size], "bits": [f.bits.tobytes()]})
 
-    routes = _routes(chunks, shard_bits, 1, True).union(_routes(chunks, shard_bits, 2, True))
-    return routes.groupBy("shard").applyInPandas(build, "shard bigint, size bigint, bits binary")
+    return _routes(chunks, shard_bits, 2, True).groupBy("shard").applyInPandas(build, "shard bigint, size bigint, bits binary")
 
 
 def probe_by_shard(chunks: DataFrame, filters: DataFrame, shard_bits: int, hashes: int, base: float) -> DataFrame:
     """(chunk, shard, order, levels): the levels of each chunk's keys, probed where the shard's filter is."""
     def prober(order: int):
         def probe(key: tuple, rows: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-            keys, _ = _arrays(rows)
+            keys, _ = _arrays(rows, order)
             f = None
             if len(held):
                 f = LogFrequencyBloom(np.frombuffer(held["bits"][0], np.uint8), int(held["size"][0]), hashes, base)
@@ -241,7 +272,8 @@ def probe_by_shard(chunks: DataFrame, filters: DataFrame, shard_bits: int, hashe
         return probe
 
     def levels(order: int) -> DataFrame:
-        routed = _routes(chunks, shard_bits, order, False).groupBy("shard").cogroup(filters.groupBy("shard"))
+        held = filters.filter(F.col("order") == order).drop("order")
+        routed = _routes(chunks, shard_bits, order, False).groupBy("shard").cogroup(held.groupBy("shard"))
         return routed.applyInPandas(prober(order), "chunk bigint, shard bigint, order int, levels binary")
 
     return levels(1).union(levels(2))
@@ -265,7 +297,7 @@ def _score_chunk(c: _Chunk, counts: np.ndarray, words: np.ndarray, pairs: np.nda
 
 
 def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: str = "text", hashes: int = 6, base: float = 1.5,
-          strength: float = 64.0, chunk_tokens: int = 1 << 20, shard_tokens: int = 1 << 22,
+          strength: float = 64.0, chunk_tokens: int = 1 << 18, shard_tokens: int = 1 << 22,
           broadcast_bytes: int = 256 << 20) -> DataFrame:
     """One row per row of ``docs``: id_col, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -282,25 +314,27 @@ def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: st
     chunks = materialise(in_chunks(docs, F.coalesce(learn, F.lit(False)), id_col, text_col, chunk_tokens), "lm-chunks")
     tokens_all = chunks.agg(F.sum("n")).first()[0] or 0
     shard_bits = max(0, (tokens_all // shard_tokens).bit_length())
-    counts = materialise(exact_counts(chunks, shard_bits), "lm-counts")
-    n, v = counts.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
-    filters = materialise(build_filters(chunks, shard_bits, hashes, base), "lm-filter")
+    counted = materialise(count_words(chunks, shard_bits, hashes, base), "lm-words")
+    n, v = counted.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
+    pairs = materialise(pair_filters(chunks, shard_bits, hashes, base), "lm-pairs")
+    filters = (counted.filter("chunk is null").select(F.lit(1).alias("order"), "shard", "size", "bits")
+               .union(pairs.select(F.lit(2).alias("order"), "shard", "size", "bits")))
     small = (filters.agg(F.sum(F.length("bits"))).first()[0] or 0) <= broadcast_bytes
     held = {}
     if small:
         for r in filters.toLocalIterator():
-            held[r.shard] = r.size, spark.sparkContext.broadcast(bytes(r.bits))
-    end_shard = END >> (64 - shard_bits) if shard_bits else 0
-    end_row = filters.filter(F.col("shard") == end_shard).first()
+            held[r.order, r.shard] = r["size"], spark.sparkContext.broadcast(bytes(r.bits))
+    end_row = filters.filter((F.col("order") == 1) & (F.col("shard") == (END >> (64 - shard_bits) if shard_bits else 0))).first()
     end_level = 0
     if end_row:
-        end_level = int(LogFrequencyBloom(np.frombuffer(bytes(end_row.bits), np.uint8), end_row["size"], hashes, base).lookup(np.array([END], np.uint64))[0])
+        end_filter = LogFrequencyBloom(np.frombuffer(bytes(end_row.bits), np.uint8), end_row["size"], hashes, base)
+        end_level = int(end_filter.lookup(np.array([END], np.uint64))[0])
 
-    def probe(keys: np.ndarray) -> np.ndarray:
+    def probe(keys: np.ndarray, order: int) -> np.ndarray:
         out = np.zeros(len(keys), np.uint8)
-        for s, a, z in _shards(keys, shard_bits):
-            if s in held:
-                size, bits = held[s]
+        for s, a, z in _shards(keys, shard_bits, order):
+            if (order, s) in held:
+                size, bits = held[order, s]
                 out[a:z] = LogFrequencyBloom(np.frombuffer(bits.value, np.uint8), size, hashes, base).lookup(keys[a:z])
         return out
 
@@ -312,14 +346,14 @@ def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: st
         r = rows.iloc[0].to_dict()
         c = _Chunk(r)
         pair_keys_, pair_at = c.pairs()
-        words, pairs = (probe(c.keys), probe(pair_keys_)) if small else (joined(back, 1, np.uint8), joined(back, 2, np.uint8))
-        known, plain, smooth = _score_chunk(c, joined(back, 0, np.int64), words, pairs, pair_at, end_level, n, v, base, strength)
+        words, pair_levels = (probe(c.keys, 1), probe(pair_keys_, 2)) if small else (joined(back, 1, np.uint8), joined(back, 2, np.uint8))
+        known, plain, smooth = _score_chunk(c, joined(back, 0, np.int64), words, pair_levels, pair_at, end_level, n, v, base, strength)
         return pd.DataFrame({"id": pd.array(r["ids"], dtype=pd_kind), "n_tokens": c.lengths, "n_known": known, "train_tokens": n, "base_score": plain, "score": smooth})
 
     pd_kind = "Int64" if kind in ("bigint", "int") else object
-    back = counts.select("chunk", "shard", F.lit(0).alias("order"), F.col("counts").alias("levels"))
+    back = counted.filter("chunk is not null").select("chunk", "shard", F.lit(0).alias("order"), F.col("counts").alias("levels"))
     if not small:
         back = back.union(materialise(probe_by_shard(chunks, filters, shard_bits, hashes, base), "lm-levels"))
-    out = chunks.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInPandas(
+    out = chunks.select("chunk", "ids", "lengths", "keys", "places").groupBy("chunk").cogroup(back.groupBy("chunk")).applyInPandas(
         finish, f"id {kind}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
     return out.withColumnRenamed("id", id_col)
