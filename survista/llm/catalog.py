@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from survista.llm import exact, idfile, licences, lines, lm, packing, quality, simhash
+from survista.llm import chat, decontaminate, exact, idfile, licences, lines, lm, packing, quality, simhash
 from survista.llm.common import read
 
 QUERIES: dict = {}
@@ -70,3 +70,25 @@ def op1_lm_score(spark, sf_dir):
     fold = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % 7
     out = lm.score(docs, fold != 2)
     return out.select("doc_id", (fold == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def preference_turns(conversations):
+    """Stand-in input: turns of chosen conversations, and of rejected ones that leave them after one to three turns and go on
+    as the conversation with the next number does."""
+    turns = conversations.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
+    ids = conversations.select(F.col("conv_id").alias("pair_id")).distinct()
+    same = turns.filter("turn <= pair_id % 3")
+    other = turns.withColumn("pair_id", F.col("pair_id") - 1).filter("turn > pair_id % 3").join(ids, "pair_id", "left_semi")
+    return turns, same.union(other)
+
+
+@query
+def op3_preference_pairs(spark, sf_dir):
+    chosen, rejected = preference_turns(read(spark, sf_dir, "conversations"))
+    return chat.preference_pairs(chosen, rejected, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op8_decontaminate(spark, sf_dir):
+    items = decontaminate.question_and_answer(read(spark, sf_dir, "benchmark"))
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), items)
