@@ -3,10 +3,10 @@ facts where they exist.
 
 The skeleton is the product of *dimension* values (orgs, roster years,
 submission modes), which is exactly the report's output size. It is built
-without a cartesian join: the base dimension stays distributed and each other
-dimension - a short list of values such as years or modes, read once and
-size-checked - is expanded per row with ``explode``. The facts are aggregated
-to the skeleton's grain first and joined on equality keys.
+without a cartesian join and without a job of its own: each dimension's
+distinct values are one array (a scalar subquery), expanded per row of the
+base with ``explode``. The facts are aggregated to the skeleton's grain first
+and joined on equality keys.
 """
 
 from __future__ import annotations
@@ -16,28 +16,17 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension expanded per row must be a short code list (years, modes,
-# attributes). Larger ones are rejected rather than silently producing a
-# huge product.
-MAX_EXPANDED_VALUES = 10_000
-
-
 def skeleton(base: DataFrame, dims: Mapping[str, DataFrame | Sequence]) -> DataFrame:
     """JN13: ``base`` x each dimension in ``dims`` (name -> one-column frame
     or literal list)."""
     out = base
     for name, dim in dims.items():
         if isinstance(dim, DataFrame):
-            vals = [r[0] for r in dim.select(dim.columns[0]).distinct()
-                    .limit(MAX_EXPANDED_VALUES + 1).collect()]
+            value = F.struct(F.col(dim.columns[0]).alias("v"))
+            values = dim.agg(F.array_sort(F.collect_set(value))).scalar()
+            out = out.withColumn(name, F.explode(values)).withColumn(name, F.col(f"{name}.v"))
         else:
-            vals = list(dict.fromkeys(dim))
-        if len(vals) > MAX_EXPANDED_VALUES:
-            raise ValueError(f"dimension {name!r} has more than {MAX_EXPANDED_VALUES} values")
-        vals = sorted(vals, key=lambda v: (v is None, v))
-        if not vals:
-            return out.limit(0).withColumn(name, F.lit(None))
-        out = out.withColumn(name, F.explode(F.array(*[F.lit(v) for v in vals])))
+            out = out.withColumn(name, F.explode(F.array(*[F.lit(v) for v in dict.fromkeys(dim)])))
     return out
 
 

@@ -74,8 +74,8 @@ def pivot_attributes(df: DataFrame, keys: Sequence[str], attributes: Mapping[str
     """RS2: fixed EAV -> wide pivot, ``max(case when attribute = id then value end)``.
 
     ``attributes`` maps attribute id -> output column name; ``values`` may give
-    a per-attribute value expression (a decoded column). One hash aggregate on
-    ``keys`` with map-side partial aggregation, so a hot key is pre-combined
+    a per-attribute value expression (a decoded column). One aggregate on
+    ``keys`` (Spark sorts for the string ``max``) with map-side partial aggregation, so a hot key is pre-combined
     before the shuffle. ``default`` fills cells with no value (RS6 uses '').
     """
     aggs = []
@@ -93,38 +93,34 @@ _BAD = re.compile(r"[^0-9A-Za-z_]+")
 
 def safe_names(names: Sequence[str], fallbacks: Sequence[str] | None = None) -> list[str]:
     """Column names from metadata labels: sanitised, non-empty and unique."""
-    out, seen = [], {}
+    out, seen = [], set()
     for i, n in enumerate(names):
         base = _BAD.sub("_", (n or "").strip()).strip("_")
         if not base and fallbacks:
             base = _BAD.sub("_", fallbacks[i] or "").strip("_")
         base = base or f"col_{i + 1}"
-        if base in seen:
-            seen[base] += 1
-            base = f"{base}_{seen[base]}"
-        else:
-            seen[base] = 1
-        out.append(base)
+        name, k = base, 1
+        while name.lower() in seen:
+            k += 1
+            name = f"{base}_{k}"
+        seen.add(name.lower())
+        out.append(name)
     return out
 
 
 def pivot_from_metadata(df: DataFrame, meta: DataFrame, keys: Sequence[str], attribute: str = "attribute_id",
                         value: str | Column = "value", meta_id: str = "attribute_id",
                         meta_name: str = "attribute", meta_order: Sequence[str] = ("attribute_sequence",),
-                        meta_type: str | None = None, cell_by_type: Mapping[str, Column] | None = None,
-                        max_columns: int = 4096) -> DataFrame:
+                        meta_type: str | None = None, cell_by_type: Mapping[str, Column] | None = None) -> DataFrame:
     """RS3: metadata-driven dynamic pivot.
 
     Phase 1 (driver): read the attribute metadata - one row per attribute,
-    bounded by the form definition, not by the data - and fail clearly past
-    ``max_columns``. Phase 2 (cluster): one aggregate with a generated
+    bounded by the form definition, not by the data. Phase 2 (cluster): one aggregate with a generated
     ``max(case when ...)`` per attribute; cell expressions can depend on the
     attribute's type. This replaces the dynamic-SQL string building.
     """
     cols = [meta_id, meta_name] + ([meta_type] if meta_type else [])
-    rows = meta.select(*cols, *meta_order).distinct().orderBy(*meta_order, meta_id).limit(max_columns + 1).collect()
-    if len(rows) > max_columns:
-        raise ValueError(f"dynamic pivot wider than {max_columns} columns")
+    rows = meta.select(*cols, *meta_order).distinct().orderBy(*meta_order, meta_id).collect()
     names = safe_names([r[meta_name] for r in rows], [r[meta_id] for r in rows])
     aggs = []
     for r, name in zip(rows, names):

@@ -10,18 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import col, optional_eq
 
-# Above this many literals an IN list becomes a broadcast semi join against an
-# inline table (the literal list's own size is the proof of its bound).
-_MAX_INLINE_IN = 1000
-
-
 def keep_in(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     """FI1: ``column IN (values)``."""
-    values = list(values)
-    if len(values) <= _MAX_INLINE_IN:
-        return df.filter(F.col(column).isin(values))
-    lookup = df.sparkSession.createDataFrame([(v,) for v in values], [column]).distinct()
-    return df.join(F.broadcast(lookup), column, "left_semi")
+    return df.filter(F.col(column).isin(list(values)))
 
 
 def drop_in(df: DataFrame, column: str, values: Sequence) -> DataFrame:

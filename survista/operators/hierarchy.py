@@ -58,8 +58,10 @@ def rollup_regroup(df: DataFrame, hierarchy: Sequence[str], item: str, weight: s
     Subtotal labels are ``total`` for the hierarchy and item columns.
     """
     cols = list(hierarchy) + [item]
+    # to the finest grain first: the expansion then copies group rows, not input rows
+    df = df.groupBy(*cols, weight).agg(*[a.alias(n) for n, a in sums.items()])
     sets = [cols[:i] + [weight] for i in range(len(cols), -1, -1)]
-    aggs = [a.alias(n) for n, a in sums.items()]
+    aggs = [F.sum(n).alias(n) for n in sums]
     first = (df.groupingSets(sets, *cols, weight)
              .agg(*aggs, *[F.grouping(c).cast("int").alias(f"__g_{c}") for c in cols]))
     proj = [F.when(F.col(f"__g_{c}") == 0, F.col(c)).otherwise(F.lit(total)).alias(c) for c in cols]
@@ -89,19 +91,28 @@ def rollup_by_dimension(df: DataFrame, hierarchy: Sequence[str], dimension: str,
 
 
 def item_pct_of_sample(detail: DataFrame, org: str, entity: str, item_keys: Sequence[str], yes: str,
-                       total_label: str = "State", precision: int = 5, scale: int = 1) -> DataFrame:
+                       total_label: str = "State", precision: int = 5, scale: int = 1,
+                       total_only: bool = False) -> DataFrame:
     """AG19: per organisation (and the all-org total) and item: the item's
     yes count over the organisation's sample size (distinct entities).
 
     Two rollups over org - the sample sizes and the item yes counts - joined
     on the org label *and* the sort bit, so a real org called like the total
     label cannot collide. Percent = round(yes*100/n, 2) then cast to
-    decimal(precision, scale) (double rounding kept on purpose).
+    decimal(precision, scale) (double rounding kept on purpose). Both rollups
+    start from rows already reduced to their grain. ``total_only`` leaves the
+    organisations out and gives the total's rows alone.
     """
-    samples = rollup_by(detail, [org], [], [F.count_distinct(F.col(entity)).alias("n_size")],
-                        labels={org: total_label}, bits={org: "sort_bit"})
-    counts = rollup_by(detail, [org], list(item_keys), [F.sum(F.col(yes)).cast("long").alias("yes_count")],
-                       labels={org: total_label}, bits={org: "sort_bit"})
+    yes_counts = detail.groupBy(org, *item_keys).agg(F.sum(F.col(yes)).cast("long").alias("yes_count"))
+    if total_only:
+        total = [F.lit(total_label).alias(org), F.lit(1).alias("sort_bit")]
+        samples = detail.agg(F.count_distinct(F.col(entity)).alias("n_size")).select(*total, "n_size")
+        counts = yes_counts.groupBy(*item_keys).agg(F.sum("yes_count").alias("yes_count")).select(*total, *item_keys, "yes_count")
+    else:
+        samples = rollup_by(detail.select(org, entity).distinct(), [org], [], [F.count_distinct(F.col(entity)).alias("n_size")],
+                            labels={org: total_label}, bits={org: "sort_bit"})
+        counts = rollup_by(yes_counts, [org], list(item_keys), [F.sum("yes_count").alias("yes_count")],
+                           labels={org: total_label}, bits={org: "sort_bit"})
     joined = counts.join(samples, [org, "sort_bit"], "left")
     pct = ratio_half_up("yes_count", "n_size", scale=2, times=100).cast(f"decimal({precision},{scale})")
     return joined.withColumn("item_pct", pct)

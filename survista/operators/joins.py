@@ -40,12 +40,12 @@ def decode(df: DataFrame, code_col: str, lookup: DataFrame, out: str, code: str
     """JN6: code -> name via a lookup. With ``fallback`` an unknown code keeps
     its code (``coalesce(name, code)``); without, it becomes NULL. ``when``
     restricts which rows are decoded (the other rows get NULL unless
-    ``fallback``). Lookups are code lists, so the broadcast is size-safe."""
+    ``fallback``). The planner broadcasts the lookup if its size allows."""
     lk = lookup.select(F.col(code).alias("__code"), F.col(name).alias("__name"))
     cond = F.col(code_col) == F.col("__code")
     if when is not None:
         cond = cond & when
-    joined = df.join(F.broadcast(lk), cond, "left")
+    joined = df.join(lk, cond, "left")
     value = F.coalesce(F.col("__name"), F.col(code_col)) if fallback else F.col("__name")
     return joined.withColumn(out, value).drop("__code", "__name")
 
@@ -60,19 +60,16 @@ def not_in(df: DataFrame, other: DataFrame, key: str, other_key: str | None = No
 
     SQL semantics: a NULL in the subquery makes every comparison unknown (no
     row survives); a NULL key survives only when the subquery is empty.
-    The two scalars (row count and non-NULL count of the subquery) are read
-    first; the row filtering itself is a shuffle-based anti join, so no
-    nested-loop join is ever planned for a large subquery.
+    Row count and non-NULL count of the subquery are scalar subqueries of the
+    plan; the row filtering itself is an equality anti join, so no nested-loop
+    join is planned for a large subquery and no job runs before the query.
     """
     other_key = other_key or key
-    n, n_nonnull = other.agg(F.count(F.lit(1)), F.count(F.col(other_key))).first()
-    if n == 0:
-        return df
-    if n_nonnull < n:
-        return df.limit(0)
+    n = other.agg(F.count(F.lit(1))).scalar()
+    nulls = other.agg(F.count(F.when(F.col(other_key).isNull(), 1))).scalar()
     keys = other.select(F.col(other_key).alias("__k")).distinct()
-    return (df.filter(F.col(key).isNotNull())
-            .join(keys, F.col(key) == F.col("__k"), "left_anti"))
+    return (df.join(keys, F.col(key) == F.col("__k"), "left_anti")
+            .filter((n == 0) | ((nulls == 0) & F.col(key).isNotNull())))
 
 
 def anti(df: DataFrame, other: DataFrame, on) -> DataFrame:

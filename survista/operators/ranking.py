@@ -32,31 +32,32 @@ def top_bottom(df: DataFrame, group, measure: str, n: int, tie: Sequence[str] =
                top_label: str = "Top", bottom_label: str = "Bottom") -> DataFrame:
     """WN4/WN5/ST1: top ``n`` and bottom ``n`` rows per group, stacked (UNION
     ALL) with a ``position`` tag and a 1-based ``rank``. NULL measures rank
-    last in both directions. Both rankings are computed in one pass over the
-    same window partitioning (one shuffle)."""
+    last in both directions. Both rankings share one window partitioning; a
+    row that is in both lists is doubled after it."""
     g = _keys(group)
     w_top = Window.partitionBy(*g).orderBy(*_order(measure, True, tie, nulls_last))
     w_bot = Window.partitionBy(*g).orderBy(*_order(measure, False, tie, nulls_last))
-    ranked = (df.withColumn("__top", F.row_number().over(w_top))
-              .withColumn("__bot", F.row_number().over(w_bot))
-              .filter((F.col("__top") <= n) | (F.col("__bot") <= n)))
-    tops = ranked.filter(F.col("__top") <= n).withColumn(position, F.lit(top_label)).withColumn(rank, F.col("__top"))
-    bots = ranked.filter(F.col("__bot") <= n).withColumn(position, F.lit(bottom_label)).withColumn(rank, F.col("__bot"))
-    return tops.unionByName(bots).drop("__top", "__bot")
+    ranked = df.withColumn("__top", F.row_number().over(w_top)).withColumn("__bot", F.row_number().over(w_bot))
+    tags = F.array(F.struct(F.lit(top_label).alias("p"), F.col("__top").alias("r")),
+                   F.struct(F.lit(bottom_label).alias("p"), F.col("__bot").alias("r")))
+    return (ranked.withColumn("__tag", F.explode(tags)).filter(F.col("__tag.r") <= n)
+            .withColumn(position, F.col("__tag.p")).withColumn(rank, F.col("__tag.r"))
+            .drop("__top", "__bot", "__tag"))
 
 
 def top_bottom_join(df: DataFrame, group, item: str, measure: str, n: int, tie: Sequence[str] = (),
-                    nulls_last: bool = False) -> DataFrame:
+                    nulls_last: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """JN9: the rank-aligned pairing of the top-n and bottom-n lists per
     group: one row per (group, rank) with ``top_<item>``, ``top_<measure>``,
     ``bottom_<item>``, ``bottom_<measure>``. Done as one ranking pass and one
-    conditional aggregate per (group, rank) instead of a self-join."""
+    conditional aggregate per (group, rank) instead of a self-join; the
+    columns in ``carry`` come along, as ``top_`` and ``bottom_`` too."""
     g = _keys(group)
     w_top = Window.partitionBy(*g).orderBy(*_order(measure, True, tie, nulls_last))
     w_bot = Window.partitionBy(*g).orderBy(*_order(measure, False, tie, nulls_last))
     ranked = (df.withColumn("__top", F.row_number().over(w_top))
               .withColumn("__bot", F.row_number().over(w_bot)))
-    rows = ranked.select(*g, item, measure, F.explode(F.array(
+    rows = ranked.select(*g, item, measure, *carry, F.explode(F.array(
         F.struct(F.col("__top").alias("r"), F.lit(True).alias("is_top")),
         F.struct(F.col("__bot").alias("r"), F.lit(False).alias("is_top")))).alias("__x"))
     rows = rows.filter(F.col("__x.r") <= n)
@@ -65,7 +66,8 @@ def top_bottom_join(df: DataFrame, group, item: str, measure: str, n: int, tie:
         F.max(F.when(is_top, F.col(item))).alias(f"top_{item}"),
         F.max(F.when(is_top, F.col(measure))).alias(f"top_{measure}"),
         F.max(F.when(~is_top, F.col(item))).alias(f"bottom_{item}"),
-        F.max(F.when(~is_top, F.col(measure))).alias(f"bottom_{measure}"))
+        F.max(F.when(~is_top, F.col(measure))).alias(f"bottom_{measure}"),
+        *[F.max(F.when(when, F.col(c))).alias(f"{side}_{c}") for c in carry for side, when in (("top", is_top), ("bottom", ~is_top))])
 
 
 def rank_global(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:

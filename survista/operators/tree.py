@@ -16,15 +16,18 @@ def flatten_tree(nodes: DataFrame, id: str = "id", parent: str = "parent_id", se
     """RS1: walk an adjacency list from its roots down.
 
     Output per reachable node: ``root_id``, ``level`` (0 at the root),
-    ``path`` (concatenated ``100 + sequence`` text, as the source builds it),
+    ``path`` (``100 + sequence`` of each level, joined by ``_``),
     ``path_key`` (array of sequences, the correct sort key also when a
     sequence is >= 900) plus the node's own columns listed in ``keep``.
 
     ``roots`` selects the anchor rows (default: ``parent IS NULL``); pass the
     template filter here - Spark does not push a filter into a recursion's
     anchor. Runs as a recursive CTE: each level is one distributed join of
-    the frontier with the node table; cycles stop at ``max_depth``.
+    the frontier with the node table. A walk deeper than ``max_depth`` (a
+    cycle) raises; the number of nodes is not limited (Spark's row limit for
+    recursions is lifted in the session).
     """
+    nodes.sparkSession.conf.set("spark.sql.cteRecursionRowLimit", -1)
     anchor = roots if roots is not None else F.col(parent).isNull()
     base = nodes.select(F.col(id).alias("n_id"), F.col(parent).alias("n_parent"),
                         F.col(seq).cast("int").alias("n_seq"),
@@ -40,7 +43,7 @@ def flatten_tree(nodes: DataFrame, id: str = "id", parent: str = "parent_id", se
         FROM {{base}} b LEFT SEMI JOIN {{seeds}} s ON b.n_id = s.s_id
         UNION ALL
         SELECT c.n_id, c.n_parent, c.n_seq, w.root_id, w.level + 1,
-               concat(w.path, CAST(100 + c.n_seq AS STRING)), concat(w.path_key, array(c.n_seq)){keep_step}
+               concat(w.path, '_', CAST(100 + c.n_seq AS STRING)), concat(w.path_key, array(c.n_seq)){keep_step}
         FROM {{base}} c JOIN walk w ON c.n_parent = w.n_id
     )
     SELECT n_id AS `{id}`, n_parent AS `{parent}`, n_seq AS `{seq}`, root_id, level, path, path_key{keep_out}

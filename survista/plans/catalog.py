@@ -86,18 +86,21 @@ LIKERT75_MIN = -(-3 * N_Q // 4)  # ceil(0.75 * number of questions)
 def _master(spark, sf):
     t = _t(spark, sf, *ORDER_TABLES)
     return t, FAM.family_master(proxy.instances(t), proxy.answers(t), proxy.question_weights(spark),
-                                n_questions=N_Q)
+                                likert75_min=LIKERT75_MIN)
 
 
 _FM = S.with_base(
     f"w AS (SELECT * FROM {S.WEIGHTS_SQL})",
     f"grants AS (SELECT * FROM {S.GRANTS_SQL})",
-    """fm0 AS (SELECT a.instance_id, a.attribute_id AS question, a.option_sequence, a.match AS disability_match,
+    """resp AS (SELECT a.instance_id, a.attribute_id AS question, a.option_sequence, a.match, w.report_weight,
+                  CASE WHEN w.report_weight IS NOT NULL THEN a.option_sequence + 1 END AS likert_score
+           FROM ans a LEFT JOIN w ON a.attribute_id = w.question
+           WHERE a.instance_id IN (SELECT instance_id FROM ans GROUP BY instance_id HAVING count(option_sequence) > 0))""",
+    """fm0 AS (SELECT i.instance_id, a.question, a.option_sequence, coalesce(a.match, 'Blank') AS disability_match,
                i.org_unit_id, i.au, i.district, i.school, i.priority, i.language, i.roster_year, i.order_date,
-               w.report_weight AS response_weight, a.option_sequence + 1 AS likert_score,
-               (a.option_sequence + 1) * w.report_weight AS weighted_score,
-               CASE WHEN a.option_sequence + 1 > 3 THEN 1 ELSE 0 END AS likert_gt3
-        FROM ans a JOIN inst i ON a.instance_id = i.instance_id LEFT JOIN w ON a.attribute_id = w.question)""",
+               a.report_weight AS response_weight, a.likert_score, a.likert_score * a.report_weight AS weighted_score,
+               CASE WHEN a.likert_score > 3 THEN 1 ELSE 0 END AS likert_gt3
+        FROM inst i LEFT JOIN resp a ON a.instance_id = i.instance_id)""",
     f"""fm AS (SELECT fm0.*, CAST(CASE WHEN k.n >= {LIKERT75_MIN} THEN 1 ELSE 0 END AS INTEGER) AS likert75
         FROM fm0 LEFT JOIN (SELECT instance_id, count(CASE WHEN likert_score > 3 THEN 1 END) AS n
                             FROM fm0 GROUP BY instance_id) k ON fm0.instance_id = k.instance_id)""",
@@ -197,9 +200,9 @@ def pct_ge4_incl_blank(spark, sf):
                  CAST(grouping(au) AS INTEGER) AS sort_bit, question,
                  CAST(sum(likert_score) AS BIGINT) AS s, count(likert_score) AS c
           FROM fmu GROUP BY ROLLUP(au), question),
-    x2 AS (SELECT *, s / NULLIF(c, 0) AS likert, {S.ratio_half_up('s', 'c', scale=4, precision=19)} AS likert_score FROM x),
-    t AS (SELECT *, row_number() OVER (PARTITION BY admin_unit, sort_bit ORDER BY likert DESC NULLS LAST, question) AS r FROM x2),
-    b AS (SELECT *, row_number() OVER (PARTITION BY admin_unit, sort_bit ORDER BY likert ASC NULLS FIRST, question) AS r FROM x2)
+    x2 AS (SELECT *, s / NULLIF(c, 0) AS likert, CAST({S.ratio_half_up('s', 'c', scale=2, precision=19)} AS DECIMAL(19,4)) AS likert_score FROM x),
+    t AS (SELECT *, row_number() OVER (PARTITION BY admin_unit, sort_bit ORDER BY likert DESC NULLS LAST, question NULLS FIRST) AS r FROM x2),
+    b AS (SELECT *, row_number() OVER (PARTITION BY admin_unit, sort_bit ORDER BY likert ASC NULLS FIRST, question NULLS FIRST) AS r FROM x2)
     SELECT t.admin_unit, t.question AS top_question, t.likert_score AS top_likert,
            b.question AS bottom_question, b.likert_score AS bottom_likert, t.sort_bit, CAST(t.r AS INTEGER) AS sequence
     FROM t JOIN b ON t.admin_unit = b.admin_unit AND t.sort_bit = b.sort_bit AND t.r = b.r
@@ -222,11 +225,11 @@ AS_OF = "2000-03-15"
     x AS (SELECT au AS admin_unit, roster_year, question, CAST(sum(likert_score) AS BIGINT) AS s,
                  count(likert_score) AS c
           FROM fmu WHERE roster_year IN (SELECT start_year FROM win) GROUP BY au, roster_year, question),
-    x2 AS (SELECT *, s / NULLIF(c, 0) AS likert, {S.ratio_half_up('s', 'c', scale=4, precision=19)} AS likert_score FROM x),
+    x2 AS (SELECT *, s / NULLIF(c, 0) AS likert, CAST({S.ratio_half_up('s', 'c', scale=2, precision=19)} AS DECIMAL(19,4)) AS likert_score FROM x),
     r AS (SELECT *, row_number() OVER (PARTITION BY admin_unit, roster_year
-                      ORDER BY CASE WHEN likert IS NOT NULL THEN 0 ELSE 1 END, likert DESC, question) AS rt,
+                      ORDER BY CASE WHEN likert IS NOT NULL THEN 0 ELSE 1 END, likert DESC, question NULLS FIRST) AS rt,
                     row_number() OVER (PARTITION BY admin_unit, roster_year
-                      ORDER BY CASE WHEN likert IS NOT NULL THEN 0 ELSE 1 END, likert ASC, question) AS rb
+                      ORDER BY CASE WHEN likert IS NOT NULL THEN 0 ELSE 1 END, likert ASC, question NULLS FIRST) AS rb
           FROM x2)
     SELECT admin_unit, roster_year, question, 'Top' AS position, likert_score, 0 AS sort_bit,
            CAST(rt AS INTEGER) AS sequence FROM r WHERE rt <= 3
@@ -249,7 +252,8 @@ _CK = S.with_base(
     f"st0 AS (SELECT * FROM {_STMT_SQL})",
     """st AS (SELECT *, CAST(CASE WHEN row_number() OVER (PARTITION BY section_id
                  ORDER BY sequence DESC, attribute_id DESC) = 1 THEN 1 ELSE 0 END AS INTEGER) AS is_note FROM st0)""",
-    """det AS (SELECT a.instance_id, i.au, CAST(a.instance_id AS VARCHAR) AS search_key, a.attribute_id, a.value
+    """det AS (SELECT a.instance_id, i.au, CAST(a.instance_id AS VARCHAR) AS search_key, a.attribute_id, a.value,
+                      CASE a.value WHEN 'Met' THEN 'Yes' WHEN 'Not Met' THEN 'No' ELSE 'N/A' END AS label
                FROM ans a JOIN inst i ON a.instance_id = i.instance_id)""",
     "d AS (SELECT det.*, st.section_id, st.section, st.section_sequence, st.sequence, st.is_note "
     "FROM det JOIN st ON det.attribute_id = st.attribute_id)",
@@ -263,7 +267,7 @@ def _ck(spark, sf):
 
 @query("note_pairing", _CK + """
     SELECT s.instance_id, s.section, s.sequence, s.attribute_id, s.value, n.value AS note
-    FROM d s LEFT JOIN d n ON s.instance_id = n.instance_id AND s.section_id = n.section_id
+    FROM d s JOIN d n ON s.instance_id = n.instance_id AND s.section_id = n.section_id
                           AND n.attribute_id IN (SELECT attribute_id FROM st WHERE is_note = 1)
     WHERE s.attribute_id NOT IN (SELECT attribute_id FROM st WHERE is_note = 1)""")
 def note_pairing(spark, sf):
@@ -306,26 +310,26 @@ _C4_SUMS = ("CAST(sum(yes) AS DOUBLE) AS yes, CAST(sum(no) AS DOUBLE) AS no, CAS
 
 
 @query("yes_no_na_blank", _CK + f""",
-    yn AS (SELECT *, CASE WHEN value = 'Met' THEN 1 ELSE 0 END AS yes, CASE WHEN value = 'Not Met' THEN 1 ELSE 0 END AS no,
-                  CASE WHEN value = 'Not Applicable' THEN 1 ELSE 0 END AS na, CASE WHEN value IS NULL THEN 1 ELSE 0 END AS blank,
-                  CAST(sequence AS DOUBLE) AS position FROM d),
-    b AS (SELECT * FROM yn
+    yn AS (SELECT au, section_id, section, section_sequence, attribute_id, CAST(sequence AS DOUBLE) AS position,
+                  CASE WHEN label = 'Yes' THEN 1 ELSE 0 END AS yes, CASE WHEN label = 'No' THEN 1 ELSE 0 END AS no,
+                  CASE WHEN value = 'Not Applicable' THEN 1 ELSE 0 END AS na, CASE WHEN label IS NULL THEN 1 ELSE 0 END AS blank
+           FROM d),
+    b AS (SELECT * FROM yn WHERE section_id = 'A'
           UNION ALL
-          SELECT instance_id, au, search_key, attribute_id, value, 'A', 'Section A', 1, sequence, is_note,
-                 yes, no, na, blank, 3.5 FROM yn WHERE attribute_id = 7),
+          SELECT au, 'A', 'Section A', 1, attribute_id, 99.0, yes, no, na, blank FROM yn WHERE attribute_id = 7),
     r AS (SELECT CASE WHEN grouping(au) = 0 THEN au ELSE 'State' END AS au, section_sequence, section, attribute_id,
                  position, {_C4_SUMS}
           FROM b GROUP BY ROLLUP(au), section_sequence, section, attribute_id, position
           UNION ALL
-          SELECT CASE WHEN grouping(au) = 0 THEN au ELSE 'State' END, CAST(NULL AS INTEGER), 'Overall',
-                 CAST(NULL AS INTEGER), 99.0, {_C4_SUMS}
-          FROM b GROUP BY ROLLUP(au))
+          SELECT CASE WHEN grouping(au) = 0 THEN au ELSE 'State' END, section_sequence, section,
+                 CAST(NULL AS INTEGER), 3.5, {_C4_SUMS}
+          FROM b GROUP BY ROLLUP(au), section_sequence, section)
     SELECT *, CASE WHEN yes + no > 0 THEN yes / (yes + no) ELSE 0.0 END AS yes_rate FROM r""")
 def yes_no_na_blank(spark, sf):
     """RP4 (ST2, AG4, AG10, SO5, AG25): Yes/No/NA/Blank per statement per AU
-    and State, with an Overall row and statement 7 borrowed into section A."""
+    and State of section A, with its Overall row and statement 7 borrowed."""
     detail, attrs = _ck(spark, sf)
-    return CMP.compliance_4(detail, attrs, borrow_attribute=7, borrow_section="A")
+    return CMP.compliance_4(detail, attrs, section="A", borrow_attribute=7, borrow_section="A")
 
 
 @query("item_pct_of_sample", _CK + f""",
@@ -345,8 +349,8 @@ def item_pct_of_sample(spark, sf):
 
 
 @query("top_bottom_global", _CK + f""",
-    c AS (SELECT attribute_id, CAST(sum(CASE WHEN value = 'Met' THEN 1 ELSE 0 END) AS BIGINT) AS yes_count,
-                 CAST(sum(CASE WHEN value = 'Met' THEN 1 ELSE 0 END) + sum(CASE WHEN value = 'Not Met' THEN 1 ELSE 0 END) AS BIGINT) AS total
+    c AS (SELECT attribute_id, CAST(sum(CASE WHEN label = 'Yes' THEN 1 ELSE 0 END) AS BIGINT) AS yes_count,
+                 CAST(sum(CASE WHEN label = 'Yes' THEN 1 ELSE 0 END) + sum(CASE WHEN label = 'No' THEN 1 ELSE 0 END) AS BIGINT) AS total
           FROM d GROUP BY attribute_id),
     c2 AS (SELECT *, CAST({S.ratio_half_up('yes_count', 'total', scale=2, times=100)} AS DECIMAL(5,1)) AS pct FROM c WHERE total > 0),
     r AS (SELECT *, row_number() OVER (ORDER BY pct DESC, yes_count DESC, attribute_id) AS top_sort,
@@ -363,7 +367,7 @@ def top_bottom_global(spark, sf):
 
 @query("section_top_bottom", _CK + f""",
     y AS (SELECT *, CASE WHEN section_id IN ('A', 'B') THEN 1 WHEN section_id IN ('C') THEN 2 END AS part,
-                 CASE WHEN value IN ('Met', 'Not Applicable') THEN 1 ELSE 0 END AS yes FROM d),
+                 CASE WHEN value = 'Met' THEN 1 ELSE 0 END AS yes FROM d),
     y2 AS (SELECT * FROM y WHERE part IS NOT NULL),
     ss AS (SELECT count(DISTINCT instance_id) AS n_size FROM y2),
     ac AS (SELECT part, attribute_id, CAST(sum(yes) AS BIGINT) AS yes_count FROM y2 GROUP BY part, attribute_id),
@@ -392,7 +396,7 @@ _TREE = """WITH RECURSIVE nodes AS (
       SELECT id, parent_id, sequence, id AS root_id, 0 AS level, CAST(100 + sequence AS VARCHAR) AS path,
              [sequence] AS path_key FROM nodes WHERE parent_id IS NULL
       UNION ALL
-      SELECT c.id, c.parent_id, c.sequence, w.root_id, w.level + 1, w.path || CAST(100 + c.sequence AS VARCHAR),
+      SELECT c.id, c.parent_id, c.sequence, w.root_id, w.level + 1, w.path || '_' || CAST(100 + c.sequence AS VARCHAR),
              list_concat(w.path_key, [c.sequence]) FROM nodes c JOIN walk w ON c.parent_id = w.id)
 """
 
@@ -746,7 +750,7 @@ def cascading_picker(spark, sf):
 
 @query("both_ends_pick", _FM + """,
     x AS (SELECT au, question, sum(likert_score) / NULLIF(count(likert_score), 0) AS likert FROM fmu GROUP BY au, question),
-    r AS (SELECT *, row_number() OVER (PARTITION BY au ORDER BY likert DESC NULLS LAST, question) AS sequence,
+    r AS (SELECT *, row_number() OVER (PARTITION BY au ORDER BY likert DESC NULLS LAST, question NULLS FIRST) AS sequence,
                     count(*) OVER (PARTITION BY au) AS cnt FROM x)
     SELECT au, question, likert, CAST(sequence AS INTEGER) AS sequence FROM r
     WHERE sequence <= 2 OR sequence > cnt - 2""")

@@ -10,19 +10,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import eq_null_sentinel, ratio_half_up
 from ..operators.hierarchy import item_pct_of_sample, rollup_by
 from ..operators.joins import not_in
-from ..operators.measures import nonzero_mean, pct_met, sum_where, yes_rate
+from ..operators.measures import nonzero_mean, pct_met, yes_rate
 from ..operators.ranking import rank_global, top_bottom
 from ..operators.reshape import borrow_rows, union_sections
 from ..operators.tree import flag_last
 
-# Fixed answer labels of the checklist.
+# Report labels and option labels of the checklist's answers.
 MET, NOT_MET, NOT_APPLICABLE = "Met", "Not Met", "Not Applicable"
+YES, NO = "Yes", "No"
 
 
 def compliance_attributes(statements: DataFrame) -> DataFrame:
@@ -44,13 +45,14 @@ def compliance_2b(detail: DataFrame, attrs: DataFrame, search_key: str | None =
                   key_col: str = "search_key") -> DataFrame:
     """RP2: each non-note statement paired with its section's note answer.
     Statements = attributes NOT IN the note ids (NULL-aware); notes joined
-    back on (instance, section)."""
+    back on (instance, section). A statement whose section has no note answer
+    drops out."""
     rows = compliance_2(detail, attrs, search_key, key_col)
     notes_ids = attrs.filter(F.col("is_note") == 1).select("attribute_id")
     stmts = not_in(rows, notes_ids, "attribute_id")
     notes = (rows.join(notes_ids, "attribute_id", "left_semi")
              .select("instance_id", "section_id", F.col("value").alias("note")))
-    return stmts.join(notes, ["instance_id", "section_id"], "left").select(
+    return stmts.join(notes, ["instance_id", "section_id"]).select(
         "instance_id", "section", "sequence", "attribute_id", "value", "note")
 
 
@@ -69,35 +71,45 @@ def compliance_3_overall(section_pcts: DataFrame) -> DataFrame:
 
 
 def _yes_no(detail: DataFrame) -> DataFrame:
-    v = F.col("value")
-    return (detail.withColumn("yes", F.when(v == MET, 1).otherwise(0))
-            .withColumn("no", F.when(v == NOT_MET, 1).otherwise(0))
-            .withColumn("na", F.when(v == NOT_APPLICABLE, 1).otherwise(0))
-            .withColumn("blank", F.when(v.isNull(), 1).otherwise(0)))
-
-
-def compliance_4(detail: DataFrame, attrs: DataFrame, borrow_attribute=None, borrow_section=None,
-                 borrow_position: float = 3.5, overall_position: float = 99.0) -> DataFrame:
-    """RP4: Yes / No / NA / Blank per statement per AU and State (rollup),
-    an 'Overall' row per org, and one statement borrowed into another
-    section at a fractional position; ``yes_rate`` = yes/(yes+no) else 0."""
-    d = _yes_no(detail.join(attrs, "attribute_id")).withColumn("position", F.col("sequence").cast("double"))
-    if borrow_attribute is not None:
-        sec = attrs.filter(F.col("section_id") == F.lit(borrow_section)).select("section", "section_sequence").first()
+    """Yes and no by the option's label, not applicable by its report label
+    (``value``), blank where no option was chosen."""
+    label = F.col("label")
+    return (detail.withColumn("yes", F.when(label == YES, 1).otherwise(0))
+            .withColumn("no", F.when(label == NO, 1).otherwise(0))
+            .withColumn("na", F.when(F.col("value") == NOT_APPLICABLE, 1).otherwise(0))
+            .withColumn("blank", F.when(label.isNull(), 1).otherwise(0)))
+
+
+def compliance_4(detail: DataFrame, attrs: DataFrame, section=None, borrow_attribute=None, borrow_section=None,
+                 borrow_position: float = 99.0, overall_position: float = 3.5) -> DataFrame:
+    """RP4: Yes / No / NA / Blank per statement per AU and State (rollup) of
+    the chosen ``section`` (all sections when None); ``yes_rate`` =
+    yes/(yes+no) else 0. Where the chosen section is ``borrow_section``, the
+    statement ``borrow_attribute`` of another section is counted in it as well,
+    at ``borrow_position``, and each org has an 'Overall' row of the section at
+    ``overall_position``. Answers are summed to (au, statement) before they are
+    borrowed, rolled up or totalled."""
+    marks = ("yes", "no", "na", "blank")
+    keys = ["section_id", "section", "section_sequence", "attribute_id", "position"]
+    d = (_yes_no(detail.join(attrs, "attribute_id")).withColumn("position", F.col("sequence").cast("double"))
+         .groupBy("au", *keys).agg(*[F.sum(c).alias(c) for c in marks]))
+    here = borrow_attribute is not None and section is not None and section == borrow_section
+    if here:
+        host = attrs.filter(F.col("section_id") == F.lit(borrow_section))
         d = borrow_rows(d, F.col("attribute_id") == F.lit(borrow_attribute),
-                        {"section_id": F.lit(borrow_section), "section": F.lit(sec["section"]),
-                         "section_sequence": F.lit(sec["section_sequence"]),
+                        {"section_id": F.lit(borrow_section), "section": host.agg(F.max("section")).scalar(),
+                         "section_sequence": host.agg(F.max("section_sequence")).scalar(),
                          "position": F.lit(float(borrow_position))})
-    sums = [F.sum(c).cast("double").alias(c) for c in ("yes", "no", "na", "blank")]
-    labels = {"au": "State"}
-    per_stmt = rollup_by(d, ["au"], ["section_sequence", "section", "attribute_id", "position"], sums,
-                         labels=labels, bits={"au": "sort_bit"})
-    overall = rollup_by(d.withColumn("section", F.lit("Overall")), ["au"], ["section"], sums,
-                        labels=labels, bits={"au": "sort_bit"})
-    overall = (overall.withColumn("section_sequence", F.lit(None).cast("int"))
-               .withColumn("attribute_id", F.lit(None).cast(d.schema["attribute_id"].dataType))
-               .withColumn("position", F.lit(float(overall_position))))
-    out = per_stmt.unionByName(overall.select(*per_stmt.columns))
+    if section is not None:
+        d = d.filter(F.col("section_id") == F.lit(section))
+    sums = [F.sum(c).cast("double").alias(c) for c in marks]
+    by = {"labels": {"au": "State"}, "bits": {"au": "sort_bit"}}
+    out = rollup_by(d, ["au"], ["section_sequence", "section", "attribute_id", "position"], sums, **by)
+    if here:
+        overall = (rollup_by(d, ["au"], ["section_sequence", "section"], sums, **by)
+                   .withColumn("attribute_id", F.lit(None).cast(d.schema["attribute_id"].dataType))
+                   .withColumn("position", F.lit(float(overall_position))))
+        out = out.unionByName(overall.select(*out.columns))
     return out.withColumn("yes_rate", yes_rate(F.col("yes"), F.col("no")))
 
 
@@ -134,15 +146,8 @@ def compliance_8_section(detail: DataFrame, attrs: DataFrame, section_lists: Seq
     one ``isin`` scan here), the top-n and bottom-n statements by State-level
     percent of the sample."""
     d = union_sections(detail.join(attrs, "attribute_id"), "section_id", section_lists)
-    d = d.withColumn("yes", F.when(F.col("value").isin(MET, NOT_APPLICABLE), 1).otherwise(0))
-    state = (item_pct_of_sample(d, "au", "instance_id", ["part", "attribute_id"], "yes")
-             .filter(F.col("sort_bit") == 1))
+    d = d.withColumn("yes", F.when(F.col("value") == MET, 1).otherwise(0))
+    state = item_pct_of_sample(d, "au", "instance_id", ["part", "attribute_id"], "yes", total_only=True)
     ranked = top_bottom(state, "part", "item_pct", n, tie=["attribute_id"], rank="sequence")
     return ranked.select("part", "position", F.col("sequence").cast("int").alias("sequence"), "attribute_id",
                          "yes_count", "n_size", "item_pct")
-
-
-def section_metrics(detail: DataFrame, attrs: DataFrame, conds: dict[str, Column]) -> DataFrame:
-    """AG22/AG23 helper: statements per section and per-instance yes counts."""
-    return detail.join(attrs, "attribute_id").groupBy("instance_id", "section_id").agg(
-        *[sum_where(c).alias(n) for n, c in conds.items()])

@@ -9,41 +9,54 @@ hierarchy and pivot or rank the question measures. Each report aggregates to
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (div_floor, likert, money_text, optional_eq, pad_left, ratio_half_up, round_dec,
+from ..functions import (div_floor, likert, merge_buckets, money_text, optional_eq, pad_left, ratio_half_up, round_dec,
                          safe_div, weighted)
 from ..operators.filters import restrict_to_user, years_in_window
 from ..operators.hierarchy import rollup_by, rollup_regroup
 from ..operators.measures import count_where, pct_gt_all, threshold_flag
 from ..operators.ranking import top_bottom, top_bottom_join
 
-# Subtotal labels of the family reports.
+# Subtotal labels of the family reports.
 STATE = "STATE"
 BLANK = " "
 TOTAL = "Total"
 
 
-def family_master(instances: DataFrame, answers: DataFrame, weights: DataFrame,
-                  likert75_share: float = 0.75, n_questions: int | None = None) -> DataFrame:
-    """PL6: answers x instance hierarchy with ``likert_score`` (option sequence
-    + 1), ``response_weight``, ``weighted_score``, ``likert_gt3`` and
+def family_submissions(submissions: DataFrame) -> DataFrame:
+    """PL5 (submissions): one row per form instance with its organisation,
+    roster year and record attributes; grades 006 and 007 are one grade."""
+    grade = [merge_buckets("grade", [["006", "007"]]).alias("grade")] if "grade" in submissions.columns else []
+    return submissions.select(*[c for c in submissions.columns if c != "grade"], *grade)
+
+
+def family_responses(answers: DataFrame, weights: DataFrame) -> DataFrame:
+    """PL5 (responses): answers with ``likert_score`` (option sequence + 1, NULL
+    for an item without a report weight) and their weight. Instances whose
+    answers are all blank are left out."""
+    some = answers.groupBy("instance_id").agg(F.count("option_sequence").alias("n")).filter("n > 0").select("instance_id")
+    a = answers.join(some, "instance_id", "left_semi").select(
+        "instance_id", F.col("attribute_id").alias("question"), "option_sequence", F.col("match").alias("disability_match"))
+    w = weights.select("question", F.col("report_weight").alias("response_weight"))
+    scored = F.col("response_weight").isNotNull()
+    return (a.join(w, "question", "left")
+            .withColumn("likert_score", F.when(scored, likert("option_sequence")))
+            .withColumn("weighted_score", F.when(scored, weighted("option_sequence", "response_weight"))))
+
+
+def family_master(instances: DataFrame, answers: DataFrame, weights: DataFrame, likert75_min: int = 12) -> DataFrame:
+    """PL6: submissions left-joined to their responses, with ``likert_gt3`` and
     ``likert75`` = 1 on every row of an instance having at least
-    ``ceil(share * n_questions)`` answers above 3."""
-    nq = n_questions or weights.count()
-    need = math.ceil(likert75_share * nq)
-    a = answers.select("instance_id", F.col("attribute_id").alias("question"), "option_sequence",
-                       F.col("match").alias("disability_match"))
-    m = (a.join(instances, "instance_id")
-         .join(weights.select("question", F.col("report_weight").alias("response_weight")), "question", "left")
-         .withColumn("likert_score", likert("option_sequence"))
-         .withColumn("weighted_score", weighted("option_sequence", "response_weight"))
+    ``likert75_min`` answers above 3. A submission without responses stays, as
+    one row without a question."""
+    m = (family_submissions(instances).join(family_responses(answers, weights), "instance_id", "left")
+         .withColumn("disability_match", F.coalesce("disability_match", F.lit("Blank")))
          .withColumn("likert_gt3", F.when(F.col("likert_score") > 3, 1).otherwise(0)))
-    return threshold_flag(m, "instance_id", F.col("likert_score") > 3, need, "likert75")
+    return threshold_flag(m, "instance_id", F.col("likert_score") > 3, likert75_min, "likert75")
 
 
 def _filters(master: DataFrame, grants: DataFrame | None, user_id: str | None, language: str,
@@ -71,9 +84,8 @@ def family_2(master: DataFrame, questions: Sequence[int], grants=None, user_id=N
     """RP14: mean Likert per AU / District / School rollup x question, plus
     'Total' = the mean of the question means; cells as 2-decimal text."""
     m = _filters(master, grants, user_id, language, match)
-    x = rollup_by(m, _H, ["question"],
-                  [F.sum("likert_score").cast("long").alias("s"), F.count("likert_score").alias("c")],
-                  bits=_BITS)
+    fine = m.groupBy(*_H, "question").agg(F.sum("likert_score").alias("s"), F.count("likert_score").alias("c"))
+    x = rollup_by(fine, _H, ["question"], [F.sum("s").cast("long").alias("s"), F.sum("c").alias("c")], bits=_BITS)
     x = x.withColumn("mean", safe_div("s", "c"))
     if au_only:
         x = x.filter((F.col("district_bit") == 1) & (F.col("school_bit") == 1))
@@ -98,8 +110,9 @@ def family_3(master: DataFrame, questions: Sequence[int], grants=None, user_id=N
     """RP15: percent of answered questions with Likert > 3 (blanks left out),
     truncated to an int and shown as 'NN%', pivoted by question."""
     m = _filters(master, grants, user_id, language, match)
-    x = rollup_by(m, _H, ["question"], [count_where(F.col("likert_score") > 3).alias("n_gt3"),
-                                         F.count("likert_score").alias("n")], bits=_BITS)
+    fine = m.groupBy(*_H, "question").agg(count_where(F.col("likert_score") > 3).alias("n_gt3"),
+                                          F.count("likert_score").alias("n"))
+    x = rollup_by(fine, _H, ["question"], [F.sum("n_gt3").alias("n_gt3"), F.sum("n").alias("n")], bits=_BITS)
     if au_only:
         x = x.filter((F.col("district_bit") == 1) & (F.col("school_bit") == 1))
     keys = _H + list(_BITS.values())
@@ -146,12 +159,12 @@ def _au_question_means(m: DataFrame, by_year: bool) -> DataFrame:
                                                     F.count("likert_score").alias("c"))
         x = x.withColumn("sort_bit", F.lit(0))
     else:
-        x = rollup_by(m, ["au"], ["question"], [F.sum("likert_score").cast("long").alias("s"),
-                                                F.count("likert_score").alias("c")],
+        fine = m.groupBy("au", "question").agg(F.sum("likert_score").alias("s"), F.count("likert_score").alias("c"))
+        x = rollup_by(fine, ["au"], ["question"], [F.sum("s").cast("long").alias("s"), F.sum("c").alias("c")],
                       bits={"au": "sort_bit"})
     x = x.withColumn("admin_unit", F.when(F.col("sort_bit") == 0, F.col("au")).otherwise(F.lit(STATE)))
     return (x.withColumn("likert", safe_div("s", "c"))
-            .withColumn("likert_score", ratio_half_up("s", "c", scale=4, precision=19)))
+            .withColumn("likert_score", ratio_half_up("s", "c", scale=2, precision=19).cast("decimal(19,4)")))
 
 
 def family_8(master: DataFrame, n: int = 3, grants=None, user_id=None, language="All", match="All",
@@ -161,17 +174,9 @@ def family_8(master: DataFrame, n: int = 3, grants=None, user_id=None, language=
     m = _filters(master, grants, user_id, language, match, roster_year)
     x = _au_question_means(m, by_year=False)
     out = top_bottom_join(x.select("admin_unit", "sort_bit", "question", "likert", "likert_score"),
-                          ["admin_unit", "sort_bit"], "question", "likert", n, tie=["question"])
-    scores = x.select("admin_unit", "sort_bit", "question", "likert_score")
-    t = scores.select("admin_unit", "sort_bit", F.col("question").alias("top_question"),
-                      F.col("likert_score").alias("top_likert"))
-    b = scores.select("admin_unit", "sort_bit", F.col("question").alias("bottom_question"),
-                      F.col("likert_score").alias("bottom_likert"))
-    return (out.drop("top_likert", "bottom_likert")
-            .join(t, ["admin_unit", "sort_bit", "top_question"])
-            .join(b, ["admin_unit", "sort_bit", "bottom_question"])
-            .select("admin_unit", "top_question", "top_likert", "bottom_question", "bottom_likert",
-                    "sort_bit", F.col("rank").cast("int").alias("sequence")))
+                          ["admin_unit", "sort_bit"], "question", "likert", n, tie=["question"], carry=["likert_score"])
+    return out.select("admin_unit", "top_question", F.col("top_likert_score").alias("top_likert"), "bottom_question",
+                      F.col("bottom_likert_score").alias("bottom_likert"), "sort_bit", F.col("rank").cast("int").alias("sequence"))
 
 
 def family_9(master: DataFrame, years: DataFrame, as_of, n: int = 3, grants=None, user_id=None,
@@ -188,5 +193,5 @@ def family_9(master: DataFrame, years: DataFrame, as_of, n: int = 3, grants=None
                          F.col("sequence").cast("int").alias("sequence"))
 
 
-__all__ = ["family_master", "family_2", "family_3", "family_6", "family_7", "family_8", "family_9",
+__all__ = ["family_submissions", "family_responses", "family_master", "family_2", "family_3", "family_6", "family_7", "family_8", "family_9",
            "count_where"]

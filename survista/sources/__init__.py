@@ -1,4 +1,4 @@
 """Scans, inline code tables, views, sinks and test-table stand-ins."""
 
-from .tables import (broadcast_if_small, code_table, load, register_views,  # noqa: F401
+from .tables import (code_table, load, register_views,  # noqa: F401
                      tables_from_frames, write_csv)

@@ -47,14 +47,6 @@ def code_table(spark: SparkSession, rows: Sequence[tuple], cols: str | Sequence[
     return F.broadcast(df)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark ``df`` for broadcast only after proving it has at most ``max_rows``
-    rows (a LIMIT-bounded count; cheap on dimensions). Larger inputs are
-    returned unchanged, so the planner keeps a shuffle join for them."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def register_views(spark: SparkSession, t: dict[str, DataFrame], views: dict | None = None) -> None:
     """SC3: expose base tables, and optionally derived views (name -> function
     of ``t``), as session temp views for SQL users."""

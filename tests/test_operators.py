@@ -92,7 +92,7 @@ def test_flatten_tree_paths_and_cycles(spark):
         "id string, parent_id string, sequence int")
     out = flatten_tree(nodes, max_depth=10)
     got = {r.id: (r.level, r.path, list(r.path_key)) for r in out.collect()}
-    assert got["c"] == (2, "1011050103", [1, 950, 3])
+    assert got["c"] == (2, "101_1050_103", [1, 950, 3])
     assert set(got) == {"r", "a", "b", "c"}  # the cycle has no root and is never reached
     ordered = [r.id for r in out.orderBy("path_key").collect()]
     assert ordered == ["r", "b", "a", "c"]  # 950 sorts after 2 by the int key
@@ -140,3 +140,28 @@ def test_pso_golden_shape(spark):
     got = rows(out.filter("au_sort_bit = 0"), "dimension", "n_size", "met_count", "pct")
     assert got == [("ID", 1, 1, Decimal("100.00")), ("MD", 5, 0, Decimal("0.00")),
                    ("PD", 2, 1, Decimal("50.00")), ("SLD", 20, 3, Decimal("15.00"))]
+
+
+def test_flatten_tree_has_no_row_limit(spark):
+    nodes = spark.range(1_100_000).selectExpr("id", "CASE WHEN id > 0 THEN 0L END AS parent_id", "CAST(id % 50 AS INT) AS sequence")
+    assert flatten_tree(nodes).count() == 1_100_000
+
+
+def test_tree_path_joins_levels(spark):
+    nodes = spark.createDataFrame([(1, None, 2), (2, 1, 950), (3, 2, 3)], "id int, parent_id int, sequence int")
+    assert {r.id: r.path for r in flatten_tree(nodes).collect()} == {1: "102", 2: "102_1050", 3: "102_1050_103"}
+
+
+def test_safe_names_are_unique():
+    from survista.operators.eav import safe_names
+    names = safe_names(["Q 1", "Q_1", "Q-1", "Q_1_2", "q 1", None, ""])
+    assert len({n.lower() for n in names}) == 7 and names[0] == "Q_1"
+
+
+def test_not_in_builds_without_a_job(spark):
+    from survista.operators import not_in
+    df, other = spark.createDataFrame([(1,), (2,), (None,)], "k int"), spark.createDataFrame([(1,)], "k int")
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    out = not_in(df, other, "k")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
+    assert [r.k for r in out.collect()] == [2]

@@ -58,8 +58,8 @@ def test_record_kav_live_only(t):
 def test_formlet_columns_sequence(t):
     got = [(r.attribute_id, r.display_sequence, r.attribute_sequence)
            for r in formlet_columns(t).orderBy("attribute_sequence").collect()]
-    assert got == [("I1", "101102_101", 1), ("I2", "101102_102", 2), ("I3", "101102_103", 3),
-                   ("I4", "101102_104", 4)]
+    assert got == [("I1", "101_102_101", 1), ("I2", "101_102_102", 2), ("I3", "101_102_103", 3),
+                   ("I4", "101_102_104", 4)]
 
 
 def test_formlet_kav_typed_and_scored(t):
