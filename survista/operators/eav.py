@@ -85,7 +85,7 @@ def pivot_attributes(df: DataFrame, keys: Sequence[str], attributes: Mapping[str
         if default is not None:
             cell = F.coalesce(cell, F.lit(default))
         aggs.append(cell.alias(name))
-    return df.groupBy(*keys).agg(*aggs)
+    return df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
 
 
 _BAD = re.compile(r"[^0-9A-Za-z_]+")

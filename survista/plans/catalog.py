@@ -775,3 +775,9 @@ def bucket_merge(spark, sf):
     return inst.groupBy("au", merge_buckets("priority", [["4-NOT SPECIFIED", "5-LOW"]]).alias("bucket"),
                         map_values("language", {"F": "Finished", "O": "Open"}, KEEP).alias("status")).agg(
         F.count(F.lit(1)).alias("n"))
+
+
+from . import native_queries  # noqa: E402
+
+QUERIES.update(native_queries.QUERIES)
+ORACLE.update(native_queries.ORACLE)

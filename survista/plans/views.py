@@ -1,4 +1,4 @@
-"""Reusable views over the native form / record store (PL1-PL3, PL7).
+"""Reusable views over the native form / record store (PL1-PL4, PL7).
 
 ``t`` is the dict of native tables from ``sources.load``. Every view is a
 lazy DataFrame: the report that uses it decides which columns and rows are
@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import clean_text, roster_year_label
-from ..operators.eav import SINGLE_SELECT, attach_typed_values, decode_value, emit_scores, pivot_from_metadata
+from ..functions import float_text, roster_year_label
+from ..operators.eav import SINGLE_SELECT, attach_typed_values, decode_value, emit_scores, pivot_attributes, safe_names
 from ..operators.filters import active, restrict_to_user
-from ..operators.tree import flatten_tree, sequence
+from ..operators.joins import join_left_residual
+from ..operators.tree import flag_last, flatten_tree, sequence
 
 
 def _a(df: DataFrame, prefix: str, cols) -> DataFrame:
@@ -63,35 +64,75 @@ def record_kav(t: dict[str, DataFrame]) -> DataFrame:
         (rec.sequence_number + 1).alias("submission_sequence"))
 
 
-def formlet_columns(t: dict[str, DataFrame], template_ids=None) -> DataFrame:
-    """PL1: one row per form input item: the layout walked from the root
-    controls (RS1), the input area's items attached, a display sequence of
-    ``path_seq`` and a per-template attribute sequence (WN1)."""
+def _input_items(t: dict[str, DataFrame], template_ids=None) -> DataFrame:
+    """The form's input items on the walked layout (RS1), with type, control
+    property and submission item; the last two joins may repeat an item. A
+    property counts unless it is the level or sparse (JN4)."""
     lay = t["form_template_layout"]
     roots = F.col("parent_id").isNull()
     if template_ids is not None:
         roots = roots & F.col("template_id").isin(list(template_ids))
     tree = flatten_tree(lay, id="id", parent="parent_id", seq="sequence", roots=roots,
                         keep=["template_id", "control_id"])
-    ii = t["form_template_input_item"]
+    item = _a(t["form_template_input_item"], "i_", ["id", "input_area_id", "type_id", "sequence", "code", "label", "report_label", "report_weight"])
     it = _a(t["form_template_input_item_type"], "it_", ["id", "name"])
     ft = _a(t["form_template"], "ft_", ["id", "name"])
-    cols = (tree.join(ii, ii.input_area_id == tree.control_id)
-            .join(it, F.col("it_id") == ii.type_id, "left")
-            .join(ft, F.col("ft_id") == tree.template_id, "left"))
-    cols = cols.select(tree.template_id, F.col("ft_name").alias("template_name"), ii.id.alias("attribute_id"),
-                       ii.code.alias("attribute_code"), ii.label.alias("attribute_label"),
-                       ii.report_label.alias("attribute_report_label"), ii.report_weight,
-                       F.col("it_name").alias("input_item_type"), ii.sequence.alias("input_item_sequence"),
-                       F.concat(tree.path, F.lit("_"), (F.lit(100) + ii.sequence).cast("string")).alias("display_sequence"),
-                       F.concat(tree.path_key, F.array(ii.sequence)).alias("__key"))
-    return sequence(cols, "template_id", ["__key", "attribute_id"], "attribute_sequence").drop("__key")
+    ct = _a(t["form_template_control"], "ct_", ["id", "type_id"])
+    ctt = _a(t["form_template_control_type"], "ctt_", ["id", "name"])
+    prop = _a(t["form_template_control_property"], "cp_", ["control_id", "name", "value"])
+    mii = _a(t["mon_submission_item"], "mii_", ["form_template_input_item_id", "label", "sequence"])
+    d = (tree.join(item, F.col("i_input_area_id") == F.col("control_id"))
+         .join(it, F.col("it_id") == F.col("i_type_id"), "left")
+         .join(ft, F.col("ft_id") == F.col("template_id"), "left")
+         .join(ct, F.col("ct_id") == F.col("control_id"), "left")
+         .join(ctt, F.col("ctt_id") == F.col("ct_type_id"), "left"))
+    d = join_left_residual(d, prop, F.col("cp_control_id") == F.col("control_id"),
+                           (F.col("cp_name") != "Level") & (F.col("cp_value") != "sparse"))
+    d = d.join(mii, F.col("mii_form_template_input_item_id") == F.col("i_id"), "left")
+    return d.select(
+        "template_id", F.col("ft_name").alias("template_name"), F.col("parent_id").alias("layout_parent_id"), "control_id",
+        F.col("i_id").alias("attribute_id"), F.col("i_code").alias("attribute_code"), F.col("i_label").alias("attribute_label"),
+        F.col("i_report_label").alias("attribute_report_label"), F.coalesce("i_report_label", "i_code").alias("attribute"),
+        F.col("i_report_weight").alias("report_weight"), F.col("it_name").alias("input_item_type"),
+        F.col("i_sequence").alias("input_item_sequence"), F.col("ctt_name").alias("control_type"),
+        F.col("cp_name").alias("control_property"), F.col("cp_value").alias("control_property_value"),
+        F.col("mii_label").alias("mii_label"), F.col("mii_sequence").alias("mii_sequence"),
+        F.concat("path", F.coalesce(F.concat(F.lit("_"), (F.lit(100) + F.col("i_sequence")).cast("string")), F.lit("")))
+        .alias("display_sequence"))
+
+
+def _forms(t: dict[str, DataFrame], modes: bool) -> DataFrame:
+    """Submission types with their location, and their modes if asked for."""
+    st = _a(t["mon_submission_type"], "st_", ["id", "name", "location_id", "form_template_id"])
+    loc = _a(t["mon_location"], "l_", ["id", "display_name"])
+    d = st.join(loc, F.col("l_id") == F.col("st_location_id"), "left")
+    out = [F.col("st_form_template_id").alias("form_template_id"), F.col("st_location_id").alias("location_id"), F.col("st_id").alias("submission_type_id"),
+           F.col("l_display_name").alias("location"), F.col("st_name").alias("submission_type")]
+    if modes:
+        m = _a(t["mon_submission_mode"], "m_", ["id", "name", "submission_type_id"])
+        d = d.join(m, F.col("m_submission_type_id") == F.col("st_id"), "left")
+        out += [F.col("m_id").alias("submission_mode_id"), F.col("m_name").alias("submission_mode")]
+    return d.select(*out)
+
+
+def formlet_columns(t: dict[str, DataFrame], template_ids=None) -> DataFrame:
+    """PL1: one row per submission type, mode and form input item: the layout
+    walked from the root controls, the items of each input area, their display
+    sequence and their number within location, type, mode and template (WN1)."""
+    items = _input_items(t, template_ids)
+    d = items.join(_forms(t, True), F.col("form_template_id") == items.template_id)
+    d = sequence(d, ["location", "submission_type", "submission_mode", "template_name"],
+                 ["display_sequence", "attribute_id", "control_property", "mii_label"], "attribute_sequence")
+    return d.select("template_id", "location_id", "submission_type_id", "submission_mode_id", "location", "submission_type", "submission_mode",
+                    "template_name", "display_sequence", "attribute_sequence", "control_type", "input_item_type", "control_property",
+                    "attribute_id", "attribute_report_label", "attribute_code", "attribute", "report_weight", "attribute_label")
 
 
 def formlet_kav(t: dict[str, DataFrame], template_ids=None) -> DataFrame:
     """PL2: typed answers as key/attribute/value rows per form instance, with
     org and year, plus Likert and weighted rows for weighted items (RS7)."""
-    cols = formlet_columns(t, template_ids)
+    items = _input_items(t, template_ids).withColumnRenamed("template_id", "item_template_id")
+    items = items.join(_forms(t, False), F.col("form_template_id") == F.col("item_template_id"))
     fi = t["form_instance"]
     fii = t["form_instance_interval"]
     fiv = t["form_input_value"]
@@ -110,35 +151,96 @@ def formlet_kav(t: dict[str, DataFrame], template_ids=None) -> DataFrame:
          .join(fi, F.col("srf_id") == fi.id)
          .join(fii, fii.instance_id == fi.id)
          .join(vals, vals.interval_id == fii.id)
-         .join(cols, (cols.template_id == fi.template_id) & (cols.attribute_id == vals.input_field_id)))
+         .join(items, (items.item_template_id == fi.template_id) & (items.attribute_id == vals.input_field_id)))
+    # An option shows only on a single-select item, whatever side rows an answer has.
     kav = d.select(
-        F.col("s_org_unit_id").alias("org_unit_id"), F.col("s_roster_year_id").alias("roster_year_id"),
+        "location", "submission_type", F.col("ou_id").alias("org_unit_id"), F.col("ry_id").alias("roster_year_id"),
         roster_year_label("ry_start_year", " - ").alias("roster_year"), F.col("ou_name").alias("au"),
-        F.col("ou_number").alias("au_code"), cols.template_id, "template_name", "attribute_id",
+        F.col("ou_number").alias("au_code"), fi.template_id, "template_name", "attribute_id", "mii_label",
+        F.col("control_property_value").alias("control_property"),
         "attribute_code", "attribute_report_label", "attribute_label", "input_item_type", "display_sequence",
-        "attribute_sequence", F.col("srf_id").alias("instance_id"),
+        "input_item_sequence", "mii_sequence", F.col("srf_id").alias("instance_id"),
         F.col("srf_submission_record_id").alias("submission_record_id"),
         decode_value("input_item_type", "report_label").alias("value"),
-        F.col("option_label").alias("select_field_label"),
+        decode_value("input_item_type", "label").alias("select_field_label"),
         F.when(F.col("input_item_type") == SINGLE_SELECT, F.col("option_sequence")).alias("value_sequence"),
         "report_weight")
-    return emit_scores(kav)
+    return emit_scores(kav, value_text=float_text).drop("value_sequence")
+
+
+def compliance_formlet_attributes(t: dict[str, DataFrame], template_id: str) -> DataFrame:
+    """PL4: the checklist's statements with their section (the submission area
+    of the parent control), their number in the template, and the note flag on
+    the last statement of each section."""
+    items = _input_items(t, [template_id]).drop("control_property", "control_property_value", "mii_label", "mii_sequence").distinct()
+    parent = _a(t["form_template_layout"], "p_", ["id", "control_id"])
+    area = _a(t["mon_submission_area"], "ar_", ["id", "label", "sequence", "form_template_control_id"])
+    d = (items.join(parent, F.col("p_id") == F.col("layout_parent_id"))
+         .join(area, F.col("ar_form_template_control_id") == F.col("p_control_id"), "left"))
+    d = sequence(d, "template_id", ["display_sequence", "attribute_id"], "sequence")
+    d = flag_last(d, ["template_id", "p_control_id"], ["display_sequence", "attribute_id"], "is_note")
+    return d.select("template_id", F.col("ar_id").alias("section_id"), F.col("ar_label").alias("section"),
+                    F.col("ar_sequence").alias("section_sequence"), "attribute_id", F.col("attribute").alias("short_name"), "sequence",
+                    F.col("input_item_type").alias("attribute_type"), "is_note", F.col("attribute_label").alias("statement"),
+                    F.col("attribute_code").alias("code"), F.col("attribute_report_label").alias("report_label"))
 
 
 def raw_data_by_record_set(t: dict[str, DataFrame], user_id: str, record_set_id: str) -> DataFrame:
-    """PL7: one wide row per submission record of a record set: AU, record
-    key, sequence, exclusion flag, every record attribute and every form
-    answer as its own column (names from metadata, cells cleaned for CSV)."""
-    rk = record_kav(t).filter(F.col("record_set_id") == F.lit(record_set_id))
-    rk = restrict_to_user(rk, t["user_profile_org_unit"], user_id)
-    rec_meta = (t["mon_record_attribute"].filter(F.col("record_set_id") == F.lit(record_set_id))
-                .select(F.col("id").alias("attribute_id"), F.col("name").alias("attribute"),
-                        F.col("sequence_number").alias("attribute_sequence")))
-    keys = ["submission_record_id", "instance_id", "au", "submission_sequence"]
-    recs = pivot_from_metadata(rk, rec_meta, keys)
-    fk = formlet_kav(t).filter(F.col("weighted").isNull())
-    fk = fk.join(rk.select("instance_id").distinct(), "instance_id", "left_semi")
-    frm_meta = fk.select("attribute_id", F.coalesce("attribute_report_label", "attribute_code").alias("attribute"),
-                         "attribute_sequence").distinct()
-    frms = pivot_from_metadata(fk.withColumn("value", clean_text("value")), frm_meta, ["instance_id"])
-    return recs.join(frms, "instance_id", "left")
+    """PL7: one wide row per submission record of the record sets sampled from
+    ``record_set_id``, excluded ones too: AU, SASID2, submission sequence,
+    exclusion flag, a column for every attribute of the record set and every
+    item of its form, answered or not. Weighted items are named by their code;
+    names are made unique over both lists. Cells are cleaned for CSV; an item
+    type without a rule is refused."""
+    sets = t["mon_record_set"].filter(F.col("sampled_from_id") == F.lit(record_set_id)).select(F.col("id").alias("rs_id"))
+    every = active(t["mon_submissions"]).join(sets, F.col("rs_id") == F.col("record_set_id")).select(
+        F.col("id").alias("s_id"), F.col("record_set_id").alias("s_set_id"), "submission_type_id", "org_unit_id")
+    subs = restrict_to_user(every, t["user_profile_org_unit"], user_id)
+    rec = _a(t["mon_submission_record"], "sr_", ["id", "submissions_id", "record_selection_id", "sequence_number"])
+    sel = _a(t["mon_record_selection"], "sel_", ["id", "record_id", "record_set_id", "excluded_date"])
+    ou = _a(t["org_unit"], "ou_", ["id", "name"])
+    att = t["mon_record_attribute"].filter(F.col("record_set_id") == F.lit(record_set_id))
+    val = t["mon_record_attribute_value"]
+    sasid_id = att.filter(F.col("name") == "SASID").agg(F.min("id")).scalar()
+    sasid = val.filter(F.col("attribute_id") == sasid_id).select(F.col("record_id").alias("x_record_id"), F.col("value").alias("SASID2"))
+    qs = (subs.join(rec, F.col("sr_submissions_id") == F.col("s_id"))
+          .join(sel, (F.col("sel_record_set_id") == F.col("s_set_id")) & (F.col("sel_id") == F.col("sr_record_selection_id")), "left")
+          .join(sasid, F.col("x_record_id") == F.col("sel_record_id"), "left")
+          .join(ou, F.col("ou_id") == F.col("org_unit_id"), "left"))
+
+    # Column lists from metadata: bounded by the forms, not by the data.
+    templates = (every.select("submission_type_id").distinct()
+                 .join(_a(t["mon_submission_type"], "st_", ["id", "form_template_id"]), F.col("st_id") == F.col("submission_type_id"))
+                 .select("st_form_template_id").distinct())
+    ids = [r[0] for r in templates.collect()]
+    rec_meta = att.select("id", "name", "sequence_number").orderBy("sequence_number", "id").collect()
+    items = (_input_items(t, ids).filter(F.col("layout_parent_id").isNotNull())
+             .select("attribute_id", "input_item_type", "display_sequence",
+                     F.when(F.col("report_weight").isNull(), F.col("attribute")).otherwise(F.col("attribute_code")).alias("name"))
+             .distinct().orderBy("display_sequence", "attribute_id").collect())
+    fixed = ["AU", "SASID2", "submission_sequence", "is_excluded"]
+    names = safe_names(fixed + [r["name"] for r in rec_meta] + [r["name"] for r in items],
+                       fixed + [r["id"] for r in rec_meta] + [r["attribute_id"] for r in items])[len(fixed):]
+    rec_names, frm_names = names[:len(rec_meta)], names[len(rec_meta):]
+
+    values = val.join(_a(t["mon_record"].filter(F.col("record_set_id") == F.lit(record_set_id)), "m_", ["id"]), F.col("m_id") == F.col("record_id"))
+    values = values.join(_a(att, "a_", ["id"]), F.col("a_id") == F.col("attribute_id"))
+    qr = pivot_attributes(values, ["record_id"], {r["id"]: n for r, n in zip(rec_meta, rec_names, strict=True)})
+
+    fi = t["form_instance"].filter(F.col("template_id").isin(ids))
+    typed = attach_typed_values(t["form_input_value"], t["form_input_text_value"], t["form_input_single_select_value"],
+                                t["form_template_input_select_field_option"], t["form_input_date_value"], t["form_input_flag_value"])
+    types = (_a(t["form_template_input_item"], "i_", ["id", "type_id"])
+             .join(_a(t["form_template_input_item_type"], "it_", ["id", "name"]), F.col("it_id") == F.col("i_type_id"), "left"))
+    forms = (_a(t["mon_record"].filter(F.col("record_set_id") == F.lit(record_set_id)), "m_", ["id"])
+             .join(sel, F.col("sel_record_id") == F.col("m_id")).join(rec, F.col("sr_record_selection_id") == F.col("sel_id"))
+             .join(_a(t["mon_submission_record_form"], "rf_", ["id", "submission_record_id"]), F.col("rf_submission_record_id") == F.col("sr_id"))
+             .join(_a(fi, "f_", ["id"]), F.col("f_id") == F.col("rf_id"))
+             .join(_a(t["form_instance_interval"], "fii_", ["id", "instance_id"]), F.col("fii_instance_id") == F.col("f_id"), "left")
+             .join(typed, F.col("interval_id") == F.col("fii_id"), "left")
+             .join(types, F.col("i_id") == F.col("input_field_id"), "left")
+             .withColumn("cell", F.when(F.col("input_field_id").isNotNull(), decode_value("it_name", "export"))))
+    qf = pivot_attributes(forms, ["m_id"], {r["attribute_id"]: n for r, n in zip(items, frm_names, strict=True)}, attribute="input_field_id", value="cell")
+    out = qs.join(qr, F.col("record_id") == F.col("sel_record_id")).join(qf, F.col("m_id") == F.col("record_id"), "left")
+    return out.select(F.col("ou_name").alias("AU"), "SASID2", F.col("sr_sequence_number").alias("submission_sequence"),
+                      F.col("sel_excluded_date").isNotNull().cast("int").alias("is_excluded"), *rec_names, *frm_names)

@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from survista.plans.views import formlet_columns, formlet_kav, raw_data_by_record_set, record_kav
+from survista.plans.views import compliance_formlet_attributes, formlet_columns, formlet_kav, raw_data_by_record_set, record_kav
 from survista.schemas import TABLES
 
 D = dt.datetime(2015, 9, 1)
@@ -64,13 +64,51 @@ def test_formlet_columns_sequence(t):
 
 def test_formlet_kav_typed_and_scored(t):
     got = sorted((r.instance_id, r.attribute_code, r.value) for r in formlet_kav(t).collect())
-    assert got == [("F1", "Lq1", "2"), ("F1", "Wq1", "4.0"), ("F1", "q1", "Often!"), ("F1", "q2", "a<p>b;\r\nc"),
+    assert got == [("F1", "Lq1", "2"), ("F1", "Wq1", "4"), ("F1", "q1", "Often!"), ("F1", "q2", "a<p>b;\r\nc"),
                    ("F1", "q3", "02/03/2016"), ("F1", "q4", "1"),
-                   ("F2", "Lq1", "1"), ("F2", "Wq1", "2.0"), ("F2", "q1", "Never")]
+                   ("F2", "Lq1", "1"), ("F2", "Wq1", "2"), ("F2", "q1", "Never")]
 
 
-def test_raw_data_wide_row(t):
-    rows = raw_data_by_record_set(t, "U1", "RS1").collect()
-    assert len(rows) == 1
-    r = rows[0].asDict()
-    assert r["SASID"] == "123" and r["q1"] == "Often!" and r["Two"] == "abc" and r["q4"] == "1"
+def test_formlet_kav_field_label_is_the_typed_value(t):
+    got = {(r.instance_id, r.attribute_code): r.select_field_label for r in formlet_kav(t).collect()}
+    assert got["F1", "q1"] == "Often" and got["F1", "q2"] == "a<p>b;\r\nc" and got["F1", "q3"] == "02/03/2016" and got["F1", "q4"] == "1"
+    assert got["F1", "Wq1"] == "Often"
+
+
+def test_raw_data_wide_rows(spark, t):
+    more = dict(t)
+    def add(name, *rows):
+        more[name] = more[name].union(spark.createDataFrame(list(rows), TABLES[name]))
+    add("mon_record_set", ("RS0", "Parent", None))
+    more["mon_record_set"] = more["mon_record_set"].selectExpr("id", "name", "IF(id = 'RS1', 'RS0', NULL) AS sampled_from_id")
+    more["mon_record"] = spark.createDataFrame([("R1", "RS0", "123"), ("R2", "RS0", "456")], TABLES["mon_record"])
+    more["mon_record_attribute"] = spark.createDataFrame([("A1", "SASID", "RS0", 1)], TABLES["mon_record_attribute"])
+    add("mon_record_attribute_value", ("R2", "A1", "456"))
+    add("mon_record_selection", ("SEL2", "R2", "RS1", D))
+    add("mon_submission_record", ("SR3", "S1", "SEL2", 5))
+    add("mon_submission_record_form", ("F3", "SR3"))
+    add("form_instance", ("F3", "T1"))
+    add("form_template_input_item", ("I5", "C2", "TT", 5, "q5", "Q five", "SASID", None))
+    rows = [r.asDict() for r in raw_data_by_record_set(more, "U1", "RS0").orderBy("submission_sequence").collect()]
+    assert rows == [
+        {"AU": "Unit One", "SASID2": "123", "submission_sequence": 0, "is_excluded": 0, "SASID": "123", "q1": "Often", "Two": "abc",
+         "q3": "02/03/2016", "q4": "1", "SASID_2": None},
+        {"AU": "Unit One", "SASID2": "456", "submission_sequence": 5, "is_excluded": 1, "SASID": "456", "q1": None, "Two": None,
+         "q3": None, "q4": None, "SASID_2": None}]
+    assert raw_data_by_record_set(more, "U2", "RS0").count() == 0
+
+
+def test_compliance_attributes_note_is_last(spark, t):
+    more = dict(t)
+    more["mon_submission_area"] = spark.createDataFrame([("AR", "Area", "C1", "ST1", 7)], TABLES["mon_submission_area"])
+    got = sorted((r.sequence, r.attribute_id, r.section, r.section_sequence, r.is_note) for r in compliance_formlet_attributes(more, "T1").collect())
+    assert got == [(1, "I1", "Area", 7, 0), (2, "I2", "Area", 7, 0), (3, "I3", "Area", 7, 0), (4, "I4", "Area", 7, 1)]
+
+
+def test_columns_fan_out_by_property_and_submission_item(spark, t):
+    more = dict(t)
+    more["form_template_control_property"] = spark.createDataFrame(
+        [("C2", "Level", "1"), ("C2", "Style", "sparse"), ("C2", "Style", "x"), ("C2", "Hint", "y")], TABLES["form_template_control_property"])
+    more["mon_submission_item"] = spark.createDataFrame([("M1", "AR", "one", "I1", 1)], TABLES["mon_submission_item"])
+    got = sorted((r.attribute_id, r.control_property) for r in formlet_columns(more).collect())
+    assert got == sorted((i, p) for i in ("I1", "I2", "I3", "I4") for p in ("Style", "Hint"))
