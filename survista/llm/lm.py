@@ -124,6 +124,16 @@ def _shards(keys: np.ndarray, bits: int, order: int):
     return [(int(shard[a]), int(a), int(z)) for a, z in zip(cuts, [*cuts[1:], len(shard)], strict=True)]
 
 
+def _narrow(counts: np.ndarray) -> bytes:
+    """Counts in 32 bits each, or 64 where one needs them; the first byte tells."""
+    wide = len(counts) and int(counts.max()) >= 1 << 32
+    return b"\x08" + counts.astype("<i8").tobytes() if wide else b"\x04" + counts.astype("<u4").tobytes()
+
+
+def _widened(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "<i8" if data[0] == 8 else "<u4", -1, 1).astype(np.int64)
+
+
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     k, c = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
     order = np.argsort(k, kind="stable")
@@ -236,7 +246,7 @@ def count_words(chunks: DataFrame, shard_bits: int, hashes: int, base: float) ->
         keys, counts = _arrays(rows, 1)
         known, total = _summed(keys, counts)
         f = LogFrequencyBloom.of(known[total > 0], total[total > 0], hashes, base)
-        out = pd.DataFrame({"chunk": rows["chunk"].astype("Int64").to_numpy(), "shard": key[0], "counts": [total[np.searchsorted(known, k)].tobytes() for k in keys]})
+        out = pd.DataFrame({"chunk": rows["chunk"].astype("Int64").to_numpy(), "shard": key[0], "counts": [_narrow(total[np.searchsorted(known, k)]) for k in keys]})
         whole = pd.DataFrame({"chunk": [None], "shard": [key[0]], "total": [int(total.sum())], "distinct": [int((total > 0).sum())], "size": [f.size], "bits": [f.bits.tobytes()]})
         for c in ("total", "distinct", "size"):
             out[c] = 0
@@ -338,16 +348,16 @@ def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: st
                 out[a:z] = LogFrequencyBloom(np.frombuffer(bits.value, np.uint8), size, hashes, base).lookup(keys[a:z])
         return out
 
-    def joined(rows: pd.DataFrame, kind: int, dtype) -> np.ndarray:
+    def joined(rows: pd.DataFrame, kind: int) -> np.ndarray:
         parts = rows[rows["order"] == kind].sort_values("shard")["levels"]
-        return np.concatenate([np.frombuffer(x, dtype) for x in parts]) if len(parts) else np.zeros(0, dtype)
+        return np.concatenate([np.frombuffer(x, np.uint8) if kind else _widened(x) for x in parts]) if len(parts) else np.zeros(0, np.uint8)
 
     def finish(key: tuple, rows: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
         r = rows.iloc[0].to_dict()
         c = _Chunk(r)
         pair_keys_, pair_at = c.pairs()
-        words, pair_levels = (probe(c.keys, 1), probe(pair_keys_, 2)) if small else (joined(back, 1, np.uint8), joined(back, 2, np.uint8))
-        known, plain, smooth = _score_chunk(c, joined(back, 0, np.int64), words, pair_levels, pair_at, end_level, n, v, base, strength)
+        words, pair_levels = (probe(c.keys, 1), probe(pair_keys_, 2)) if small else (joined(back, 1), joined(back, 2))
+        known, plain, smooth = _score_chunk(c, joined(back, 0), words, pair_levels, pair_at, end_level, n, v, base, strength)
         return pd.DataFrame({"id": pd.array(r["ids"], dtype=pd_kind), "n_tokens": c.lengths, "n_known": known, "train_tokens": n, "base_score": plain, "score": smooth})
 
     pd_kind = "Int64" if kind in ("bigint", "int") else object
