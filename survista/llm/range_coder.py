@@ -26,24 +26,26 @@ class _Model:
     """What lanes share. ``learn`` is given the ids of some steps, flat, with the contexts they were coded in."""
 
     def __init__(self, ids: int):
-        self.follow2 = np.zeros(1 << _HASH_BITS, np.int64)  # id << 3 | confidence
-        self.follow1 = np.zeros(ids, np.int64)
+        self.follow2 = np.zeros(1 << _HASH_BITS, np.int32)  # id << 3 | confidence
+        self.follow1 = np.zeros(ids, np.int32)
         self.counts = np.ones(ids, np.int64)
-        self.cum = np.arange(ids + 1, dtype=np.int64)
+        self.sums = np.full((ids + 256) // 256 * 256 + 256, 1 << 62)  # running counts, padded for find
+        self.cum = self.sums[:ids + 1]
+        self.cum[:] = np.arange(ids + 1)
         self.seen = np.ones((128, 3), np.int64)
         self.weights = np.array([1365, 1365, 1366])
         self._mix()
 
     @staticmethod
     def hashed(a, b):
-        return ((a * 2654435761 + b * 40503 + (b >> 3)) & 0xFFFFFFFF) >> (32 - _HASH_BITS)
+        return (a.view(np.uint32) * np.uint32(2654435761) + b.view(np.uint32) * np.uint32(0x9E3779B1 + 40504)) >> np.uint32(32 - _HASH_BITS)
 
     def predict(self, a, b):
-        """Ids of orders 2 and 1, the row of the choice's chances, and the place in follow2."""
+        """What follows by orders 2 and 1 (id and confidence), the row of the choice's chances, and the place in follow2.
+        a, b: the ids before, 32-bit."""
         h = self.hashed(a, b)
-        two, one = self.follow2[h], self.follow1[b]
-        p2, p1 = two >> 3, one >> 3
-        return p2, p1, (((two & 7) << 3 | (one & 7)) << 1) | (p2 == p1), h
+        two, one = self.follow2.take(h), self.follow1.take(b)
+        return two, one, ((two & 7) << 4) | ((one & 7) << 1) | (two >> 3 == one >> 3), h
 
     def _mix(self):
         """Chances out of 4096 for each row, and their running sums."""
@@ -57,12 +59,11 @@ class _Model:
         self.freq = freq.astype(np.uint64)
         self.start = np.concatenate([np.zeros((128, 1), np.uint64), np.cumsum(self.freq, axis=1)], axis=1)
 
-    def learn(self, x, choice, p2, p1, row, h, b):
-        two, one = self.follow2[h], self.follow1[b]
+    def learn(self, x, choice, two, one, row, h, b):
         for table, at, entry in ((self.follow2, h, two), (self.follow1, b, one)):
-            conf, hit = entry & 7, entry >> 3 == x
-            keep = hit | (conf > 1)
-            table[at] = np.where(keep, entry >> 3, x) << 3 | np.where(hit, np.minimum(conf + 1, 7), conf >> 1)
+            conf, known = entry & 7, entry >> 3
+            hit = known == x
+            table[at] = np.where(hit, entry + (conf < 7), np.where(conf > 1, entry - conf + (conf >> 1), x << 3))
         got = np.bincount(row * 3 + choice, minlength=384).reshape(128, 3)
         weighed = self.weights[:, None, None] * self.parts
         share = (got * ((weighed << 12) // weighed.sum(axis=0))).sum(axis=(1, 2))
@@ -78,6 +79,14 @@ class _Model:
                 self.counts = (self.counts >> 1) + 1
             np.cumsum(self.counts, out=self.cum[1:])
 
+    def find(self, v):
+        """Ids whose range of running counts holds v: by every 256th count, then by halves."""
+        y = (np.searchsorted(self.sums[::256], v, side="right") - 1) << 8
+        for half in (128, 64, 32, 16, 8, 4, 2, 1):
+            z = y | half
+            y += (self.sums.take(z) <= v) * half
+        return y
+
 
 def _learns(t: int) -> bool:
     """Whether the model learns after step t: often at first, then every eighth step."""
@@ -112,7 +121,7 @@ def encode(ids: np.ndarray) -> bytes:
     n = len(ids)
     size = int(ids.max()) + 1 if n else 1
     lanes, steps = _lanes(n)
-    grid = np.zeros(lanes * steps, np.int64)
+    grid = np.zeros(lanes * steps, np.int32)
     grid[:n] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
     model = _Model(size)
@@ -130,10 +139,10 @@ def encode(ids: np.ndarray) -> bytes:
         while not _learns(z) and z < steps - 1:
             z += 1
         x = grid[t:z + 1]
-        b = grid[t - 1:z] if t else np.concatenate([np.zeros((1, lanes), np.int64), grid[:z]])
-        a = grid[t - 2:z - 1] if t > 1 else np.concatenate([np.zeros((2, lanes), np.int64), grid])[t:z + 1]
-        p2, p1, row, h = model.predict(a, b)
-        choice = np.where(x == p2, 0, np.where(x == p1, 1, 2))
+        b = grid[t - 1:z] if t else np.concatenate([np.zeros((1, lanes), np.int32), grid[:z]])
+        a = grid[t - 2:z - 1] if t > 1 else np.concatenate([np.zeros((2, lanes), np.int32), grid[:z]])[t:z + 1]
+        two, one, row, h = model.predict(np.ascontiguousarray(a), np.ascontiguousarray(b))
+        choice = np.where(x == two >> 3, 0, np.where(x == one >> 3, 1, 2))
         start, freq = model.start[row, choice], model.freq[row, choice]
         literal = choice == 2
         s0 = np.where(literal, model.cum[x], 0).astype(np.uint64)
@@ -144,7 +153,7 @@ def encode(ids: np.ndarray) -> bytes:
             emit(*_shift(low, rng))
             _narrow(low, rng, s0[i], f0[i], rng // total[i])
             emit(*_shift(low, rng))
-        model.learn(x.ravel(), choice.ravel(), p2.ravel(), p1.ravel(), row.ravel(), h.ravel(), b.ravel())
+        model.learn(x.ravel(), choice.ravel(), two.ravel(), one.ravel(), row.ravel(), h.ravel(), b.ravel())
         t = z + 1
     lane = np.arange(lanes)
     for word in (low >> _S32, low & _LOW32):
@@ -169,7 +178,7 @@ def decode(block: bytes) -> np.ndarray:
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     code = words[at] << _S32 | words[at + 1]
     at += 2
-    grid = np.zeros((steps + 2, lanes), np.int64)
+    grid = np.zeros((steps + 2, lanes), np.int32)
 
     def pull(small, top):
         if top is not None:
@@ -179,26 +188,26 @@ def decode(block: bytes) -> np.ndarray:
     held: list = []
     for t in range(steps if n else 0):
         a, b = grid[t], grid[t + 1]
-        p2, p1, row, h = model.predict(a, b)
+        two, one, row, h = model.predict(a, b)
         unit = rng >> _S12
         v = np.minimum((code - low) // unit, _U(4095))
         bound = model.start[row]
         choice = (v >= bound[:, 1]).astype(np.int64) + (v >= bound[:, 2])
         _narrow(low, rng, model.start[row, choice], model.freq[row, choice], unit)
         pull(*_shift(low, rng))
-        x = np.where(choice == 0, p2, p1)
+        x = np.where(choice == 0, two, one) >> 3
         lit = np.flatnonzero(choice == 2)
         if len(lit):
             total = _U(int(model.cum[-1]))
-            lo, r = low[lit], rng[lit]
-            unit = r // total
+            lo = low[lit]
+            unit = rng[lit] // total
             v = np.minimum((code[lit] - lo) // unit, total - _U(1)).astype(np.int64)
-            y = np.searchsorted(model.cum, v, side="right") - 1
+            y = model.find(v)
             x[lit] = y
             low[lit], rng[lit] = lo + unit * model.cum[y].astype(np.uint64), unit * model.counts[y].astype(np.uint64)
             pull(*_shift(low, rng))
         grid[t + 2] = x
-        held.append((x, choice, p2, p1, row, h, b))
+        held.append((x, choice, two, one, row, h, b))
         if _learns(t):
             model.learn(*(np.concatenate(c) for c in zip(*held, strict=True)))
             held = []

@@ -35,7 +35,7 @@ class Encoder(dict):
     Strings of special tokens in a text are ordinary text.
     """
 
-    def __init__(self, path: str, byte_level: bool, room: int = 600_000):
+    def __init__(self, path: str, byte_level: bool, room: int = 900_000):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
