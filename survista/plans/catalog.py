@@ -598,49 +598,6 @@ def record_matrix_q(spark, sf):
 QUERIES["record_matrix"] = record_matrix_q
 
 
-# -- gaps shown (RP20, RP21: JN13, JN14, RS8, RS6) ----------------------------------
-from . import gifted as GIF  # noqa: E402
-
-MODE_CODES = ["1", "2", "3", "4", "5"]
-_GIF = S.with_base("""sub AS (SELECT au, roster_year, substr(priority, 1, 1) AS mode, order_date FROM inst
-                                WHERE language = 'F')""",
-                   """sk AS (SELECT a.au, y.roster_year, m.mode FROM (SELECT DISTINCT r_name AS au FROM region) a,
-                                (SELECT DISTINCT roster_year FROM inst) y,
-                                (SELECT DISTINCT substr(priority, 1, 1) AS mode FROM inst) m)""",
-                   """f AS (SELECT au, roster_year, mode, max(strftime(order_date, '%m/%d/%Y')) AS submitted,
-                                 count(*) AS n FROM sub GROUP BY au, roster_year, mode)""",
-                   """dn AS (SELECT sk.*, f.submitted, coalesce(f.n, 0) AS n FROM sk LEFT JOIN f
-                                ON sk.au = f.au AND sk.roster_year = f.roster_year AND sk.mode = f.mode)""",
-                   """lg AS (SELECT au, roster_year, mode, 'Submitted' AS column_label, submitted AS value FROM dn
-                             UNION ALL SELECT au, roster_year, mode, 'Count', CAST(n AS VARCHAR) FROM dn)""")
-
-
-def _gifted_long(spark, sf):
-    t = _t(spark, sf, *ORDER_TABLES)
-    inst = proxy.instances(t)
-    subs = inst.filter(F.col("language") == "F").select(
-        "au", "roster_year", F.substring("priority", 1, 1).alias("mode"), F.col("order_date").alias("submitted_date"))
-    return GIF.gifted_long(subs, t["region"].select(F.col("r_name").alias("au")),
-                           inst.select("roster_year"), inst.select(F.substring("priority", 1, 1)))
-
-
-@query("densify_gaps", _GIF + "SELECT * FROM lg")
-def densify_gaps(spark, sf):
-    """RP20 (JN13, JN14, RS8): org x year x mode skeleton with facts, long form."""
-    return _gifted_long(spark, sf)
-
-
-_WIDE_COLS = ", ".join(
-    f"coalesce(max(CASE WHEN mode = '{m}' AND column_label = '{lab}' THEN value END), '') AS m{m}_{lab.lower()}"
-    for m in MODE_CODES for lab in ("Submitted", "Count"))
-
-
-@query("wide_crosstab_blank_default", _GIF + f"SELECT au, roster_year, {_WIDE_COLS} FROM lg GROUP BY au, roster_year")
-def wide_crosstab_blank_default(spark, sf):
-    """RP21 (RS6): the same as one wide row per org x year, '' for gaps."""
-    return GIF.gifted_wide(_gifted_long(spark, sf), MODE_CODES, names=[f"m{m}" for m in MODE_CODES])
-
-
 # -- text, years, predicates, pickers (SF*, SO4, FI*, JN10-JN12, WN7, PJ2, PJ4, PQ1) ---------
 from ..functions import KEEP, clean_text, map_values, merge_buckets, optional_eq, roster_year_label  # noqa: E402
 from ..operators import filters as FI  # noqa: E402
@@ -739,15 +696,6 @@ def optional_filter(spark, sf):
     return m.groupBy("au").agg(F.count(F.lit(1)).alias("n"), F.sum("likert_score").cast("long").alias("score"))
 
 
-@query("cascading_picker", S.with_base() + """
-    SELECT DISTINCT district, school FROM inst WHERE au = 'AMERICA' AND roster_year = 1998""")
-def cascading_picker(spark, sf):
-    """PQ1 (AG16): the next picker's choices given the chosen AU and year."""
-    inst = proxy.instances(_t(spark, sf, *ORDER_TABLES))
-    return inst.filter((F.col("au") == "AMERICA") & (F.col("roster_year") == 1998)).select(
-        "district", "school").distinct()
-
-
 @query("both_ends_pick", _FM + """,
     x AS (SELECT au, question, sum(likert_score) / NULLIF(count(likert_score), 0) AS likert FROM fmu GROUP BY au, question),
     r AS (SELECT *, row_number() OVER (PARTITION BY au ORDER BY likert DESC NULLS LAST, question NULLS FIRST) AS sequence,
@@ -781,3 +729,8 @@ from . import native_queries  # noqa: E402
 
 QUERIES.update(native_queries.QUERIES)
 ORACLE.update(native_queries.ORACLE)
+
+from . import scoped_queries  # noqa: E402
+
+QUERIES.update(scoped_queries.QUERIES)
+ORACLE.update(scoped_queries.ORACLE)

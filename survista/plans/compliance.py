@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import eq_null_sentinel, ratio_half_up
+from ..operators.filters import restrict_to_user
 from ..operators.hierarchy import item_pct_of_sample, rollup_by
 from ..operators.joins import not_in
 from ..operators.measures import nonzero_mean, pct_met, yes_rate
@@ -26,6 +27,16 @@ MET, NOT_MET, NOT_APPLICABLE = "Met", "Not Met", "Not Applicable"
 YES, NO = "Yes", "No"
 
 
+def in_scope(detail: DataFrame, grants: DataFrame | None = None, user_id: str | None = None, roster_year=None) -> DataFrame:
+    """The detail rows a report shows: of organisations granted to the user,
+    of the roster year, and of records that are not excluded (where ``detail``
+    has ``excluded``)."""
+    d = detail.filter(~F.col("excluded")) if "excluded" in detail.columns else detail
+    if grants is not None and user_id is not None:
+        d = restrict_to_user(d, grants, user_id)
+    return d if roster_year is None else d.filter(F.col("roster_year") == F.lit(roster_year))
+
+
 def compliance_attributes(statements: DataFrame) -> DataFrame:
     """PL4 tail: statement metadata with ``is_note`` = last statement of its
     section (by sequence, then id)."""
@@ -56,12 +67,13 @@ def compliance_2b(detail: DataFrame, attrs: DataFrame, search_key: str | None =
         "instance_id", "section", "sequence", "attribute_id", "value", "note")
 
 
-def compliance_3(detail: DataFrame, attrs: DataFrame) -> DataFrame:
-    """RP3: percent Met of (Met + Not Met) per AU x section; a section with no
+def compliance_3(detail: DataFrame, attrs: DataFrame, by: Sequence[str] = ("au",)) -> DataFrame:
+    """RP3: percent Met of (Met + Not Met) per AU (and type of review, by
+    ``by``) x section; a section with no
     'Met' gives NULL (not 0)."""
     d = detail.join(attrs, "attribute_id")
     v = F.col("value")
-    return d.groupBy("au", "section_sequence", "section").agg(
+    return d.groupBy(*by, "section_sequence", "section").agg(
         pct_met(v == MET, v.isin(MET, NOT_MET)).alias("pct"))
 
 
@@ -151,3 +163,15 @@ def compliance_8_section(detail: DataFrame, attrs: DataFrame, section_lists: Seq
     ranked = top_bottom(state, "part", "item_pct", n, tie=["attribute_id"], rank="sequence")
     return ranked.select("part", "position", F.col("sequence").cast("int").alias("sequence"), "attribute_id",
                          "yes_count", "n_size", "item_pct")
+
+
+def section_totals(attrs: DataFrame) -> DataFrame:
+    """AG22: statements of each section."""
+    return attrs.groupBy("section_id", "section", "section_sequence").agg(F.count(F.lit(1)).alias("total"))
+
+
+def instance_counts(detail: DataFrame, attrs: DataFrame) -> DataFrame:
+    """AG23: per AU and instance the yes answers and the largest section's
+    number of statements."""
+    d = _yes_no(detail.join(attrs, "attribute_id")).join(section_totals(attrs).select("section_id", "total"), "section_id", "left")
+    return d.groupBy("au", "instance_id").agg(F.sum("yes").cast("long").alias("yes_count"), F.max("total").alias("section_count"))

@@ -1,45 +1,75 @@
 """Submission tracking with gaps shown (RP20 long form, RP21 wide form).
 
-Facts are aggregated to (org x year x mode) first; the skeleton of every
-org x year x mode comes from the dimension values (see ``operators.densify``)
-and the facts are left-joined onto it, so combinations without submissions
-still appear.
+Facts are aggregated or keyed to (org x year x mode) first; the skeleton of
+every org x year x mode comes from the dimension values (see
+``operators.densify``) and the facts are left-joined onto it, so combinations
+without submissions still appear.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import us_date
+from ..functions import KEEP, any_of, contains_ci, map_values, us_date
 from ..operators.densify import densify, skeleton
-from ..operators.reshape import unpivot_facts, wide_crosstab
+from ..operators.filters import drop_in, restrict_to_user
+from ..operators.reshape import wide_crosstab
+from ..operators.tree import sequence_by_expr
 
-SUBMITTED, COUNT = "Submitted", "Count"
+# The first attribute of the report and its label.
+SUBMISSION_DATE, DATE_LABEL = "SubmissionDate", "Date of Submission"
 
 
-def gifted_long(submissions: DataFrame, orgs: DataFrame, years: DataFrame | Sequence, modes: DataFrame | Sequence,
-                org: str = "au", year: str = "roster_year", mode: str = "mode", date: str = "submitted_date") -> DataFrame:
-    """Per org x year x mode: last submit date (MM/dd/yyyy text, max taken
-    on the text as the source does) and the number of submissions, as
-    (column_label, value) rows; missing combinations show NULL / '0'."""
-    facts = submissions.groupBy(org, year, mode).agg(
-        F.max(us_date(date)).alias("submitted"), F.count(F.lit(1)).alias("n"))
-    skel = skeleton(orgs.select(org).distinct(), {year: years, mode: modes})
-    dense = densify(skel, facts, [org, year, mode], fill={"n": 0})
-    return unpivot_facts(dense, [org, year, mode], {SUBMITTED: F.col("submitted"), COUNT: F.col("n")},
-                         label="column_label", value="value")
+def mode_sequence(modes: DataFrame, mode: str = "mode", rename: Mapping[str, str] | None = None,
+                  exclude: Sequence[str] = ()) -> DataFrame:
+    """Modes shown (FI2) with their number by name, some renamed for the order
+    only (WN8). One row per mode of the form definition."""
+    shown = drop_in(modes.select(mode).distinct(), mode, list(exclude)) if exclude else modes.select(mode).distinct()
+    return sequence_by_expr(shown, [map_values(mode, rename or {}, KEEP)], "mode_sequence")
 
 
-def gifted_wide(long: DataFrame, modes: Sequence[str], org: str = "au", year: str = "roster_year",
-                mode: str = "mode", names: Sequence[str] | None = None) -> DataFrame:
-    """One row per org x year; a column per (mode, label) with '' for gaps."""
+def help_attributes(attributes: DataFrame, text: str = "assistance", review_mode=None, review_codes: Sequence[str] = ()) -> DataFrame:
+    """Attributes (mode, code, label, item_type) that ask for help (FI9), or
+    are review dates of one mode (FI10)."""
+    cond = contains_ci("label", text)
+    if review_mode is not None:
+        cond = any_of(cond, (F.col("mode") == F.lit(review_mode)) & (F.col("item_type") == "Date") & F.col("code").isin(list(review_codes)))
+    return attributes.filter(cond)
+
+
+def gifted_long(submissions: DataFrame, orgs: DataFrame, years: DataFrame, modes: DataFrame, attributes: DataFrame, answers: DataFrame,
+                grants: DataFrame | None = None, user_id: str | None = None) -> DataFrame:
+    """RP20: per org x year x mode a row with the last submission date (MM/dd/
+    yyyy text, the maximum taken on the text as the source does), then a row
+    per help attribute of the mode and answer; gaps show NULL.
+
+    submissions: org_unit_id, roster_year, mode, started_date. orgs:
+    org_unit_id, au. modes: mode, mode_sequence. attributes: mode, code, label.
+    answers: org_unit_id, roster_year, mode, code, value.
+    """
+    shown = orgs.select("org_unit_id", "au").distinct()
+    if grants is not None and user_id is not None:
+        shown = restrict_to_user(shown, grants, user_id)
+    skel = skeleton(shown, {"roster_year": years, "mode": modes.select("mode")}).join(modes, "mode")
+    dates = submissions.groupBy("org_unit_id", "roster_year", "mode").agg(F.max(us_date("started_date")).alias("value"))
+    keys = ["org_unit_id", "roster_year", "mode"]
+    first = densify(skel, dates, keys).withColumns({
+        "attribute": F.lit(SUBMISSION_DATE), "attribute_sequence": F.lit(0), "input_item_label": F.lit(DATE_LABEL)})
+    asked = skel.join(attributes.select("mode", F.col("code").alias("attribute"), F.col("label").alias("input_item_label")), "mode")
+    more = asked.join(answers.select(*keys, F.col("code").alias("attribute"), "value"), [*keys, "attribute"], "left").withColumn("attribute_sequence", F.lit(1))
+    cols = ["au", "roster_year", "mode", "mode_sequence", "attribute", "attribute_sequence", "input_item_label", "value"]
+    return first.select(*cols).unionByName(more.select(*cols))
+
+
+def gifted_wide(long: DataFrame, modes: Sequence[str], attributes: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
+    """RP21: one row per org x year; for each mode a column with its submission
+    date and one for each help attribute, '' for gaps."""
     names = names or [str(m) for m in modes]
     cols = {}
-    for m, n in zip(modes, names):
-        for lab in (SUBMITTED, COUNT):
-            cols[f"{n}_{lab.lower()}"] = F.when((F.col(mode) == F.lit(m)) & (F.col("column_label") == lab),
-                                                 F.col("value"))
-    return wide_crosstab(long, [org, year], cols, default="")
+    for m, n in zip(modes, names, strict=True):
+        for a in (SUBMISSION_DATE, *attributes):
+            cols[f"{n}_{'submitted' if a == SUBMISSION_DATE else a.lower()}"] = F.when((F.col("mode") == F.lit(m)) & (F.col("attribute") == F.lit(a)), F.col("value"))
+    return wide_crosstab(long, ["au", "roster_year"], cols, default="")

@@ -80,9 +80,7 @@ SELECT i.template_id, location_id, submission_type_id, submission_mode_id, locat
        report_weight, label AS attribute_label
 FROM items i JOIN f ON f.form_template_id = i.template_id""")
 def native_formlet_columns(spark, sf):
-    """PL1 (RS1, JN4, WN1): the form's columns by submission type and mode.
-
-    Its rows are the form definition's: they grow with the forms, not with the answers."""
+    """PL1 (RS1, JN4, WN1): every form's columns by submission type and mode."""
     return V.formlet_columns(_store(spark, sf))
 
 
@@ -130,10 +128,8 @@ SELECT template_id, section_id, section, section_sequence, attribute_id, attribu
        label AS statement, code, report_label
 FROM d""")
 def native_compliance_attributes(spark, sf):
-    """PL4 (JN7, WN1, WN2): checklist statements with section and note flag.
-
-    Its rows are the form definition's: they grow with the forms, not with the answers."""
-    return V.compliance_formlet_attributes(_store(spark, sf), "T1")
+    """PL4 (JN7, WN1, WN2): every form's statements with section and note flag."""
+    return V.compliance_formlet_attributes(_store(spark, sf), None)
 
 
 _ITEM_CELLS = [(1, "One", "text"), (2, "Q2", "text"), (3, "Q3", "option_label"), (4, "Q4", "option_label"), (5, "SASID_2", "strftime(date_value, '%m/%d/%Y')"),

@@ -69,12 +69,27 @@ def pso_rollup(record_kav: DataFrame, answers: DataFrame, question_id, district_
     return out.select(*cols)
 
 
+def pso_report(code: str, record_kav: DataFrame, answers: DataFrame, attributes: Mapping[str, str], lookups: Mapping[str, DataFrame], **kw) -> DataFrame:
+    """RP8-RP12 (AG18, FI14): the outcome rollup by the dimension of ``code``
+    (D, E, G or R). Exit reasons keep unknown codes; disability and gender give
+    NULL for them; race shows its raw code, as the source does."""
+    if code not in DIMENSIONS:
+        raise ValueError(f"unknown dimension code {code!r}; expected one of {sorted(DIMENSIONS)}")
+    lookup = None if code == "R" else lookups.get(code)
+    return pso_rollup(record_kav, answers, dimension_attr=attributes[code], lookup=lookup, fallback=code == "E", **kw)
+
+
 def record_matrix(record_kav: DataFrame, attributes: Mapping[str, str] | None = None,
-                  order: str = "instance_id") -> DataFrame:
+                  order: str = "instance_id", grants: DataFrame | None = None, user_id: str | None = None,
+                  roster_year=None) -> DataFrame:
     """RP13: record attributes as a matrix, one row per AU x attribute with
     the first value (deterministically: of the smallest ``order`` key) and
-    the number of records."""
+    the number of records, of the user's organisations and the year."""
     rk = record_kav if attributes is None else record_kav.filter(F.col("attribute_id").isin(list(attributes)))
+    if grants is not None and user_id is not None:
+        rk = restrict_to_user(rk, grants, user_id)
+    if roster_year is not None:
+        rk = rk.filter(F.col("roster_year") == F.lit(roster_year))
     return rk.groupBy("au", "attribute_id").agg(
         first_ordered("value", order).alias("first_value"),
         F.count(F.lit(1)).alias("n_records"))

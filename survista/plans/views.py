@@ -168,11 +168,11 @@ def formlet_kav(t: dict[str, DataFrame], template_ids=None) -> DataFrame:
     return emit_scores(kav, value_text=float_text).drop("value_sequence")
 
 
-def compliance_formlet_attributes(t: dict[str, DataFrame], template_id: str) -> DataFrame:
-    """PL4: the checklist's statements with their section (the submission area
+def compliance_formlet_attributes(t: dict[str, DataFrame], template_id: str | None) -> DataFrame:
+    """PL4: the statements of a checklist (of every form when None) with their section (the submission area
     of the parent control), their number in the template, and the note flag on
     the last statement of each section."""
-    items = _input_items(t, [template_id]).drop("control_property", "control_property_value", "mii_label", "mii_sequence").distinct()
+    items = _input_items(t, template_id and [template_id]).drop("control_property", "control_property_value", "mii_label", "mii_sequence").distinct()
     parent = _a(t["form_template_layout"], "p_", ["id", "control_id"])
     area = _a(t["mon_submission_area"], "ar_", ["id", "label", "sequence", "form_template_control_id"])
     d = (items.join(parent, F.col("p_id") == F.col("layout_parent_id"))

@@ -10,7 +10,8 @@ decoding, walking and pivoting them is the views' work.
   region 3 in mode 5 are deleted, those of region 2 in mode 4 are checks
 * record = order; excluded where the order status is P
 * form instance = order; answer = lineitem (item = line number)
-* layout = root > three sections > one area each; items 1-7 with types
+* layout = root > three sections > one area each; items 1-8 with types; and a
+  register form for each region with an item at each customer
 """
 
 from __future__ import annotations
@@ -43,6 +44,24 @@ _WEIGHT = {3: 2.0, 4: 1.5}
 _RECORD_ATTRIBUTES = [("SASID", "CAST(o_orderkey AS STRING)"), ("District", "n_name"), ("School", "c_mktsegment"),
                       ("Disability", "substr(o_orderpriority, 1, 1)"), ("Year", "CAST(year(o_orderdate) AS STRING)")]
 
+#: A further form for each region: its layout is region > nations > customers, with an item at each customer. Its
+#: rows follow the columns of the tables below.
+_FORMS = {
+    "mon_submission_type": "SELECT 'STR' || CAST(r_regionkey AS STRING), 'Register', 'L1', 'TR' || CAST(r_regionkey AS STRING) FROM {region}",
+    "mon_submission_mode": "SELECT 'MR' || CAST(r_regionkey AS STRING), 'Register mode', 'STR' || CAST(r_regionkey AS STRING) FROM {region}",
+    "form_template": "SELECT 'TR' || CAST(r_regionkey AS STRING), 'Register ' || r_name FROM {region}",
+    "form_template_layout":
+        "SELECT 'LR' || CAST(r_regionkey AS STRING), 'TR' || CAST(r_regionkey AS STRING), 'R' || CAST(r_regionkey AS STRING), NULL, CAST(r_regionkey AS INT) FROM {region} "
+        "UNION ALL SELECT 'LN' || CAST(n_nationkey AS STRING), 'TR' || CAST(n_regionkey AS STRING), 'N' || CAST(n_nationkey AS STRING), 'LR' || CAST(n_regionkey AS STRING), "
+        "CAST(n_nationkey AS INT) FROM {nation} "
+        "UNION ALL SELECT 'LC' || CAST(c_custkey AS STRING), 'TR' || CAST(n_regionkey AS STRING), 'C' || CAST(c_custkey AS STRING), 'LN' || CAST(n_nationkey AS STRING), "
+        "CAST(c_custkey % 50 AS INT) FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey",
+    "form_template_control": "SELECT 'C' || CAST(c_custkey AS STRING), 'CT1', false FROM {customer}",
+    "form_template_input_item": "SELECT 'IC' || CAST(c_custkey AS STRING), 'C' || CAST(c_custkey AS STRING), 'TYText', CAST(c_custkey % 7 AS INT), 'C' || CAST(c_custkey AS STRING), "
+                                "c_name, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END, NULL FROM {customer}",
+    "mon_submission_area": "SELECT 'ARN' || CAST(n_nationkey AS STRING), n_name, 'N' || CAST(n_nationkey AS STRING), 'STR' || CAST(n_regionkey AS STRING), CAST(n_nationkey AS INT) FROM {nation}",
+}
+
 #: SELECT of each native table; {name} stands for a test table.
 STORE: dict[str, str] = {
     "org_unit": "SELECT 'OU' || CAST(r_regionkey AS STRING) AS id, r_name AS name, "
@@ -98,6 +117,8 @@ STORE: dict[str, str] = {
                                  "id, submission_area_id, label, form_template_input_item_id, sequence"),
 }
 
+STORE.update({name: f"{STORE[name]} UNION ALL {text}" for name, text in _FORMS.items()})
+
 
 def store(spark: SparkSession, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The native tables over the test tables ``t``, in the declared schemas."""

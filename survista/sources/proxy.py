@@ -127,8 +127,10 @@ def checklist_detail(t: dict[str, DataFrame]) -> DataFrame:
     """Answer detail rows with the org of their instance:
     (instance_id, au, search_key, attribute_id, value, label)."""
     a = answers(t).withColumn("label", F.when(F.col("value") == "Met", "Yes").when(F.col("value") == "Not Met", "No").otherwise("N/A"))
-    inst = instances(t).select("instance_id", "au", F.col("instance_id").cast("string").alias("search_key"))
-    return a.join(inst, "instance_id").select("instance_id", "au", "search_key", "attribute_id", "value", "label")
+    inst = instances(t).select("instance_id", "au", "org_unit_id", "roster_year", (F.col("language") == "P").alias("excluded"),
+                               F.col("instance_id").cast("string").alias("search_key"))
+    return a.join(inst, "instance_id").select("instance_id", "au", "org_unit_id", "roster_year", "excluded", "search_key",
+                                              "attribute_id", "value", "label")
 
 
 def layout_nodes(t: dict[str, DataFrame]) -> DataFrame:
