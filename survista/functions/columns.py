@@ -68,15 +68,6 @@ def flag_text(c: ColumnOrName) -> Column:
     return col(c).cast("int").cast("string")
 
 
-def pct_text(c: ColumnOrName) -> Column:
-    """Truncating int cast then '%': 66.67 -> '66%'."""
-    return F.concat(col(c).cast("int").cast("string"), F.lit("%"))
-
-
-def money(c: ColumnOrName) -> Column:
-    return col(c).cast("decimal(19,4)")
-
-
 def money_text(c: ColumnOrName) -> Column:
     """money -> varchar prints two decimals."""
     return col(c).cast("decimal(19,2)").cast("string")
@@ -150,15 +141,6 @@ def any_of(*conds: Column) -> Column:
     return reduce(lambda a, b: a | b, conds)
 
 
-def all_of(*conds: Column) -> Column:
-    return reduce(lambda a, b: a & b, conds)
-
-
-def eq_ci(c: ColumnOrName, value: str) -> Column:
-    """Case-insensitive equality (S1)."""
-    return F.lower(col(c)) == F.lit(value.lower())
-
-
 # -- value mapping (PJ2, PJ4) ------------------------------------------------------
 def map_values(c: ColumnOrName, mapping: Mapping, default=None) -> Column:
     """Simple CASE: ``case c when k1 then v1 ... else default end``."""
@@ -190,21 +172,6 @@ def nulls_last(c: ColumnOrName, desc: bool = False) -> Column:
     return col(c).desc_nulls_last() if desc else col(c).asc_nulls_last()
 
 
-def grouping_bit(c: ColumnOrName) -> Column:
-    """grouping() as int (Spark returns tinyint)."""
-    return F.grouping(col(c)).cast("int")
-
-
-def zero_bit() -> Column:
-    """``grouping(x)`` on a plain GROUP BY key: always 0 (S11)."""
-    return F.lit(0).cast("int")
-
-
-def subtotal_label(c: ColumnOrName, label: str) -> Column:
-    """``case when grouping(c) = 0 then c else label end``."""
-    return F.when(F.grouping(col(c)) == 0, col(c)).otherwise(F.lit(label))
-
-
 def round_dec(c: ColumnOrName, scale: int = 2, precision: int = 38) -> Column:
     """``round(x, scale)`` of a double as an exact decimal: first to 10
     digits (absorbs binary noise), then HALF_UP to ``scale``."""

@@ -5,16 +5,11 @@ from .eav import (attach_typed_values, decode_value, emit_scores, pivot_attribut
                   pivot_from_metadata, safe_names)
 from .filters import (active, branch_if, drop_in, keep_in, keep_levels, left_join_active,  # noqa: F401
                       optional_filter, restrict_to_user, years_in_window)
-from .hierarchy import (item_pct_of_sample, mean_at_level, mean_of_means, rollup_by,  # noqa: F401
-                        rollup_by_dimension, rollup_regroup)
-from .joins import (anti, decode, drop_all_null, having_rows, join_inner, join_left,  # noqa: F401
-                    join_left_residual, join_left_where, keep_answered, not_in, semi, with_group_total)
-from .measures import (aggregate, any_match, count_where, dedupe, distinct_list, distinct_n,  # noqa: F401
-                       first_ordered, having, indicator_sums, matrix_sum, mean_double, met_pct,
-                       nonzero_mean, pct_gt_all, pct_gt_answered, pct_met, sum_where, threshold_flag,
-                       yes_rate)
-from .ranking import (both_ends, first_row, place_at, rank_global, roster_years,  # noqa: F401
-                      sort_totals_last, top_bottom, top_bottom_join, top_n)
-from .reshape import (borrow_rows, crosstab, pivot_agg, pivot_max, pivot_mean, stack_parts,  # noqa: F401
-                      union_sections, unpivot_facts, wide_crosstab)
+from .hierarchy import item_pct_of_sample, rollup_by, rollup_regroup  # noqa: F401
+from .joins import (decode, drop_all_null, having_rows, join_left_residual, keep_answered, not_in)  # noqa: F401
+from .measures import (any_match, count_where, dedupe, first_ordered, nonzero_mean, pct_gt_all, pct_met,  # noqa: F401
+                       threshold_flag, yes_rate)
+from .ranking import (both_ends, first_row, rank_global, roster_years, sort_totals_last, top_bottom,  # noqa: F401
+                      top_bottom_join, top_n)
+from .reshape import borrow_rows, crosstab, union_sections, unpivot_facts, wide_crosstab  # noqa: F401
 from .tree import attach_parent, flag_last, flatten_tree, sequence, sequence_by_expr  # noqa: F401

@@ -73,15 +73,13 @@ def years_in_window(years: DataFrame, as_of, back: int = 2, start: str = "start_
 
 
 def branch_if(df: DataFrame, flag: DataFrame | bool) -> DataFrame:
-    """FI12: keep ``df``'s rows only when a scalar condition holds (a scalar
-    subquery used as a gate). The scalar is resolved once on the driver (one
-    value, like a report parameter), so the plan has no nested-loop join."""
+    """FI12: keep ``df``'s rows only when a scalar condition holds. A one-cell
+    frame is a scalar subquery of the plan (no row or NULL: no rows); one with
+    several rows fails when the query runs."""
     if isinstance(flag, DataFrame):
-        row = flag.select(F.col(flag.columns[0]).cast("boolean")).limit(2).collect()
-        if len(row) > 1:
-            raise ValueError("scalar subquery returned more than one row")
-        flag = bool(row and row[0][0])
-    return df if flag else df.limit(0)
+        cell = flag.select(F.col(flag.columns[0]).cast("boolean").alias("c")).scalar()
+        return df.filter(F.coalesce(cell, F.lit(False)))
+    return df if flag else df.filter(F.lit(False))
 
 
 def keep_levels(df: DataFrame, level: str, bits: Sequence[str]) -> DataFrame:

@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 from ..functions import pct_of, ratio_half_up
 
 
-def _as_list(x) -> list:
-    return [x] if isinstance(x, str) else list(x)
-
-
 def rollup_by(df: DataFrame, hierarchy: Sequence[str], keys: Sequence[str], aggs: Sequence[Column],
               labels: Mapping[str, str] | None = None, bits: Mapping[str, str] | None = None,
               rename: Mapping[str, str] | None = None, levels: int | None = None) -> DataFrame:
@@ -70,26 +66,6 @@ def rollup_regroup(df: DataFrame, hierarchy: Sequence[str], item: str, weight: s
             .groupBy(*cols, weight).agg(*[F.sum(n).alias(n) for n in sums]))
 
 
-def mean_of_means(df: DataFrame, keys: Sequence[str], item: str, measure: str, total_label: str = "Total",
-                  extra_keys: Sequence[str] = ()) -> DataFrame:
-    """AG14: add a ``total_label`` item row per ``keys`` whose measure is the
-    plain average of the item-level measures (not the pooled mean)."""
-    keys = list(keys) + list(extra_keys)
-    totals = df.groupBy(*keys).agg(F.avg(F.col(measure)).alias(measure)).withColumn(item, F.lit(total_label))
-    return df.select(*keys, F.col(item).cast("string").alias(item), measure).unionByName(
-        totals.select(*keys, item, measure))
-
-
-def rollup_by_dimension(df: DataFrame, hierarchy: Sequence[str], dimension: str, dimensions: Mapping[str, str],
-                        aggs: Sequence[Column], out: str = "dimension", **kw) -> DataFrame:
-    """AG18: group by a parameter-chosen column: ``dimension`` is a code
-    (e.g. 'D','E','G','R') picked from ``dimensions`` (code -> column)."""
-    if dimension not in dimensions:
-        raise ValueError(f"unknown dimension code {dimension!r}; expected one of {sorted(dimensions)}")
-    src = df.withColumn(out, F.col(dimensions[dimension]))
-    return rollup_by(src, hierarchy, [out], aggs, **kw)
-
-
 def item_pct_of_sample(detail: DataFrame, org: str, entity: str, item_keys: Sequence[str], yes: str,
                        total_label: str = "State", precision: int = 5, scale: int = 1,
                        total_only: bool = False) -> DataFrame:
@@ -116,16 +92,3 @@ def item_pct_of_sample(detail: DataFrame, org: str, entity: str, item_keys: Sequ
     joined = counts.join(samples, [org, "sort_bit"], "left")
     pct = ratio_half_up("yes_count", "n_size", scale=2, times=100).cast(f"decimal({precision},{scale})")
     return joined.withColumn("item_pct", pct)
-
-
-def mean_at_level(df: DataFrame, levels: Mapping[str, Sequence[str]], level: str, keys: Sequence[str],
-                  aggs: Sequence[Column]) -> DataFrame:
-    """AG28: one aggregate at the chosen organisation level (e.g. 'AU',
-    'District', 'School' -> the grouping columns of that level)."""
-    if level not in levels:
-        raise ValueError(f"unknown level {level!r}; expected one of {sorted(levels)}")
-    return df.groupBy(*levels[level], *keys).agg(*aggs)
-
-
-__all__ = ["rollup_by", "rollup_regroup", "mean_of_means", "rollup_by_dimension", "item_pct_of_sample",
-           "mean_at_level", "pct_of"]

@@ -14,22 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def join_inner(a: DataFrame, b: DataFrame, on) -> DataFrame:
-    """JN1."""
-    return a.join(b, on, "inner")
-
-
-def join_left(a: DataFrame, b: DataFrame, on) -> DataFrame:
-    """JN2."""
-    return a.join(b, on, "left")
-
-
-def join_left_where(a: DataFrame, b: DataFrame, on, cond: Column) -> DataFrame:
-    """JN3: LEFT JOIN with extra ON predicates on the right side only: the
-    right side is pre-filtered so the predicate reaches its scan."""
-    return a.join(b.filter(cond), on, "left")
-
-
 def join_left_residual(a: DataFrame, b: DataFrame, on: Column, residual: Column) -> DataFrame:
     """JN4: equi-join key plus a non-equi residual in the ON clause (may fan out)."""
     return a.join(b, on & residual, "left")
@@ -50,11 +34,6 @@ def decode(df: DataFrame, code_col: str, lookup: DataFrame, out: str, code: str
     return joined.withColumn(out, value).drop("__code", "__name")
 
 
-def semi(df: DataFrame, other: DataFrame, on) -> DataFrame:
-    """JN10: ``IN (subquery)`` / EXISTS."""
-    return df.join(other, on, "left_semi")
-
-
 def not_in(df: DataFrame, other: DataFrame, key: str, other_key: str | None = None) -> DataFrame:
     """JN11: NULL-aware ``key NOT IN (select other_key from other)``.
 
@@ -72,24 +51,6 @@ def not_in(df: DataFrame, other: DataFrame, key: str, other_key: str | None = No
             .filter((n == 0) | ((nulls == 0) & F.col(key).isNotNull())))
 
 
-def anti(df: DataFrame, other: DataFrame, on) -> DataFrame:
-    """JN12 building block: NOT EXISTS (left join + IS NULL)."""
-    return df.join(other, on, "left_anti")
-
-
-def with_group_total(df: DataFrame, entity: Sequence[str] | str, agg: Column, name: str) -> DataFrame:
-    """JN15: attach a per-entity aggregate to every row of the entity.
-
-    Aggregate first (partial aggregation map-side, so a hot entity costs one
-    small partial row per task), then join back on the entity. AQE's skew-join
-    handling splits a hot entity's rows on the big side, which a window over
-    the entity could not do (it puts the whole entity in one task).
-    """
-    keys = [entity] if isinstance(entity, str) else list(entity)
-    totals = df.groupBy(*keys).agg(agg.alias(name))
-    return df.join(totals, keys, "left")
-
-
 def having_rows(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
     """JN16: keep rows whose key occurs in ``other`` (derived-table EXISTS)."""
     return df.join(other.select(*on).distinct(), list(on), "left_semi")

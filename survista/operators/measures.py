@@ -12,35 +12,11 @@ from pyspark.sql import functions as F
 from ..functions import col, ratio_half_up
 
 
-def aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
-    """AG1."""
-    return df.groupBy(*keys).agg(*aggs)
-
-
-def distinct_n(c) -> Column:
-    """AG2: exact ``count(distinct c)`` (never approximate here)."""
-    return F.count_distinct(col(c))
-
-
 def count_where(cond: Column) -> Column:
     """AG3: ``count(case when cond then 1 end)``."""
     return F.count(F.when(cond, F.lit(1)))
 
 
-def sum_where(cond: Column, zero: bool = True) -> Column:
-    """AG4: ``sum(case when cond then 1 [else 0] end)``; without ``zero`` a
-    group with no match sums to NULL (S7)."""
-    ind = F.when(cond, F.lit(1))
-    if zero:
-        ind = ind.otherwise(F.lit(0))
-    return F.sum(ind).cast("long")
-
-
-def indicator_sums(df: DataFrame, keys: Sequence[str], conds: Mapping[str, Column], zero: bool = True) -> DataFrame:
-    """AG4: one indicator sum per named condition."""
-    return df.groupBy(*keys).agg(*[sum_where(c, zero).alias(n) for n, c in conds.items()])
-
-
 def pct_met(met: Column, met_or_not: Column) -> Column:
     """AG5: ``sum(met)/sum(met or not met)*100`` with NULL-preserving sums:
     a group with no 'Met' gives NULL, not 0 (S7); output money (decimal 19,4)."""
@@ -49,37 +25,11 @@ def pct_met(met: Column, met_or_not: Column) -> Column:
     return ratio_half_up(m, d, scale=4, precision=19, times=100)
 
 
-def met_pct(answer: Column, entity: Column) -> Column:
-    """AG6: ``cast(round(sum(answer)*100.0/count(distinct entity), 2) as decimal(5,2))``."""
-    return ratio_half_up(F.sum(answer), F.count_distinct(entity), scale=2, precision=5, times=100)
-
-
-def pct_gt_answered(c, cut: int = 3) -> Column:
-    """AG7: percent of *answered* rows scoring above ``cut`` (blanks are left
-    out of the denominator), as double; NULL when nothing was answered."""
-    return F.try_divide(count_where(col(c) > cut) * F.lit(100.0), F.count(col(c)).cast("double"))
-
-
 def pct_gt_all(c, cut: int = 3) -> Column:
     """AG8: share scoring above ``cut`` counting blanks as 0 (differs from AG7)."""
     return F.avg(F.when(col(c) > cut, F.lit(1)).otherwise(F.lit(0)).cast("double"))
 
 
-def mean_double(c) -> Column:
-    """AG9: ``avg(cast(x as float))``."""
-    return F.avg(col(c).cast("double"))
-
-
-def having(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], cond: Column) -> DataFrame:
-    """AG15: GROUP BY ... HAVING."""
-    return df.groupBy(*keys).agg(*aggs).filter(cond)
-
-
-def distinct_list(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """AG16."""
-    return df.select(*cols).distinct()
-
-
 def dedupe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """AG17: group by every column == distinct."""
     return (df.select(*cols) if cols else df).distinct()
@@ -115,13 +65,3 @@ def first_ordered(c, order) -> Column:
     """AG26: a deterministic 'first' value per group: the value of the row
     with the smallest ``order`` key (``min_by``)."""
     return F.min_by(col(c), col(order))
-
-
-def matrix_sum(df: DataFrame, rows: Sequence[str], column: str, values: Sequence, measures: Mapping[str, Column]) -> DataFrame:
-    """AG27: report-matrix cells: ``sum`` per (row group, column value)."""
-    return df.groupBy(*rows).pivot(column, list(values)).agg(*[m.alias(n) for n, m in measures.items()])
-
-
-def running_count(df: DataFrame, entity: str, name: str) -> DataFrame:
-    """Row count per entity on each row (bounded groups only)."""
-    return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(entity)))

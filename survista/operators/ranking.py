@@ -115,8 +115,3 @@ def roster_years(df: DataFrame, year: str = "start_year", n: int = 3, which: str
     years = df.select(year).distinct()
     picked = years.orderBy(F.col(year).desc() if which == "latest" else F.col(year).asc()).limit(n)
     return picked.orderBy(year)
-
-
-def place_at(df: DataFrame, position: float, name: str = "position") -> DataFrame:
-    """SO5: give rows a synthetic sort position (e.g. 3.5 between 3 and 4, 99 last)."""
-    return df.withColumn(name, F.lit(float(position)))

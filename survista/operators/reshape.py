@@ -12,11 +12,6 @@ from ..functions import col
 
 
 # -- set operations ---------------------------------------------------------------
-def stack_parts(*dfs: DataFrame) -> DataFrame:
-    """ST1: UNION ALL of report parts, matched by column name."""
-    return reduce(lambda a, b: a.unionByName(b), dfs)
-
-
 def borrow_rows(df: DataFrame, cond: Column, overrides: Mapping[str, Column | object]) -> DataFrame:
     """ST2: add a re-labelled copy of the rows matching ``cond`` (a statement
     shown again under another section) to the original rows."""
@@ -37,27 +32,6 @@ def union_sections(df: DataFrame, column: str, specs: Sequence[Sequence]) -> Dat
 
 
 # -- reshapes ---------------------------------------------------------------------
-def pivot_agg(df: DataFrame, keys: Sequence[str], column: str, values: Sequence, agg: Column,
-              names: Sequence[str] | None = None) -> DataFrame:
-    """RS4/RS5/RS9: ``PIVOT`` with an explicit value list (no extra job to
-    discover the values); ``names`` renames the generated columns."""
-    out = df.groupBy(*keys).pivot(column, list(values)).agg(agg)
-    if names:
-        for v, n in zip(values, names):
-            out = out.withColumnRenamed(str(v), n)
-    return out
-
-
-def pivot_mean(df: DataFrame, keys, column, values, measure, names=None) -> DataFrame:
-    """RS4: numeric PIVOT with avg."""
-    return pivot_agg(df, keys, column, values, F.avg(col(measure)), names)
-
-
-def pivot_max(df: DataFrame, keys, column, values, measure, names=None) -> DataFrame:
-    """RS5: PIVOT with max (works on text such as '66%')."""
-    return pivot_agg(df, keys, column, values, F.max(col(measure)), names)
-
-
 def wide_crosstab(df: DataFrame, keys: Sequence[str], columns: Mapping[str, Column], default: str = "") -> DataFrame:
     """RS6: one wide row per key with ``max(case when <cond> then value end)``
     per output column and ``default`` ('' in the source) for empty cells.

@@ -1,4 +1,3 @@
 """Scans, inline code tables, views, sinks and test-table stand-ins."""
 
-from .tables import (code_table, load, register_views,  # noqa: F401
-                     tables_from_frames, write_csv)
+from .tables import (code_table, load, register_views, write_csv)  # noqa: F401

@@ -28,16 +28,6 @@ def load(spark: SparkSession, path: str, fmt: str = "parquet",
     return out
 
 
-def tables_from_frames(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Align in-memory frames (tests) to the declared schemas."""
-    out = {}
-    for name, df in frames.items():
-        schema = TABLES.get(name)
-        out[name] = df if schema is None else df.select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    return out
-
-
 def code_table(spark: SparkSession, rows: Sequence[tuple], cols: str | Sequence[str]) -> DataFrame:
     """SC2: an inline ``VALUES`` list. Its size is fixed by the literal, so it
     is always safe to broadcast and is marked so here."""
