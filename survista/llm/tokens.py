@@ -14,6 +14,9 @@ _CUT = re.compile(rb"(?= [!-~\xc3])")
 #: White space other than single spaces and line feeds between words: its UTF-8, or the lead bytes it begins with.
 _ODD = (b"  ", b"\n\n", b" \n", b"\n ", b"\t", b"\r", b"\x0b", b"\x0c", b"\x1c", b"\x1d", b"\x1e", b"\x1f",
         b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a", b"\xe1\xa0", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80", b"\xef\xbb")
+#: A full stop or comma that does not follow an ASCII letter or digit or a Latin-1 letter, and may thus stand inside a
+#: pre-token. The others begin one, and are made chunks of their own.
+_INSIDE = re.compile(rb"[.,](?<![0-9A-Za-z].)(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].)")
 #: ASCII marks, and a letter (ASCII or Latin-1) at the end of a word.
 _MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _LETTER = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])\Z")
@@ -39,28 +42,35 @@ class Encoder(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
+        self.pieces, self.space = self.tokenizer.model.tokenize, "\u0120" if byte_level else ""
         self.byte_level, self.room = byte_level, room
         self.plain, self.before = _PLAIN[byte_level], b"\xff" if byte_level else b""
         self.old: dict[bytes, bytes] = {}
 
     def _chunks(self, text: bytes) -> list[bytes]:
         """Chunks; in byte-level mode those without \xff in front have a space there."""
+        apart = not _INSIDE.search(text)
         if not self.byte_level:
+            if apart:
+                text = text.replace(b".", b" .").replace(b",", b" ,")
             return text.lower().split()  # A-Z only; the tokenizer lowers the rest
         if text[0] in b" \n" or text[-1] in b" \n" or any(x in text for x in _ODD):
             return [c[1:] if c[:1] == b" " else b"\xff" + c for c in _CUT.split(text)]
+        if apart:
+            text = text.replace(b".", b" \xff.").replace(b",", b" \xff,")
         return (b"\xff" + text.replace(b"\n", b" \xff\n \xff")).split(b" ")
 
     def __missing__(self, chunk: bytes) -> bytes:
         ids = self.old.get(chunk)
-        if ids is None:
+        if ids is not None:
+            pass
+        elif self.plain.match(chunk):  # one pre-token: its ids are the model's own
+            word = chunk.decode() if chunk.isascii() else chunk.decode("latin-1").translate(_BYTE)
+            ids = array("I", [t.id for t in self.pieces(self.space + word)]).tobytes()
+        else:
             word = chunk.rstrip(_MARKS)
             if word != chunk and _LETTER.search(word):  # a word and the marks after it are separate pre-tokens
                 ids = self[word] + self[self.before + chunk[len(word):]]
-            elif self.plain.match(chunk):  # one pre-token: its ids are the model's own
-                word = chunk.decode("latin-1").translate(_BYTE)
-                ids = array("I", [t.id for t in self.model.tokenize("\u0120" + word if self.byte_level else word)]).tobytes()
             else:
                 if self.byte_level:
                     text = (chunk[1:] if chunk[:1] == b"\xff" else b" " + chunk).decode()
