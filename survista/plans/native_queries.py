@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from ..sources import native_proxy, proxy
+from . import compliance as CMP
+from . import sqlparts as S
 from . import views as V
 
 QUERIES: dict = {}
@@ -160,3 +162,66 @@ FROM qs JOIN qr ON qr.record_id = qs.record_id LEFT JOIN qf ON qf.record_id = qs
 def native_raw_data(spark, sf):
     """PL7 / RP22 (RS3): the wide export of a record set for user U1."""
     return V.raw_data_by_record_set(_store(spark, sf), "U1", "RS0")
+
+
+# -- checklist reports over the native views, for user U1 and one roster year ----------
+_DETAIL = """att AS (SELECT DISTINCT i.attribute_id, ar.id AS section_id, ar.label AS section, CAST(ar.sequence AS INTEGER) AS section_sequence, i.display_sequence
+        FROM items i JOIN form_template_layout p ON p.id = i.layout_parent_id LEFT JOIN mon_submission_area ar ON ar.form_template_control_id = p.control_id
+        WHERE i.template_id = 'T1'),
+ats AS (SELECT *, CAST(row_number() OVER (ORDER BY display_sequence, attribute_id) AS INTEGER) AS sequence FROM att),
+d AS (SELECT ou.name AS au, fi.id AS instance_id, a.*, o.label, o.report_label AS value
+      FROM form_instance fi JOIN form_instance_interval fii ON fii.instance_id = fi.id JOIN form_input_value v ON v.interval_id = fii.id
+      JOIN ats a ON a.attribute_id = v.input_field_id JOIN form_input_single_select_value ss ON ss.id = v.id
+      LEFT JOIN form_template_input_select_field_option o ON o.id = ss.selected_option_id
+      LEFT JOIN mon_submission_record_form rf ON rf.id = fi.id LEFT JOIN mon_submission_record r ON r.id = rf.submission_record_id
+      LEFT JOIN mon_record_selection sel ON sel.id = r.record_selection_id LEFT JOIN mon_submissions s ON s.id = r.submissions_id
+      LEFT JOIN org_unit ou ON ou.id = s.org_unit_id
+      WHERE fi.template_id = 'T1' AND sel.excluded_date IS NULL AND s.roster_year_id = 'RY1997'
+        AND ou.id IN (SELECT org_unit_id FROM user_profile_org_unit WHERE user_profile_id = 'U1'))"""
+
+
+def _checklist(spark: SparkSession, sf: str):
+    t = _store(spark, sf)
+    return (CMP.in_scope(V.checklist_detail(t, "T1"), t["user_profile_org_unit"], "U1", "RY1997"),
+            V.compliance_formlet_attributes(t, "T1").select("section_id", "section", "section_sequence", "attribute_id", "sequence", "is_note"))
+
+
+@query("native_section_pct_met", _DETAIL + f"""
+SELECT au, section_sequence, section, {S.ratio_half_up("sum(CASE WHEN value = 'Met' THEN 1 END)",
+                                                       "sum(CASE WHEN value IN ('Met', 'Not Met') THEN 1 END)", scale=4, precision=19, times=100)} AS pct
+FROM d GROUP BY au, section_sequence, section""")
+def native_section_pct_met(spark, sf):
+    """RP3 over the native views."""
+    return CMP.compliance_3(*_checklist(spark, sf))
+
+
+_MARKS = """CAST(sum(CASE WHEN label = 'Yes' THEN 1 ELSE 0 END) AS DOUBLE) AS yes, CAST(sum(CASE WHEN label = 'No' THEN 1 ELSE 0 END) AS DOUBLE) AS no,
+       CAST(sum(CASE WHEN value = 'Not Applicable' THEN 1 ELSE 0 END) AS DOUBLE) AS na, CAST(sum(CASE WHEN label IS NULL THEN 1 ELSE 0 END) AS DOUBLE) AS blank,
+       CAST(grouping(au) AS INTEGER) AS sort_bit"""
+
+
+@query("native_yes_no_na_blank", _DETAIL + f""",
+b AS (SELECT au, section, section_sequence, attribute_id, CAST(sequence AS DOUBLE) AS position, label, value FROM d WHERE section_id = 'ARA'
+      UNION ALL SELECT au, 'Area A', 1, attribute_id, 99.0, label, value FROM d WHERE attribute_id = 'I4'),
+r AS (SELECT CASE WHEN grouping(au) = 0 THEN au ELSE 'State' END AS au, section_sequence, section, attribute_id, position, {_MARKS}
+      FROM b GROUP BY ROLLUP(au), section_sequence, section, attribute_id, position
+      UNION ALL SELECT CASE WHEN grouping(au) = 0 THEN au ELSE 'State' END, section_sequence, section, NULL, 3.5, {_MARKS}
+      FROM b GROUP BY ROLLUP(au), section_sequence, section)
+SELECT *, CASE WHEN yes + no > 0 THEN yes / (yes + no) ELSE 0.0 END AS yes_rate FROM r""")
+def native_yes_no_na_blank(spark, sf):
+    """RP4 over the native views."""
+    detail, attrs = _checklist(spark, sf)
+    return CMP.compliance_4(detail, attrs, section="ARA", borrow_attribute="I4", borrow_section="ARA")
+
+
+@query("native_top_bottom", _DETAIL + f""",
+c AS (SELECT attribute_id, CAST(sum(CASE WHEN label = 'Yes' THEN 1 ELSE 0 END) AS BIGINT) AS yes_count,
+             CAST(sum(CASE WHEN label IN ('Yes', 'No') THEN 1 ELSE 0 END) AS BIGINT) AS total FROM d GROUP BY attribute_id),
+p AS (SELECT *, CAST({S.ratio_half_up('yes_count', 'total', scale=2, times=100)} AS DECIMAL(5,1)) AS pct FROM c WHERE total > 0),
+k AS (SELECT *, row_number() OVER (ORDER BY pct DESC, yes_count DESC, attribute_id) AS top_sort,
+             row_number() OVER (ORDER BY pct ASC, yes_count ASC, attribute_id) AS bottom_rank FROM p)
+SELECT 'Top' AS position, CAST(top_sort AS INTEGER) AS sort, CAST(bottom_rank AS INTEGER) AS bottom_rank, attribute_id, pct FROM k WHERE top_sort <= 5
+UNION ALL SELECT 'Bottom', CAST(top_sort AS INTEGER), CAST(bottom_rank AS INTEGER), attribute_id, pct FROM k WHERE bottom_rank <= 5""")
+def native_top_bottom(spark, sf):
+    """RP6 over the native views."""
+    return CMP.compliance_8(_checklist(spark, sf)[0], n=5)

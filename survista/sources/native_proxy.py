@@ -102,7 +102,8 @@ STORE: dict[str, str] = {
     "form_template_input_item": _rows([(f"I{i}", f"C{s}1", f"TY{_ITEM_TYPE[i]}", q, code, label, report, _WEIGHT.get(i)) for i, s, q, code, label, report in _ITEMS],
                                       "id, input_area_id, type_id, sequence, code, label, report_label, report_weight"),
     "form_template_input_select_field_option": "SELECT DISTINCT 'O' || CAST(CAST(ceil(l_quantity / 10) AS INT) AS STRING) AS id, "
-        "'Option ' || CAST(CAST(ceil(l_quantity / 10) AS INT) AS STRING) AS label, CASE WHEN ceil(l_quantity / 10) < 3 THEN 'Low' END AS report_label, "
+        "CASE CAST(ceil(l_quantity / 10) AS INT) WHEN 1 THEN 'Yes' WHEN 2 THEN 'No' ELSE 'Option ' || CAST(CAST(ceil(l_quantity / 10) AS INT) AS STRING) END AS label, "
+        "CASE CAST(ceil(l_quantity / 10) AS INT) WHEN 1 THEN 'Met' WHEN 2 THEN 'Not Met' WHEN 3 THEN 'Not Applicable' END AS report_label, "
         "CAST(ceil(l_quantity / 10) - 1 AS INT) AS sequence FROM {lineitem}",
     "form_instance": "SELECT 'F' || CAST(o_orderkey AS STRING) AS id, 'T1' AS template_id FROM {orders}",
     "form_instance_interval": "SELECT 'N' || CAST(o_orderkey AS STRING) AS id, 'F' || CAST(o_orderkey AS STRING) AS instance_id FROM {orders}",
