@@ -122,8 +122,12 @@ def nn_pu(pos: np.ndarray, unl: np.ndarray, prior: float, epochs: int = 40, seed
 
 
 def _sample(ids: DataFrame, n: int, salt: int) -> DataFrame:
-    """At most n of the ids, those with the smallest hashes."""
-    return ids.orderBy(F.xxhash64(F.lit(salt), "id"), "id").limit(n)
+    """At most n of the ids, those with the smallest hashes. Hashes far above where the n-th must lie are left out before
+    the sort, so that each task sends about its share of the sample and not n rows."""
+    key, span = F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(1 << 62)), 1 << 62
+    bound = span * 4 * n // max(1, ids.count())
+    near = ids.filter(key < F.lit(bound)) if bound < span else ids
+    return near.orderBy(key, "id").limit(n)
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",

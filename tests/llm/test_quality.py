@@ -51,3 +51,11 @@ def test_edge_rows(spark, frame):
         assert kept.columns == frame(rows).columns and kept.count() == sum(r.predicted for r in got)
     assert {r.score for r in got} == {0.5}
     assert quality.classify(frame([]), labels).collect() == []
+
+
+def test_sample_is_that_of_all_ids(spark):
+    ids = spark.range(20_000)
+    got = sorted(r.id for r in quality._sample(ids, 100, 3).collect())
+    every = ids.orderBy(F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(1 << 62)), "id").limit(100)
+    assert got == sorted(r.id for r in every.collect())
+    assert quality._sample(ids.limit(5), 100, 3).count() == 5 and quality._sample(ids.limit(0), 100, 3).count() == 0
