@@ -23,8 +23,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their source; n_chars is that of the new text."""
-    kept = lines.drop_boilerplate(docs, "source", ratio=0.01, min_pages=5)
+    """All documents, without the boilerplate lines of their source; n_chars is that of the new text. Exact copies count as
+    one page, so that none of them votes against its own text."""
+    kept = lines.drop_boilerplate(docs, "source", ratio=0.01, min_pages=5, once=True)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else kept
 
 

@@ -56,6 +56,16 @@ def test_line_sql(spark, sf):
     assert got_lines(lines.drop_boilerplate(docs, ratio=0.01, min_pages=2, counts=("a", "b"))) == want
 
 
+def test_copies_are_one_page(frame):
+    prose = "One line of prose\nand another one"
+    rows = [(i, prose, "s") for i in range(30)] + [(100 + i, f"Menu\nown words {i}", "s") for i in range(20)] + [
+        (200 + i, prose, None) for i in range(8)] + [(300, None, "s"), (301, None, "s")]
+    kept = {r.doc_id: r.text for r in lines.drop_boilerplate(frame(rows), ratio=0.2, min_pages=5, once=True).collect()}
+    assert kept == {i: t if t is None or not t.startswith("Menu") else t.split("\n")[1] for i, t, _ in rows}
+    pages = {(r.host, r.line, r.pages, r.host_pages) for r in lines.boilerplate(frame(rows), ratio=0.2, once=True).collect()}
+    assert pages == {("s", "Menu", 20, 22)}
+
+
 def brute_scan(text):
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     at = [(i, label) for p, label in licences.PHRASES.items() for i in range(len(w)) if w[i:i + len(p.split())] == p.split()]

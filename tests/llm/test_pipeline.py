@@ -53,6 +53,13 @@ def test_stages_on_odd_tables(spark, sf, frame, name, stage):
     assert stage(spark, frame([]), sf).count() == 0
 
 
+def test_line_dedup_keeps_the_text_of_exact_copies(spark, sf, frame):
+    prose = "One line of prose\nand another one"
+    rows = [(i, prose, "s") for i in range(30)] + [(100 + i, f"Menu\nown words {i}", "s") for i in range(20)]
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, frame(rows), sf).collect()}
+    assert got == {i: t if t == prose else t.split("\n")[1] for i, t, _ in rows}
+
+
 def test_checkpoint_folder_is_the_sessions(spark):
     path = ensure_checkpoint_dir(spark)
     assert path == spark.conf.get("spark.checkpoint.dir")
