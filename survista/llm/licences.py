@@ -155,6 +155,7 @@ class Scanner:
             self.ids.setdefault(w, len(self.ids))
         self.templates = [[self.ids[w] for w in ws] for ws in split]
         self.automaton = Automaton(self.templates)
+        self.stops: dict[int, list[tuple[int, int, int, int]]] = {}
         self.wanted = [([self.ids[w] for w in p], label) for p, label in self.phrases]
 
     def scan(self, text: bytes):
@@ -178,13 +179,27 @@ class Scanner:
         return len(ws), sorted(places), spans
 
     def _long(self, seq: list[int], offset: int, out: dict[int, list]) -> None:
-        """Matches of at least ``least`` words that the next word does not extend, by template: (start in the text, start
-        in the template, words)."""
-        held = list(self.automaton.statistics(seq))
-        for i, (n, s) in enumerate(held):
-            if n >= self.least and (i + 1 == len(held) or held[i + 1][0] <= n):
-                for k, end in self.automaton.ends[s]:
-                    out.setdefault(k, []).append((offset + i - n + 1, end - n + 1, n))
+        """Matches of at least ``least`` words that the next word does not extend in their own template, by template: (start
+        in the text, start in the template, words)."""
+        for i, (n, s) in enumerate(self.automaton.statistics(seq)):
+            if n >= self.least:
+                after = seq[i + 1] if i + 1 < len(seq) else -1
+                for k, end, m, follow in self._stops(s):
+                    if follow != after or after < 0:
+                        m = min(m, n)
+                        out.setdefault(k, []).append((offset + i - m + 1, end - m + 1, m))
+
+    def _stops(self, s: int) -> list[tuple[int, int, int, int]]:
+        """Places where the words of state s, or shorter ends of them that are long enough, end: (template, last word in it,
+        words, next word of the template or -1), each with its longest match."""
+        if s not in self.stops:
+            a, t, seen, found = self.automaton, s, set(), []
+            while t > 0 and a.length[t] >= self.least:
+                for k, end in a.ends[t] - seen:
+                    found.append((k, end, a.length[t], self.templates[k][end + 1] if end + 1 < len(self.templates[k]) else -1))
+                seen, t = a.ends[t], a.link[t]
+            self.stops[s] = found
+        return self.stops[s]
 
     def _chains(self, k: int, found: list):
         """Chains of matches, in order in text and template, that cover ``share`` of template k. Each match joins the chain

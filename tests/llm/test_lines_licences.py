@@ -108,3 +108,35 @@ def test_chains_pass_over_changes(cut):
     del text[20:20 + cut]
     spans = licences.Scanner(licences.PHRASES, licences.NOTICES).scan(("before " * 5 + " ".join(text) + " after").encode())[2]
     assert [s[0] for s in spans] == ["ISC"] and 0.8 <= spans[0][3] < 1
+
+
+def test_notice_that_another_one_goes_on_from():
+    short, scanner = licences.NOTICES["Apache-2.0"][0], licences.Scanner(licences.PHRASES, licences.NOTICES)
+    spans = scanner.scan(f"Code. {short} The software comes as it is.".encode())[2]
+    assert spans == [("Apache-2.0", 1, 8, 1.0)]
+
+
+def test_notice_inside_another_one():
+    inner, outer = "b c d e f", "a b c d e f g h i j k l m n"
+    spans = licences.Scanner({}, {"inner": [inner], "outer": [outer]}).scan(b"a b c d e f g")[2]
+    assert spans == [("inner", 1, 5, 1.0)]
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.lists(st.lists(st.sampled_from("abcd"), min_size=1, max_size=9), min_size=1, max_size=4), st.lists(st.sampled_from("abcde"), max_size=20))
+def test_matches_are_those_that_their_template_does_not_go_on(texts, seq):
+    scanner = licences.Scanner({}, {str(k): [" ".join(t)] for k, t in enumerate(texts)}, least=2)
+    want = set()
+    for k, t in enumerate(texts):
+        for i in range(len(seq)):
+            for j in range(len(t)):
+                n = next((n for n in range(min(len(seq) - i, len(t) - j) + 1) if n == min(len(seq) - i, len(t) - j) or seq[i + n] != t[j + n]))
+                if n >= 2 and (i == 0 or j == 0 or seq[i - 1] != t[j - 1]):
+                    want.add((k, i, j, n))
+    got = {}
+    known = [scanner.ids.get(w.encode(), -1) for w in seq]
+    edges = [i for i in range(len(seq) + 1) if i in (0, len(seq)) or known[i] < 0 or known[i - 1] < 0]
+    for a, z in zip(edges, edges[1:]):
+        if known[a] >= 0:
+            scanner._long(known[a:z], a, got)
+    assert sorted((k, *m) for k, ms in got.items() for m in ms) == sorted(want)
