@@ -131,8 +131,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
              radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` that represent their group of near duplicates: those whose id is its component_id.
-    Rows with a null id stay where their component has no id. All columns are kept."""
-    found = near_duplicates(docs.select(id_col, text_col), id_col, text_col, shingle, radius)
-    stay = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id")).distinct()
-    return docs.join(stay, docs[id_col].eqNullSafe(stay["__id"]), "left_semi")
+    """One row of ``docs`` for each group of near duplicates: the one with the smallest id, a null id last, then with the
+    smallest hash of its text. Rows alike in both differ by a number they are written with, so that one of them stays
+    whether ids are null or repeated. All columns are kept."""
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"),
+                   F.monotonically_increasing_id().alias("row"))
+    numbered = materialise(docs.withColumn("__key", key), "simhash-rows")
+    found = near_duplicates(numbered.select("__key", text_col), "__key", text_col, shingle, radius)
+    stay = found.filter(F.col("__key") == F.col("component_id")).select(F.col("__key.row").alias("__row"))
+    return numbered.join(stay, numbered["__key"]["row"] == stay["__row"], "left_semi").drop("__key")

@@ -93,3 +93,10 @@ def test_keep_one_keeps_columns_and_one_of_each_group(frame):
     out = simhash.keep_one(frame(rows))
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert sorted(str(r.doc_id) for r in out.collect()) == ["1", "2", "None"]
+
+
+def test_keep_one_by_row_where_ids_are_null_or_repeated(frame):
+    a, b, c = "same text of words", "another one entirely, quite different", "a third text that has nothing of the others"
+    rows = [(None, a), (5, a), (None, b), (None, b), (7, c), (7, c), (5, c)]
+    out = simhash.keep_one(frame(rows)).select("doc_id", "text").collect()
+    assert sorted(((r.doc_id, r.text) for r in out), key=str) == sorted([(5, a), (None, b), (5, c)], key=str)
