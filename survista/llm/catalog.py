@@ -6,7 +6,8 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from survista.llm import chat, decontaminate, exact, idfile, licences, lines, lm, packing, quality, simhash
+from survista.llm import (chat, decontaminate, exact, idfile, licences, lines, lm, negatives, packing, quality, shuffle, simhash,
+                          spelling)
 from survista.llm.common import read
 
 QUERIES: dict = {}
@@ -92,3 +93,24 @@ def op3_preference_pairs(spark, sf_dir):
 def op8_decontaminate(spark, sf_dir):
     items = decontaminate.question_and_answer(read(spark, sf_dir, "benchmark"))
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), items)
+
+
+@query
+def op11_shards(spark, sf_dir):
+    dealt = shuffle.shuffle_into_shards(read(spark, sf_dir, "documents"), shards=16)
+    text = F.coalesce("text", F.lit(""))
+    return dealt.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+                        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    """Every seventh row's label is moved on by one, so that the table has wrong ones."""
+    table = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op13_spelling(spark, sf_dir):
+    return spelling.spelling_forms(read(spark, sf_dir, "documents"))
