@@ -734,3 +734,8 @@ from . import scoped_queries  # noqa: E402
 
 QUERIES.update(scoped_queries.QUERIES)
 ORACLE.update(scoped_queries.ORACLE)
+
+from . import family_queries  # noqa: E402
+
+QUERIES.update(family_queries.QUERIES)
+ORACLE.update(family_queries.ORACLE)

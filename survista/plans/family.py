@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (div_floor, likert, merge_buckets, money_text, optional_eq, pad_left, ratio_half_up, round_dec,
@@ -128,13 +128,14 @@ def family_3(master: DataFrame, questions: Sequence[int], grants=None, user_id=N
 
 
 def family_6(master: DataFrame, grants=None, user_id=None, language="All", match="All",
-             roster_year=None, question_text: str = "Question") -> DataFrame:
+             roster_year=None, question_text: str | Column = "Question") -> DataFrame:
     """RP16: score, weight and weighted score per AU x question with AU and
     overall totals; per-weight subtotal rows merged (rollup then regroup).
-    The question label is ``right(' '+seq, 2) + ' - ' + text``."""
+    The question label is ``right(' '+seq, 2) + ' - ' + text``; a string for
+    ``question_text`` stands before the number."""
     m = _filters(master, grants, user_id, language, match, roster_year)
-    m = m.withColumn("question_label", F.concat(pad_left("question", 2), F.lit(" - "), F.lit(question_text),
-                                                F.col("question").cast("string")))
+    text = question_text if isinstance(question_text, Column) else F.concat(F.lit(question_text), F.col("question").cast("string"))
+    m = m.withColumn("question_label", F.concat(pad_left("question", 2), F.lit(" - "), text))
     out = rollup_regroup(m, ["au"], "question_label", "response_weight",
                          {"score": F.sum("likert_score").cast("long"), "weighted_score": F.sum("weighted_score")})
     return out.select(F.col("au").alias("admin_unit"), F.col("question_label").alias("question"),
@@ -180,12 +181,13 @@ def family_8(master: DataFrame, n: int = 3, grants=None, user_id=None, language=
 
 
 def family_9(master: DataFrame, years: DataFrame, as_of, n: int = 3, grants=None, user_id=None,
-             language="All", match="All") -> DataFrame:
+             language="All", match="All", year: str = "roster_year", year_key: str = "start_year") -> DataFrame:
     """RP19: top-n / bottom-n questions per AU per roster year, for the
-    years in the 3-year window around ``as_of``; NULL means rank last."""
+    years in the 3-year window around ``as_of``; NULL means rank last. The
+    master's ``year`` is looked up in the ``year_key`` of ``years``."""
     m = _filters(master, grants, user_id, language, match)
-    yrs = years_in_window(years, as_of).select(F.col("start_year").alias("roster_year"))
-    m = m.join(yrs, "roster_year", "left_semi")
+    yrs = years_in_window(years, as_of).select(F.col(year_key).alias(year))
+    m = m.join(yrs, year, "left_semi")
     x = _au_question_means(m, by_year=True)
     ranked = top_bottom(x.select("admin_unit", "roster_year", "question", "likert", "likert_score", "sort_bit"),
                         ["admin_unit", "roster_year"], "likert", n, tie=["question"], rank="sequence")

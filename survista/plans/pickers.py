@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import roster_year_label
@@ -10,6 +10,7 @@ from ..operators.filters import active, keep_in, left_join_active
 from ..operators.joins import having_rows
 from ..operators.measures import dedupe
 from ..operators.ranking import first_row, roster_years
+from ..sources.tables import code_table
 from . import views as V
 
 
@@ -98,6 +99,28 @@ def values_of(master: DataFrame, column: str) -> DataFrame:
     return master.select(F.col(column).alias("value")).distinct()
 
 
+# The choices of the family reports' two filters.
+FAMILY_CHOICES = {"language": ["All", "English", "Spanish", "Blank"], "match": ["All", "Yes", "No", "Blank"]}
+
+
+def family_years(master: DataFrame, n: int = 3) -> DataFrame:
+    """PQ7: the first n roster years of the family master, by name."""
+    return master.select(F.col("roster_year_id").alias("id"), F.col("roster_year").alias("name")).distinct().orderBy("name", "id").limit(n)
+
+
+def family_choices(spark: SparkSession, master: DataFrame) -> DataFrame:
+    """PQ7: the fixed lists of the two filters, with the instances that each choice leaves. An instance is counted once for
+    each value it has, so the join only sees grouped rows."""
+    choices = code_table(spark, [(p, c) for p, cs in FAMILY_CHOICES.items() for c in cs], "parameter string, id string")
+    values = F.explode(F.array(*[F.struct(F.lit(p).alias("parameter"), F.left(F.col(c), F.lit(10)).alias("id"))
+                                 for p, c in (("language", "language"), ("match", "disability_match"))]))
+    one = master.select("instance_id", values.alias("v")).select("instance_id", "v.*")
+    every = one.withColumn("id", F.explode(F.array(F.lit("All"), "id")))
+    found = every.groupBy("parameter", "id").agg(F.count_distinct("instance_id").alias("instances"))
+    return choices.join(found, ["parameter", "id"], "left").select(
+        "parameter", "id", F.col("id").alias("name"), F.coalesce("instances", F.lit(0)).alias("instances"))
+
+
 def form_stats(t: dict[str, DataFrame]) -> DataFrame:
     """PQ8: attributes and modes of each template."""
     return V.formlet_columns(t).groupBy("template_id", "template_name").agg(
