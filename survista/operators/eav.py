@@ -24,22 +24,19 @@ def attach_typed_values(values: DataFrame, text: DataFrame, select: DataFrame, o
     Adds ``text_value``, ``selected_option_id``, ``option_label``,
     ``option_report_label``, ``option_sequence``, ``date_value``, ``flag_value``.
     Each side table holds at most one row per value id, so the joins never fan
-    out; at scale they are shuffle joins on the value id (AQE may co-locate).
+    out. They follow each other on the value id: one exchange a table, or none
+    where the tables are bucketed by it (``sources.persist``). The options, a
+    table as large as the forms, come last.
     """
     v = values
-    v = v.join(text.select(F.col("id").alias("__t"), F.col("value").alias("text_value")),
-               F.col(value_id) == F.col("__t"), "left").drop("__t")
-    v = v.join(select.select(F.col("id").alias("__s"), "selected_option_id"),
-               F.col(value_id) == F.col("__s"), "left").drop("__s")
+    for side, columns in ((text, {"value": "text_value"}), (select, {"selected_option_id": "selected_option_id"}),
+                          (date, {"value": "date_value"}), (flag, {"value": "flag_value"})):
+        own = side.select(F.col("id").alias("__side"), *[F.col(c).alias(n) for c, n in columns.items()])
+        v = v.join(own, F.col(value_id) == F.col("__side"), "left").drop("__side")
     opt = options.select(F.col("id").alias("__o"), F.col("label").alias("option_label"),
                          F.col("report_label").alias("option_report_label"),
                          F.col("sequence").alias("option_sequence"))
-    v = v.join(opt, F.col("selected_option_id") == F.col("__o"), "left").drop("__o")
-    v = v.join(date.select(F.col("id").alias("__d"), F.col("value").alias("date_value")),
-               F.col(value_id) == F.col("__d"), "left").drop("__d")
-    v = v.join(flag.select(F.col("id").alias("__f"), F.col("value").alias("flag_value")),
-               F.col(value_id) == F.col("__f"), "left").drop("__f")
-    return v
+    return v.join(opt, F.col("selected_option_id") == F.col("__o"), "left").drop("__o")
 
 
 def decode_value(item_type: str | Column, policy: str = "report_label") -> Column:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
+from ..session import ensure_checkpoint_dir
 from ..sources import native_proxy, proxy
 from . import compliance as CMP
 from . import sqlparts as S
@@ -25,6 +28,11 @@ def _store(spark: SparkSession, sf: str):
     return native_proxy.store(spark, proxy.read_tables(spark, sf, ("region", "nation", "customer", "orders", "lineitem")))
 
 
+def _scratch(spark: SparkSession) -> str:
+    """A new folder below the shared one, for what a query keeps."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/survista/views-{uuid.uuid4().hex}"
+
+
 _ITEMS_SQL = """walk AS (
   SELECT id, parent_id, template_id, control_id, CAST(100 + sequence AS VARCHAR) AS path FROM form_template_layout WHERE parent_id IS NULL
   UNION ALL
@@ -77,7 +85,8 @@ f AS (SELECT st.form_template_id, st.location_id, st.id AS submission_type_id, m
       FROM mon_submission_type st LEFT JOIN mon_location l ON l.id = st.location_id LEFT JOIN mon_submission_mode m ON m.submission_type_id = st.id)
 SELECT i.template_id, location_id, submission_type_id, submission_mode_id, location, submission_type, submission_mode, template_name,
        display_sequence, CAST(row_number() OVER (PARTITION BY location, submission_type, submission_mode, template_name
-         ORDER BY display_sequence NULLS FIRST, attribute_id NULLS FIRST, control_property NULLS FIRST, mii_label NULLS FIRST) AS INTEGER) AS attribute_sequence,
+         ORDER BY display_sequence NULLS FIRST, attribute_id NULLS FIRST, control_property NULLS FIRST, mii_label NULLS FIRST,
+           control_type NULLS FIRST) AS INTEGER) AS attribute_sequence,
        control_type, input_item_type, control_property, attribute_id, report_label AS attribute_report_label, code AS attribute_code, attribute,
        report_weight, label AS attribute_label
 FROM items i JOIN f ON f.form_template_id = i.template_id""")
@@ -164,6 +173,25 @@ def native_raw_data(spark, sf):
     return V.raw_data_by_record_set(_store(spark, sf), "U1", "RS0")
 
 
+def _persisted(spark: SparkSession, sf: str):
+    path = _scratch(spark)
+    return V.persist_views(_store(spark, sf), path, f"v{path[-8:]}_")
+
+
+def persisted_formlet_kav(spark, sf):
+    """SC3 over PL2: typed answers from the kept, bucketed answer chain."""
+    return V.formlet_kav(_persisted(spark, sf))
+
+
+def persisted_raw_data(spark, sf):
+    """SC3 over PL7: the wide export from the kept form catalogue and answer chain."""
+    return V.raw_data_by_record_set(_persisted(spark, sf), "U1", "RS0")
+
+
+for _f, _base in ((persisted_formlet_kav, "native_formlet_kav"), (persisted_raw_data, "native_raw_data")):
+    QUERIES[_f.__name__], ORACLE[_f.__name__] = _f, ORACLE[_base]
+
+
 # -- checklist reports over the native views, for user U1 and one roster year ----------
 _DETAIL = """att AS (SELECT DISTINCT i.attribute_id, ar.id AS section_id, ar.label AS section, CAST(ar.sequence AS INTEGER) AS section_sequence, i.display_sequence
         FROM items i JOIN form_template_layout p ON p.id = i.layout_parent_id LEFT JOIN mon_submission_area ar ON ar.form_template_control_id = p.control_id
@@ -181,7 +209,7 @@ d AS (SELECT ou.name AS au, fi.id AS instance_id, a.*, o.label, o.report_label A
 
 
 def _checklist(spark: SparkSession, sf: str):
-    t = _store(spark, sf)
+    t = V.with_form_catalogue(_store(spark, sf), _scratch(spark))
     return (CMP.in_scope(V.checklist_detail(t, "T1"), t["user_profile_org_unit"], "U1", "RY1997"),
             V.compliance_formlet_attributes(t, "T1").select("section_id", "section", "section_sequence", "attribute_id", "sequence", "is_note"))
 

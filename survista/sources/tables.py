@@ -46,6 +46,22 @@ def register_views(spark: SparkSession, t: dict[str, DataFrame], views: dict | N
         fn(t).createOrReplaceTempView(name)
 
 
+def persist(df: DataFrame, name: str, path: str, key: str | None = None, buckets: int | None = None) -> DataFrame:
+    """SC3: write a table or view once under ``path`` and read it from there.
+    With a ``key`` it becomes the session table ``name``, bucketed and sorted by
+    the key, so that joins and aggregates on the key need no exchange; tables to
+    be joined take the same number of ``buckets`` (default: the session's
+    shuffle partitions). A key should be spread as evenly as ids are."""
+    spark = df.sparkSession
+    if key is None:
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key).sortBy(key)
+     .option("path", f"{path}/{name}").saveAsTable(name))
+    return spark.table(name)
+
+
 def write_csv(df: DataFrame, path: str, clean_columns: Iterable[str] = (), mode: str = "overwrite") -> None:
     """SC4: spreadsheet export. Listed text columns are cleaned of line breaks
     and markup first so each record stays on one CSV line. Written in parallel
