@@ -11,5 +11,6 @@ from .measures import (any_match, count_where, dedupe, first_ordered, nonzero_me
                        threshold_flag, yes_rate)
 from .ranking import (both_ends, first_row, rank_global, roster_years, sort_totals_last, top_bottom,  # noqa: F401
                       top_bottom_join, top_n)
-from .reshape import borrow_rows, crosstab, union_sections, unpivot_facts, wide_crosstab  # noqa: F401
+from .reshape import (borrow_rows, crosstab, crosstab_groups, pivot_first, union_sections, unpivot_facts,  # noqa: F401
+                      wide_crosstab)
 from .tree import attach_parent, flag_last, flatten_tree, sequence, sequence_by_expr  # noqa: F401

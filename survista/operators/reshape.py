@@ -12,10 +12,11 @@ from ..functions import col
 
 
 # -- set operations ---------------------------------------------------------------
-def borrow_rows(df: DataFrame, cond: Column, overrides: Mapping[str, Column | object]) -> DataFrame:
-    """ST2: add a re-labelled copy of the rows matching ``cond`` (a statement
-    shown again under another section) to the original rows."""
-    copy = df.filter(cond)
+def borrow_rows(df: DataFrame, rows: DataFrame | Column, overrides: Mapping[str, Column | object]) -> DataFrame:
+    """ST2: add a re-labelled copy of some rows (a frame, or the rows of ``df``
+    matching a condition: a statement shown again under another section) to the
+    original ones."""
+    copy = df.filter(rows) if isinstance(rows, Column) else rows
     for c, v in overrides.items():
         copy = copy.withColumn(c, v if isinstance(v, Column) else F.lit(v))
     return df.unionByName(copy.select(*df.columns))
@@ -53,3 +54,26 @@ def crosstab(df: DataFrame, rows: Sequence[str], column: str, values: Sequence,
     """RS9: report crosstab: row groups x dynamic column groups x measures."""
     out = df.groupBy(*rows).pivot(column, list(values)).agg(*[m.alias(n) for n, m in measures.items()])
     return out
+
+
+def crosstab_groups(df: DataFrame, rows: Sequence[str], column: str, measures: Mapping[str, Column], name: str = "groups") -> DataFrame:
+    """RS9 with column groups found when the query runs: one row per ``rows`` with an array ``name``, which has the same entries in
+    the same order on every row - a struct (value, then the measures) for each value of ``column`` in the data, NULL first -
+    and NULL measures where a row has none. The values are a scalar subquery of the plan; a value never seen before is one
+    more entry. Dimensions are code lists, so the array is short."""
+    values = df.agg(F.sort_array(F.collect_set(F.struct(F.col(column).alias("value"))))).scalar()
+    cells = df.groupBy(*rows, column).agg(*[m.alias(n) for n, m in measures.items()])
+    kinds = {f.name: f.dataType for f in cells.schema.fields}
+    one = F.struct(F.col(column).alias("value"), *[F.col(n) for n in measures])
+    found = cells.groupBy(*rows).agg(F.collect_list(one).alias("__cells"))
+
+    def entry(v: Column) -> Column:
+        empty = F.struct(v["value"].alias("value"), *[F.lit(None).cast(kinds[n]).alias(n) for n in measures])
+        return F.coalesce(F.get(F.filter("__cells", lambda c: c["value"].eqNullSafe(v["value"])), F.lit(0)), empty)
+
+    return found.withColumn("__values", values).select(*rows, F.transform("__values", entry).alias(name))
+
+
+def pivot_first(df: DataFrame, keys: Sequence[str], columns: Mapping[str, Column], value: str, order: Column) -> DataFrame:
+    """AG26 as a matrix: for each column of ``columns`` (name -> condition) the value of the row that comes first by ``order``."""
+    return df.groupBy(*keys).agg(*[F.min_by(F.when(c, F.col(value)), F.when(c, order)).alias(n) for n, c in columns.items()])

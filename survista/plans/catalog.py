@@ -739,3 +739,8 @@ from . import family_queries  # noqa: E402
 
 QUERIES.update(family_queries.QUERIES)
 ORACLE.update(family_queries.ORACLE)
+
+from . import store_queries  # noqa: E402
+
+QUERIES.update(store_queries.QUERIES)
+ORACLE.update(store_queries.ORACLE)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import eq_null_sentinel, ratio_half_up
-from ..operators.filters import restrict_to_user
+from ..operators.filters import branch_if, restrict_to_user
 from ..operators.hierarchy import item_pct_of_sample, rollup_by
 from ..operators.joins import not_in
 from ..operators.measures import nonzero_mean, pct_met, yes_rate
@@ -93,25 +93,30 @@ def _yes_no(detail: DataFrame) -> DataFrame:
 
 
 def compliance_4(detail: DataFrame, attrs: DataFrame, section=None, borrow_attribute=None, borrow_section=None,
-                 borrow_position: float = 99.0, overall_position: float = 3.5) -> DataFrame:
+                 borrow_position: float = 99.0, overall_position: float = 3.5, when_section: str | None = None) -> DataFrame:
     """RP4: Yes / No / NA / Blank per statement per AU and State (rollup) of
     the chosen ``section`` (all sections when None); ``yes_rate`` =
     yes/(yes+no) else 0. Where the chosen section is ``borrow_section``, the
     statement ``borrow_attribute`` of another section is counted in it as well,
     at ``borrow_position``, and each org has an 'Overall' row of the section at
-    ``overall_position``. Answers are summed to (au, statement) before they are
-    borrowed, rolled up or totalled."""
+    ``overall_position``. With ``when_section`` these two depend on the chosen
+    section's *name* instead, looked up when the query runs (FI12). Answers are
+    summed to (au, statement) before they are borrowed, rolled up or totalled."""
     marks = ("yes", "no", "na", "blank")
     keys = ["section_id", "section", "section_sequence", "attribute_id", "position"]
     d = (_yes_no(detail.join(attrs, "attribute_id")).withColumn("position", F.col("sequence").cast("double"))
          .groupBy("au", *keys).agg(*[F.sum(c).alias(c) for c in marks]))
+    gate: DataFrame | bool = True
+    if when_section is not None:
+        borrow_section = section
+        gate = attrs.filter(F.col("section_id") == F.lit(section)).agg(F.max("section") == F.lit(when_section))
     here = borrow_attribute is not None and section is not None and section == borrow_section
     if here:
         host = attrs.filter(F.col("section_id") == F.lit(borrow_section))
-        d = borrow_rows(d, F.col("attribute_id") == F.lit(borrow_attribute),
-                        {"section_id": F.lit(borrow_section), "section": host.agg(F.max("section")).scalar(),
-                         "section_sequence": host.agg(F.max("section_sequence")).scalar(),
-                         "position": F.lit(float(borrow_position))})
+        borrowed = branch_if(d.filter(F.col("attribute_id") == F.lit(borrow_attribute)), gate)
+        d = borrow_rows(d, borrowed, {"section_id": F.lit(borrow_section), "section": host.agg(F.max("section")).scalar(),
+                                      "section_sequence": host.agg(F.max("section_sequence")).scalar(),
+                                      "position": F.lit(float(borrow_position))})
     if section is not None:
         d = d.filter(F.col("section_id") == F.lit(section))
     sums = [F.sum(c).cast("double").alias(c) for c in marks]
@@ -121,7 +126,7 @@ def compliance_4(detail: DataFrame, attrs: DataFrame, section=None, borrow_attri
         overall = (rollup_by(d, ["au"], ["section_sequence", "section"], sums, **by)
                    .withColumn("attribute_id", F.lit(None).cast(d.schema["attribute_id"].dataType))
                    .withColumn("position", F.lit(float(overall_position))))
-        out = out.unionByName(overall.select(*out.columns))
+        out = out.unionByName(branch_if(overall, gate).select(*out.columns))
     return out.withColumn("yes_rate", yes_rate(F.col("yes"), F.col("no")))
 
 

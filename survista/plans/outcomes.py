@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import AU_TOTAL, DISTRICT_TOTAL, STATE_TOTAL, null_or_eq, pct_of
-from ..operators.eav import pivot_attributes
+from ..operators.eav import pivot_attributes, safe_names
 from ..operators.filters import restrict_to_user
 from ..operators.hierarchy import rollup_by
 from ..operators.joins import decode
 from ..operators.measures import any_match, first_ordered
+from ..operators.reshape import pivot_first
 
 # Dimension codes of the parameterised report: D/E/G/R.
 DIMENSIONS = {"D": "disability", "E": "exit_reason", "G": "gender", "R": "race"}
@@ -93,3 +94,22 @@ def record_matrix(record_kav: DataFrame, attributes: Mapping[str, str] | None =
     return rk.groupBy("au", "attribute_id").agg(
         first_ordered("value", order).alias("first_value"),
         F.count(F.lit(1)).alias("n_records"))
+
+
+def record_matrix_by_instance(kav: DataFrame, attributes: DataFrame, submission_mode_id: str, record_set_id: str, roster_year_id: str,
+                              grants: DataFrame, user_id: str) -> DataFrame:
+    """RP13 (AG26): one row per submission sequence and instance of a mode, year and record set, of the user's organisations; a
+    column per attribute, in the order of its sequence and name; a cell is the first value (by attribute id, then value).
+
+    ``kav`` is ``views.record_kav``, ``attributes`` the native attribute table. Its rows of the record set are read when
+    the plan is built: they are the report's columns, bounded by the record set's definition.
+    """
+    meta = attributes.filter(F.col("record_set_id") == F.lit(record_set_id)).select("sequence_number", "name").distinct().collect()
+    heads = sorted({(r["sequence_number"], r["name"]) for r in meta}, key=lambda h: (h[0] is not None, h[0] or 0, h[1] or ""))
+    names = safe_names(["submission_sequence", "instance_id", *[name or "" for _, name in heads]])[2:]
+    rows = restrict_to_user(kav, grants, user_id).filter(
+        (F.col("submission_mode_id") == F.lit(submission_mode_id)) & (F.col("record_set_id") == F.lit(record_set_id))
+        & (F.col("roster_year_id") == F.lit(roster_year_id)))
+    columns = {n: F.col("attribute_sequence").eqNullSafe(F.lit(k)) & F.col("attribute").eqNullSafe(F.lit(head))
+               for n, (k, head) in zip(names, heads, strict=True)}
+    return pivot_first(rows, ["submission_sequence", "instance_id"], columns, "value", F.struct("attribute_id", "value"))

@@ -38,7 +38,23 @@ def raw_data_parameters(t: dict[str, DataFrame]) -> DataFrame:
     return dedupe(d.select(
         F.col("p_display_name").alias("program"), F.col("l_display_name").alias("location"), F.col("st_name").alias("submission_type"),
         F.col("m_name").alias("submission_mode"), roster_year_label("ry_start_year", "-").alias("roster_year"),
-        F.col("parent_id").alias("record_set_id"), F.col("parent_name").alias("record_set")))
+        F.col("parent_id").alias("record_set_id"), F.col("parent_name").alias("record_set"), F.col("p_id").alias("program_id"),
+        F.col("l_id").alias("location_id"), F.col("m_id").alias("submission_mode_id"), F.col("ry_id").alias("roster_year_id")))
+
+
+def raw_data_choices(t: dict[str, DataFrame], choice: str, **chosen) -> DataFrame:
+    """PQ1: id and name of the programs, locations, submission modes, roster years or record sets (``choice``: the name without
+    ``_id``) left after the choices made so far, given by id (``program_id=...``)."""
+    d = raw_data_parameters(t)
+    for column, value in chosen.items():
+        d = d.filter(F.col(column) == F.lit(value))
+    return d.select(F.col(f"{choice}_id").alias("id"), F.col(choice).alias("name")).distinct()
+
+
+def outcome_record_sets(t: dict[str, DataFrame], submission_mode_id: str) -> DataFrame:
+    """PQ6: record sets whose attributes the submissions of a mode have."""
+    return (V.record_kav(t).filter(F.col("submission_mode_id") == F.lit(submission_mode_id))
+            .select(F.col("record_set_id").alias("id"), F.col("record_set").alias("name")).distinct())
 
 
 def raw_data(t: dict[str, DataFrame], choice: str, **chosen) -> DataFrame:

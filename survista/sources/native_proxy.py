@@ -159,6 +159,46 @@ FAMILY: dict[str, str] = {
 }
 
 
+# Fixed values of the stand-in tracked program: three forms, of which the first asks for help, the second asks and has two review
+# dates, and the third does neither.
+_TRACKED_ITEMS = [("IG1", "TG1", "SingleSelect", "H1", "Do you need Assistance with the budget?"), ("IG2", "TG1", "Text", "Q2", "Other question"),
+                  ("IG3", "TG2", "SingleSelect", "H2", "request ASSISTANCE now"), ("IG4", "TG2", "Date", "Rev1", "Review Date 1 (4 months after submission):"),
+                  ("IG5", "TG2", "Date", "Rev2", "Review Date 2 (8 months after submission):"), ("IG6", "TG3", "Text", "Q6", "Plain question")]
+_MODE = "substr(o_orderpriority, 1, 1)"
+_TRACKED_ITEM = (f"CASE WHEN {_MODE} = '3' THEN CASE l_linenumber WHEN 1 THEN 'IG3' WHEN 2 THEN 'IG4' WHEN 3 THEN 'IG5' ELSE 'IG6' END "
+                 f"WHEN {_MODE} = '5' THEN 'IG6' ELSE CASE l_linenumber WHEN 1 THEN 'IG1' ELSE 'IG2' END END")
+
+#: A tracked program PG: modes MG1-MG5 of three types at two locations; region 4 is a test organisation, region 1 never closes.
+TRACKED: dict[str, str] = {
+    **{n: STORE[n] for n in ("user_profile_org_unit", "roster_year", "mon_submission_record", "mon_submission_record_form", "form_instance_interval",
+                             "form_template_input_item_type", "form_template_control_type")},
+    "org_unit": "SELECT 'OU' || CAST(r_regionkey AS STRING) AS id, CASE WHEN r_regionkey = 4 THEN 'TEST AU' ELSE r_name END AS name, 'X' AS number FROM {region}",
+    "mon_location": _rows([("LG1", "PG", "Profile", 2), ("LG2", "PG", "Improvement", 1), ("LX", "PX", "Other", 3)], "id, program_id, display_name, sequence"),
+    "mon_submission_type": _rows([("STG1", "Annual", "LG1", "TG1"), ("STG2", "Timeline", "LG2", "TG2"), ("STG3", "Silent", "LG1", "TG3"), ("STX", "Other", "LX", "TG1")],
+                                 "id, name, location_id, form_template_id"),
+    "mon_submission_mode": _rows([("MG1", "Annual Budget Review", "STG1"), ("MG2", "AU Budget: Zero", "STG1"), ("MG3", "Improvement Timeline", "STG2"),
+                                  ("MG4", "Worksheet", "STG1"), ("MG5", "Silent mode", "STG3"), ("MX", "Other mode", "STX")], "id, name, submission_type_id"),
+    "mon_submissions": f"SELECT {_SUB} AS id, 'OU' || CAST(n_regionkey AS STRING) AS org_unit_id, 'RY' || CAST(year(o_orderdate) AS STRING) AS roster_year_id, "
+                       f"CASE {_MODE} WHEN '3' THEN 'STG2' WHEN '5' THEN 'STG3' ELSE 'STG1' END AS submission_type_id, 'MG' || {_MODE} AS submission_mode_id, "
+                       "min(o_orderdate) AS started_date, max(CASE WHEN n_regionkey <> 1 THEN o_orderdate END) AS closed_date, "
+                       f"max(CASE WHEN n_regionkey = 3 AND {_MODE} = '1' THEN o_orderdate END) AS deleted_date, "
+                       f"max(CASE WHEN n_regionkey = 2 AND {_MODE} = '3' THEN 'S0' END) AS reliability_check_of_submissions_id "
+                       f"FROM {_INST} GROUP BY n_regionkey, year(o_orderdate), {_MODE}",
+    "form_template": _rows([(f"TG{k}", f"Tracked {k}") for k in (1, 2, 3)], "id, name"),
+    "form_template_layout": _rows([r for k in (1, 2, 3) for r in ((f"LT{k}", f"TG{k}", f"CT{k}", None, 1), (f"LA{k}", f"TG{k}", f"CG{k}", f"LT{k}", 1))],
+                                  "id, template_id, control_id, parent_id, sequence"),
+    "form_template_control": _rows([(f"CG{k}", "CT1", False) for k in (1, 2, 3)], "id, type_id, is_repeatable"),
+    "form_template_input_item": _rows([(i, "C" + f[1:], f"TY{kind}", n, code, label) for n, (i, f, kind, code, label) in enumerate(_TRACKED_ITEMS)],
+                                      "id, input_area_id, type_id, sequence, code, label"),
+    "form_template_input_select_field_option": _rows([(f"O{k}", f"Help {k}", k) for k in range(1, 6)], "id, label, sequence"),
+    "form_instance": f"SELECT 'F' || {_KEY} AS id, CASE {_MODE} WHEN '3' THEN 'TG2' WHEN '5' THEN 'TG3' ELSE 'TG1' END AS template_id FROM {{orders}}",
+    "form_input_value": f"SELECT DISTINCT {_VAL} AS id, 'N' || CAST(l_orderkey AS STRING) AS interval_id, {_TRACKED_ITEM} AS input_field_id "
+                        "FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey",
+    "form_input_single_select_value": f"SELECT {_VAL} AS id, min('O' || CAST(CAST(ceil(l_quantity / 10) AS INT) AS STRING)) AS selected_option_id "
+                                      f"FROM {{lineitem}} WHERE l_linenumber = 1 AND l_returnflag <> 'N' GROUP BY {_VAL}",
+}
+
+
 def store(spark: SparkSession, t: dict[str, DataFrame], texts: dict[str, str] = STORE) -> dict[str, DataFrame]:
     """The native tables over the test tables ``t``, in the declared schemas."""
     out = {}

@@ -12,22 +12,48 @@ from ..schemas import TABLES
 
 
 def load(spark: SparkSession, path: str, fmt: str = "parquet",
-         tables: Iterable[str] | None = None, options: dict | None = None) -> dict[str, DataFrame]:
-    """SC1: lazily read the native tables found under ``path/<name>`` with
-    their declared schemas. Nothing is scanned until a report runs; Catalyst
+         tables: Iterable[str] | None = None, options: dict | None = None, upper_ids: bool = True) -> dict[str, DataFrame]:
+    """SC1: lazily read the native tables found under ``path/<name>`` (a JDBC
+    source: the tables of that name) in their declared schemas. A table that
+    lacks a declared column, or has it in a type that does not widen to the
+    declared one, is refused before anything runs; other columns are dropped.
+    Ids are upper-cased, so that keys written in either case meet. Catalyst
     pushes each report's filters and column needs into these scans."""
     out = {}
     for name in tables or TABLES:
-        reader = spark.read.format(fmt).schema(TABLES[name])
-        for k, v in (options or {}).items():
-            reader = reader.option(k, v)
+        reader = spark.read.format(fmt).options(**(options or {}))
         if fmt == "jdbc":
-            out[name] = reader.option("dbtable", name).load()
+            df = reader.option("dbtable", name).load()
         else:
-            out[name] = reader.load(f"{path.rstrip('/')}/{name}")
+            df = reader.load(f"{path.rstrip('/')}/{name}")
+        out[name] = _declared(name, df, upper_ids)
     return out
 
 
+#: Types that a declared type takes without loss.
+_WIDENS = {"string": {"string", "varchar", "char"}, "int": {"int", "smallint", "tinyint"}, "double": {"double", "float", "int", "smallint", "tinyint"},
+           "boolean": {"boolean"}, "date": {"date"}, "timestamp": {"timestamp", "timestamp_ntz", "date"}}
+
+
+def _declared(name: str, df: DataFrame, upper_ids: bool) -> DataFrame:
+    found = {f.name.lower(): f for f in df.schema.fields}
+    wrong, columns = [], []
+    for f in TABLES[name].fields:
+        here = found.get(f.name)
+        kind = here and here.dataType.simpleString().split("(")[0]
+        if here is None:
+            wrong.append(f"{f.name} is missing")
+        elif kind not in _WIDENS[f.dataType.simpleString()]:
+            wrong.append(f"{f.name} is {kind}, not {f.dataType.simpleString()}")
+        else:
+            c = F.col(here.name).cast(f.dataType)
+            is_id = upper_ids and f.dataType.simpleString() == "string" and (f.name == "id" or f.name.endswith("_id"))
+            columns.append((F.upper(c) if is_id else c).alias(f.name))
+    if wrong:
+        raise ValueError(f"table {name}: {'; '.join(wrong)}")
+    return df.select(*columns)
+
+
 def code_table(spark: SparkSession, rows: Sequence[tuple], cols: str | Sequence[str]) -> DataFrame:
     """SC2: an inline ``VALUES`` list. Its size is fixed by the literal, so it
     is always safe to broadcast and is marked so here."""
