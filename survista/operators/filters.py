@@ -72,14 +72,19 @@ def years_in_window(years: DataFrame, as_of, back: int = 2, start: str = "start_
     return years.join(hit, F.col(start_year) == F.col("__sy"), "left_semi")
 
 
-def branch_if(df: DataFrame, flag: DataFrame | bool) -> DataFrame:
-    """FI12: keep ``df``'s rows only when a scalar condition holds. A one-cell
-    frame is a scalar subquery of the plan (no row or NULL: no rows); one with
-    several rows fails when the query runs."""
+def branch_flag(flag: DataFrame | bool) -> Column:
+    """FI12: a scalar condition as a column. A one-cell frame is a scalar
+    subquery of the plan (no row or NULL: false); one with several rows fails
+    when the query runs."""
     if isinstance(flag, DataFrame):
         cell = flag.select(F.col(flag.columns[0]).cast("boolean").alias("c")).scalar()
-        return df.filter(F.coalesce(cell, F.lit(False)))
-    return df if flag else df.filter(F.lit(False))
+        return F.coalesce(cell, F.lit(False))
+    return F.lit(flag)
+
+
+def branch_if(df: DataFrame, flag: DataFrame | bool) -> DataFrame:
+    """FI12: keep ``df``'s rows only when a scalar condition holds."""
+    return df.filter(branch_flag(flag))
 
 
 def keep_levels(df: DataFrame, level: str, bits: Sequence[str]) -> DataFrame:

@@ -35,15 +35,12 @@ def dedupe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return (df.select(*cols) if cols else df).distinct()
 
 
-def threshold_flag(df: DataFrame, entity: Sequence[str] | str, cond: Column, n: int, name: str,
-                   count_name: str | None = None) -> DataFrame:
+def threshold_flag(df: DataFrame, entity: Sequence[str] | str, cond: Column, n: int, name: str) -> DataFrame:
     """AG20: 1 on every row of an entity having at least ``n`` rows meeting
-    ``cond``, else 0. Aggregate + join back (skew-safe, see ``with_group_total``)."""
+    ``cond``, else 0. A window over the entity: one read of ``df``, and after a
+    join on the entity no exchange of its own. A large entity's rows spill."""
     keys = [entity] if isinstance(entity, str) else list(entity)
-    cnt = count_name or f"__{name}_n"
-    totals = df.groupBy(*keys).agg(count_where(cond).alias(cnt))
-    out = df.join(totals, keys, "left").withColumn(name, (F.col(cnt) >= n).cast("int"))
-    return out if count_name else out.drop(cnt)
+    return df.withColumn(name, (count_where(cond).over(Window.partitionBy(*keys)) >= n).cast("int"))
 
 
 def any_match(value: Column, target: str) -> Column:

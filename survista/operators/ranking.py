@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import col
+from ..functions import col, columns
 
 
 def _keys(x) -> list:
@@ -20,10 +20,7 @@ def _keys(x) -> list:
 
 def _order(measure: str, desc: bool, tie: Sequence[str], nulls_last: bool) -> list[Column]:
     m = F.col(measure)
-    if desc:
-        first = m.desc_nulls_last() if nulls_last else m.desc()
-    else:
-        first = m.asc_nulls_last() if nulls_last else m.asc()
+    first = columns.nulls_last(measure, desc) if nulls_last else m.desc() if desc else m.asc()
     return [first] + [F.col(t).asc() for t in tie]
 
 

@@ -12,14 +12,14 @@ from ..functions import col
 
 
 # -- set operations ---------------------------------------------------------------
-def borrow_rows(df: DataFrame, rows: DataFrame | Column, overrides: Mapping[str, Column | object]) -> DataFrame:
-    """ST2: add a re-labelled copy of some rows (a frame, or the rows of ``df``
-    matching a condition: a statement shown again under another section) to the
-    original ones."""
-    copy = df.filter(rows) if isinstance(rows, Column) else rows
-    for c, v in overrides.items():
-        copy = copy.withColumn(c, v if isinstance(v, Column) else F.lit(v))
-    return df.unionByName(copy.select(*df.columns))
+def borrow_rows(df: DataFrame, cond: Column, overrides: Mapping[str, Column | object]) -> DataFrame:
+    """ST2: the rows of ``df``, and for each that matches ``cond`` a re-labelled
+    copy (a statement shown again under another section). One read of ``df``:
+    a row becomes an array of one or two."""
+    own = F.struct(*[F.col(c) for c in df.columns])
+    cells = {c: v if isinstance(v, Column) else F.lit(v) for c, v in overrides.items()}
+    copy = F.struct(*[cells[c].cast(df.schema[c].dataType).alias(c) if c in cells else F.col(c) for c in df.columns])
+    return df.select(F.explode(F.when(cond, F.array(own, copy)).otherwise(F.array(own))).alias("__r")).select("__r.*")
 
 
 def union_sections(df: DataFrame, column: str, specs: Sequence[Sequence]) -> DataFrame:

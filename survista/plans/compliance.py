@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import eq_null_sentinel, ratio_half_up
-from ..operators.filters import branch_if, restrict_to_user
+from ..operators.filters import branch_flag, restrict_to_user
 from ..operators.hierarchy import item_pct_of_sample, rollup_by
 from ..operators.joins import not_in
 from ..operators.measures import nonzero_mean, pct_met, yes_rate
@@ -106,27 +106,23 @@ def compliance_4(detail: DataFrame, attrs: DataFrame, section=None, borrow_attri
     keys = ["section_id", "section", "section_sequence", "attribute_id", "position"]
     d = (_yes_no(detail.join(attrs, "attribute_id")).withColumn("position", F.col("sequence").cast("double"))
          .groupBy("au", *keys).agg(*[F.sum(c).alias(c) for c in marks]))
-    gate: DataFrame | bool = True
+    gate: DataFrame | bool = borrow_attribute is not None and section is not None and section == borrow_section
     if when_section is not None:
         borrow_section = section
         gate = attrs.filter(F.col("section_id") == F.lit(section)).agg(F.max("section") == F.lit(when_section))
-    here = borrow_attribute is not None and section is not None and section == borrow_section
-    if here:
+    if gate is not False:
         host = attrs.filter(F.col("section_id") == F.lit(borrow_section))
-        borrowed = branch_if(d.filter(F.col("attribute_id") == F.lit(borrow_attribute)), gate)
-        d = borrow_rows(d, borrowed, {"section_id": F.lit(borrow_section), "section": host.agg(F.max("section")).scalar(),
-                                      "section_sequence": host.agg(F.max("section_sequence")).scalar(),
-                                      "position": F.lit(float(borrow_position))})
+        d = d.withColumn("__here", branch_flag(gate))
+        d = borrow_rows(d, F.col("__here") & (F.col("attribute_id") == F.lit(borrow_attribute)),
+                        {"section_id": F.lit(borrow_section), "section": host.agg(F.max("section")).scalar(),
+                         "section_sequence": host.agg(F.max("section_sequence")).scalar(),
+                         "position": F.lit(float(borrow_position))})
     if section is not None:
         d = d.filter(F.col("section_id") == F.lit(section))
-    sums = [F.sum(c).cast("double").alias(c) for c in marks]
-    by = {"labels": {"au": "State"}, "bits": {"au": "sort_bit"}}
-    out = rollup_by(d, ["au"], ["section_sequence", "section", "attribute_id", "position"], sums, **by)
-    if here:
-        overall = (rollup_by(d, ["au"], ["section_sequence", "section"], sums, **by)
-                   .withColumn("attribute_id", F.lit(None).cast(d.schema["attribute_id"].dataType))
-                   .withColumn("position", F.lit(float(overall_position))))
-        out = out.unionByName(branch_if(overall, gate).select(*out.columns))
+    if gate is not False:  # each row counts in its statement and in its section's overall row
+        d = borrow_rows(d, F.col("__here"), {"attribute_id": F.lit(None), "position": F.lit(float(overall_position))})
+    out = rollup_by(d, ["au"], ["section_sequence", "section", "attribute_id", "position"], [F.sum(c).cast("double").alias(c) for c in marks],
+                    labels={"au": "State"}, bits={"au": "sort_bit"})
     return out.withColumn("yes_rate", yes_rate(F.col("yes"), F.col("no")))
 
 

@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import (div_floor, likert, merge_buckets, money_text, optional_eq, pad_left, ratio_half_up, round_dec,
+from ..functions import (div_floor, likert, merge_buckets, money_text, pad_left, ratio_half_up, round_dec,
                          safe_div, weighted)
-from ..operators.filters import restrict_to_user, years_in_window
+from ..operators.filters import optional_filter, restrict_to_user, years_in_window
 from ..operators.hierarchy import rollup_by, rollup_regroup
 from ..operators.measures import count_where, pct_gt_all, threshold_flag
 from ..operators.ranking import top_bottom, top_bottom_join
@@ -37,25 +37,27 @@ def family_submissions(submissions: DataFrame) -> DataFrame:
 def family_responses(answers: DataFrame, weights: DataFrame) -> DataFrame:
     """PL5 (responses): answers with ``likert_score`` (option sequence + 1, NULL
     for an item without a report weight) and their weight. Instances whose
-    answers are all blank are left out."""
-    some = answers.groupBy("instance_id").agg(F.count("option_sequence").alias("n")).filter("n > 0").select("instance_id")
-    a = answers.join(some, "instance_id", "left_semi").select(
-        "instance_id", F.col("attribute_id").alias("question"), "option_sequence", F.col("match").alias("disability_match"))
-    w = weights.select("question", F.col("report_weight").alias("response_weight"))
+    answers are all blank are left out, by a window over the one exchange by
+    instance."""
+    w = weights.select(F.col("question").alias("attribute_id"), F.col("report_weight").alias("response_weight"))
     scored = F.col("response_weight").isNotNull()
-    return (a.join(w, "question", "left")
-            .withColumn("likert_score", F.when(scored, likert("option_sequence")))
-            .withColumn("weighted_score", F.when(scored, weighted("option_sequence", "response_weight"))))
+    a = answers.join(w, "attribute_id", "left").withColumns({
+        "likert_score": F.when(scored, likert("option_sequence")),
+        "weighted_score": F.when(scored, weighted("option_sequence", "response_weight"))})
+    a = a.withColumn("__some", F.count("option_sequence").over(Window.partitionBy("instance_id")))
+    return a.filter(F.col("__some") > 0).select(
+        "instance_id", F.col("attribute_id").alias("question"), "option_sequence", F.col("match").alias("disability_match"), "response_weight",
+        "likert_score", "weighted_score")
 
 
 def family_master(instances: DataFrame, answers: DataFrame, weights: DataFrame, likert75_min: int = 12) -> DataFrame:
     """PL6: submissions left-joined to their responses, with ``likert_gt3`` and
     ``likert75`` = 1 on every row of an instance having at least
-    ``likert75_min`` answers above 3. A submission without responses stays, as
-    one row without a question."""
-    m = (family_submissions(instances).join(family_responses(answers, weights), "instance_id", "left")
-         .withColumn("disability_match", F.coalesce("disability_match", F.lit("Blank")))
-         .withColumn("likert_gt3", F.when(F.col("likert_score") > 3, 1).otherwise(0)))
+    ``likert75_min`` answers above 3 (AG20). A submission without responses
+    stays, as one row without a question. The answers are read once."""
+    m = family_submissions(instances).join(family_responses(answers, weights), "instance_id", "left")
+    m = m.withColumns({"disability_match": F.coalesce("disability_match", F.lit("Blank")),
+                       "likert_gt3": F.when(F.col("likert_score") > 3, 1).otherwise(0)})
     return threshold_flag(m, "instance_id", F.col("likert_score") > 3, likert75_min, "likert75")
 
 
@@ -64,7 +66,7 @@ def _filters(master: DataFrame, grants: DataFrame | None, user_id: str | None, l
     m = master
     if grants is not None and user_id is not None:
         m = restrict_to_user(m, grants, user_id)
-    m = m.filter(optional_eq("language", language) & optional_eq("disability_match", match))
+    m = optional_filter(optional_filter(m, "language", language), "disability_match", match)
     if roster_year is not None:
         m = m.filter(F.col("roster_year") == F.lit(roster_year))
     return m

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import KEEP, likert, map_values, merge_buckets, roster_year_label
 from ..operators.eav import pivot_attributes
 from ..operators.filters import active, drop_in
-from ..operators.measures import count_where
+from ..operators.measures import count_where, threshold_flag
 
 BLANK = "Blank"
 # Layout positions of the language, the disability match and the questions in the survey's form.
@@ -98,20 +98,18 @@ def master(t: dict[str, DataFrame], submission_type_id: str, template_id: str, a
         return F.collect_list(F.when(F.col("layout_sequence") == at, F.coalesce("response", F.lit(BLANK)))).over(own)
 
     a = answers(t, template_id, dropped).withColumns({
-        "__stays": _answered(ignored), "__languages": side(LANGUAGE_AT), "__matches": side(MATCH_AT), "__asked": count_where(asked).over(own),
-        "__high": count_where(asked & (F.col("likert_score") > 3)).over(own), "__first": F.min("value_id").over(own) == F.col("value_id")})
+        "__stays": _answered(ignored), "__languages": side(LANGUAGE_AT), "__matches": side(MATCH_AT), "__asked": count_where(asked).over(own), "__first": F.min("value_id").over(own) == F.col("value_id")})
     # An instance without question answers keeps one row for its language and match.
     a = a.filter(F.col("__stays") & (asked | ((F.col("__asked") == 0) & F.col("__first"))))
     shown = [F.when(asked, F.col(c)).alias(c) for c in ("attribute_id", "question", "question_code", "question_text", "question_report_label",
                                                         "likert_score", "response_weight")]
     response = F.when(asked, F.coalesce("response", F.lit(BLANK))).alias("response")
-    a = a.select("instance_id", *shown, response, "__languages", "__matches", "__high")
+    a = a.select("instance_id", *shown, response, "__languages", "__matches")
     d = submissions(t, submission_type_id, attributes, outside).join(a, "instance_id", "left")
     d = d.withColumn("grade", merge_buckets("grade", [["006", "007"]]))
-    rows = F.greatest(F.size("__languages"), F.lit(1)) * F.greatest(F.size("__matches"), F.lit(1))
-    d = d.withColumn("likert75", F.when(F.col("__high") * rows >= likert75_min, 1).otherwise(0))
     d = d.select("*", F.explode_outer("__languages").alias("__language")).select("*", F.explode_outer("__matches").alias("__match"))
+    d = threshold_flag(d, "instance_id", F.col("likert_score") > 3, likert75_min, "likert75")
     return d.withColumns({"language": F.coalesce("__language", F.lit(BLANK)), "disability_match": F.coalesce("__match", F.lit(BLANK)),
                           "weighted_score": F.col("likert_score") * F.col("response_weight"),
                           "likert_gt3": F.when(F.col("likert_score") > 3, "Likert 4 or 5").otherwise("")}).drop(
-        "__languages", "__matches", "__high", "__language", "__match")
+        "__languages", "__matches", "__language", "__match")

@@ -24,8 +24,8 @@ def query(name: str, body: str):
     return deco
 
 
-def _store(spark: SparkSession, sf: str):
-    return native_proxy.store(spark, proxy.read_tables(spark, sf, ("region", "nation", "customer", "orders", "lineitem")))
+def _store(spark: SparkSession, sf: str, texts: dict[str, str] = native_proxy.STORE):
+    return native_proxy.store(spark, proxy.read_tables(spark, sf, ("region", "nation", "customer", "orders", "lineitem")), texts)
 
 
 def _scratch(spark: SparkSession) -> str:
@@ -193,10 +193,13 @@ for _f, _base in ((persisted_formlet_kav, "native_formlet_kav"), (persisted_raw_
 
 
 # -- checklist reports over the native views, for user U1 and one roster year ----------
-_DETAIL = """att AS (SELECT DISTINCT i.attribute_id, ar.id AS section_id, ar.label AS section, CAST(ar.sequence AS INTEGER) AS section_sequence, i.display_sequence
+_DETAIL = """att AS (SELECT DISTINCT i.attribute_id, ar.id AS section_id, ar.label AS section, CAST(ar.sequence AS INTEGER) AS section_sequence, i.display_sequence,
+               p.control_id AS parent_control
         FROM items i JOIN form_template_layout p ON p.id = i.layout_parent_id LEFT JOIN mon_submission_area ar ON ar.form_template_control_id = p.control_id
         WHERE i.template_id = 'T1'),
-ats AS (SELECT *, CAST(row_number() OVER (ORDER BY display_sequence, attribute_id) AS INTEGER) AS sequence FROM att),
+ats AS (SELECT * EXCLUDE (parent_control), CAST(row_number() OVER (ORDER BY display_sequence, attribute_id) AS INTEGER) AS sequence,
+               CAST(CASE WHEN row_number() OVER (PARTITION BY parent_control ORDER BY display_sequence DESC, attribute_id DESC) = 1 THEN 1 ELSE 0 END AS INTEGER) AS is_note FROM att),
+st AS (SELECT * FROM ats),
 d AS (SELECT ou.name AS au, fi.id AS instance_id, a.*, o.label, o.report_label AS value
       FROM form_instance fi JOIN form_instance_interval fii ON fii.instance_id = fi.id JOIN form_input_value v ON v.interval_id = fii.id
       JOIN ats a ON a.attribute_id = v.input_field_id JOIN form_input_single_select_value ss ON ss.id = v.id
@@ -208,8 +211,8 @@ d AS (SELECT ou.name AS au, fi.id AS instance_id, a.*, o.label, o.report_label A
         AND ou.id IN (SELECT org_unit_id FROM user_profile_org_unit WHERE user_profile_id = 'U1'))"""
 
 
-def _checklist(spark: SparkSession, sf: str):
-    t = V.with_form_catalogue(_store(spark, sf), _scratch(spark))
+def _checklist(spark: SparkSession, sf: str, texts: dict[str, str] = native_proxy.STORE):
+    t = V.with_form_catalogue(_store(spark, sf, texts), _scratch(spark))
     return (CMP.in_scope(V.checklist_detail(t, "T1"), t["user_profile_org_unit"], "U1", "RY1997"),
             V.compliance_formlet_attributes(t, "T1").select("section_id", "section", "section_sequence", "attribute_id", "sequence", "is_note"))
 

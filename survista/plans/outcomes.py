@@ -28,13 +28,13 @@ DIMENSIONS = {"D": "disability", "E": "exit_reason", "G": "gender", "R": "race"}
 def pso_rollup(record_kav: DataFrame, answers: DataFrame, question_id, district_attr: str, school_attr: str,
                dimension_attr: str, lookup: DataFrame | None = None, fallback: bool = False, levels: int = 3,
                grants: DataFrame | None = None, user_id: str | None = None, roster_year=None,
-               record_set_id=None, met: str = "Met") -> DataFrame:
+               record_set_id=None, met: str = "Met", submission_mode_id=None) -> DataFrame:
     """Rollup AU -> District -> School (``levels`` deep) x dimension of:
     ``n_size`` (distinct instances), ``met_count`` (instances whose answer to
     ``question_id`` is ``met``), ``pct`` decimal(5,2), and the sort bits.
 
     ``record_kav`` columns: instance_id, org_unit_id, au, attribute_id, value
-    (+ roster_year / record_set_id when those filters are used). ``answers``:
+    (+ roster_year / record_set_id / submission_mode_id when those filters are used). ``answers``:
     instance_id, attribute_id, value. ``lookup`` (code, name) decodes the
     dimension, keeping unknown codes when ``fallback`` else NULL.
     """
@@ -45,6 +45,8 @@ def pso_rollup(record_kav: DataFrame, answers: DataFrame, question_id, district_
         rk = rk.filter(F.col("roster_year") == F.lit(roster_year))
     if record_set_id is not None:
         rk = rk.filter(null_or_eq("record_set_id", record_set_id))
+    if submission_mode_id is not None:
+        rk = rk.filter(F.col("submission_mode_id") == F.lit(submission_mode_id))
     dim_value = F.col("value")
     if lookup is not None:
         rk = decode(rk, "value", lookup, out="__dim", fallback=fallback,

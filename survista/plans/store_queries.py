@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from ..operators import reshape as RS
 from ..operators.ranking import rank_global, sort_totals_last
 from ..sources import native_proxy, proxy
-from ..sources.tables import load, register_views, write_csv
+from ..operators.filters import keep_in
+from ..operators.joins import decode
+from ..functions import contains_ci
+from ..sources.tables import ignore_case, load, register_views, write_csv
 from . import catalog as C
 from . import compliance as CMP
 from . import gifted as GIF
@@ -30,8 +33,8 @@ def query(name: str, sql: str):
     return deco
 
 
-def _over_store(body: str) -> str:
-    return f"WITH RECURSIVE {native_proxy.ctes()},\n{NQ._ITEMS_SQL},\n{body}"
+def _over_store(body: str, texts: dict[str, str] = native_proxy.STORE) -> str:
+    return f"WITH RECURSIVE {native_proxy.ctes(texts=texts)},\n{NQ._ITEMS_SQL},\n{body}"
 
 
 # -- tracked submissions ------------------------------------------------------------------
@@ -233,3 +236,99 @@ def totals_last_ordinal(spark, sf):
     rows = sort_totals_last(C.QUERIES["rollup_by_dimension"](spark, sf), ["au_sort_bit", "district_sort_bit"], ["admin_unit", "district", "dimension"])
     placed = rows.withColumn("__place", F.monotonically_increasing_id())
     return rank_global(placed, [F.col("__place")], "ordinal").drop("__place")
+
+
+# -- checklist and outcome reports over the native views ---------------------------------------------------
+def _checklist_report(name: str, base: str, run, *swaps):
+    """The report of ``base`` for user U1 and one year; its SQL reads ``d`` and ``st``."""
+    body = C.ORACLE[base]
+    assert body.startswith(C._CK)
+    body = body[len(C._CK):].strip()
+    for old, new in swaps:
+        body = body.replace(old, new)
+
+    def fn(spark, sf):
+        return run(*NQ._checklist(spark, sf, native_proxy.CHECKLIST))
+    fn.__doc__ = f"{name}: the report of ``{base}`` over the native views."
+    QUERIES[name] = fn
+    ORACLE[name] = _over_store(NQ._DETAIL + ("" if body.startswith(",") else "\n") + body, native_proxy.CHECKLIST)
+
+
+@query("native_checklist_rows", _over_store(NQ._DETAIL + """
+SELECT instance_id, section_id, section, section_sequence, attribute_id, sequence, value, is_note FROM d""", native_proxy.CHECKLIST))
+def native_checklist_rows(spark, sf):
+    """RP1 over the native views."""
+    return CMP.compliance_2(*NQ._checklist(spark, sf, native_proxy.CHECKLIST))
+
+
+_checklist_report("native_note_pairing", "note_pairing", CMP.compliance_2b)
+_checklist_report("native_item_pct_of_sample", "item_pct_of_sample", CMP.compliance_4_sample)
+_checklist_report("native_section_top_bottom", "section_top_bottom", lambda d, a: CMP.compliance_8_section(d, a, [["ARA", "ARB"], ["ARC"]], n=5),
+                  ("('A', 'B')", "('ARA', 'ARB')"), ("('C')", "('ARC')"))
+
+# Fixed values of the stand-in code list; HOUSEHOLD is left out.
+_SEGMENTS = [("AUTOMOBILE", "Auto"), ("BUILDING", "Build"), ("FURNITURE", "Furn"), ("MACHINERY", "Mach")]
+_RDATA = """SELECT rf.id AS instance_id, ou.name AS au, v.attribute_id, v.value
+  FROM mon_submissions s JOIN mon_submission_record sr ON sr.submissions_id = s.id LEFT JOIN mon_submission_record_form rf ON rf.submission_record_id = sr.id
+  LEFT JOIN mon_record_selection sel ON sel.id = sr.record_selection_id LEFT JOIN org_unit ou ON ou.id = s.org_unit_id
+  LEFT JOIN mon_record_attribute_value v ON v.record_id = sel.record_id LEFT JOIN mon_record_attribute a ON a.id = v.attribute_id
+  WHERE s.deleted_date IS NULL AND s.reliability_check_of_submissions_id IS NULL AND sel.excluded_date IS NULL AND s.submission_mode_id = 'M2'
+    AND ou.id IN (SELECT org_unit_id FROM user_profile_org_unit WHERE user_profile_id = 'U1') AND s.roster_year_id = 'RY1997'
+    AND (a.record_set_id IS NULL OR a.record_set_id = 'RS0')"""
+
+
+def _outcome_sql(dimension: str, levels: int) -> str:
+    cols, names = ["au", "district", "school"][:levels], ["admin_unit", "district", "school"]
+    totals, bits = ["State Total", "Admin Unit Total", "District Total"], ["au_sort_bit", "district_sort_bit", "school_sort_bit"]
+    shown = ", ".join(f"CASE WHEN grouping(r.{c}) = 0 THEN r.{c} ELSE '{t}' END AS {n}, CAST(grouping(r.{c}) AS INTEGER) AS {b}"
+                      for c, t, n, b in zip(cols, totals, names, bits, strict=False))
+    return _over_store(f"""codes AS (SELECT * FROM (VALUES {', '.join(f"('{c}', '{n}')" for c, n in _SEGMENTS)}) AS v(code, name)),
+rdata AS ({_RDATA}),
+rpivot AS (SELECT instance_id, au, max(CASE WHEN attribute_id = 'A1' THEN value END) AS district, max(CASE WHEN attribute_id = 'A4' THEN value END) AS school,
+             max(CASE WHEN attribute_id = 'A2' THEN {dimension} END) AS dimension
+           FROM rdata LEFT JOIN codes d ON rdata.value = d.code AND attribute_id = 'A2' GROUP BY instance_id, au),
+fpivot AS (SELECT fi.id AS instance_id, max(CASE WHEN coalesce(t.option_report_label, t.option_label) = 'Met' THEN 1 ELSE 0 END) AS answer
+           FROM form_instance fi JOIN form_instance_interval fii ON fii.instance_id = fi.id JOIN typed t ON t.interval_id = fii.id
+           WHERE t.input_field_id = 'I3' GROUP BY fi.id)
+SELECT {shown}, r.dimension, count(DISTINCT r.instance_id) AS n_size, CAST(sum(f.answer) AS BIGINT) AS met_count,
+       {C.S.pct_of("sum(f.answer)", "count(DISTINCT r.instance_id)")} AS pct
+FROM rpivot r LEFT JOIN fpivot f ON r.instance_id = f.instance_id GROUP BY ROLLUP({', '.join('r.' + c for c in cols)}), r.dimension""")
+
+
+def _outcomes(spark, sf, code: str, levels: int) -> DataFrame:
+    t = NQ._store(spark, sf)
+    kav = V.record_kav(t).filter(F.col("roster_year_id") == F.lit("RY1997"))
+    answers = V.formlet_kav(t, ["T1"]).select("instance_id", "attribute_id", "value")
+    lookup = proxy.code_table(spark, _SEGMENTS, "code string, name string")
+    return OUT.pso_report(code, kav, answers, {code: "A2"}, {code: lookup}, question_id="I3", district_attr="A1", school_attr="A4", levels=levels,
+                          grants=t["user_profile_org_unit"], user_id="U1", record_set_id="RS0", submission_mode_id="M2")
+
+
+def _outcome_report(name: str, code: str, dimension: str, levels: int = 3):
+    def fn(spark, sf):
+        return _outcomes(spark, sf, code, levels)
+    fn.__doc__ = f"{name}: outcomes by {OUT.DIMENSIONS[code]} over the native views, of one submission mode."
+    QUERIES[name], ORACLE[name] = fn, _outcome_sql(dimension, levels)
+
+
+_outcome_report("native_outcomes_disability", "D", "d.name")
+_outcome_report("native_outcomes_exit_reason", "E", "coalesce(d.name, rdata.value)")
+_outcome_report("native_outcomes_gender", "G", "d.name")
+_outcome_report("native_outcomes_race", "R", "rdata.value")
+_outcome_report("native_outcomes_by_parameter", "E", "coalesce(d.name, rdata.value)", levels=2)
+
+
+# -- text in any case ------------------------------------------------------------------------------------
+@query("mixed_case_groups", C.S.with_base(f"lk AS (SELECT * FROM {C.S.GENDER_SQL})") + """, m AS (SELECT lower(language) AS code, lower(district) AS district FROM inst)
+    SELECT m.district, lower(coalesce(lk.name, m.code)) AS status, count(*) AS n FROM m LEFT JOIN lk ON lower(lk.code) = m.code
+    WHERE m.code IN ('f', 'o') AND m.district LIKE '%a%' GROUP BY 1, 2""")
+def mixed_case_groups(spark, sf):
+    """FI1, FI9, JN6 and AG1 on codes and names written in either case: they filter, decode and group alike."""
+    odd = F.col("instance_id") % 2 == 1
+    inst = proxy.instances(proxy.read_tables(spark, sf, C.ORDER_TABLES))
+    inst = inst.select(F.when(odd, F.lower("language")).otherwise(F.col("language")).alias("code"),
+                       F.when(odd, F.initcap("district")).otherwise(F.col("district")).alias("district"))
+    rows = keep_in(ignore_case(inst), "code", ["f", "O"]).filter(contains_ci("district", "A"))
+    named = decode(rows, "code", ignore_case(proxy.gender_codes(spark)), out="status", fallback=True)
+    found = named.groupBy("district", "status").agg(F.count(F.lit(1)).alias("n"))
+    return found.select(*[F.lower(F.collate(c, "UTF8_BINARY")).alias(c) for c in ("district", "status")], "n")

@@ -159,6 +159,15 @@ FAMILY: dict[str, str] = {
 }
 
 
+#: The store with a form of single-select items alone, as a checklist has them.
+CHECKLIST: dict[str, str] = {
+    **STORE,
+    "form_template_input_item": _rows([(f"I{i}", f"C{s}1", "TYSingleSelect", q, code, label, report, None) for i, s, q, code, label, report in _ITEMS],
+                                      "id, input_area_id, type_id, sequence, code, label, report_label, report_weight"),
+    "form_input_single_select_value": f"SELECT {_VAL} AS id, min('O' || CAST(CAST(ceil(l_quantity / 10) AS INT) AS STRING)) AS selected_option_id "
+                                      f"FROM {{lineitem}} WHERE l_linestatus <> 'O' OR l_linenumber > 2 GROUP BY {_VAL}",
+}
+
 # Fixed values of the stand-in tracked program: three forms, of which the first asks for help, the second asks and has two review
 # dates, and the third does neither.
 _TRACKED_ITEMS = [("IG1", "TG1", "SingleSelect", "H1", "Do you need Assistance with the budget?"), ("IG2", "TG1", "Text", "Q2", "Other question"),

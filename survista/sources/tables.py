@@ -12,13 +12,15 @@ from ..schemas import TABLES
 
 
 def load(spark: SparkSession, path: str, fmt: str = "parquet",
-         tables: Iterable[str] | None = None, options: dict | None = None, upper_ids: bool = True) -> dict[str, DataFrame]:
+         tables: Iterable[str] | None = None, options: dict | None = None, upper_ids: bool = True,
+         any_case: bool = False) -> dict[str, DataFrame]:
     """SC1: lazily read the native tables found under ``path/<name>`` (a JDBC
     source: the tables of that name) in their declared schemas. A table that
     lacks a declared column, or has it in a type that does not widen to the
     declared one, is refused before anything runs; other columns are dropped.
-    Ids are upper-cased, so that keys written in either case meet. Catalyst
-    pushes each report's filters and column needs into these scans."""
+    Ids are upper-cased, so that keys written in either case meet; with
+    ``any_case`` all text compares so (see ``ignore_case``). Catalyst pushes each
+    report's filters and column needs into these scans."""
     out = {}
     for name in tables or TABLES:
         reader = spark.read.format(fmt).options(**(options or {}))
@@ -26,10 +28,20 @@ def load(spark: SparkSession, path: str, fmt: str = "parquet",
             df = reader.option("dbtable", name).load()
         else:
             df = reader.load(f"{path.rstrip('/')}/{name}")
-        out[name] = _declared(name, df, upper_ids)
+        df = _declared(name, df, upper_ids)
+        out[name] = ignore_case(df) if any_case else df
     return out
 
 
+def ignore_case(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """Give text columns (all, or those named) a case-insensitive collation, as
+    the source's database compares: filters, joins, grouping, DISTINCT and
+    ordering then treat spellings that differ in case as one. A group shows one
+    of its spellings. Filters on such columns are not pushed into the scan."""
+    chosen = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"} & set(columns or df.columns)
+    return df.select(*[F.collate(F.col(c), "UTF8_LCASE").alias(c) if c in chosen else F.col(c) for c in df.columns])
+
+
 #: Types that a declared type takes without loss.
 _WIDENS = {"string": {"string", "varchar", "char"}, "int": {"int", "smallint", "tinyint"}, "double": {"double", "float", "int", "smallint", "tinyint"},
            "boolean": {"boolean"}, "date": {"date"}, "timestamp": {"timestamp", "timestamp_ntz", "date"}}

@@ -9,7 +9,7 @@ from survista.plans import compliance as CMP
 from survista.plans import gifted as GIF
 from survista.plans import outcomes as OUT
 from survista.schemas import TABLES
-from survista.sources.tables import load, write_csv
+from survista.sources.tables import ignore_case, load, write_csv
 
 
 def test_column_groups_follow_the_data(spark):
@@ -83,3 +83,14 @@ def test_program_modes_are_numbered_by_place(spark):
                                                               ("M5", "x", "T4"), ("M6", "out", "T1")])}
     got = sorted((r.mode_sequence, r.submission_mode_id, r.location) for r in GIF.program_modes(t, "P", ["M6"]).collect())
     assert got == [(1, "M4", "Zero"), (2, "M3", "First"), (3, "M1", "First"), (4, "M2", "First")]
+
+
+def test_text_in_any_case_meets(spark, tmp_path):
+    a = ignore_case(spark.createDataFrame([("F", 1), ("f", 2), ("x", 4), (None, 8)], "code string, n int"))
+    b = ignore_case(spark.createDataFrame([("f", "Female"), ("X", "Other")], "code string, name string"), ["code"])
+    assert sorted((r.code.lower(), r.n) for r in a.filter("code IS NOT NULL").groupBy("code").agg(F.sum("n").alias("n")).collect()) == [("f", 3), ("x", 4)]
+    assert sorted((r.name, r.n) for r in a.join(b, "code").collect()) == [("Female", 1), ("Female", 2), ("Other", 4)]
+    assert a.filter(F.col("code") == "F").count() == 2 and a.select("code").distinct().count() == 3
+    assert b.filter(F.col("name") == "female").count() == 0
+    spark.createDataFrame([("u1", "Name", None), ("U2", "NAME", None)], TABLES["org_unit"]).write.parquet(str(tmp_path / "org_unit"))
+    assert load(spark, str(tmp_path), tables=["org_unit"], any_case=True)["org_unit"].groupBy("name").count().count() == 1
