@@ -24,7 +24,6 @@ from ..operators.ranking import top_bottom, top_bottom_join
 # Subtotal labels of the family reports.
 STATE = "STATE"
 BLANK = " "
-TOTAL = "Total"
 
 
 def family_submissions(submissions: DataFrame) -> DataFrame:
@@ -92,16 +91,10 @@ def family_2(master: DataFrame, questions: Sequence[int], grants=None, user_id=N
     if au_only:
         x = x.filter((F.col("district_bit") == 1) & (F.col("school_bit") == 1))
     keys = _H + list(_BITS.values())
-    # The row total is one more pivot column (union, then one pivot; no join
-    # on subtotal keys, which are NULL on rolled-up rows).
-    total = x.groupBy(*keys).agg(F.lit(TOTAL).alias("qk"), money_text(round_dec(F.avg("mean"), 2)).alias("cell"))
-    cells = x.select(*keys, F.col("question").cast("string").alias("qk"),
-                     money_text(ratio_half_up("s", "c", scale=2)).alias("cell"))
-    qkeys = [str(q) for q in questions] + [TOTAL]
-    out = cells.unionByName(total).groupBy(*keys).pivot("qk", qkeys).agg(F.first("cell"))
-    for q in questions:
-        out = out.withColumnRenamed(str(q), _qname(q))
-    out = out.withColumnRenamed(TOTAL, "total")
+    # Cells and total come from one aggregate over the rolled-up rows.
+    cell = money_text(ratio_half_up("s", "c", scale=2))
+    cells = [F.max(F.when(F.col("question") == F.lit(q), cell)).alias(_qname(q)) for q in questions]
+    out = x.groupBy(*keys).agg(*cells, money_text(round_dec(F.avg("mean"), 2)).alias("total"))
     lab = [F.when(F.col(_BITS[h]) == 0, F.col(h)).otherwise(F.lit(_LABELS[h])).alias(n)
            for h, n in zip(_H, ["admin_unit", "district", "school"])]
     return out.select(*lab, *[_qname(q) for q in questions], "total", *_BITS.values())
