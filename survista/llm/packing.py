@@ -108,7 +108,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 1024, max_doc
          max_attention: int | None = None, weights: tuple = (1.0, 0.05, 0.05), shard_pieces: int = 6_000,
          id_col: str = "doc_id", text_col: str = "text", byte_level: bool = True) -> DataFrame:
     """Pack all rows of ``docs`` into sequences of at most ``size`` tokens, ``max_documents`` pieces and
-    ``max_attention`` (the sum of squared piece lengths; size squared if None, which every full sequence meets).
+    ``max_attention`` (the sum of squared piece lengths). If None that is size squared, which no sequence exceeds: then it
+    only weighs in the choice. A piece that exceeds a smaller one by itself, full pieces among them, is a sequence of its own.
 
     One row per piece: id_col, piece, start, length, ids_crc32, sequence_id, offset. Null text counts as empty, which is
     the end id alone; null and repeated ids are packed like others. An empty table gives no rows; other columns are
@@ -116,12 +117,12 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 1024, max_doc
     random to shards of about ``shard_pieces``, each packed in a task of its own: what a shard wastes is at most
     a few sequences, so the count stays within a small share of the total at any size of the input.
     """
-    if size * size > (max_attention or size * size):
-        raise ValueError("max_attention must admit a full piece")
-    caps = np.array([size, max_documents, max_attention or size * size], np.float64)
+    attention = size * size if max_attention is None else max_attention
+    caps = np.array([size, max_documents, attention], np.float64)
     factor = np.array(weights)
     cut = materialise(pieces(docs, tokenizer, end_id, size, id_col, text_col, byte_level), "pieces")
-    part = cut.filter(F.col("length") < size)
+    alone = (F.col("length") == size) | (F.col("length") * F.col("length") > attention)
+    part = cut.filter(~alone)
     shards = max(1, -(-part.count() // shard_pieces))
     dealt = part.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
     schema = f"id {cut.schema['id'].dataType.simpleString()}, {PIECE}, sequence_id bigint, offset bigint"
@@ -133,6 +134,6 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 1024, max_doc
         return rows.drop(columns="shard")
 
     packed = dealt.groupBy("shard").applyInPandas(place, schema)
-    full = cut.filter(F.col("length") == size).select(
+    full = cut.filter(alone).select(
         "*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     return packed.union(full).withColumnRenamed("id", id_col)

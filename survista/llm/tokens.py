@@ -35,13 +35,16 @@ class Encoder(dict):
 
     No pre-token crosses the cuts below, so a text's ids are those of its chunks in a row. The library encodes a chunk
     when it is first seen; the mapping remembers it, for at most 2 * ``room`` chunks, the older half being dropped.
-    Strings of special tokens in a text are ordinary text.
+    A text that holds the string of a special token, in any case, goes to the library whole: the token is cut out of
+    the text before any other rule applies.
     """
 
     def __init__(self, path: str, byte_level: bool, room: int = 600_000):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join(map(re.escape, added)) or rb"(?!)", re.IGNORECASE)
+        self.mark = min(added, key=len)[:2] if len({a[:2] for a in added}) == 1 and added[0][:2].upper() == added[0][:2].lower() else b""
         self.pieces, self.space = self.tokenizer.model.tokenize, "\u0120" if byte_level else ""
         self.byte_level, self.room = byte_level, room
         self.plain, self.before = _PLAIN[byte_level], b"\xff" if byte_level else b""
@@ -84,6 +87,8 @@ class Encoder(dict):
         return ids
 
     def encode(self, text: bytes) -> bytes:
+        if self.mark in text and self.special.search(text):
+            return array("I", self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
         return b"".join(map(self.__getitem__, self._chunks(text))) if text else b""
 
 
