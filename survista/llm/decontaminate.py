@@ -1,9 +1,11 @@
 """Benchmark passages in training text: BM25 retrieval of test items by block-max WAND, then overlap of question and answer.
 
 Items are indexed in blocks of bounded text, one broadcast index after the other; every document is the query of each.
-An item is found if ``share`` of the five-word shingles of its question and of its answer stand in one passage. Each item's
-retrieval threshold follows from that: a passage that passes lacks at most one word for each missing shingle, so its
-BM25 score is at least the item's own score less its heaviest words, as many as shingles may be missing.
+An item is found if ``share`` of the five-word shingles of its question and of its answer stand in one passage, or the
+same share of those of the whole item, where one word more or less decides over a short answer. Passages are as wide as the
+longest item of all blocks asks for. Each item's retrieval threshold follows from that: a passage that passes lacks at most
+one word for each missing shingle, so its BM25 score is at least the item's own score less its heaviest words, as many as
+shingles may be missing.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from survista.llm.common import utf8
+from survista.llm.common import materialise, utf8
 from survista.llm.licences import words
 
 K1, B = 1.2, 0.75
@@ -34,9 +36,9 @@ def shingles(ws: list[bytes], width: int) -> set[bytes]:
 class Index:
     """Inverted index of items with impacts scaled so that each item's threshold is 1, and their maxima by term and block."""
 
-    def __init__(self, items: list[tuple], df: dict[bytes, int], n_items: int, mean_length: float, share: float, width: int):
-        """items: (item id, words of the question, words of the answer)."""
-        self.width, self.share = width, share
+    def __init__(self, items: list[tuple], df: dict[bytes, int], n_items: int, mean_length: float, longest: int, share: float, width: int):
+        """items: (item id, words of the question, words of the answer). n_items, mean_length, longest: of all blocks."""
+        self.width, self.share, self.longest = width, share, longest
         self.items, self.parts = [], []
         self.ids: dict[bytes, int] = {}
         rows: list[tuple[int, int, float]] = []
@@ -45,22 +47,22 @@ class Index:
             ws = question + answer
             if not ws:
                 continue
-            q, a = shingles(question, width), shingles(answer, width)
+            q, a, both = shingles(question, width), shingles(answer, width), shingles(ws, width)
             tf: dict[bytes, int] = {}
             for w in ws:
                 tf[w] = tf.get(w, 0) + 1
             norm = K1 * (1 - B + B * len(ws) / mean_length)
             weight = {w: np.log1p((n_items - df[w] + 0.5) / (df[w] + 0.5)) * n * (K1 + 1) / (n + norm) for w, n in tf.items()}
             # A word that is gone begins or ends a missing shingle; twice as many may be where shingles repeat.
-            missing = sum(int(len(s) * (1 - share) + 1e-9) * (1 + (len(p) - width + 1 > len(s))) for s, p in ((q, question), (a, answer)))
+            lack = [int(len(s) * (1 - share) + 1e-9) * (1 + (len(p) - width + 1 > len(s))) for s, p in ((q, question), (a, answer), (both, ws))]
+            missing = max(lack[0] + lack[1], lack[2])
             heaviest = sorted(weight.values(), reverse=True)[:missing]
             least = max(sum(weight.values()) - sum(heaviest), min(weight.values())) * (1 - 1e-9)
             k = len(self.items)
             self.items.append(name)
-            self.parts.append((q, a))
+            self.parts.append((q, a, both))
             self.unit.append(least)
             rows += [(self.ids.setdefault(w, len(self.ids)), k, x / least) for w, x in weight.items()]
-        self.longest = max((len(q) + len(a) for _, q, a in items), default=1)
         rows.sort()
         term, self.item, self.impact = (np.array(c) for c in zip(*rows, strict=True)) if rows else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
         self.first = np.searchsorted(term, np.arange(len(self.ids) + 1))
@@ -108,8 +110,8 @@ class Index:
             terms = np.unique(term[cuts[p]:cuts[min(p + 2, halves + 1)]])
             made: dict[int, set[bytes]] = {}
             for k, score in self.wand(terms.tolist()):
-                q, a = (_overlap(part, ws[p * half:(p + 2) * half], made) for part in self.parts[k])
-                if q >= self.share and a >= self.share and (k not in best or (q + a) > best[k][1] + best[k][2]):
+                q, a, both = (_overlap(part, ws[p * half:(p + 2) * half], made) for part in self.parts[k])
+                if (min(q, a) >= self.share or both >= self.share) and (k not in best or (q + a) > best[k][1] + best[k][2]):
                     best[k] = score * self.unit[k], q, a, p * half
         return [(self.items[k], *v) for k, v in sorted(best.items())]
 
@@ -176,7 +178,8 @@ def _overlap(part: set[bytes], ws: list[bytes], made: dict[int, set[bytes]]) ->
 
 def indexes(items: DataFrame, share: float, width: int, index_bytes: int):
     """The indexes of blocks of items with about ``index_bytes`` of text each, one after the other. items: item_id, question,
-    answer. Document frequencies and the mean length are those of all items."""
+    answer. Document frequencies, the mean length and the longest item are those of all items. A caller that lets go of
+    an index before it asks for the next holds one at a time."""
     def split(batches):
         for b in batches:
             q, a = utf8(b.column(1)), utf8(b.column(2))
@@ -189,7 +192,7 @@ def indexes(items: DataFrame, share: float, width: int, index_bytes: int):
     items = items.select("item_id", "question", "answer").distinct()
     split_items = items.mapInArrow(split, f"item_id {kind}, question array<binary>, answer array<binary>")
     each = split_items.withColumn("words", F.concat("question", "answer")).filter(F.size("words") > 0)
-    n, mean, size = each.agg(F.count("*"), F.avg(F.size("words")), F.sum(F.length(F.array_join(F.transform("words", lambda w: F.hex(w)), "")) / 2)).first()
+    n, mean, longest, size = each.agg(F.count("*"), F.avg(F.size("words")), F.max(F.size("words")), F.sum(F.length(F.array_join(F.transform("words", lambda w: F.hex(w)), "")) / 2)).first()
     if not n:
         return
     blocks = int(size // index_bytes) + 1
@@ -201,13 +204,13 @@ def indexes(items: DataFrame, share: float, width: int, index_bytes: int):
         if rows:
             used = mine.select(F.explode("words").alias("word")).distinct()
             df = {bytes(r.word): r.df for r in frequency.join(used, "word", "left_semi").collect()}
-            yield Index(sorted(rows, key=str), df, n, mean, share, width)
+            yield Index(sorted(rows, key=str), df, n, mean, longest, share, width), blocks
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float = 0.8,
                  width: int = 5, index_bytes: int = 16 << 20) -> DataFrame:
     """One row for each row of ``docs`` and item found in it: id_col, item_id, score (BM25 of the passage), question_overlap,
-    answer_overlap, first_word (of the passage).
+    answer_overlap, first_word (of the passage). ``index_bytes`` sets how many blocks the items take, not what is found.
 
     items: item_id, question, answer. An item without words finds nothing; one without a question or an answer is judged by
     the other. Null and empty texts hold nothing. Rows with null or repeated ids are searched like others; repeated items
@@ -234,8 +237,13 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         return search
 
     out = spark.createDataFrame([], schema)
-    for index in indexes(items, share, width, index_bytes):
-        out = out.union(spec.mapInArrow(searcher(spark.sparkContext.broadcast(index)), schema))
+    for index, blocks in indexes(items, share, width, index_bytes):
+        shared = spark.sparkContext.broadcast(index)
+        found = spec.mapInArrow(searcher(shared), schema)
+        if blocks > 1:  # one index at a time
+            found = materialise(found, "contaminated")
+            shared.destroy()
+        out = out.union(found)
     return out.withColumnRenamed("id", id_col)
 
 
@@ -251,8 +259,12 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
         return clean
 
     schema = docs.schema
-    for index in indexes(items, share, width, index_bytes):
-        docs = docs.mapInArrow(cleaner(docs.sparkSession.sparkContext.broadcast(index)), schema)
+    for index, blocks in indexes(items, share, width, index_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+        docs = docs.mapInArrow(cleaner(shared), schema)
+        if blocks > 1:
+            docs = materialise(docs, "clean")
+            shared.destroy()
     return docs
 
 
