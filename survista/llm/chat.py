@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 from survista.llm.common import utf8
 from survista.llm.tokens import encoder
 
-#: Turns whose numbers lie in one range of this size share a result row.
-BLOCK_TURNS = 1024
-
-
 def _slots(turns: DataFrame, pair_col: str, side: str) -> DataFrame:
     """One row for each pair and turn number; turns of equal number in the order of role and text."""
     said = F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
@@ -38,23 +34,26 @@ def _encoded(rows: DataFrame, tokenizer: str) -> DataFrame:
     return rows.mapInArrow(encode, f"{kinds}, ids array<int>, mask array<int>")
 
 
-def preference_pairs(chosen: DataFrame, rejected: DataFrame, tokenizer: str, pair_col: str = "pair_id") -> DataFrame:
+def preference_pairs(chosen: DataFrame, rejected: DataFrame, tokenizer: str, pair_col: str = "pair_id",
+                     block_turns: int | None = None) -> DataFrame:
     """Prompt and completions of each pair. ``chosen`` and ``rejected``: pair_col, turn, role, text, a row for each turn.
 
     Turns are aligned by number. The prompt is the longest common prefix: the turns before the first number at which role
     or text differ, or that one side lacks. It is rendered once; the rest of each side is its completion. A turn is
     rendered as "<|role|>\\n", its text and "\\n", each encoded on its own. Masks are 1 on the text and line end of
-    assistant turns in a completion, 0 elsewhere. One row per pair and block of 1024 turn numbers (block is 0 for
-    conversations of up to 1024 turns): pair_col, block, prompt, prompt_ids, chosen, chosen_ids, chosen_mask, rejected,
-    rejected_ids, rejected_mask; parts without turns are empty.
+    assistant turns in a completion, 0 elsewhere. One row per pair: pair_col, block, prompt, prompt_ids, chosen, chosen_ids,
+    chosen_mask, rejected, rejected_ids, rejected_mask; parts without turns are empty. A row is as large as its pair. Where
+    a conversation may outgrow a task, ``block_turns`` asks for its parts instead: a row per pair and block of so many turn
+    numbers, to be read in the order of ``block``, which is 0 otherwise.
 
-    Null roles and texts count as empty; a null turn number comes before all others; turns of equal number are ordered by
+    Pair ids may be of any type that casts to a string and back. Null roles and texts count as empty; a null turn number comes before all others; turns of equal number are ordered by
     role and text; null pair ids form one pair. Equal sides give two empty completions; a pair that one side lacks has an empty
     prompt. Empty tables give no rows; other columns are not read.
     """
     a, b = _slots(chosen, pair_col, "chosen"), _slots(rejected, pair_col, "rejected")
     # Nulls join by keys that are never null.
-    keys = [F.col("pair_id").isNull().alias("no_pair"), F.coalesce("pair_id", F.lit(0)).alias("pair"),
+    kind = a.schema["pair_id"].dataType
+    keys = [F.col("pair_id").isNull().alias("no_pair"), F.coalesce(F.col("pair_id").cast("string"), F.lit("")).alias("pair"),
             F.col("turn").isNull().alias("no_turn"), F.coalesce("turn", F.lit(0)).alias("number")]
     names = ["no_pair", "pair", "no_turn", "number"]
     both = a.select(*keys, "chosen").join(b.select(*keys, "rejected"), names, "full")
@@ -69,7 +68,8 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame, tokenizer: str, pai
              .select("no_pair", "pair", "at", "side.part", F.posexplode("side.said").alias("tie", "say"))
              .select("no_pair", "pair", "at", "part", "tie", F.concat(F.lit("<|"), "say.role", F.lit("|>\n")).alias("head"),
                      F.concat("say.text", F.lit("\n")).alias("body"), ((F.col("part") != "prompt") & (F.col("say.role") == "assistant")).alias("learn")))
-    done = _encoded(turns, tokenizer).withColumn("block", F.when(F.col("at") < 0, 0).otherwise(F.floor(F.col("at") / BLOCK_TURNS)))
+    block = F.lit(0) if block_turns is None else F.when(F.col("at") < 0, 0).otherwise(F.floor(F.col("at") / block_turns))
+    done = _encoded(turns, tokenizer).withColumn("block", block)
 
     def part(name):
         turn = F.struct("at", "tie", F.concat("head", "body").alias("text"), "ids", "mask")
@@ -77,7 +77,7 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame, tokenizer: str, pai
 
     parts = ("prompt", "chosen", "rejected")
     grouped = done.groupBy("no_pair", "pair", "block").agg(*[part(p).alias(p) for p in parts])
-    out = [F.when(~F.col("no_pair"), F.col("pair")).alias(pair_col), F.col("block").cast("bigint").alias("block")]
+    out = [F.when(~F.col("no_pair"), F.col("pair")).cast(kind).alias(pair_col), F.col("block").cast("bigint").alias("block")]
     for p in parts:
         out += [F.array_join(F.col(f"{p}.text"), "").alias(p), F.flatten(F.col(f"{p}.ids")).alias(f"{p}_ids")]
         if p != "prompt":

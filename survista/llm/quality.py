@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from survista.llm.common import utf8
+from survista.llm.common import materialise, utf8
 
 #: Kinds of bytes: a-z, A-Z, 0-9, space, other control and white space, marks of prose, other marks, non-ASCII.
 _KIND = np.full(256, 7, np.uint8)
@@ -88,22 +88,37 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def class_prior(pos: np.ndarray, unl: np.ndarray, epochs: int = 10, seed: int = 0) -> float:
-    """Share of positives in the unlabelled rows: classifiers tell positives from unlabelled rows, each judged on
-    the half that it did not learn from; the estimate is the smallest ratio of the shares above a threshold, unlabelled to positive, with a margin for chance
-    that keeps thresholds with few rows out (the best bin)."""
+def cross_fitted(pos: np.ndarray, unl: np.ndarray, pos_half: np.ndarray, unl_half: np.ndarray, epochs: int = 10, seed: int = 0) -> list[Model]:
+    """Classifiers of positive against unlabelled rows: that of place h learned from the half 1 - h and judges the half h."""
     def grad(zp, zu):
         return -_sigmoid(-zp) / len(zp), _sigmoid(zu) / len(zu)
 
-    sp, su = np.empty(len(pos)), np.empty(len(unl))
-    for half in (0, 1):  # each half is judged by the classifier of the other
-        model = _fit(pos[half::2], unl[half::2], grad, epochs, seed)
-        sp[1 - half::2], su[1 - half::2] = model.margin(pos[1 - half::2]), model.margin(unl[1 - half::2])
-    sp, su = np.sort(sp), np.sort(su)
-    cuts = np.quantile(sp, np.linspace(0, 0.95, 96))
-    qp = 1 - np.searchsorted(sp, cuts, side="left") / len(sp)
-    qu = 1 - np.searchsorted(su, cuts, side="left") / len(su)
-    slack = np.sqrt(np.log(40) / 2 / len(sp)) + np.sqrt(np.log(40) / 2 / len(su))
+    def half(x, marks, h):
+        return x[marks != h] if (marks != h).any() else x
+
+    return [_fit(half(pos, pos_half, h), half(unl, unl_half, h), grad, epochs, seed) for h in (0, 1)]
+
+
+def judged(models: list[Model], x: np.ndarray, half: np.ndarray) -> np.ndarray:
+    """Margins of rows by the classifier that did not learn from their half."""
+    return np.where(half == 0, models[0].margin(x), models[1].margin(x))
+
+
+def cuts_of(margins: np.ndarray) -> np.ndarray:
+    """Thresholds: quantiles of the positives' margins."""
+    return np.quantile(margins, np.linspace(0, 0.95, 96))
+
+
+def above(margins: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Rows at or above each threshold."""
+    return len(margins) - np.searchsorted(np.sort(margins), cuts, side="left")
+
+
+def prior_of(pos_above: np.ndarray, n_pos: int, unl_above: np.ndarray, n_unl: int) -> float:
+    """Share of positives in the unlabelled rows: the smallest ratio of the shares above a threshold, unlabelled to positive,
+    with a margin for chance that keeps thresholds with few rows out (the best bin)."""
+    qp, qu = pos_above / n_pos, unl_above / n_unl
+    slack = np.sqrt(np.log(40) / 2 / n_pos) + np.sqrt(np.log(40) / 2 / n_unl)
     best = int(((qu + slack) / qp).argmin())
     return float(np.clip(qu[best] / qp[best], 0.01, 0.99))
 
@@ -130,47 +145,72 @@ def _sample(ids: DataFrame, n: int, salt: int) -> DataFrame:
     return near.orderBy(key, "id").limit(n)
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, half, x) for each row: the text's figures, and which half of the rows its id puts it in; written once."""
+    spec = docs.select(F.col(id_col).alias("id"), F.pmod(F.xxhash64(F.lit(3), id_col), F.lit(2)).cast("int").alias("half"),
+                       F.col(text_col).cast("string").alias("text"))
+
+    def measure(batches):
+        for b in batches:
+            x = [features(t).tobytes() for t in utf8(b.column("text"))]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("half"), pa.array(x, pa.binary())], ["id", "half", "x"])
+
+    return materialise(spec.mapInArrow(measure, f"id {spec.schema['id'].dataType.simpleString()}, half int, x binary"), "quality")
+
+
+def _figures(x: list) -> np.ndarray:
+    return np.frombuffer(b"".join(map(bytes, x)), np.float32).reshape(-1, FEATURES).astype(np.float64)
+
+
+def learn(figures: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
           sample: int = 10_000) -> tuple[Model, float] | None:
-    """Model and class prior, from at most ``sample`` trusted positives (rows whose every label is 1) and as many
-    unlabelled rows of ``docs``, picked by hash; negative labels are not used. None without a positive. The sample's
-    features (72 numbers a row) go to the driver, its texts do not."""
+    """Model and class prior, from rows of ``measured``. Gradient steps take at most ``sample`` trusted positives (ids whose
+    every label is 1) and draw their unlabelled rows from as many ids, picked by hash; negative labels are not used. The
+    class prior is that of all rows: each is judged by one of two cross-fitted classifiers, and what lies above each threshold
+    is counted in Spark. None without two positives. The sample's figures (72 numbers an id, one row of each) go to the
+    driver, texts do not."""
     trusted = (labels.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
                .agg(F.min(label_col).alias("least"), F.max(label_col).alias("most")).filter("least = 1 and most = 1").select("id"))
-    spec = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    there = spec.select("id").filter("id is not null").distinct()
+    there = figures.select("id").filter("id is not null").distinct()
     picks = (_sample(trusted.join(there, "id", "left_semi"), sample, 1).select("id", F.lit(True).alias("positive"))
              .union(_sample(there, sample, 2).select("id", F.lit(False).alias("positive"))))
-    rows = spec.join(F.broadcast(picks.groupBy("id").agg(F.collect_list("positive").alias("roles"))), "id")
-
-    def measured(batches):
-        for b in batches:
-            x = [features(t).tobytes() for t in utf8(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(x, pa.binary()), b.column("roles")], ["id", "x", "roles"])
-
-    kind = spec.schema["id"].dataType.simpleString()
-    got = rows.mapInArrow(measured, f"id {kind}, x binary, roles array<boolean>").collect()
-    got.sort(key=lambda r: (r.id, r.x))
-    pos = [r.x for r in got if True in r.roles]
-    unl = [r.x for r in got if False in r.roles]
+    roles = picks.groupBy("id").agg(F.collect_list("positive").alias("roles"))
+    got = figures.join(F.broadcast(roles), "id").groupBy("id").agg(F.min("half").alias("half"), F.min("x").alias("x"), F.first("roles").alias("roles")).collect()
+    got.sort(key=lambda r: r.id)
+    pos, unl = ([r for r in got if role in r.roles] for role in (True, False))
     if len(pos) < 2 or len(unl) < 2:
         return None
-    pos, unl = (np.frombuffer(b"".join(map(bytes, x)), np.float32).reshape(-1, FEATURES).astype(np.float64) for x in (pos, unl))
-    prior = class_prior(pos, unl)
+    pos_half, unl_half = (np.array([r.half for r in rows]) for rows in (pos, unl))
+    pos, unl = (_figures([r.x for r in rows]) for rows in (pos, unl))
+    models = cross_fitted(pos, unl, pos_half, unl_half)
+    margins = judged(models, pos, pos_half)
+    cuts = cuts_of(margins)
+    shared = figures.sparkSession.sparkContext.broadcast((models, cuts))
+
+    def count(batches):
+        models, cuts = shared.value
+        total, rows = np.zeros(len(cuts), np.int64), 0
+        for b in batches:
+            x, half = _figures(b.column("x").to_pylist()), b.column("half").to_numpy()
+            total += above(judged(models, x, half), cuts)
+            rows += len(x)
+        yield pa.RecordBatch.from_arrays([pa.array([*range(len(cuts)), -1]), pa.array([*total.tolist(), rows])], ["cut", "n"])
+
+    counted = figures.select("half", "x").mapInArrow(count, "cut bigint, n bigint").groupBy("cut").agg(F.sum("n").alias("n"))
+    n = {r.cut: r.n for r in counted.collect()}  # one number a threshold
+    prior = prior_of(above(margins, cuts), len(pos), np.array([n[k] for k in range(len(cuts))]), n[-1])
     return nn_pu(pos, unl, prior), prior
 
 
-def scores(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) for each row; 0.5 without a model. Null text counts as empty."""
-    spec = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-
+def scores(figures: DataFrame, model: Model | None) -> DataFrame:
+    """(id, score) for each row of ``measured``; 0.5 without a model."""
     def scored(batches):
         for b in batches:
-            x = np.array([features(t) for t in utf8(b.column(1))]).reshape(-1, FEATURES)
+            x = _figures(b.column("x").to_pylist())
             s = model.score(x) if model else np.full(len(x), 0.5)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(s, pa.float64())], ["id", "score"])
 
-    return spec.mapInArrow(scored, f"id {spec.schema['id'].dataType.simpleString()}, score double")
+    return figures.select("id", "x").mapInArrow(scored, f"id {figures.schema['id'].dataType.simpleString()}, score double")
 
 
 def held_out(id_col: str, folds: int = 5):
@@ -186,8 +226,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     text without features. Labels that are null, or of rows that are not there, or that contradict each other are not
     used. Without a positive label every score is 0.5. Repeated rows give repeated result rows; an empty table none.
     """
-    fitted = learn(docs.filter(~held_out(id_col, folds)), labels.filter(~held_out(id_col, folds)), id_col, text_col, label_col, sample)
-    out = scores(docs, fitted and fitted[0], id_col, text_col).withColumnRenamed("id", id_col)
+    figures = measured(docs, id_col, text_col)
+    fitted = learn(figures.filter(~held_out("id", folds)), labels.filter(~held_out(id_col, folds)), id_col, label_col, sample)
+    out = scores(figures, fitted and fitted[0]).withColumnRenamed("id", id_col)
     return out.select(id_col, held_out(id_col, folds).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
@@ -195,7 +236,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
               threshold: float = 0.3, folds: int = 5, sample: int = 10_000) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, with all their columns. A row is judged by its own text, so
     rows with null or repeated ids are too."""
-    fitted = learn(docs.filter(~held_out(id_col, folds)), labels.filter(~held_out(id_col, folds)), id_col, text_col, label_col, sample)
+    figures = measured(docs.filter(~held_out(id_col, folds)), id_col, text_col)
+    fitted = learn(figures, labels.filter(~held_out(id_col, folds)), id_col, label_col, sample)
     model, at = fitted and fitted[0], docs.columns.index(text_col)
 
     def good(batches):

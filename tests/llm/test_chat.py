@@ -70,11 +70,14 @@ def test_edge_rows(spark):
     assert got(chat.preference_pairs(fa.filter("false"), fb.filter("false"), BYTE)) == []
 
 
-def test_long_conversations_come_in_blocks(spark):
+def test_long_conversations(spark):
+    """One row a pair; its parts where the caller asks for them."""
     rows = [(1, n, "assistant" if n % 2 else "user", f"turn {n}") for n in range(3000)]
     other = rows[:1500] + [(1, n, role, text + " else") for _, n, role, text in rows[1500:]]
     schema = "pair_id bigint, turn bigint, role string, text string"
-    out = chat.preference_pairs(spark.createDataFrame(rows, schema), spark.createDataFrame(other, schema), BYTE).orderBy("block").collect()
+    a, b = spark.createDataFrame(rows, schema), spark.createDataFrame(other, schema)
+    assert got(chat.preference_pairs(a, b, BYTE)) == brute(rows, other)
+    out = chat.preference_pairs(a, b, BYTE, block_turns=1024).orderBy("block").collect()
     want = brute(rows, other)[0]
     assert [r.block for r in out] == [0, 1, 2]
     for k, name in enumerate(("prompt", "prompt_ids", "chosen", "chosen_ids", "chosen_mask", "rejected", "rejected_ids", "rejected_mask"), 1):
@@ -82,3 +85,13 @@ def test_long_conversations_come_in_blocks(spark):
         for r in out:
             whole += r[name]
         assert whole == want[k]
+
+
+def test_pair_ids_of_other_types(spark):
+    for kind, ids in (("string", ["x", "0", "", None]), ("decimal(20,2)", ["1.50", "2.00", None]), ("date", ["2020-01-02", None])):
+        a = spark.createDataFrame([(i, 0, "user", "q") for i in ids] + [(i, 1, "assistant", "a") for i in ids], "pair_id string, turn int, role string, text string")
+        b = spark.createDataFrame([(i, 0, "user", "q") for i in ids] + [(i, 1, "assistant", "b") for i in ids], "pair_id string, turn int, role string, text string")
+        a, b = (f.withColumn("pair_id", f.pair_id.cast(kind)) for f in (a, b))
+        out = chat.preference_pairs(a, b, BYTE)
+        assert out.schema["pair_id"].dataType == a.schema["pair_id"].dataType
+        assert sorted((str(r.pair_id), r.prompt, r.chosen) for r in out.collect()) == sorted((str(i), "<|user|>\nq\n", "<|assistant|>\na\n") for i in ids)

@@ -14,10 +14,18 @@ def points(n, prior, seed):
     return pos, np.where(y[:, None], r.normal(1.5, 1, (n, 4)), r.normal(-1.5, 1, (n, 4))), y
 
 
+def prior_by_halves(pos, unl):
+    hp, hu = np.arange(len(pos)) % 2, np.arange(len(unl)) % 2
+    models = quality.cross_fitted(pos, unl, hp, hu)
+    sp, su = quality.judged(models, pos, hp), quality.judged(models, unl, hu)
+    cuts = quality.cuts_of(sp)
+    return quality.prior_of(quality.above(sp, cuts), len(sp), quality.above(su, cuts), len(su))
+
+
 def test_prior_and_risk():
     for prior in (0.3, 0.6, 0.9):
         pos, unl, y = points(4000, prior, int(prior * 10))
-        got = quality.class_prior(pos, unl)
+        got = prior_by_halves(pos, unl)
         assert abs(got - prior) < 0.06
         model = quality.nn_pu(pos, unl, got)
         assert ((model.score(unl) >= 0.5) == y).mean() > 0.97
@@ -59,3 +67,38 @@ def test_sample_is_that_of_all_ids(spark):
     every = ids.orderBy(F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(1 << 62)), "id").limit(100)
     assert got == sorted(r.id for r in every.collect())
     assert quality._sample(ids.limit(5), 100, 3).count() == 5 and quality._sample(ids.limit(0), 100, 3).count() == 0
+
+
+def test_prior_is_that_of_all_rows(spark, sf):
+    """The count over all rows agrees with one made here, whatever the size of the sample."""
+    docs, labels = read(spark, sf, "documents"), read(spark, sf, "labels")
+    figures = quality.measured(docs)
+    _, prior = quality.learn(figures, labels, sample=60)
+    every = figures.orderBy("id").collect()
+    assert len(every) > 60
+    seen = {}
+
+    def keep(pos, unl, hp, hu):
+        seen["models"], seen["pos"] = cross(pos, unl, hp, hu), (pos, hp)
+        return seen["models"]
+    cross, quality.cross_fitted = quality.cross_fitted, keep
+    try:
+        assert quality.learn(figures, labels, sample=60)[1] == prior
+    finally:
+        quality.cross_fitted = cross
+    sp = quality.judged(seen["models"], *seen["pos"])
+    su = quality.judged(seen["models"], quality._figures([r.x for r in every]), np.array([r.half for r in every]))
+    cuts = quality.cuts_of(sp)
+    assert abs(quality.prior_of(quality.above(sp, cuts), len(sp), quality.above(su, cuts), len(su)) - prior) < 1e-9
+
+
+def test_an_id_on_very_many_rows_counts_once(spark, frame):
+    rows = [(i, f"Text number {i} is here.") for i in range(40)] + [(7, "the same again and again")] * 20_000
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 40, 2)] + [(7, 1)], "doc_id bigint, quality int")
+    taken = {}
+    fit, quality.nn_pu = quality.nn_pu, lambda pos, unl, prior: taken.update(pos=len(pos), unl=len(unl)) or fit(pos, unl, prior)
+    try:
+        quality.learn(quality.measured(frame(rows)), labels)
+    finally:
+        quality.nn_pu = fit
+    assert taken == {"pos": 21, "unl": 40}
