@@ -21,7 +21,7 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = np.uint64(pow(_BASE, -1, 1 << 64))
 #: A block is 8 words of 32 bits, a key sets one bit in each.
 _LANES = 8
-_SALTS = [(0x9E3779B1 * (2 * i + 1)) & 0xFFFFFFFF | 1 for i in range(_LANES)]
+_SALTS = [pow(_BASE, i + 1, 1 << 32) for i in range(_LANES)]
 
 
 def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", drop: int = 97, min_length: int = 5) -> DataFrame:
