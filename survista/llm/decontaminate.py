@@ -10,7 +10,10 @@ shingles may be missing.
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_left
 from itertools import repeat
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -73,6 +76,9 @@ class Index:
         self.cell_block = (self.item // BLOCK)[start]
         self.cell_top = np.maximum.reduceat(self.impact, start) if len(start) else np.zeros(0)
         self.cell_first = np.searchsorted(term[start], np.arange(len(self.ids) + 1))
+        # The same for WAND, which looks up one number at a time.
+        self.lists = tuple(array(kind, x.tolist()) for kind, x in (
+            ("q", self.first), ("q", self.item), ("d", self.impact), ("d", self.top), ("q", self.cell_first), ("q", self.cell_block), ("d", self.cell_top)))
 
     def hits(self, text: bytes) -> list[tuple]:
         """(item id, score, question overlap, answer overlap, first word of the passage), once for each item found in the
@@ -119,11 +125,9 @@ class Index:
         """Items whose impacts for ``terms`` sum to 1 or more, by block-max WAND: lists are kept in the order of their current
         item; the pivot is the first item that the lists up to it could bring to 1; if the maxima of its block cannot, all
         of them skip the block."""
-        first, item, impact = self.first, self.item, self.impact
-        lists = []  # [current item, place, end, largest impact, term]
-        for t in terms:
-            lists.append([int(item[first[t]]), int(first[t]), int(first[t + 1]), float(self.top[t]), t])
-        lists.sort(key=lambda x: x[0])
+        first, item, impact, top, cell_first, cell_block, cell_top = self.lists
+        lists = [[item[first[t]], first[t], first[t + 1], top[t], t] for t in terms]  # current item, place, end, largest impact, term
+        lists.sort(key=itemgetter(0))
         found = []
         while lists:
             total, pivot = 0.0, -1
@@ -137,32 +141,31 @@ class Index:
             target = lists[pivot][0]
             while pivot + 1 < len(lists) and lists[pivot + 1][0] == target:
                 pivot += 1
-            block = target // BLOCK
-            bound = 0.0
-            for x in lists[:pivot + 1]:
-                c, z = self.cell_first[x[4]], self.cell_first[x[4] + 1]
-                j = c + int(np.searchsorted(self.cell_block[c:z], block))
-                if j < z and self.cell_block[j] == block:
-                    bound += float(self.cell_top[j])
+            ahead, block, bound = lists[:pivot + 1], target // BLOCK, 0.0
+            for x in ahead:
+                z = cell_first[x[4] + 1]
+                j = bisect_left(cell_block, block, cell_first[x[4]], z)
+                if j < z and cell_block[j] == block:
+                    bound += cell_top[j]
             if bound < 1:  # skip the block, but not past an item at which another list comes in
                 after = (block + 1) * BLOCK
                 if pivot + 1 < len(lists):
                     after = min(after, lists[pivot + 1][0])
             else:
-                after = target + 1
-                score = 0.0
-                for x in lists[:pivot + 1]:
-                    j = x[1] + int(np.searchsorted(item[x[1]:x[2]], target))
+                after, score = target + 1, 0.0
+                for x in ahead:
+                    j = bisect_left(item, target, x[1], x[2])
                     if j < x[2] and item[j] == target:
-                        score += float(impact[j])
+                        score += impact[j]
                 if score >= 1:
                     found.append((target, score))
             moved = []
-            for x in lists[:pivot + 1]:
-                j = x[1] + int(np.searchsorted(item[x[1]:x[2]], after))
+            for x in ahead:
+                j = bisect_left(item, after, x[1], x[2])
                 if j < x[2]:
-                    moved.append([int(item[j]), j, x[2], x[3], x[4]])
-            lists = sorted(moved + lists[pivot + 1:], key=lambda x: x[0])
+                    x[0], x[1] = item[j], j
+                    moved.append(x)
+            lists = sorted(moved + lists[pivot + 1:], key=itemgetter(0))
         return found
 
 
