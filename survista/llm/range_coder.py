@@ -57,7 +57,10 @@ class _Model:
         freq = 1 + mixed * 4093 // mixed.sum(axis=1, keepdims=True)
         freq[np.arange(128), freq.argmax(axis=1)] += 4096 - freq.sum(axis=1)
         self.freq = freq.astype(np.uint64)
-        self.start = np.concatenate([np.zeros((128, 1), np.uint64), np.cumsum(self.freq, axis=1)], axis=1)
+        start = np.concatenate([np.zeros((128, 1), np.uint64), np.cumsum(self.freq, axis=1)], axis=1)
+        self.second, self.third = start[:, 1].copy(), start[:, 2].copy()
+        # By 3 * row + choice.
+        self.starts, self.freqs = start[:, :3].ravel(), self.freq.ravel()
 
     def learn(self, x, choice, two, one, row, h, b):
         for table, at, entry in ((self.follow2, h, two), (self.follow1, b, one)):
@@ -143,15 +146,17 @@ def encode(ids: np.ndarray) -> bytes:
         a = grid[t - 2:z - 1] if t > 1 else np.concatenate([np.zeros((2, lanes), np.int32), grid[:z]])[t:z + 1]
         two, one, row, h = model.predict(np.ascontiguousarray(a), np.ascontiguousarray(b))
         choice = np.where(x == two >> 3, 0, np.where(x == one >> 3, 1, 2))
-        start, freq = model.start[row, choice], model.freq[row, choice]
+        at = row * 3 + choice
+        start, freq = model.starts.take(at), model.freqs.take(at)
         literal = choice == 2
-        s0 = np.where(literal, model.cum[x], 0).astype(np.uint64)
-        f0 = np.where(literal, model.counts[x], 1).astype(np.uint64)
-        total = np.where(literal, model.cum[-1], 1).astype(np.uint64)
+        s0 = np.where(literal, model.cum.take(x), 0).astype(np.uint64)
+        f0, total = model.counts.take(x).astype(np.uint64), _U(int(model.cum[-1]))
         for i in range(z + 1 - t):
             _narrow(low, rng, start[i], freq[i], rng >> _S12)
             emit(*_shift(low, rng))
-            _narrow(low, rng, s0[i], f0[i], rng // total[i])
+            unit = rng // total
+            low += unit * s0[i]
+            rng = np.where(literal[i], unit * f0[i], rng)
             emit(*_shift(low, rng))
         model.learn(x.ravel(), choice.ravel(), two.ravel(), one.ravel(), row.ravel(), h.ravel(), b.ravel())
         t = z + 1
@@ -189,11 +194,10 @@ def decode(block: bytes) -> np.ndarray:
     for t in range(steps if n else 0):
         a, b = grid[t], grid[t + 1]
         two, one, row, h = model.predict(a, b)
-        unit = rng >> _S12
-        v = np.minimum((code - low) // unit, _U(4095))
-        bound = model.start[row]
-        choice = (v >= bound[:, 1]).astype(np.int64) + (v >= bound[:, 2])
-        _narrow(low, rng, model.start[row, choice], model.freq[row, choice], unit)
+        unit, ahead = rng >> _S12, code - low
+        choice = (ahead >= unit * model.second.take(row)).view(np.int8) + (ahead >= unit * model.third.take(row))
+        place = row * 3 + choice
+        _narrow(low, rng, model.starts.take(place), model.freqs.take(place), unit)
         pull(*_shift(low, rng))
         x = np.where(choice == 0, two, one) >> 3
         lit = np.flatnonzero(choice == 2)
