@@ -37,6 +37,10 @@ NOTICES = {
         "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
         "distribution.",
     ],
+    "BSD-3-Clause": [
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission.",
+    ],
     "CC-BY-4.0": [
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "Licensed under CC BY 4.0.",
@@ -49,6 +53,14 @@ NOTICES = {
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
         "Licensed under CC BY-SA 4.0.",
     ],
+    "CC0-1.0": [
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this "
+        "software to the public domain worldwide. This software is distributed without any warranty.",
+    ],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which "
+        "is available at https://www.eclipse.org/legal/epl-2.0/",
+    ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
@@ -73,6 +85,11 @@ NOTICES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+        "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+        "commercial or non-commercial, and by any means.",
+    ],
 }
 
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
