@@ -12,19 +12,39 @@ from survista.llm.common import materialise
 
 #: Fingerprint bits: the leading ones name the shard, the rest are split into quotient and remainder.
 BITS = 64
+#: Values whose bits are packed at a time.
+_STEP = 1 << 16
+
+
+def packed(values: np.ndarray, r: int) -> np.ndarray:
+    """The low ``r`` bits of each value, one after the other, as bytes."""
+    step = [values[i:i + _STEP] for i in range(0, len(values), _STEP)]  # multiples of 8 values fill whole bytes
+    bits = [np.packbits(np.unpackbits(v.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)[:, 64 - r:]) for v in step]
+    return np.concatenate(bits) if bits else np.zeros(0, np.uint8)
+
+
+def unpacked(data: np.ndarray, n: int, r: int) -> np.ndarray:
+    """``n`` values of ``r`` bits."""
+    out = np.zeros(n, np.uint64)
+    for i in range(0, n, _STEP):
+        k = min(_STEP, n - i)
+        bits = np.zeros((k, 64), np.uint8)
+        bits[:, 64 - r:] = np.unpackbits(data[i * r // 8:(i + k) * r // 8 + 1])[:k * r].reshape(k, r)
+        out[i:i + k] = np.packbits(bits, axis=1).view(">u8").ravel()
+    return out
 
 
 class CountingQuotientFilter:
     """Counts of ``width``-bit values, kept as runs of sorted remainders.
 
     The quotient (leading ``q`` bits) of a value is not stored: ``occupied`` has a bit for each quotient with a run,
-    ``runend`` a bit for each slot that ends a run, and the slots hold the remainders, ascending in each run. Counts
-    above one are kept beside the slots that have them. Quotient and remainder give the value back, so two filters
+    ``runend`` a bit for each slot that ends a run, and the ``n`` slots hold the remainders, ``width - q`` bits each,
+    ascending in each run. Counts above one are kept beside the slots that have them. Quotient and remainder give the value back, so two filters
     merge without loss and without the values they were built from.
     """
 
-    def __init__(self, q: int, occupied, runend, remainders, many, counts):
-        self.q, self.occupied, self.runend = q, occupied, runend
+    def __init__(self, q: int, n: int, occupied, runend, remainders, many, counts):
+        self.q, self.n, self.occupied, self.runend = q, n, occupied, runend
         self.remainders, self.many, self.counts = remainders, many, counts
 
     @classmethod
@@ -38,33 +58,29 @@ class CountingQuotientFilter:
         runend = np.append(quotient[1:] != quotient[:-1], True)[:len(values)]
         remainders = values & ((np.uint64(1) << r) - np.uint64(1))
         many = np.flatnonzero(counts > 1)
-        return cls(q, np.packbits(occupied), np.packbits(runend), remainders, many.astype(np.int64), counts[many])
+        return cls(q, len(values), np.packbits(occupied), np.packbits(runend), packed(remainders, width - q), many.astype(np.int64), counts[many])
 
     def items(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Sorted values and their counts."""
-        n = len(self.remainders)
+        n = self.n
         runs = np.flatnonzero(np.unpackbits(self.occupied)[:1 << self.q])
         run = np.concatenate(([0], np.cumsum(np.unpackbits(self.runend)[:n])[:-1])).astype(np.int64)[:n]
         counts = np.ones(n, np.int64)
         counts[self.many] = self.counts
-        return (runs[run].astype(np.uint64) << np.uint64(width - self.q)) | self.remainders, counts
+        return (runs[run].astype(np.uint64) << np.uint64(width - self.q)) | unpacked(self.remainders, n, width - self.q), counts
 
     def dump(self) -> bytes:
-        head = np.array([self.q, len(self.remainders), len(self.many)], np.int64)
-        return b"".join(x.tobytes() for x in (head, self.remainders, self.many, self.counts.astype(np.int64),
-                                              self.occupied, self.runend))
+        head = np.array([self.q, self.n, len(self.many), len(self.remainders)], np.int64)
+        return b"".join(x.tobytes() for x in (head, self.many, self.counts.astype(np.int64), self.remainders, self.occupied, self.runend))
 
     @classmethod
     def load(cls, data: bytes) -> CountingQuotientFilter:
-        q, n, k = np.frombuffer(data, np.int64, 3)
-        at = 24
-        remainders = np.frombuffer(data, np.uint64, n, at)
-        many = np.frombuffer(data, np.int64, k, at + 8 * n)
-        counts = np.frombuffer(data, np.int64, k, at + 8 * (n + k))
-        at += 8 * (n + 2 * k)
-        size = (1 << int(q)) + 7 >> 3
-        return cls(int(q), np.frombuffer(data, np.uint8, size, at), np.frombuffer(data, np.uint8, (int(n) + 7) // 8, at + size),
-                   remainders, many, counts)
+        q, n, k, size = (int(x) for x in np.frombuffer(data, np.int64, 4))
+        many, counts = np.frombuffer(data, np.int64, k, 32), np.frombuffer(data, np.int64, k, 32 + 8 * k)
+        at = 32 + 16 * k
+        bits = (1 << q) + 7 >> 3
+        return cls(q, n, np.frombuffer(data, np.uint8, bits, at + size), np.frombuffer(data, np.uint8, (n + 7) // 8, at + size + bits),
+                   np.frombuffer(data, np.uint8, size, at), many, counts)
 
 
 def merged(filters: list[CountingQuotientFilter], width: int) -> CountingQuotientFilter:
