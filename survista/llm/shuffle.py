@@ -80,7 +80,7 @@ def bin_sizes(total: int, shards: int, bins: int) -> np.ndarray:
     return (shard[:, None] // bins + (np.arange(bins)[None, :] < shard[:, None] % bins)).ravel().astype(np.int64)
 
 
-def shuffle_into_shards(df: DataFrame, shards: int = 16, seed: int = 42, bin_rows: int = 50_000) -> DataFrame:
+def shuffle_into_shards(df: DataFrame, shards: int = 16, seed: int = 42, bin_rows: int = 10_000) -> DataFrame:
     """All rows and columns of ``df`` with ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 in each shard): one of
     all orders, each as likely as another, cut into shards whose sizes differ by one row at most.
 
