@@ -87,6 +87,8 @@ class LogFrequencyBloom:
     def of(cls, keys: np.ndarray, counts: np.ndarray, hashes: int = 6, base: float = 1.5) -> LogFrequencyBloom:
         level = cls.levels_of(counts, base)
         size = max(64, int(np.ceil(level.sum() * hashes / np.log(2))))
+        if size >> 32:
+            raise ValueError("a filter holds fewer than 2**32 bits; lower shard_tokens")
         self = cls(np.zeros(0, np.uint8), size, hashes, base)
         flags = np.zeros(size, bool)
         for j in range(1, int(level.max(initial=0)) + 1):
@@ -99,20 +101,52 @@ class LogFrequencyBloom:
         """Bit of each key under each hash (double hashing)."""
         a, step = _mixed(keys, 2 * level + 3), _mixed(keys, 2 * level + 4) | _U(1)
         for i in range(self.hashes):
-            yield ((a + _U(i) * step) % _U(self.size)).astype(np.int64)
+            yield _spread(a + _U(i) * step, _U(self.size)).astype(np.int64)
 
     def lookup(self, keys: np.ndarray) -> np.ndarray:
         """Level of each key, 0 if it is not held."""
-        level, live, j = np.zeros(len(keys), np.uint8), np.arange(len(keys)), 0
-        while len(live) and j < 255:
-            j += 1
-            a, step = _mixed(keys[live], 2 * j + 3), _mixed(keys[live], 2 * j + 4) | _U(1)
-            for i in range(self.hashes):
-                at = (a + _U(i) * step) % _U(self.size)
-                hit = (self.bits[(at >> _U(3)).astype(np.int64)] >> (at & _U(7)).astype(np.uint8)) & 1 == 1
-                live, a, step = live[hit], a[hit], step[hit]
-            level[live] = j
-        return level
+        return _levels(keys, self.bits, self.hashes, np.full(len(keys), self.size, np.uint64), np.zeros(len(keys), np.uint64))
+
+
+class FilterShards:
+    """The filters of all shards as one array of bits, so that a chunk's keys are probed together, however many shards
+    there are. filters: size and bits by shard; a shard without keys may be missing."""
+
+    def __init__(self, filters: dict[int, tuple[int, bytes]], shard_bits: int, order: int, hashes: int):
+        self.shift, self.hashes = WIDTH[order] - shard_bits if shard_bits else None, hashes
+        self.size, self.first = np.zeros(1 << shard_bits, np.uint64), np.zeros(1 << shard_bits, np.uint64)
+        at = 0
+        for s, (size, bits) in filters.items():
+            self.size[s], self.first[s] = size, 8 * at
+            at += len(bits)
+        self.bits = np.frombuffer(b"".join(bits for _, bits in filters.values()), np.uint8)
+
+    def lookup(self, keys: np.ndarray) -> np.ndarray:
+        shard = np.zeros(len(keys), np.int64) if self.shift is None else (keys >> _U(self.shift)).astype(np.int64)
+        return _levels(keys, self.bits, self.hashes, self.size[shard], self.first[shard])
+
+
+def _spread(h: np.ndarray, size) -> np.ndarray:
+    """Hashes to places below ``size``, a number below 2**32."""
+    return ((h >> _U(32)) * size) >> _U(32)
+
+
+def _levels(keys: np.ndarray, bits: np.ndarray, hashes: int, size: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Level of each key in the filter that has ``size`` bits from bit ``first`` on; 0 without one."""
+    level, j = np.zeros(len(keys), np.uint8), 0
+    live = np.flatnonzero(size)
+    while len(live) and j < 255:
+        j += 1
+        a, step = _mixed(keys[live], 2 * j + 3), _mixed(keys[live], 2 * j + 4) | _U(1)
+        n, start = size[live], first[live]
+        for _ in range(hashes):
+            at = _spread(a, n) + start
+            hit = np.flatnonzero((bits[(at >> _U(3)).view(np.int64)] >> (at & _U(7)).astype(np.uint8)) & 1)
+            if len(hit) < len(live):
+                live, a, step, n, start = live[hit], a[hit], step[hit], n[hit], start[hit]
+            a = a + step
+        level[live] = j
+    return level
 
 
 def _shards(keys: np.ndarray, bits: int, order: int):
@@ -207,10 +241,31 @@ class _Chunk:
         return np.unique(pair_keys(before, word), return_inverse=True)
 
 
+#: Keys that a task adds up before it sends them (fewer where their counts would outgrow 32 bits).
+_HELD = 1 << 21
+
+
 def _routes(chunks: DataFrame, shard_bits: int, order: int, learn: bool) -> DataFrame:
     """(shard, chunk, keys, counts): of words (order 1) or pairs (order 2), the keys of each chunk in each shard; with
-    ``learn`` only those seen in documents to learn from."""
+    ``learn`` only those seen in documents to learn from, and those of a task's chunks added up until they are ``_HELD``:
+    a key that every chunk has then comes from few rows."""
     def split(batches):
+        held: tuple[list, list] = ([], [])
+
+        def routed(chunk, keys, seen):
+            parts = _shards(keys, shard_bits, order)
+            if parts:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([s for s, _, _ in parts]), pa.array([chunk] * len(parts), pa.int64()),
+                     pa.array([packed(keys[a:z]) if order == 2 else keys[a:z].tobytes() for _, a, z in parts], pa.binary()),
+                     pa.array([seen[a:z].tobytes() for _, a, z in parts], pa.binary())], ["shard", "chunk", "keys", "counts"])
+
+        def added():
+            keys, seen = _summed(*held)
+            held[0].clear()
+            held[1].clear()
+            return keys, seen.astype(np.uint32)
+
         for b in batches:
             for i in range(b.num_rows):
                 r = b.slice(i, 1).to_pylist()[0]
@@ -221,14 +276,15 @@ def _routes(chunks: DataFrame, shard_bits: int, order: int, learn: bool) -> Data
                     keys, back = c.pairs()
                     learnt = np.repeat(np.asarray(r["learn"], bool), c.lengths)
                     seen = np.bincount(back[learnt], minlength=len(keys)).astype(np.uint32)
-                if learn:
-                    keys, seen = keys[seen > 0], seen[seen > 0]
-                parts = _shards(keys, shard_bits, order)
-                if parts:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([s for s, _, _ in parts]), pa.array([r["chunk"]] * len(parts)),
-                         pa.array([packed(keys[a:z]) if order == 2 else keys[a:z].tobytes() for _, a, z in parts], pa.binary()),
-                         pa.array([seen[a:z].tobytes() for _, a, z in parts], pa.binary())], ["shard", "chunk", "keys", "counts"])
+                if not learn:
+                    yield from routed(r["chunk"], keys, seen)
+                    continue
+                held[0].append(keys[seen > 0])
+                held[1].append(seen[seen > 0])
+                if sum(map(len, held[0])) > _HELD or sum(int(x.sum()) for x in held[1]) >> 31:
+                    yield from routed(None, *added())
+        if held[0]:
+            yield from routed(None, *added())
 
     cols = ["chunk", "keys", "seen"] if order == 1 else ["chunk", "lengths", "learn", "keys", "places"]
     return chunks.select(*cols).mapInArrow(split, "shard bigint, chunk bigint, keys binary, counts binary")
@@ -332,22 +388,16 @@ def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: st
     small = (filters.agg(F.sum(F.length("bits"))).first()[0] or 0) <= broadcast_bytes
     held = {}
     if small:
-        for r in filters.toLocalIterator():
-            held[r.order, r.shard] = r["size"], spark.sparkContext.broadcast(bytes(r.bits))
+        read: dict = {1: {}, 2: {}}
+        for r in filters.toLocalIterator():  # at most broadcast_bytes
+            read[r.order][r.shard] = r["size"], bytes(r.bits)
+        held = {order: spark.sparkContext.broadcast(FilterShards(read.pop(order), shard_bits, order, hashes)) for order in (1, 2)}
     end_row = filters.filter((F.col("order") == 1) & (F.col("shard") == (END >> (64 - shard_bits) if shard_bits else 0))).first()
     end_level = 0
     if end_row:
         end_filter = LogFrequencyBloom(np.frombuffer(bytes(end_row.bits), np.uint8), end_row["size"], hashes, base)
         end_level = int(end_filter.lookup(np.array([END], np.uint64))[0])
 
-    def probe(keys: np.ndarray, order: int) -> np.ndarray:
-        out = np.zeros(len(keys), np.uint8)
-        for s, a, z in _shards(keys, shard_bits, order):
-            if (order, s) in held:
-                size, bits = held[order, s]
-                out[a:z] = LogFrequencyBloom(np.frombuffer(bits.value, np.uint8), size, hashes, base).lookup(keys[a:z])
-        return out
-
     def joined(rows: pd.DataFrame, kind: int) -> np.ndarray:
         parts = rows[rows["order"] == kind].sort_values("shard")["levels"]
         return np.concatenate([np.frombuffer(x, np.uint8) if kind else _widened(x) for x in parts]) if len(parts) else np.zeros(0, np.uint8)
@@ -356,7 +406,7 @@ def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: st
         r = rows.iloc[0].to_dict()
         c = _Chunk(r)
         pair_keys_, pair_at = c.pairs()
-        words, pair_levels = (probe(c.keys, 1), probe(pair_keys_, 2)) if small else (joined(back, 1), joined(back, 2))
+        words, pair_levels = (held[1].value.lookup(c.keys), held[2].value.lookup(pair_keys_)) if small else (joined(back, 1), joined(back, 2))
         known, plain, smooth = _score_chunk(c, joined(back, 0), words, pair_levels, pair_at, end_level, n, v, base, strength)
         return pd.DataFrame({"id": pd.array(r["ids"], dtype=pd_kind), "n_tokens": c.lengths, "n_known": known, "train_tokens": n, "base_score": plain, "score": smooth})
 
