@@ -14,9 +14,32 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Paths that ``shared_path`` gave out, by application.
+_GIVEN: dict[str, list[str]] = {}
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder that the session names in ``spark.checkpoint.dir``."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/survista/{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/survista/{name}-{uuid.uuid4().hex}"
+    _GIVEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def intermediate_paths(spark: SparkSession) -> list[str]:
+    """Where the operators of this session have written so far, oldest first. Their results read from there until they are
+    written elsewhere."""
+    return list(_GIVEN.get(spark.sparkContext.applicationId, []))
+
+
+def delete_intermediates(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete what the operators of this session wrote on their way (or only ``paths`` of ``intermediate_paths``). To be
+    called when their results are written: results that are still lazy cannot be read afterwards."""
+    given = _GIVEN.get(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in list(given) if paths is None else [p for p in paths if p in given]:
+        place = hadoop.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        given.remove(path)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -94,7 +94,8 @@ def shuffle_into_shards(df: DataFrame, shards: int = 16, seed: int = 42, bin_row
     """
     kept = [c for c in df.columns if c.lower() not in ("shard", "slot")]
     here = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    rows = materialise(df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.spark_partition_id().alias("block"),
+    row = F.struct(*[F.col(f"`{c}`") for c in kept] or [F.lit(0).alias("none")])
+    rows = materialise(df.select(row.alias("row"), F.spark_partition_id().alias("block"),
                                  here.alias("place")), "shuffle")
     counts = {r["block"]: r["count"] for r in rows.groupBy("block").count().collect()}  # one number per task that wrote
     sizes = np.array([counts.get(b, 0) for b in range(max(counts, default=-1) + 1)], np.int64)

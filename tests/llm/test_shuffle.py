@@ -87,3 +87,23 @@ def test_query(spark, sf):
     for r in rows:
         t = docs[r["doc_id"]]
         assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(t) + 1, zlib.crc32(t), "rows", None)
+
+
+def test_a_table_without_other_columns(spark):
+    out = shuffle.shuffle_into_shards(spark.range(5).selectExpr("id AS shard"), shards=2)
+    assert out.columns == ["shard", "slot"] and len(checked(out, 2, 5)) == 5
+
+
+def test_intermediates_are_deleted_on_request(spark, frame, tmp_path):
+    import os
+
+    from survista.llm.common import delete_intermediates, intermediate_paths
+
+    before = intermediate_paths(spark)
+    out = shuffle.shuffle_into_shards(frame([(i, "x") for i in range(9)]), shards=2)
+    mine = [p for p in intermediate_paths(spark) if p not in before]
+    out.write.parquet(str(tmp_path / "out"))
+    assert len(mine) == 1 and os.path.isdir(mine[0])
+    delete_intermediates(spark, mine)
+    assert not os.path.exists(mine[0]) and intermediate_paths(spark) == before
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 9
