@@ -61,22 +61,29 @@ def hashes(codes: np.ndarray) -> np.ndarray:
 
 
 class BlockedBloom:
-    """Blocked Bloom filter of mixed hashes: one block of 256 bits a key, a bit in each of its 8 words."""
+    """Blocked Bloom filter of mixed hashes: a key belongs to one block of 256 bits and sets a bit in each of its 8 words. The
+    filter of a word length is cut into parts of equally many blocks, which are built apart; ``first`` is the first that is
+    here, of ``parts`` in all."""
 
-    def __init__(self, blocks: np.ndarray):
-        self.blocks = blocks
+    def __init__(self, blocks: np.ndarray, size: int, parts: int, first: int = 0):
+        self.blocks, self.size, self.parts, self.first = blocks, size, parts, first
 
-    @classmethod
-    def of(cls, keys: np.ndarray, bits: int = 16) -> BlockedBloom:
-        blocks = np.zeros((max(1, -(-len(keys) * bits // (32 * _LANES))), _LANES), np.uint32)
-        at = cls._block(keys, len(blocks))
+    @staticmethod
+    def built(keys: np.ndarray, size: int) -> np.ndarray:
+        """The blocks of one part from the keys that belong to it."""
+        blocks = np.zeros((size, _LANES), np.uint32)
+        at = BlockedBloom._inner(keys, size)
         for i in range(_LANES):
-            np.bitwise_or.at(blocks[:, i], at, cls._bit(keys, i))
-        return cls(blocks)
+            np.bitwise_or.at(blocks[:, i], at, BlockedBloom._bit(keys, i))
+        return blocks
+
+    @staticmethod
+    def part_of(keys: np.ndarray, parts) -> np.ndarray:
+        return (keys % parts).astype(np.int64)
 
     @staticmethod
-    def _block(keys: np.ndarray, n: int) -> np.ndarray:
-        return ((keys >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+    def _inner(keys: np.ndarray, size: int) -> np.ndarray:
+        return ((keys >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
 
     @staticmethod
     def _bit(keys: np.ndarray, lane: int) -> np.ndarray:
@@ -84,12 +91,15 @@ class BlockedBloom:
         return np.uint32(1) << (spread >> np.uint64(27)).astype(np.uint32)
 
     def probe(self, keys: np.ndarray) -> np.ndarray:
-        """Positions of the keys that may be in the filter."""
-        at, alive = self._block(keys, len(self.blocks)), np.arange(len(keys))
+        """Positions of the keys that may be in the filter; those of parts that are not here are left out."""
+        part = self.part_of(keys, np.uint64(self.parts)) - self.first
+        alive = np.flatnonzero((part >= 0) & (part < len(self.blocks) // self.size))
+        at = part[alive] * self.size + self._inner(keys[alive], self.size)
         for i in range(_LANES):
             if not len(alive):
                 break
-            alive = alive[self.blocks[at[alive], i] & self._bit(keys[alive], i) != 0]
+            hit = np.flatnonzero(self.blocks[at, i] & self._bit(keys[alive], i))
+            alive, at = alive[hit], at[hit]
         return alive
 
 
@@ -109,36 +119,30 @@ def edits(codes: np.ndarray, alphabet: np.ndarray, deletions: bool = True):
         before = upto
 
 
-def candidates(words: list[bytes], filters: dict, slices: dict[int, int], alphabet: np.ndarray, min_length: int):
-    """(row, edit) for the edits of equally long words that a filter takes for words. ``filters``: by (length, slice); edits
-    of slices that are not there are left to another pass."""
+def candidates(words: list[bytes], filters: dict[int, BlockedBloom], alphabet: np.ndarray, min_length: int):
+    """(row, edit) for the edits of equally long words that a filter takes for words. ``filters``: by length; edits of lengths
+    and parts that are not there are left to another pass."""
     codes, length = letters(words), len(words[0])
     for kind, i, rows, to, h in edits(codes, alphabet, length > min_length):
-        size = length - (kind == "delete")
-        n = slices.get(size, 0)
-        if not n or not len(rows):
+        f = filters.get(length - (kind == "delete"))
+        if f is None or not len(rows):
             continue
-        keys = mixed(h)
-        part = (keys % np.uint64(n)).astype(np.int64)
-        for s in range(n):
-            f = filters.get((size, s))
-            if f is None:
-                continue
-            own = np.flatnonzero(part == s) if n > 1 else np.arange(len(keys))
-            for at in own[f.probe(keys[own])]:
-                w = words[rows[at]]
-                middle = b"" if to is None else bytes([int(to[at])])
-                yield int(rows[at]), w[:i] + middle + w[i + 1:]
-
-
-def near_pairs(vocabulary: DataFrame, min_length: int = 5, shard_words: int = 1_000_000, broadcast_bytes: int = 64 << 20,
+        for at in f.probe(mixed(h)):
+            w = words[rows[at]]
+            middle = b"" if to is None else bytes([int(to[at])])
+            yield int(rows[at]), w[:i] + middle + w[i + 1:]
+
+
+def near_pairs(vocabulary: DataFrame, min_length: int = 5, part_words: int = 10_000, broadcast_bytes: int = 64 << 20,
                bits: int = 16) -> DataFrame:
     """(word, n, near, near_n): each pair of words of ``vocabulary`` (word, n; words distinct, of code points up to U+00FF and at
-    least ``min_length`` of them) that one edit parts, once. A filter holds about ``shard_words`` words of one length;
-    filters of up to ``broadcast_bytes`` in total are broadcast at a time, and more of them take more passes."""
+    least ``min_length`` of them) that one edit parts, once. A filter's parts hold about ``part_words`` words of one length,
+    and each is built by a task; parts of up to ``broadcast_bytes`` in total are broadcast at a time, and more of them take
+    more passes."""
     spark = vocabulary.sparkSession
     lengths = {r["len"]: r["count"] for r in vocabulary.groupBy(F.length("word").alias("len")).count().collect()}
-    slices = {k: -(-n // shard_words) for k, n in lengths.items()}
+    parts = {k: -(-n // part_words) for k, n in lengths.items()}
+    blocks = {k: -(-n * bits // (parts[k] * 32 * _LANES)) for k, n in lengths.items()}  # of each part
     present = vocabulary.select(F.explode(F.array_distinct(F.split("word", ""))).alias("c")).distinct()
     alphabet = np.array(sorted(ord(r["c"]) for r in present.collect() if r["c"]), np.uint64)  # at most 256 letters
 
@@ -150,30 +154,36 @@ def near_pairs(vocabulary: DataFrame, min_length: int = 5, shard_words: int = 1_
             for k in np.unique(size):
                 at = np.flatnonzero(size == k)
                 h[at] = mixed(hashes(letters([words[i] for i in at])))
-            part = (h % np.array([slices[k] for k in size.tolist()], np.uint64)).astype(np.int64)
+            part = BlockedBloom.part_of(h, np.array([parts[k] for k in size.tolist()], np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(size), pa.array(part), pa.array(h.view(np.int64))], ["size", "part", "h"])
 
     def build(key, rows):
-        blocks = BlockedBloom.of(rows["h"].to_numpy().view(np.uint64), bits).blocks
-        return rows.iloc[:1].assign(filter=[blocks.tobytes()])[["size", "part", "filter"]]
+        filled = BlockedBloom.built(rows["h"].to_numpy().view(np.uint64), blocks[key[0]])
+        return rows.iloc[:1].assign(filter=[filled.tobytes()])[["size", "part", "filter"]]
 
     built = (vocabulary.select("word").mapInArrow(sharded, "size bigint, part bigint, h bigint")
              .groupBy("size", "part").applyInPandas(build, "size bigint, part bigint, filter binary"))
-    built = materialise(built.withColumn("bytes", F.length("filter")), "spelling-filters")
-    groups, room = [], 0
-    for r in built.select("size", "part", "bytes").orderBy("size", "part").collect():  # one row per million words
-        if not groups or r["bytes"] > room:
-            groups.append([])
-            room = broadcast_bytes
-        groups[-1].append((r["size"], r["part"]))
-        room -= r["bytes"]
+    built = materialise(built, "spelling-filters")
+    passes: list[dict[int, range]] = []  # parts of each length
+    room = 0
+    for k in sorted(parts):
+        at, each = 0, blocks[k] * 4 * _LANES
+        while at < parts[k]:
+            if not passes or room < each:
+                passes.append({})
+                room = broadcast_bytes
+            many = min(parts[k] - at, max(1, room // each))
+            passes[-1][k] = range(at, at + many)
+            at, room = at + many, room - many * each
     found = spark.createDataFrame([], "word string, n bigint, edit string")
-    for group in groups:
-        sizes = {k for k, _ in group}
-        low, high = (F.struct(F.lit(k).cast("long"), F.lit(s).cast("long")) for k, s in (group[0], group[-1]))
-        inside = F.struct("size", "part").between(low, high)
-        held = {(r["size"], r["part"]): BlockedBloom(np.frombuffer(r["filter"], np.uint32).reshape(-1, _LANES))
-                for r in built.filter(inside).collect()}  # at most broadcast_bytes, and one filter
+    for here in passes:
+        held = {k: BlockedBloom(np.zeros((len(r) * blocks[k], _LANES), np.uint32), blocks[k], parts[k], r.start) for k, r in here.items()}
+        wanted = F.lit(False)
+        for k, r in here.items():
+            wanted = wanted | ((F.col("size") == k) & F.col("part").between(r.start, r.stop - 1))
+        for row in built.filter(wanted).toLocalIterator():  # at most broadcast_bytes, and one part
+            f, at = held[row["size"]], (row["part"] - here[row["size"]].start) * blocks[row["size"]]
+            f.blocks[at:at + f.size] = np.frombuffer(row["filter"], np.uint32).reshape(-1, _LANES)
         shared = spark.sparkContext.broadcast(held)
 
         def probe(batches, shared=shared):
@@ -185,7 +195,7 @@ def near_pairs(vocabulary: DataFrame, min_length: int = 5, shard_words: int = 1_
                     by_length.setdefault(len(w), []).append(i)
                 out: tuple[list, list, list] = ([], [], [])
                 for at in by_length.values():
-                    for i, edit in candidates([words[i] for i in at], shared.value, slices, alphabet, min_length):
+                    for i, edit in candidates([words[i] for i in at], shared.value, alphabet, min_length):
                         out[0].append(words[at[i]].decode("latin-1"))
                         out[1].append(counts[at[i]])
                         out[2].append(edit.decode("latin-1"))
@@ -195,7 +205,7 @@ def near_pairs(vocabulary: DataFrame, min_length: int = 5, shard_words: int = 1_
                 if out[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["word", "n", "edit"])
 
-        asking = vocabulary.filter(F.length("word").isin(sorted(sizes | {k + 1 for k in sizes}))).select("word", "n")
+        asking = vocabulary.filter(F.length("word").isin(sorted({*here, *(k + 1 for k in here)}))).select("word", "n")
         found = found.union(asking.mapInArrow(probe, "word string, n bigint, edit string"))
     real = vocabulary.select(F.col("word").alias("near"), F.col("n").alias("near_n"))
     return found.join(real, F.col("edit") == F.col("near")).select("word", "n", "near", "near_n")

@@ -63,7 +63,7 @@ def test_many_shards_and_passes(spark, sf):
     docs = read(spark, sf, "documents")
     want = brute([(r.doc_id, r.text) for r in docs.collect()], drop=5)
     assert any(r[1] and r[1] != r[2] for r in want)  # a chain
-    for sizes in ({"shard_words": 40, "broadcast_bytes": 1}, {"shard_words": 100, "broadcast_bytes": 1000}, {"bits": 1}):
+    for sizes in ({"part_words": 200, "broadcast_bytes": 1}, {"part_words": 50, "broadcast_bytes": 900}, {"bits": 1}):
         assert got(spelling.spelling_forms(docs, drop=5, **sizes)) == want
 
 
@@ -81,14 +81,16 @@ def test_edge_rows(frame):
 @given(st.lists(st.text("abé", min_size=5, max_size=8), min_size=1, max_size=30, unique=True))
 def test_edits_reach_each_pair_once(words):
     alphabet = np.array(sorted({ord(c) for w in words for c in w}), np.uint64)
-    filters, slices, found = {}, {}, Counter()
+    filters, found = {}, Counter()
     by_length = {}
     for w in words:
         by_length.setdefault(len(w), []).append(w.encode("latin-1"))
     for k, ws in by_length.items():
-        filters[k, 0], slices[k] = spelling.BlockedBloom.of(spelling.mixed(spelling.hashes(spelling.letters(ws)))), 1
+        keys = spelling.mixed(spelling.hashes(spelling.letters(ws)))
+        part = spelling.BlockedBloom.part_of(keys, np.uint64(3))
+        filters[k] = spelling.BlockedBloom(np.concatenate([spelling.BlockedBloom.built(keys[part == p], 2) for p in range(3)]), 2, 3)
     for ws in by_length.values():
-        for i, edit in spelling.candidates(ws, filters, slices, alphabet, 5):
+        for i, edit in spelling.candidates(ws, filters, alphabet, 5):
             assert one_edit(ws[i].decode("latin-1"), edit.decode("latin-1"))
             if edit in by_length.get(len(edit), ()):
                 found[frozenset((ws[i], edit))] += 1
