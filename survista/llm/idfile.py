@@ -21,7 +21,7 @@ from survista.llm.tokens import encoder
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text",
-          byte_level: bool = False, block_ids: int = 1 << 20) -> None:
+          byte_level: bool = False, block_ids: int = 1 << 22) -> None:
     """Write the ids of every row of ``docs``, ``end_id`` after each, ascending by id (then text; null ids first).
 
     The rows are range-partitioned by id; a task encodes its range in order. A block ends with the document that brings

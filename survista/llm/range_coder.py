@@ -15,11 +15,12 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"SVC1"
-LANES = 4096
+MAGIC = b"SVC2"
+LANES = 16384
 _U = np.uint64
 _S12, _S32, _LOW32 = _U(12), _U(32), _U(0xFFFFFFFF)
 _HASH_BITS = 18
+_BUCKETS = 1 << 14
 
 
 class _Model:
@@ -29,9 +30,8 @@ class _Model:
         self.follow2 = np.zeros(1 << _HASH_BITS, np.int32)  # id << 3 | confidence
         self.follow1 = np.zeros(ids, np.int32)
         self.counts = np.ones(ids, np.int64)
-        self.sums = np.full((ids + 256) // 256 * 256 + 256, 1 << 62)  # running counts, padded for find
-        self.cum = self.sums[:ids + 1]
-        self.cum[:] = np.arange(ids + 1)
+        self.cum = np.arange(ids + 1)  # running counts
+        self.first = None
         self.seen = np.ones((128, 3), np.int64)
         self.weights = np.array([1365, 1365, 1366])
         self._mix()
@@ -45,7 +45,7 @@ class _Model:
         a, b: the ids before, 32-bit."""
         h = self.hashed(a, b)
         two, one = self.follow2.take(h), self.follow1.take(b)
-        return two, one, ((two & 7) << 4) | ((one & 7) << 1) | (two >> 3 == one >> 3), h
+        return two, one, ((two & 7) << 4) | ((one & 7) << 1) | ((two ^ one) < 8), h
 
     def _mix(self):
         """Chances out of 4096 for each row, and their running sums."""
@@ -81,13 +81,20 @@ class _Model:
             if self.counts.sum() > 1 << 23:
                 self.counts = (self.counts >> 1) + 1
             np.cumsum(self.counts, out=self.cum[1:])
+            self.first = None
 
     def find(self, v):
-        """Ids whose range of running counts holds v: by every 256th count, then by halves."""
-        y = (np.searchsorted(self.sums[::256], v, side="right") - 1) << 8
-        for half in (128, 64, 32, 16, 8, 4, 2, 1):
-            z = y | half
-            y += (self.sums.take(z) <= v) * half
+        """Ids whose range of running counts holds v. Buckets of equal width know the id at their start; only a v whose bucket
+        holds the start of another id is searched for."""
+        if self.first is None:
+            self.shift = max(0, int(self.cum[-1]).bit_length() - _BUCKETS.bit_length() + 1)
+            begun = (self.cum + ((1 << self.shift) - 1)) >> self.shift
+            self.first = np.cumsum(np.bincount(begun, minlength=_BUCKETS + 2)) - 1
+        bucket = v >> self.shift
+        y = self.first.take(bucket)
+        more = np.flatnonzero(self.first.take(bucket + 1) > y)
+        if len(more):
+            y[more] = np.searchsorted(self.cum, v[more], side="right") - 1
         return y
 
 

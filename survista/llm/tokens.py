@@ -20,10 +20,8 @@ _INSIDE = re.compile(rb"[.,](?<![0-9A-Za-z].)(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xb
 #: ASCII marks, and a letter (ASCII or Latin-1) at the end of a word.
 _MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _LETTER = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])\Z")
-#: Words that are one pre-token and that the normaliser leaves alone: lower-case ASCII or Latin-1 letters for a
-#: lower-casing tokenizer, any of them for a byte-level one.
-_PLAIN = {False: re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+\Z"),
-          True: re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+\Z")}
+#: Words that are one pre-token: ASCII or Latin-1 letters.
+_PLAIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+\Z")
 #: The characters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on.
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _OTHERS = [b for b in range(256) if b not in _PRINTED]
@@ -47,7 +45,8 @@ class Encoder(dict):
         self.mark = min(added, key=len)[:2] if len({a[:2] for a in added}) == 1 and added[0][:2].upper() == added[0][:2].lower() else b""
         self.pieces, self.space = self.tokenizer.model.tokenize, "\u0120" if byte_level else ""
         self.byte_level, self.room = byte_level, room
-        self.plain, self.before = _PLAIN[byte_level], b"\xff" if byte_level else b""
+        self.before = b"\xff" if byte_level else b""
+        self.coded = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.old: dict[bytes, bytes] = {}
 
     def _chunks(self, text: bytes) -> list[bytes]:
@@ -63,23 +62,28 @@ class Encoder(dict):
             text = text.replace(b".", b" \xff.").replace(b",", b" \xff,")
         return (b"\xff" + text.replace(b"\n", b" \xff\n \xff")).split(b" ")
 
+    def _word(self, word: str) -> bytes:
+        """A word that is one pre-token, in the characters that stand for its bytes: its ids are the model's own."""
+        coded = self.coded
+        return b"".join([coded[t.id] for t in self.pieces(self.space + word)])
+
+    def _encoded(self, chunk: bytes) -> bytes:
+        if _PLAIN.match(chunk):  # the lower-casing tokenizer's normaliser does no more than that to these letters
+            letters = chunk if self.byte_level else chunk.decode().lower().encode()
+            return self._word(letters.decode("latin-1").translate(_BYTE))
+        word = chunk.rstrip(_MARKS)
+        if word != chunk and _LETTER.search(word):  # a word and the marks after it are separate pre-tokens
+            return self[word] + self[self.before + chunk[len(word):]]
+        if self.byte_level:
+            text = (chunk[1:] if chunk[:1] == b"\xff" else b" " + chunk).decode()
+        else:
+            text = chunk.decode()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
     def __missing__(self, chunk: bytes) -> bytes:
         ids = self.old.get(chunk)
-        if ids is not None:
-            pass
-        elif self.plain.match(chunk):  # one pre-token: its ids are the model's own
-            word = chunk.decode() if chunk.isascii() else chunk.decode("latin-1").translate(_BYTE)
-            ids = array("I", [t.id for t in self.pieces(self.space + word)]).tobytes()
-        else:
-            word = chunk.rstrip(_MARKS)
-            if word != chunk and _LETTER.search(word):  # a word and the marks after it are separate pre-tokens
-                ids = self[word] + self[self.before + chunk[len(word):]]
-            else:
-                if self.byte_level:
-                    text = (chunk[1:] if chunk[:1] == b"\xff" else b" " + chunk).decode()
-                else:
-                    text = chunk.decode()
-                ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if ids is None:
+            ids = self._word(chunk.decode()) if chunk.isalpha() else self._encoded(chunk)
         if len(self) >= self.room:
             self.old = dict(self)
             self.clear()
