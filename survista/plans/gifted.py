@@ -133,8 +133,9 @@ def tracked_rows(t: dict[str, DataFrame], program_id: str, user_id: str, exclude
              .join(_a(t["mon_submission_record_form"], "rf_", "id", "submission_record_id"), F.col("sr_id") == F.col("rf_submission_record_id"), "left")
              .join(_a(t["form_instance"], "fi_", "id"), F.col("rf_id") == F.col("fi_id"), "left")
              .join(_a(t["form_instance_interval"], "fii_", "id", "instance_id"), F.col("fi_id") == F.col("fii_instance_id"), "left"))
+    # The asking items are few (the skeleton holds them as an array); an exchange by item would put an item's answers in one task.
     chosen = (_a(t["form_input_value"], "v_", "id", "interval_id", "input_field_id")
-              .join(asked.select(F.col("attribute_id").alias("v_input_field_id")).distinct(), "v_input_field_id", "left_semi")
+              .join(F.broadcast(asked.select(F.col("attribute_id").alias("v_input_field_id")).distinct()), "v_input_field_id", "left_semi")
               .join(_a(t["form_input_single_select_value"], "ss_", "id", "selected_option_id"), F.col("v_id") == F.col("ss_id"), "left")
               .join(_a(t["form_template_input_select_field_option"], "o_", "id", "label"), F.col("ss_selected_option_id") == F.col("o_id"), "left"))
     return (densify(skel, live, ["org_unit_id", "roster_year_id", "submission_mode_id"])
