@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import eq_null_sentinel, ratio_half_up
@@ -57,14 +57,18 @@ def compliance_2b(detail: DataFrame, attrs: DataFrame, search_key: str | None =
     """RP2: each non-note statement paired with its section's note answer.
     Statements = attributes NOT IN the note ids (NULL-aware); notes joined
     back on (instance, section). A statement whose section has no note answer
-    drops out."""
-    rows = compliance_2(detail, attrs, search_key, key_col)
-    notes_ids = attrs.filter(F.col("is_note") == 1).select("attribute_id")
-    stmts = not_in(rows, notes_ids, "attribute_id")
-    notes = (rows.join(notes_ids, "attribute_id", "left_semi")
-             .select("instance_id", "section_id", F.col("value").alias("note")))
-    return stmts.join(notes, ["instance_id", "section_id"]).select(
-        "instance_id", "section", "sequence", "attribute_id", "value", "note")
+    drops out. Statements and notes are told apart by id on the form's side and
+    paired by a window, so the answers are read once."""
+    notes_ids = attrs.filter(F.col("is_note") == 1).select("attribute_id").distinct()
+    stmts_ids = not_in(attrs.select("attribute_id").distinct(), notes_ids, "attribute_id")
+    marked = (attrs.join(stmts_ids.withColumn("__stmt", F.lit(True)), "attribute_id", "left")
+              .join(notes_ids.withColumn("__note", F.lit(True)), "attribute_id", "left"))
+    d = detail if search_key is None else detail.filter(eq_null_sentinel(key_col, search_key))
+    own = Window.partitionBy("instance_id", "section_id")
+    notes = F.collect_list(F.when(F.col("__note"), F.struct(F.col("value").alias("note")))).over(own)
+    rows = d.join(marked, "attribute_id").filter(F.col("instance_id").isNotNull() & F.col("section_id").isNotNull()).withColumn("__notes", notes)
+    return (rows.filter(F.col("__stmt")).withColumn("__n", F.explode("__notes"))
+            .select("instance_id", "section", "sequence", "attribute_id", "value", F.col("__n.note").alias("note")))
 
 
 def compliance_3(detail: DataFrame, attrs: DataFrame, by: Sequence[str] = ("au",)) -> DataFrame:

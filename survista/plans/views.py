@@ -232,16 +232,17 @@ def checklist_detail(t: dict[str, DataFrame], template_id: str) -> DataFrame:
     fi = t["form_instance"].filter(F.col("template_id") == F.lit(template_id)).select(F.col("id").alias("instance_id"))
     sel = _a(t["mon_record_selection"], "sel_", ["id", "record_id", "excluded_date"])
     sub = _a(t["mon_submissions"], "s_", ["id", "org_unit_id", "roster_year_id"])
-    d = (fi.join(_a(t["form_instance_interval"], "fii_", ["id", "instance_id"]), F.col("fii_instance_id") == F.col("instance_id"))
-         .join(_a(t["form_input_value"], "v_", ["id", "interval_id", "input_field_id"]), F.col("v_interval_id") == F.col("fii_id"))
-         .join(_a(t["form_input_single_select_value"], "ss_", ["id", "selected_option_id"]), F.col("ss_id") == F.col("v_id"))
-         .join(_a(t["form_template_input_select_field_option"], "o_", ["id", "label", "report_label"]), F.col("o_id") == F.col("ss_selected_option_id"), "left")
-         .join(_a(t["mon_submission_record_form"], "rf_", ["id", "submission_record_id"]), F.col("rf_id") == F.col("instance_id"), "left")
+    # What a report leaves out goes before the answers are read: they meet the instances once, and their options after that.
+    d = (fi.join(_a(t["mon_submission_record_form"], "rf_", ["id", "submission_record_id"]), F.col("rf_id") == F.col("instance_id"), "left")
          .join(_a(t["mon_submission_record"], "r_", ["id", "submissions_id", "record_selection_id"]), F.col("r_id") == F.col("rf_submission_record_id"), "left")
+         .join(sub, F.col("s_id") == F.col("r_submissions_id"), "left")
+         .join(_a(t["org_unit"], "ou_", ["id", "name"]), F.col("ou_id") == F.col("s_org_unit_id"), "left")
          .join(sel, F.col("sel_id") == F.col("r_record_selection_id"), "left")
          .join(_a(t["mon_record"], "m_", ["id", "search_key"]), F.col("m_id") == F.col("sel_record_id"), "left")
-         .join(sub, F.col("s_id") == F.col("r_submissions_id"), "left")
-         .join(_a(t["org_unit"], "ou_", ["id", "name"]), F.col("ou_id") == F.col("s_org_unit_id"), "left"))
+         .join(_a(t["form_instance_interval"], "fii_", ["id", "instance_id"]), F.col("fii_instance_id") == F.col("instance_id"))
+         .join(_a(t["form_input_value"], "v_", ["id", "interval_id", "input_field_id"]), F.col("v_interval_id") == F.col("fii_id"))
+         .join(_a(t["form_input_single_select_value"], "ss_", ["id", "selected_option_id"]), F.col("ss_id") == F.col("v_id"))
+         .join(_a(t["form_template_input_select_field_option"], "o_", ["id", "label", "report_label"]), F.col("o_id") == F.col("ss_selected_option_id"), "left"))
     return d.select("instance_id", F.col("ou_name").alias("au"), F.col("ou_id").alias("org_unit_id"), F.col("s_roster_year_id").alias("roster_year"),
                     F.col("sel_excluded_date").isNotNull().alias("excluded"), F.col("m_search_key").alias("search_key"),
                     F.col("v_input_field_id").alias("attribute_id"), F.col("o_report_label").alias("value"), F.col("o_label").alias("label"))
