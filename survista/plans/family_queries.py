@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.filters import restrict_to_user
 from ..sources import native_proxy, proxy
 from . import catalog as C
 from . import family as FAM
@@ -71,9 +72,12 @@ def _store(spark, sf):
     return native_proxy.store(spark, proxy.read_tables(spark, sf, ("region", "nation", "customer", "orders", "lineitem")), native_proxy.FAMILY)
 
 
-def _master(spark, sf):
+def _master(spark, sf, user: str | None = None, year: str = ""):
+    """The master of all live submissions, or of those that a report of the ``user`` and ``year`` reads."""
     t = _store(spark, sf)
-    return t, FS.master(t, **SURVEY, **FORM, likert75_min=HIGH)
+    subs = t["mon_submissions"] if user is None else restrict_to_user(t["mon_submissions"], t["user_profile_org_unit"], user)
+    read = {**t, "mon_submissions": subs.filter(F.col("roster_year_id") == F.lit(year)) if year else subs}
+    return t, FS.master(read, **SURVEY, **FORM, likert75_min=HIGH)
 
 
 @query("family_submissions_native", " SELECT * FROM sub")
@@ -101,7 +105,7 @@ def _report(name: str, base: str, run, more: str = "", year: str = ""):
     assert body.startswith(C._FM)
 
     def fn(spark, sf):
-        t, m = _master(spark, sf)
+        t, m = _master(spark, sf, USER, year)
         if year:
             m = m.filter(F.col("roster_year_id") == F.lit(year))
         return run(m, {"grants": t["user_profile_org_unit"], "user_id": USER}, t)

@@ -15,6 +15,7 @@ from ..functions import KEEP, likert, map_values, merge_buckets, roster_year_lab
 from ..operators.eav import pivot_attributes
 from ..operators.filters import active, drop_in
 from ..operators.measures import count_where, threshold_flag
+from ..operators.tree import sequence
 
 BLANK = "Blank"
 # Layout positions of the language, the disability match and the questions in the survey's form.
@@ -28,12 +29,16 @@ def _a(df: DataFrame, prefix: str, *cols: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in cols])
 
 
+def _live(t: dict[str, DataFrame], submission_type_id: str, outside: Sequence[str]) -> DataFrame:
+    subs = active(t["mon_submissions"]).filter(F.col("submission_type_id") == F.lit(submission_type_id))
+    return _a(drop_in(subs, "submission_mode_id", list(outside)) if outside else subs, "s_", "id", "org_unit_id", "roster_year_id")
+
+
 def submissions(t: dict[str, DataFrame], submission_type_id: str, attributes: Mapping[str, str], outside: Sequence[str] = ()) -> DataFrame:
     """PL5: one row per form instance of the survey's live submissions, those of the ``outside`` modes and of excluded
     records left out. ``attributes``: attribute ids of district, school, disability and grade; a record without one shows
     'Blank'."""
-    subs = active(t["mon_submissions"]).filter(F.col("submission_type_id") == F.lit(submission_type_id))
-    subs = _a(drop_in(subs, "submission_mode_id", list(outside)) if outside else subs, "s_", "id", "org_unit_id", "roster_year_id")
+    subs = _live(t, submission_type_id, outside)
     own = t["mon_record_attribute_value"].filter(F.col("attribute_id").isin(list(attributes.values())))
     wide = pivot_attributes(own, ["record_id"], {i: f"v_{n}" for n, i in attributes.items()})
     d = (_a(t["mon_submission_record_form"], "rf_", "id", "submission_record_id")
@@ -52,23 +57,45 @@ def submissions(t: dict[str, DataFrame], submission_type_id: str, attributes: Ma
                     F.col("m_search_key").alias("search_key"))
 
 
-def answers(t: dict[str, DataFrame], template_id: str, dropped: Sequence[str] = ()) -> DataFrame:
-    """Every answer of the form, with its item, its place in the layout and its scores; an answer without a live option has a
-    NULL response. ``dropped`` items are never read."""
+def _form(t: dict[str, DataFrame], template_id: str, dropped: Sequence[str]) -> DataFrame:
+    """The items of the form with their place in the layout, an item that has several rows numbered."""
     layout = t["form_template_layout"].filter(F.col("template_id") == F.lit(template_id)).select("control_id", F.col("sequence").alias("layout_sequence"))
     items = _a(t["form_template_input_item"], "i_", "id", "input_area_id", "sequence", "code", "label", "report_label", "report_weight")
     items = (drop_in(items, "i_id", list(dropped)) if dropped else items).join(layout, F.col("i_input_area_id") == F.col("control_id"))
+    rest = [c for c in items.columns if c not in ("i_id", "i_input_area_id", "control_id")]
+    return sequence(items.select("i_id", *rest), "i_id", rest, "i_row")
+
+
+def _read(t: dict[str, DataFrame], form: DataFrame, instances: DataFrame | None = None) -> DataFrame:
+    """Every answer to an item of the form (of the ``instances``, if given) with its scores, without the item's texts: what is
+    exchanged stays narrow, and ``_described`` adds them at the end."""
+    items = form.select("i_id", "i_row", "layout_sequence", F.col("i_report_weight").isNotNull().alias("i_scored"))
     options = t["form_template_input_select_field_option"].filter(F.col("deleted_date").isNull())
+    interval = _a(t["form_instance_interval"], "fii_", "id", "instance_id")
+    if instances is not None:
+        interval = interval.join(instances, F.col("fii_instance_id") == F.col("instance_id"), "left_semi")
     d = (_a(t["form_input_value"], "v_", "id", "interval_id", "input_field_id")
          .join(items, F.col("v_input_field_id") == F.col("i_id"))
+         .join(interval, F.col("v_interval_id") == F.col("fii_id"))
          .join(_a(t["form_input_single_select_value"], "ss_", "id", "selected_option_id"), F.col("v_id") == F.col("ss_id"), "left")
-         .join(_a(options, "o_", "id", "label", "sequence"), F.col("ss_selected_option_id") == F.col("o_id"), "left")
-         .join(_a(t["form_instance_interval"], "fii_", "id", "instance_id"), F.col("v_interval_id") == F.col("fii_id")))
-    score = F.when(F.col("i_report_weight").isNotNull(), likert("o_sequence"))
+         .join(_a(options, "o_", "id", "label", "sequence"), F.col("ss_selected_option_id") == F.col("o_id"), "left"))
     return d.select(F.col("fii_instance_id").alias("instance_id"), F.col("v_id").alias("value_id"), "layout_sequence", F.col("i_id").alias("attribute_id"),
-                    (F.col("i_sequence") + 1).alias("question"), F.col("i_code").alias("question_code"), F.col("i_label").alias("question_text"),
-                    F.col("i_report_label").alias("question_report_label"), F.col("o_label").alias("response"), score.alias("likert_score"),
-                    F.col("i_report_weight").alias("response_weight"))
+                    "i_row", F.col("o_label").alias("response"), F.when(F.col("i_scored"), likert("o_sequence")).alias("likert_score"))
+
+
+def _described(a: DataFrame, form: DataFrame) -> DataFrame:
+    """Answers with the texts of their items: the form's own rows, which the reports show as columns, so they are broadcast."""
+    texts = F.broadcast(form.select(
+        F.col("i_id").alias("attribute_id"), "i_row", (F.col("i_sequence") + 1).alias("question"), F.col("i_code").alias("question_code"),
+        F.col("i_label").alias("question_text"), F.col("i_report_label").alias("question_report_label"), F.col("i_report_weight").alias("response_weight")))
+    return a.join(texts, ["attribute_id", "i_row"]).drop("i_row")
+
+
+def answers(t: dict[str, DataFrame], template_id: str, dropped: Sequence[str] = ()) -> DataFrame:
+    """Every answer of the form, with its item, its place in the layout and its scores; an answer without a live option has a
+    NULL response. ``dropped`` items are never read."""
+    form = _form(t, template_id, dropped)
+    return _described(_read(t, form), form)
 
 
 def _answered(ignored: str | None):
@@ -80,7 +107,8 @@ def _answered(ignored: str | None):
 
 def responses(t: dict[str, DataFrame], template_id: str, dropped: Sequence[str] = (), ignored: str | None = None) -> DataFrame:
     """PL5: the answers of instances that are not all blank, the answer to the ``ignored`` item not counting."""
-    a = answers(t, template_id, dropped).withColumn("__stays", _answered(ignored)).filter("__stays")
+    form = _form(t, template_id, dropped)
+    a = _described(_read(t, form).withColumn("__stays", _answered(ignored)).filter("__stays").drop("__stays"), form)
     return a.select("instance_id", "layout_sequence", "attribute_id", F.col("question").alias("item_sequence"), F.col("question_code").alias("code"),
                     F.col("question_text").alias("label"), F.coalesce("response", F.lit(BLANK)).alias("response"), "likert_score",
                     F.col("response_weight").alias("report_weight"))
@@ -97,10 +125,17 @@ def master(t: dict[str, DataFrame], submission_type_id: str, template_id: str, a
     def side(at: int):
         return F.collect_list(F.when(F.col("layout_sequence") == at, F.coalesce("response", F.lit(BLANK)))).over(own)
 
-    a = answers(t, template_id, dropped).withColumns({
+    form = _form(t, template_id, dropped)
+    # Only the answers of live submissions' instances are exchanged (``submissions`` leaves out more, of excluded records).
+    kept = (_a(t["mon_submission_record_form"], "rf_", "id", "submission_record_id")
+            .join(_a(t["mon_submission_record"], "sr_", "id", "submissions_id"), F.col("rf_submission_record_id") == F.col("sr_id"))
+            .join(_live(t, submission_type_id, outside), F.col("sr_submissions_id") == F.col("s_id"), "left_semi")
+            .select(F.col("rf_id").alias("instance_id")))
+    # Value ids only tell which row of an instance without question answers stays, so those of other rows are not exchanged.
+    a = _read(t, form, kept).withColumn("value_id", F.when(asked, None).otherwise(F.col("value_id"))).withColumns({
         "__stays": _answered(ignored), "__languages": side(LANGUAGE_AT), "__matches": side(MATCH_AT), "__asked": count_where(asked).over(own), "__first": F.min("value_id").over(own) == F.col("value_id")})
     # An instance without question answers keeps one row for its language and match.
-    a = a.filter(F.col("__stays") & (asked | ((F.col("__asked") == 0) & F.col("__first"))))
+    a = _described(a.filter(F.col("__stays") & (asked | ((F.col("__asked") == 0) & F.col("__first")))), form)
     shown = [F.when(asked, F.col(c)).alias(c) for c in ("attribute_id", "question", "question_code", "question_text", "question_report_label",
                                                         "likert_score", "response_weight")]
     response = F.when(asked, F.coalesce("response", F.lit(BLANK))).alias("response")
