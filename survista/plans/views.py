@@ -101,12 +101,14 @@ def with_form_catalogue(t: dict[str, DataFrame], path: str) -> dict[str, DataFra
 
 
 def persist_views(t: dict[str, DataFrame], path: str, prefix: str, buckets: int | None = None) -> dict[str, DataFrame]:
-    """SC3: the tables with the form catalogue and the answer chain kept under
+    """SC3: the tables with the form catalogue, the options and the answer chain kept under
     ``path``: answer values and their side tables bucketed by value, then the
     typed answers and the form instances bucketed by instance (session tables
     named with ``prefix``). Views over the result join answers to their typed
     values and to their instances without an exchange."""
     out = with_form_catalogue(t, path)
+    # Kept, the options have a size that the planner knows: a small table is broadcast and the answers stay where they are.
+    out["form_template_input_select_field_option"] = persist(t["form_template_input_select_field_option"], "form_template_input_select_field_option", path)
     for name in ("form_input_value", "form_input_text_value", "form_input_single_select_value", "form_input_date_value", "form_input_flag_value"):
         out[name] = persist(t[name], f"{prefix}{name}", path, "id", buckets)
     out["typed_answers"] = persist(typed_answers(out), f"{prefix}typed_answers", path, "instance_id", buckets)

@@ -96,7 +96,7 @@ def persist(df: DataFrame, name: str, path: str, key: str | None = None, buckets
         return spark.read.schema(df.schema).parquet(f"{path}/{name}")
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key).sortBy(key)
-     .option("path", f"{path}/{name}").saveAsTable(name))
+     .option("compression", "zstd").option("path", f"{path}/{name}").saveAsTable(name))
     return spark.table(name)
 
 
