@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import KEEP, likert, map_values, merge_buckets, roster_year_label
@@ -66,21 +66,29 @@ def _form(t: dict[str, DataFrame], template_id: str, dropped: Sequence[str]) ->
     return sequence(items.select("i_id", *rest), "i_id", rest, "i_row")
 
 
-def _read(t: dict[str, DataFrame], form: DataFrame, instances: DataFrame | None = None) -> DataFrame:
-    """Every answer to an item of the form (of the ``instances``, if given) with its scores, without the item's texts: what is
-    exchanged stays narrow, and ``_described`` adds them at the end."""
-    items = form.select("i_id", "i_row", "layout_sequence", F.col("i_report_weight").isNotNull().alias("i_scored"))
-    options = t["form_template_input_select_field_option"].filter(F.col("deleted_date").isNull())
+def _read(t: dict[str, DataFrame], form: DataFrame, instances: DataFrame | None = None, value_id: Column | None = None) -> DataFrame:
+    """Every answer to an item of the form (of the ``instances``, if given): ids alone, as what is exchanged stays narrow, and
+    ``_scored`` and ``_described`` add the rest. Answers meet their options' ids first: of the value ids, the widest column, only
+    ``value_id`` goes on to the exchanges by interval and instance. The form's own rows are broadcast."""
     interval = _a(t["form_instance_interval"], "fii_", "id", "instance_id")
     if instances is not None:
         interval = interval.join(instances, F.col("fii_instance_id") == F.col("instance_id"), "left_semi")
     d = (_a(t["form_input_value"], "v_", "id", "interval_id", "input_field_id")
-         .join(items, F.col("v_input_field_id") == F.col("i_id"))
-         .join(interval, F.col("v_interval_id") == F.col("fii_id"))
-         .join(_a(t["form_input_single_select_value"], "ss_", "id", "selected_option_id"), F.col("v_id") == F.col("ss_id"), "left")
-         .join(_a(options, "o_", "id", "label", "sequence"), F.col("ss_selected_option_id") == F.col("o_id"), "left"))
-    return d.select(F.col("fii_instance_id").alias("instance_id"), F.col("v_id").alias("value_id"), "layout_sequence", F.col("i_id").alias("attribute_id"),
-                    "i_row", F.col("o_label").alias("response"), F.when(F.col("i_scored"), likert("o_sequence")).alias("likert_score"))
+         .join(F.broadcast(form.select("i_id", "i_row", "layout_sequence")), F.col("v_input_field_id") == F.col("i_id"))
+         .join(_a(t["form_input_single_select_value"], "ss_", "id", "selected_option_id"), F.col("v_id") == F.col("ss_id"), "left"))
+    d = d.select("v_interval_id", (F.col("v_id") if value_id is None else value_id).alias("value_id"), F.col("i_id").alias("attribute_id"), "i_row",
+                 F.col("ss_selected_option_id").alias("option_id"))
+    return d.join(interval, F.col("v_interval_id") == F.col("fii_id")).select(F.col("fii_instance_id").alias("instance_id"), *d.columns[1:])
+
+
+def _scored(a: DataFrame, t: dict[str, DataFrame], form: DataFrame) -> DataFrame:
+    """Answers with their place in the layout, their response and its score."""
+    places = F.broadcast(form.select(F.col("i_id").alias("attribute_id"), "i_row", "layout_sequence", F.col("i_report_weight").isNotNull().alias("__scored")))
+    options = t["form_template_input_select_field_option"].filter(F.col("deleted_date").isNull())
+    a = (a.join(places, ["attribute_id", "i_row"])
+         .join(_a(options, "o_", "id", "label", "sequence"), F.col("option_id") == F.col("o_id"), "left"))
+    return a.select("instance_id", "value_id", "layout_sequence", "attribute_id", "i_row", F.col("o_label").alias("response"),
+                    F.when(F.col("__scored"), likert("o_sequence")).alias("likert_score"))
 
 
 def _described(a: DataFrame, form: DataFrame) -> DataFrame:
@@ -95,7 +103,7 @@ def answers(t: dict[str, DataFrame], template_id: str, dropped: Sequence[str] =
     """Every answer of the form, with its item, its place in the layout and its scores; an answer without a live option has a
     NULL response. ``dropped`` items are never read."""
     form = _form(t, template_id, dropped)
-    return _described(_read(t, form), form)
+    return _described(_scored(_read(t, form), t, form), form)
 
 
 def _answered(ignored: str | None):
@@ -108,7 +116,7 @@ def _answered(ignored: str | None):
 def responses(t: dict[str, DataFrame], template_id: str, dropped: Sequence[str] = (), ignored: str | None = None) -> DataFrame:
     """PL5: the answers of instances that are not all blank, the answer to the ``ignored`` item not counting."""
     form = _form(t, template_id, dropped)
-    a = _described(_read(t, form).withColumn("__stays", _answered(ignored)).filter("__stays").drop("__stays"), form)
+    a = _described(_scored(_read(t, form), t, form).withColumn("__stays", _answered(ignored)).filter("__stays").drop("__stays"), form)
     return a.select("instance_id", "layout_sequence", "attribute_id", F.col("question").alias("item_sequence"), F.col("question_code").alias("code"),
                     F.col("question_text").alias("label"), F.coalesce("response", F.lit(BLANK)).alias("response"), "likert_score",
                     F.col("response_weight").alias("report_weight"))
@@ -132,7 +140,7 @@ def master(t: dict[str, DataFrame], submission_type_id: str, template_id: str, a
             .join(_live(t, submission_type_id, outside), F.col("sr_submissions_id") == F.col("s_id"), "left_semi")
             .select(F.col("rf_id").alias("instance_id")))
     # Value ids only tell which row of an instance without question answers stays, so those of other rows are not exchanged.
-    a = _read(t, form, kept).withColumn("value_id", F.when(asked, None).otherwise(F.col("value_id"))).withColumns({
+    a = _scored(_read(t, form, kept, F.when(asked, None).otherwise(F.col("v_id"))), t, form).withColumns({
         "__stays": _answered(ignored), "__languages": side(LANGUAGE_AT), "__matches": side(MATCH_AT), "__asked": count_where(asked).over(own), "__first": F.min("value_id").over(own) == F.col("value_id")})
     # An instance without question answers keeps one row for its language and match.
     a = _described(a.filter(F.col("__stays") & (asked | ((F.col("__asked") == 0) & F.col("__first")))), form)

@@ -16,6 +16,8 @@ decoding, walking and pivoting them is the views' work.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -134,6 +136,19 @@ _KEY = "CAST(o_orderkey AS STRING)"
 _FAMILY_ATTRIBUTES = [("A1", "n_name", "o_custkey % 11 <> 0"), ("A2", "c_mktsegment", "true"), ("A3", "lpad(CAST(o_custkey % 18 AS STRING), 2, '0')", "o_custkey % 18 <> 17"),
                       ("A5", "lpad(CAST(o_orderkey % 10 AS STRING), 3, '0')", "true"), ("A0", "'unused'", "true")]
 
+#: The family survey's answers and chosen options in parts: test table, the id of its rows, and the SELECT.
+_FAMILY_ANSWERS = {
+    "form_input_value": [
+        ("lineitem", _VAL, f"SELECT DISTINCT {_VAL} AS id, 'N' || CAST(l_orderkey AS STRING) AS interval_id, 'IQ' || CAST(l_linenumber AS STRING) AS input_field_id FROM {{lineitem}}"),
+        *[("orders", f"'{p}' || {_KEY}", f"SELECT '{p}' || {_KEY}, 'N' || {_KEY}, '{i}' FROM {{orders}}")
+          for p, i in (("VL", "ILANG"), ("VM", "IMATCH"), ("VC", "INOTE"), ("VD", "IDROP1"))]],
+    "form_input_single_select_value": [
+        ("lineitem", _VAL, f"SELECT {_VAL} AS id, min('O' || CAST(CAST(ceil(l_quantity / 10) AS INT) AS STRING)) AS selected_option_id FROM {{lineitem}} WHERE l_returnflag <> 'N' GROUP BY {_VAL}"),
+        ("orders", f"'VL' || {_KEY}", f"SELECT 'VL' || {_KEY}, CASE WHEN o_custkey % 4 = 1 THEN 'OES' ELSE 'OEN' END FROM {{orders}} WHERE o_custkey % 4 <> 3"),
+        ("orders", f"'VM' || {_KEY}", f"SELECT 'VM' || {_KEY}, CASE o_orderkey % 3 WHEN 0 THEN 'OYES' WHEN 1 THEN 'ONO' ELSE 'OOLD' END FROM {{orders}}"),
+        *[("orders", f"'{p}' || {_KEY}", f"SELECT '{p}' || {_KEY}, 'OC' FROM {{orders}}") for p in ("VC", "VD")]],
+}
+
 #: A family survey: type ST1 outside mode M5, form TF. Some records lack a district or disability; language and match are answers of the
 #: form, missing or of a deleted option for some; some forms are blank but for their note.
 FAMILY: dict[str, str] = {
@@ -148,14 +163,7 @@ FAMILY: dict[str, str] = {
     "form_template_input_item": _rows([(i, area, "TYSingleSelect", k, code, label, short, QUESTION_WEIGHT.get(i)) for i, area, k, code, label, short in _FAMILY_ITEMS],
                                       "id, input_area_id, type_id, sequence, code, label, report_label, report_weight"),
     "form_template_input_select_field_option": _rows(_FAMILY_OPTIONS, "id, label, sequence, deleted_date"),
-    "form_input_value": f"SELECT DISTINCT {_VAL} AS id, 'N' || CAST(l_orderkey AS STRING) AS interval_id, 'IQ' || CAST(l_linenumber AS STRING) AS input_field_id FROM {{lineitem}}"
-                        + "".join(f" UNION ALL SELECT '{p}' || {_KEY}, 'N' || {_KEY}, '{i}' FROM {{orders}}"
-                                  for p, i in (("VL", "ILANG"), ("VM", "IMATCH"), ("VC", "INOTE"), ("VD", "IDROP1"))),
-    "form_input_single_select_value":
-        f"SELECT {_VAL} AS id, min('O' || CAST(CAST(ceil(l_quantity / 10) AS INT) AS STRING)) AS selected_option_id FROM {{lineitem}} WHERE l_returnflag <> 'N' GROUP BY {_VAL} "
-        f"UNION ALL SELECT 'VL' || {_KEY}, CASE WHEN o_custkey % 4 = 1 THEN 'OES' ELSE 'OEN' END FROM {{orders}} WHERE o_custkey % 4 <> 3 "
-        f"UNION ALL SELECT 'VM' || {_KEY}, CASE o_orderkey % 3 WHEN 0 THEN 'OYES' WHEN 1 THEN 'ONO' ELSE 'OOLD' END FROM {{orders}} "
-        f"UNION ALL SELECT 'VC' || {_KEY}, 'OC' FROM {{orders}} UNION ALL SELECT 'VD' || {_KEY}, 'OC' FROM {{orders}}",
+    **{n: " UNION ALL ".join(text for _, _, text in parts) for n, parts in _FAMILY_ANSWERS.items()},
 }
 
 
@@ -208,12 +216,21 @@ TRACKED: dict[str, str] = {
 }
 
 
+def _dealt(spark: SparkSession, t: dict[str, DataFrame], parts: list[tuple[str, str, str]]) -> DataFrame:
+    """The union of ``parts``, with the test tables' rows dealt out by the id that a part gives them: its own grouping and the
+    joins by id need no further exchange, and keys are exchanged instead of the texts made of them."""
+    return reduce(DataFrame.unionAll, [spark.sql(text, **{name: t[name].repartition(F.expr(key))}) for name, key, text in parts])
+
+
 def store(spark: SparkSession, t: dict[str, DataFrame], texts: dict[str, str] = STORE) -> dict[str, DataFrame]:
     """The native tables over the test tables ``t``, in the declared schemas."""
     out = {}
     for name, text in texts.items():
         used = {k: v for k, v in t.items() if "{" + k + "}" in text}
-        df = spark.sql(text, **used) if used else spark.sql(text)
+        if texts is FAMILY and name in _FAMILY_ANSWERS:
+            df = _dealt(spark, t, _FAMILY_ANSWERS[name])
+        else:
+            df = spark.sql(text, **used) if used else spark.sql(text)
         out[name] = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in TABLES[name].fields])
     return out
 
