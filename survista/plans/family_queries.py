@@ -77,7 +77,7 @@ def _master(spark, sf, user: str | None = None, year: str = ""):
     t = _store(spark, sf)
     subs = t["mon_submissions"] if user is None else restrict_to_user(t["mon_submissions"], t["user_profile_org_unit"], user)
     read = {**t, "mon_submissions": subs.filter(F.col("roster_year_id") == F.lit(year)) if year else subs}
-    return t, FS.master(read, **SURVEY, **FORM, likert75_min=HIGH)
+    return t, FS.master(read, **SURVEY, **FORM, likert75_min=HIGH, one_row=user is not None)
 
 
 @query("family_submissions_native", " SELECT * FROM sub")

@@ -37,19 +37,19 @@ def _live(t: dict[str, DataFrame], submission_type_id: str, outside: Sequence[st
 def submissions(t: dict[str, DataFrame], submission_type_id: str, attributes: Mapping[str, str], outside: Sequence[str] = ()) -> DataFrame:
     """PL5: one row per form instance of the survey's live submissions, those of the ``outside`` modes and of excluded
     records left out. ``attributes``: attribute ids of district, school, disability and grade; a record without one shows
-    'Blank'."""
-    subs = _live(t, submission_type_id, outside)
+    'Blank'. Submissions (a row per organisation, year and mode, not per record) are broadcast with their organisation and year."""
+    subs = (_live(t, submission_type_id, outside)
+            .join(_a(t["org_unit"], "ou_", "id", "name"), F.col("s_org_unit_id") == F.col("ou_id"), "left")
+            .join(_a(t["roster_year"], "ry_", "id", "start_year"), F.col("s_roster_year_id") == F.col("ry_id"), "left"))
     own = t["mon_record_attribute_value"].filter(F.col("attribute_id").isin(list(attributes.values())))
     wide = pivot_attributes(own, ["record_id"], {i: f"v_{n}" for n, i in attributes.items()})
-    d = (_a(t["mon_submission_record_form"], "rf_", "id", "submission_record_id")
-         .join(_a(t["mon_submission_record"], "sr_", "id", "submissions_id", "record_selection_id"), F.col("rf_submission_record_id") == F.col("sr_id"))
-         .join(subs, F.col("sr_submissions_id") == F.col("s_id"))
+    d = (_a(t["mon_submission_record"], "sr_", "id", "submissions_id", "record_selection_id")
+         .join(F.broadcast(subs), F.col("sr_submissions_id") == F.col("s_id"))
+         .join(_a(t["mon_submission_record_form"], "rf_", "id", "submission_record_id"), F.col("rf_submission_record_id") == F.col("sr_id"))
          .join(_a(t["mon_record_selection"], "sel_", "id", "record_id", "excluded_date"), F.col("sr_record_selection_id") == F.col("sel_id"), "left")
          .filter(F.col("sel_excluded_date").isNull())
          .join(wide, F.col("sel_record_id") == F.col("record_id"), "left")
-         .join(_a(t["mon_record"], "m_", "id", "search_key"), F.col("sel_record_id") == F.col("m_id"), "left")
-         .join(_a(t["org_unit"], "ou_", "id", "name"), F.col("s_org_unit_id") == F.col("ou_id"), "left")
-         .join(_a(t["roster_year"], "ry_", "id", "start_year"), F.col("s_roster_year_id") == F.col("ry_id"), "left"))
+         .join(_a(t["mon_record"], "m_", "id", "search_key"), F.col("sel_record_id") == F.col("m_id"), "left"))
     shown = {n: F.coalesce(f"v_{n}", F.lit(BLANK)) for n in attributes}
     return d.select(F.col("rf_id").alias("instance_id"), F.col("ou_id").alias("org_unit_id"), F.col("ry_id").alias("roster_year_id"),
                     roster_year_label("ry_start_year", "-").alias("roster_year"), F.col("ou_name").alias("au"),
@@ -66,14 +66,17 @@ def _form(t: dict[str, DataFrame], template_id: str, dropped: Sequence[str]) ->
     return sequence(items.select("i_id", *rest), "i_id", rest, "i_row")
 
 
-def _read(t: dict[str, DataFrame], form: DataFrame, instances: DataFrame | None = None, value_id: Column | None = None) -> DataFrame:
+def _read(t: dict[str, DataFrame], form: DataFrame, instances: DataFrame | None = None, value_id: Column | None = None,
+          dropped: Sequence[str] = ()) -> DataFrame:
     """Every answer to an item of the form (of the ``instances``, if given): ids alone, as what is exchanged stays narrow, and
     ``_scored`` and ``_described`` add the rest. Answers meet their options' ids first: of the value ids, the widest column, only
-    ``value_id`` goes on to the exchanges by interval and instance. The form's own rows are broadcast."""
+    ``value_id`` goes on to the exchanges by interval and instance. The form's own rows are broadcast; ``dropped`` items are not
+    among them, and said once more their answers go before they are dealt."""
     interval = _a(t["form_instance_interval"], "fii_", "id", "instance_id")
     if instances is not None:
         interval = interval.join(instances, F.col("fii_instance_id") == F.col("instance_id"), "left_semi")
-    d = (_a(t["form_input_value"], "v_", "id", "interval_id", "input_field_id")
+    values = _a(t["form_input_value"], "v_", "id", "interval_id", "input_field_id")
+    d = ((drop_in(values, "v_input_field_id", list(dropped)) if dropped else values)
          .join(F.broadcast(form.select("i_id", "i_row", "layout_sequence")), F.col("v_input_field_id") == F.col("i_id"))
          .join(_a(t["form_input_single_select_value"], "ss_", "id", "selected_option_id"), F.col("v_id") == F.col("ss_id"), "left"))
     d = d.select("v_interval_id", (F.col("v_id") if value_id is None else value_id).alias("value_id"), F.col("i_id").alias("attribute_id"), "i_row",
@@ -103,7 +106,7 @@ def answers(t: dict[str, DataFrame], template_id: str, dropped: Sequence[str] =
     """Every answer of the form, with its item, its place in the layout and its scores; an answer without a live option has a
     NULL response. ``dropped`` items are never read."""
     form = _form(t, template_id, dropped)
-    return _described(_scored(_read(t, form), t, form), form)
+    return _described(_scored(_read(t, form, dropped=dropped), t, form), form)
 
 
 def _answered(ignored: str | None):
@@ -116,17 +119,19 @@ def _answered(ignored: str | None):
 def responses(t: dict[str, DataFrame], template_id: str, dropped: Sequence[str] = (), ignored: str | None = None) -> DataFrame:
     """PL5: the answers of instances that are not all blank, the answer to the ``ignored`` item not counting."""
     form = _form(t, template_id, dropped)
-    a = _described(_scored(_read(t, form), t, form).withColumn("__stays", _answered(ignored)).filter("__stays").drop("__stays"), form)
+    a = _described(_scored(_read(t, form, dropped=dropped), t, form).withColumn("__stays", _answered(ignored)).filter("__stays").drop("__stays"), form)
     return a.select("instance_id", "layout_sequence", "attribute_id", F.col("question").alias("item_sequence"), F.col("question_code").alias("code"),
                     F.col("question_text").alias("label"), F.coalesce("response", F.lit(BLANK)).alias("response"), "likert_score",
                     F.col("response_weight").alias("report_weight"))
 
 
 def master(t: dict[str, DataFrame], submission_type_id: str, template_id: str, attributes: Mapping[str, str], outside: Sequence[str] = (),
-           dropped: Sequence[str] = (), ignored: str | None = None, likert75_min: int = 12) -> DataFrame:
+           dropped: Sequence[str] = (), ignored: str | None = None, likert75_min: int = 12, one_row: bool = False) -> DataFrame:
     """PL6: submissions left-joined to their question answers; language and match are the instance's own answers at other
     places of the form ('Blank' without one, and a row for each where there are several); ``likert75`` is 1 on every row of an
-    instance with at least ``likert75_min`` rows above 3."""
+    instance with at least ``likert75_min`` rows above 3. An instance without question answers shows a row for its first value,
+    again where that value comes again; with ``one_row`` always one, for which no value id is exchanged (reports that sum over
+    the questions show the same)."""
     own = Window.partitionBy("instance_id")
     asked = F.col("layout_sequence") == QUESTIONS_AT
 
@@ -137,11 +142,18 @@ def master(t: dict[str, DataFrame], submission_type_id: str, template_id: str, a
     # Only the answers of live submissions' instances are exchanged (``submissions`` leaves out more, of excluded records).
     kept = (_a(t["mon_submission_record_form"], "rf_", "id", "submission_record_id")
             .join(_a(t["mon_submission_record"], "sr_", "id", "submissions_id"), F.col("rf_submission_record_id") == F.col("sr_id"))
-            .join(_live(t, submission_type_id, outside), F.col("sr_submissions_id") == F.col("s_id"), "left_semi")
+            .join(F.broadcast(_live(t, submission_type_id, outside)), F.col("sr_submissions_id") == F.col("s_id"), "left_semi")
             .select(F.col("rf_id").alias("instance_id")))
-    # Value ids only tell which row of an instance without question answers stays, so those of other rows are not exchanged.
-    a = _scored(_read(t, form, kept, F.when(asked, None).otherwise(F.col("v_id"))), t, form).withColumns({
-        "__stays": _answered(ignored), "__languages": side(LANGUAGE_AT), "__matches": side(MATCH_AT), "__asked": count_where(asked).over(own), "__first": F.min("value_id").over(own) == F.col("value_id")})
+    # They are dealt by instance as ids, before places, labels and scores are looked up.
+    if one_row:  # answers to the ignored item decide nothing, unless they are shown
+        read = form.filter((F.col("i_id") != F.lit(ignored)) | F.col("layout_sequence").isin(LANGUAGE_AT, MATCH_AT, QUESTIONS_AT)) if ignored is not None else form
+        a = _read(t, read, kept, F.lit(None).cast("string"), dropped)
+        first = F.row_number().over(own.orderBy(F.lit(0))) == 1
+    else:  # value ids only tell which row of an instance without question answers stays, so those of other rows are not exchanged
+        a = _read(t, form, kept, F.when(asked, None).otherwise(F.col("v_id")), dropped)
+        first = F.min("value_id").over(own) == F.col("value_id")
+    a = _scored(a.repartition("instance_id"), t, form).withColumns({
+        "__stays": _answered(ignored), "__languages": side(LANGUAGE_AT), "__matches": side(MATCH_AT), "__asked": count_where(asked).over(own), "__first": first})
     # An instance without question answers keeps one row for its language and match.
     a = _described(a.filter(F.col("__stays") & (asked | ((F.col("__asked") == 0) & F.col("__first")))), form)
     shown = [F.when(asked, F.col(c)).alias(c) for c in ("attribute_id", "question", "question_code", "question_text", "question_report_label",

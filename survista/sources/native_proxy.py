@@ -136,6 +136,11 @@ _KEY = "CAST(o_orderkey AS STRING)"
 _FAMILY_ATTRIBUTES = [("A1", "n_name", "o_custkey % 11 <> 0"), ("A2", "c_mktsegment", "true"), ("A3", "lpad(CAST(o_custkey % 18 AS STRING), 2, '0')", "o_custkey % 18 <> 17"),
                       ("A5", "lpad(CAST(o_orderkey % 10 AS STRING), 3, '0')", "true"), ("A0", "'unused'", "true")]
 
+#: The family survey's record attributes from one read of the records: the rows of its SQL, which reads them once for each attribute.
+_FAMILY_ATTRIBUTE_ROWS = (f"SELECT 'R' || {_KEY} AS record_id, a.attribute_id, a.value FROM {_INST} LATERAL VIEW inline(array("
+                          + ", ".join(f"struct('{a}' AS attribute_id, {value} AS value, {cond} AS there)" for a, value, cond in _FAMILY_ATTRIBUTES)
+                          + ")) a AS attribute_id, value, there WHERE a.there")
+
 #: The family survey's answers and chosen options in parts: test table, the id of its rows, and the SELECT.
 _FAMILY_ANSWERS = {
     "form_input_value": [
@@ -149,6 +154,9 @@ _FAMILY_ANSWERS = {
         *[("orders", f"'{p}' || {_KEY}", f"SELECT '{p}' || {_KEY}, 'OC' FROM {{orders}}") for p in ("VC", "VD")]],
 }
 
+#: The id by which the views join these tables, dealt out as the answers are.
+_FAMILY_DEALT = {"mon_submission_record_form": f"'SR' || {_KEY}", "mon_record_selection": f"'SEL' || {_KEY}", "form_instance_interval": f"'F' || {_KEY}"}
+
 #: A family survey: type ST1 outside mode M5, form TF. Some records lack a district or disability; language and match are answers of the
 #: form, missing or of a deleted option for some; some forms are blank but for their note.
 FAMILY: dict[str, str] = {
@@ -229,6 +237,10 @@ def store(spark: SparkSession, t: dict[str, DataFrame], texts: dict[str, str] =
         used = {k: v for k, v in t.items() if "{" + k + "}" in text}
         if texts is FAMILY and name in _FAMILY_ANSWERS:
             df = _dealt(spark, t, _FAMILY_ANSWERS[name])
+        elif texts is FAMILY and name in _FAMILY_DEALT:
+            df = _dealt(spark, t, [("orders", _FAMILY_DEALT[name], text)])
+        elif texts is FAMILY and name == "mon_record_attribute_value":
+            df = spark.sql(_FAMILY_ATTRIBUTE_ROWS, **used)
         else:
             df = spark.sql(text, **used) if used else spark.sql(text)
         out[name] = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in TABLES[name].fields])
