@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.filters import restrict_to_user
+from ..operators.filters import restrict_to_user, years_in_window
 from ..sources import native_proxy, proxy
 from . import catalog as C
 from . import family as FAM
@@ -72,10 +72,13 @@ def _store(spark, sf):
     return native_proxy.store(spark, proxy.read_tables(spark, sf, ("region", "nation", "customer", "orders", "lineitem")), native_proxy.FAMILY)
 
 
-def _master(spark, sf, user: str | None = None, year: str = ""):
-    """The master of all live submissions, or of those that a report of the ``user`` and ``year`` reads."""
+def _master(spark, sf, user: str | None = None, year: str = "", as_of: str = ""):
+    """The master of all live submissions, or of those that a report of the ``user`` and ``year`` (or window of years) reads."""
     t = _store(spark, sf)
     subs = t["mon_submissions"] if user is None else restrict_to_user(t["mon_submissions"], t["user_profile_org_unit"], user)
+    if as_of:
+        window = years_in_window(t["roster_year"], as_of).select(F.col("id").alias("__year"))
+        subs = subs.join(window, F.col("roster_year_id") == F.col("__year"), "left_semi")
     read = {**t, "mon_submissions": subs.filter(F.col("roster_year_id") == F.lit(year)) if year else subs}
     return t, FS.master(read, **SURVEY, **FORM, likert75_min=HIGH, one_row=user is not None)
 
@@ -99,13 +102,14 @@ def family_master_native(spark, sf):
     return _master(spark, sf)[1]
 
 
-def _report(name: str, base: str, run, more: str = "", year: str = ""):
-    """The report of ``base`` over the native master; its SQL reads ``fmu``."""
+def _report(name: str, base: str, run, more: str = "", year: str = "", as_of: str = ""):
+    """The report of ``base`` over the native master; its SQL reads ``fmu``. ``as_of``: the report's own window of years, so that the
+    master reads no others."""
     body = C.ORACLE[base]
     assert body.startswith(C._FM)
 
     def fn(spark, sf):
-        t, m = _master(spark, sf, USER, year)
+        t, m = _master(spark, sf, USER, year, as_of)
         if year:
             m = m.filter(F.col("roster_year_id") == F.lit(year))
         return run(m, {"grants": t["user_profile_org_unit"], "user_id": USER}, t)
@@ -122,7 +126,7 @@ ORACLE["family_6_native"] = ORACLE["family_6_native"].replace("' - Question' ||
 _report("family_7_native", "pct_ge4_incl_blank", lambda m, who, t: FAM.family_7(m, level="District", **who), year="RY1997")
 _report("family_8_native", "top_bottom_join", lambda m, who, t: FAM.family_8(m.withColumn("question", F.col("question_text")), n=3, **who))
 _report("family_9_native", "top_bottom_yearly", lambda m, who, t: FAM.family_9(
-    m.withColumn("question", F.col("question_text")), t["roster_year"], C.AS_OF, n=3, year="roster_year_id", year_key="id", **who))
+    m.withColumn("question", F.col("question_text")), t["roster_year"], C.AS_OF, n=3, year="roster_year_id", year_key="id", **who), as_of=C.AS_OF)
 for _n in ("family_8_native", "family_9_native"):  # these two show the question's text
     ORACLE[_n] = ORACLE[_n].replace("fmu AS (SELECT * FROM fm", "fmu AS (SELECT * REPLACE (question_text AS question) FROM fm")
 ORACLE["family_9_native"] = ORACLE["family_9_native"].replace(
