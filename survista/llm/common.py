@@ -42,12 +42,22 @@ def delete_intermediates(spark: SparkSession, paths: list[str] | None = None) ->
         given.remove(path)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, key: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: the lineage starts at the written
-    files, so a lost executor costs its running tasks only."""
-    path = shared_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    files, so a lost executor costs its running tasks only. With a ``key`` each task writes its rows in buckets
+    by it (as many as the session's shuffle partitions), so that what needs the rows of a key together reads them
+    without an exchange."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    to = df.write.option("compression", "zstd")
+    if key is None:
+        to.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    table = f"survista_{uuid.uuid4().hex}"
+    to.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", path).saveAsTable(table)
+    kept = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the files stay, and with them what was read
+    return kept
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:

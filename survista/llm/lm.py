@@ -3,29 +3,36 @@
 Texts are read once into *chunks*: rows that hold the tokens of some documents as places in the chunk's own list of
 distinct words. Everything a chunk needs from the corpus comes back to it as arrays in the order of that list, so what is
 shuffled is distinct words and word pairs of chunks, packed by *shard* (a range of 64-bit keys), never single tokens.
-Words are told apart by their 64-bit XXH3.
+A shard adds up its keys, builds its filter and probes each distinct key once, whatever number of chunks has it; the
+chunks themselves are kept in buckets and stay where they are. Words are told apart by their 64-bit XXH3.
 """
 
 from __future__ import annotations
 
+from itertools import pairwise
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from survista.llm.common import materialise, utf8
+from survista.llm.common import materialise
 
 #: Key of the end token. Words are never empty.
 END = xxhash.xxh3_64_intdigest(b"")
 _U = np.uint64
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """Words after lower-casing A-Z; bytes.split() parts at \\x20 and \\x09-\\x0D."""
-    return text.lower().split()
+def token_lists(text: pa.Array) -> pa.Array:
+    """Tokens of each text: its words after lower-casing A-Z, parted at \\x20 and \\x09-\\x0D, and the end token, an empty
+    word. Null is the empty text."""
+    empty, space = pa.scalar("", text.type), pa.scalar(" ", text.type)
+    text = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(text, empty)))
+    return pc.ascii_split_whitespace(pc.if_else(pc.equal(text, empty), text, pc.binary_join_element_wise(text, empty, space)))
 
 
 def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
@@ -45,19 +52,28 @@ def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return (_mixed(first, 1) ^ _mixed(second, 2) * _U(0x9E3779B97F4A7C15)) >> _U(64 - WIDTH[2])
 
 
-def packed(keys: np.ndarray) -> bytes:
-    """Sorted keys by their distances, 32 bits each; those that take more stand in front in full."""
+def packed(keys: np.ndarray, spans: list[tuple[int, int]]) -> list[bytes]:
+    """Of each span of sorted keys, none empty and each begun where the one before ends, the keys by their distances, 32 bits
+    each; those that take more stand in front in full, and so does the first. The spans share the array operations: a
+    chunk has a span for each shard, so nearly all of them are short."""
     step = np.diff(keys, prepend=_U(0))
-    wide = step >= _U(0xFFFFFFFF)
-    head = np.array([int(wide.sum())], "<i8").tobytes() + step[wide].tobytes()
-    return head + np.where(wide, _U(0xFFFFFFFF), step).astype("<u4").tobytes()
+    starts = np.array([a for a, _ in spans], np.int64)
+    step[starts] = keys[starts]
+    wide = np.flatnonzero(step >= _U(0xFFFFFFFF))
+    cuts = np.searchsorted(wide, [*starts.tolist(), len(keys)]).tolist()
+    heads, near = step[wide].astype("<u8").tobytes(), np.minimum(step, _U(0xFFFFFFFF)).astype("<u4").tobytes()
+    return [(j - i).to_bytes(8, "little") + heads[8 * i:8 * j] + near[4 * a:4 * z] for (a, z), (i, j) in zip(spans, pairwise(cuts), strict=True)]
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    n = int(np.frombuffer(data, "<i8", 1)[0])
-    step = np.frombuffer(data, "<u4", -1, 8 + 8 * n).astype(np.uint64)
-    step[step == _U(0xFFFFFFFF)] = np.frombuffer(data, np.uint64, n, 8)
-    return np.cumsum(step, dtype=np.uint64)
+def unpacked(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all spans, and where each span ends."""
+    fronts = [8 + 8 * int.from_bytes(x[:8], "little") for x in data]
+    step = np.frombuffer(b"".join(x[n:] for x, n in zip(data, fronts, strict=True)), "<u4").astype(np.uint64)
+    step[step == _U(0xFFFFFFFF)] = np.frombuffer(b"".join(x[8:n] for x, n in zip(data, fronts, strict=True)), "<u8")
+    ends = np.cumsum([(len(x) - n) // 4 for x, n in zip(data, fronts, strict=True)])
+    keys = np.cumsum(step, dtype=np.uint64)
+    keys -= np.repeat(np.append(_U(0), keys[ends[:-1] - 1]), np.diff(ends, prepend=0))  # each span begins anew
+    return keys, ends
 
 
 class LogFrequencyBloom:
@@ -92,8 +108,10 @@ class LogFrequencyBloom:
         self = cls(np.zeros(0, np.uint8), size, hashes, base)
         flags = np.zeros(size, bool)
         for j in range(1, int(level.max(initial=0)) + 1):
-            for at in self._places(keys[level >= j], j):
-                flags[at] = True
+            held = keys[level >= j]
+            for i in range(0, len(held), _AT_ONCE):
+                for at in self._places(held[i:i + _AT_ONCE], j):
+                    flags[at] = True
         self.bits = np.packbits(flags, bitorder="little")
         return self
 
@@ -105,7 +123,7 @@ class LogFrequencyBloom:
 
     def lookup(self, keys: np.ndarray) -> np.ndarray:
         """Level of each key, 0 if it is not held."""
-        return _levels(keys, self.bits, self.hashes, np.full(len(keys), self.size, np.uint64), np.zeros(len(keys), np.uint64))
+        return _levels(keys, self.bits, self.hashes, np.broadcast_to(_U(self.size), len(keys)), np.broadcast_to(_U(0), len(keys)))
 
 
 class FilterShards:
@@ -131,10 +149,21 @@ def _spread(h: np.ndarray, size) -> np.ndarray:
     return ((h >> _U(32)) * size) >> _U(32)
 
 
+#: Keys that are hashed together: as many as the processor's caches hold with what they become on the way.
+_AT_ONCE = 1 << 16
+
+
 def _levels(keys: np.ndarray, bits: np.ndarray, hashes: int, size: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Level of each key in the filter that has ``size`` bits from bit ``first`` on; 0 without one."""
-    level, j = np.zeros(len(keys), np.uint8), 0
-    live = np.flatnonzero(size)
+    level = np.zeros(len(keys), np.uint8)
+    for i in range(0, len(keys), _AT_ONCE):
+        at = slice(i, i + _AT_ONCE)
+        _probe(keys[at], bits, hashes, size[at], first[at], level[at])
+    return level
+
+
+def _probe(keys: np.ndarray, bits: np.ndarray, hashes: int, size: np.ndarray, first: np.ndarray, level: np.ndarray) -> None:
+    live, j = np.flatnonzero(size), 0
     while len(live) and j < 255:
         j += 1
         a, step = _mixed(keys[live], 2 * j + 3), _mixed(keys[live], 2 * j + 4) | _U(1)
@@ -146,7 +175,6 @@ def _levels(keys: np.ndarray, bits: np.ndarray, hashes: int, size: np.ndarray, f
                 live, a, step, n, start = live[hit], a[hit], step[hit], n[hit], start[hit]
             a = a + step
         level[live] = j
-    return level
 
 
 def _shards(keys: np.ndarray, bits: int, order: int):
@@ -158,28 +186,52 @@ def _shards(keys: np.ndarray, bits: int, order: int):
     return [(int(shard[a]), int(a), int(z)) for a, z in zip(cuts, [*cuts[1:], len(shard)], strict=True)]
 
 
-def _narrow(counts: np.ndarray) -> bytes:
-    """Counts in 32 bits each, or 64 where one needs them; the first byte tells."""
-    wide = len(counts) and int(counts.max()) >= 1 << 32
-    return b"\x08" + counts.astype("<i8").tobytes() if wide else b"\x04" + counts.astype("<u4").tobytes()
+def _narrow(counts: np.ndarray, spans: list[tuple[int, int]]) -> list[bytes]:
+    """Counts of each span in the fewest bytes each that hold them all; the first byte tells how many."""
+    most = np.maximum.reduceat(counts, [a for a, _ in spans])
+    kinds = (1 << np.searchsorted([1 << 8, 1 << 16, 1 << 32], most, side="right")).tolist()
+    data = {k: counts.astype(f"<u{k}").tobytes() for k in set(kinds)}
+    return [bytes((k,)) + data[k][k * a:k * z] for k, (a, z) in zip(kinds, spans, strict=True)]
 
 
-def _widened(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, "<i8" if data[0] == 8 else "<u4", -1, 1).astype(np.int64)
+def _widened(data: list[bytes]) -> np.ndarray:
+    if all(x[0] == 1 for x in data):
+        return np.frombuffer(b"".join(x[1:] for x in data), np.uint8).astype(np.int64)
+    return np.concatenate([np.frombuffer(x, f"<u{x[0]}", -1, 1).astype(np.int64) for x in data])
 
 
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    k, c = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
-    order = np.argsort(k, kind="stable")
-    k, c = k[order], c[order]
-    first = np.flatnonzero(np.append(True, k[1:] != k[:-1])[:len(k)])
-    return k[first], np.add.reduceat(c, first) if len(first) else c
+def _grouped(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, the sum of each one's counts, and each key's place among them."""
+    order = np.argsort(keys)
+    k = keys[order]
+    new = np.append(True, k[1:] != k[:-1])[:len(k)]
+    first = np.flatnonzero(new)
+    total = np.add.reduceat(counts[order], first) if len(first) else np.zeros(0, np.int64)
+    place = np.empty(len(k), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return k[first], total, place
 
 
 def _place_type(words: int):
     return np.uint16 if words <= 1 << 16 else np.uint32
 
 
+def _parts(batch: pa.RecordBatch, size: int = 1 << 23):
+    """Slices of a batch by about ``size`` bytes of the texts in its second column."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64))
+    cuts = np.flatnonzero(np.diff(ends // size)) + 1
+    for a, z in pairwise([0, *cuts.tolist(), batch.num_rows]):
+        yield batch.slice(a, z - a)
+
+
+def _word_keys(words: pa.Array) -> np.ndarray:
+    """XXH3 of words, without a Python object for each but its bytes."""
+    words = words.cast(pa.large_string())
+    spans = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, 8 * words.offset).tolist()
+    data = words.buffers()[2].to_pybytes() if spans[-1] else b""
+    return np.fromiter((xxhash.xxh3_64_intdigest(data[a:z]) for a, z in pairwise(spans)), np.uint64, len(words))
+
+
 def in_chunks(docs: DataFrame, learn: F.Column, id_col: str, text_col: str, chunk_tokens: int) -> DataFrame:
     """(chunk, ids, learn, lengths, n, keys, places, seen): documents of a task, about ``chunk_tokens`` tokens together. keys
     has the distinct words' keys, sorted; places the tokens as places there; seen each word's count in documents to
@@ -189,36 +241,39 @@ def in_chunks(docs: DataFrame, learn: F.Column, id_col: str, text_col: str, chun
 
     def read(batches):
         task, chunk = TaskContext.get().partitionId(), 0
-        names, flags, lengths, toks, ktype = [], [], [], [], None
-
-        def row():
-            words = list(dict.fromkeys(toks))
-            keys = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-            keys, back = np.unique(keys, return_inverse=True)
-            place = dict(zip(words, back.tolist(), strict=True))
-            places = np.fromiter(map(place.__getitem__, toks), _place_type(len(keys)), len(toks))
+        names, flags, lengths, toks, held = [], [], [], [], 0
+
+        def row(ktype):
+            coded = pa.concat_arrays(toks).dictionary_encode()
+            keys, back = np.unique(_word_keys(coded.dictionary), return_inverse=True)
+            places = back.astype(_place_type(len(keys)))[coded.indices.to_numpy()]
             learnt = np.repeat(np.array(flags, bool), lengths)
             seen = np.bincount(places[learnt], minlength=len(keys)).astype(np.uint32)
             return pa.RecordBatch.from_arrays(
                 [pa.array([task << 32 | chunk]), pa.array([names], pa.list_(ktype)), pa.array([flags], pa.list_(pa.bool_())),
-                 pa.array([lengths], pa.list_(pa.int64())), pa.array([len(toks)]),
+                 pa.array([lengths], pa.list_(pa.int64())), pa.array([held]),
                  *(pa.array([x.tobytes()], pa.binary()) for x in (keys, places, seen))],
                 ["chunk", "ids", "learn", "lengths", "n", "keys", "places", "seen"])
 
         for b in batches:
             ktype = b.column(0).type
-            for name, text, flag in zip(b.column(0).to_pylist(), utf8(b.column(1)), b.column(2).to_pylist(), strict=True):
-                ws = tokens(text)
-                toks += ws
-                toks.append(b"")
-                names.append(name)
-                flags.append(flag)
-                lengths.append(len(ws) + 1)
-                if len(toks) >= chunk_tokens:
-                    yield row()
-                    names, flags, lengths, toks, chunk = [], [], [], [], chunk + 1
+            for part in _parts(b):
+                lists = token_lists(part.column(1))
+                words, n = lists.flatten(), lists.value_lengths().to_numpy().astype(np.int64)
+                name, flag, ends, at = part.column(0).to_pylist(), part.column(2).to_pylist(), np.cumsum(n), 0
+                while at < len(n):
+                    done = int(ends[at - 1]) if at else 0
+                    to = min(int(np.searchsorted(ends, done + chunk_tokens - held)) + 1, len(n))
+                    toks.append(words.slice(done, int(ends[to - 1]) - done))
+                    names += name[at:to]
+                    flags += flag[at:to]
+                    lengths += n[at:to].tolist()
+                    held, at = held + int(ends[to - 1]) - done, to
+                    if held >= chunk_tokens:
+                        yield row(ktype)
+                        names, flags, lengths, toks, held, chunk = [], [], [], [], 0, chunk + 1
         if names:
-            yield row()
+            yield row(ktype)
 
     return spec.mapInArrow(read, f"chunk bigint, ids array<{kind}>, learn array<boolean>, lengths array<bigint>, n bigint, keys binary, places binary, seen binary")
 
@@ -255,16 +310,17 @@ def _routes(chunks: DataFrame, shard_bits: int, order: int, learn: bool) -> Data
         def routed(chunk, keys, seen):
             parts = _shards(keys, shard_bits, order)
             if parts:
+                spans, data = [x[1:] for x in parts], keys.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([s for s, _, _ in parts]), pa.array([chunk] * len(parts), pa.int64()),
-                     pa.array([packed(keys[a:z]) if order == 2 else keys[a:z].tobytes() for _, a, z in parts], pa.binary()),
-                     pa.array([seen[a:z].tobytes() for _, a, z in parts], pa.binary())], ["shard", "chunk", "keys", "counts"])
+                     pa.array(packed(keys, spans) if order == 2 else [data[8 * a:8 * z] for a, z in spans], pa.binary()),
+                     pa.array(_narrow(seen, spans), pa.binary())], ["shard", "chunk", "keys", "counts"])
 
         def added():
-            keys, seen = _summed(*held)
+            keys, seen, _ = _grouped(np.concatenate(held[0]), np.concatenate(held[1]).astype(np.int64))
             held[0].clear()
             held[1].clear()
-            return keys, seen.astype(np.uint32)
+            return keys, seen
 
         for b in batches:
             for i in range(b.num_rows):
@@ -290,63 +346,48 @@ def _routes(chunks: DataFrame, shard_bits: int, order: int, learn: bool) -> Data
     return chunks.select(*cols).mapInArrow(split, "shard bigint, chunk bigint, keys binary, counts binary")
 
 
-def _arrays(rows: pd.DataFrame, order: int) -> tuple[list, list]:
-    return [unpacked(x) if order == 2 else np.frombuffer(x, np.uint64) for x in rows["keys"]], [np.frombuffer(x, np.uint32) for x in rows["counts"]]
+def _arrays(rows: pd.DataFrame, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and counts of all routes, and where each route ends."""
+    data = rows["keys"].tolist()
+    keys, ends = unpacked(data) if order == 2 else (np.frombuffer(b"".join(data), np.uint64), np.cumsum([len(x) // 8 for x in data]))
+    return keys, _widened(rows["counts"].tolist()), ends
 
 
-def count_words(chunks: DataFrame, shard_bits: int, hashes: int, base: float) -> DataFrame:
-    """(chunk, shard, counts, total, distinct, size, bits): for each chunk the corpus counts of its words in a shard, in the
-    order of its keys; and for each shard a row without chunk, with the number of tokens and of distinct words seen
-    and the filter of their counts."""
-    def count(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = _arrays(rows, 1)
-        known, total = _summed(keys, counts)
-        f = LogFrequencyBloom.of(known[total > 0], total[total > 0], hashes, base)
-        out = pd.DataFrame({"chunk": rows["chunk"].astype("Int64").to_numpy(), "shard": key[0], "counts": [_narrow(total[np.searchsorted(known, k)]) for k in keys]})
-        whole = pd.DataFrame({"chunk": [None], "shard": [key[0]], "total": [int(total.sum())], "distinct": [int((total > 0).sum())], "size": [f.size], "bits": [f.bits.tobytes()]})
-        for c in ("total", "distinct", "size"):
-            out[c] = 0
-        out["bits"], whole["counts"] = None, None
-        return pd.concat([whole[_COUNTED], out[_COUNTED]], ignore_index=True).astype({"chunk": "Int64"})
+def count_shard(key: tuple, rows: pd.DataFrame, order: int, hashes: int, base: float) -> pd.DataFrame:
+    """What ``counted`` has of a shard; rows: its routes, of all chunks."""
+    keys, counts, ends = _arrays(rows, order)
+    known, total, place = _grouped(keys, counts)
+    spans = list(pairwise([0, *ends.tolist()]))
+    level = LogFrequencyBloom.of(known[total > 0], total[total > 0], hashes, base).lookup(known)[place].tobytes()
+    exact = _narrow(total[place], spans) if order == 1 else None
+    out = pd.DataFrame({"chunk": rows["chunk"].astype("Int64"), "shard": key[0], "order": order, "counts": exact,
+                        "levels": [level[a:z] for a, z in spans], "total": 0, "distinct": 0})
+    whole = pd.DataFrame({"chunk": pd.array([None], "Int64"), "shard": key[0], "order": order, "counts": None,
+                          "levels": None, "total": int(total.sum()), "distinct": int((total > 0).sum())})
+    return pd.concat([whole, out], ignore_index=True)
 
-    return _routes(chunks, shard_bits, 1, False).groupBy("shard").applyInPandas(
-        count, "chunk bigint, shard bigint, counts binary, total bigint, distinct bigint, size bigint, bits binary")
 
+def counted(chunks: DataFrame, shard_bits: int, order: int, hashes: int, base: float) -> DataFrame:
+    """(chunk, shard, order, counts, levels, total, distinct): for each chunk the levels of its words (order 1) or pairs (2)
+    in a shard that probing the shard's filter gives, in the order of its keys, and the corpus counts of words; and for each
+    shard a row without chunk, with the number of tokens and of distinct keys seen."""
+    def count(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return count_shard(key, rows, order, hashes, base)
 
-_COUNTED = ["chunk", "shard", "counts", "total", "distinct", "size", "bits"]
+    return _routes(chunks, shard_bits, order, False).groupBy("shard").applyInPandas(
+        count, "chunk bigint, shard bigint, order int, counts binary, levels binary, total bigint, distinct bigint")
 
 
 def pair_filters(chunks: DataFrame, shard_bits: int, hashes: int, base: float) -> DataFrame:
     """(shard, size, bits): a filter for each shard with the counts of pairs seen in documents to learn from."""
     def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        f = LogFrequencyBloom.of(*_summed(*_arrays(rows, 2)), hashes, base)
+        f = LogFrequencyBloom.of(*_grouped(*_arrays(rows, 2)[:2])[:2], hashes, base)
         return pd.DataFrame({"shard": [key[0]], "size": [f.size], "bits": [f.bits.tobytes()]})
 
     return _routes(chunks, shard_bits, 2, True).groupBy("shard").applyInPandas(build, "shard bigint, size bigint, bits binary")
 
 
-def probe_by_shard(chunks: DataFrame, filters: DataFrame, shard_bits: int, hashes: int, base: float) -> DataFrame:
-    """(chunk, shard, order, levels): the levels of each chunk's keys, probed where the shard's filter is."""
-    def prober(order: int):
-        def probe(key: tuple, rows: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-            keys, _ = _arrays(rows, order)
-            f = None
-            if len(held):
-                f = LogFrequencyBloom(np.frombuffer(held["bits"][0], np.uint8), int(held["size"][0]), hashes, base)
-            levels = [(f.lookup(k) if f else np.zeros(len(k), np.uint8)).tobytes() for k in keys]
-            return pd.DataFrame({"chunk": rows["chunk"].to_numpy(), "shard": key[0], "order": order, "levels": levels})
-        return probe
-
-    def levels(order: int) -> DataFrame:
-        held = filters.filter(F.col("order") == order).drop("order")
-        routed = _routes(chunks, shard_bits, order, False).groupBy("shard").cogroup(held.groupBy("shard"))
-        return routed.applyInPandas(prober(order), "chunk bigint, shard bigint, order int, levels binary")
-
-    return levels(1).union(levels(2))
-
-
-def _score_chunk(c: _Chunk, counts: np.ndarray, words: np.ndarray, pairs: np.ndarray, pair_at: np.ndarray, end_level: int,
-                 n: int, v: int, base: float, strength: float):
+def _score_chunk(c: _Chunk, counts: np.ndarray, words: np.ndarray, pairs: np.ndarray, pair_at: np.ndarray, n: int, v: int, base: float, strength: float):
     """n_known, base score and model score of each document. words, pairs: levels found by probing."""
     first = c.ends - c.lengths
     known = np.add.reduceat((counts > 0)[c.places].astype(np.int64), first)
@@ -356,7 +397,7 @@ def _score_chunk(c: _Chunk, counts: np.ndarray, words: np.ndarray, pairs: np.nda
     one = (word + 1.0) / (n + v + 1.0)
     context = np.empty(len(c.places))
     context[1:] = word[c.places[:-1]]
-    context[first] = value[end_level]
+    context[first] = word[np.searchsorted(c.keys, _U(END))]  # an end is among the words of every chunk
     two = np.minimum(value[pairs[pair_at]], context)
     smooth = np.log10((two + strength * one[c.places]) / (context + strength))
     return known, np.add.reduceat(plain, first), np.add.reduceat(smooth, first)
@@ -364,7 +405,7 @@ def _score_chunk(c: _Chunk, counts: np.ndarray, words: np.ndarray, pairs: np.nda
 
 def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: str = "text", hashes: int = 6, base: float = 1.5,
           strength: float = 64.0, chunk_tokens: int = 1 << 18, shard_tokens: int = 1 << 22,
-          broadcast_bytes: int = 256 << 20) -> DataFrame:
+          broadcast_bytes: int = 16 << 20) -> DataFrame:
     """One row per row of ``docs``: id_col, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the rows where ``learn`` holds (null: does not). base_score sums log10((c+1)/(N+V+1)) over the tokens, with
@@ -372,48 +413,40 @@ def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: st
     where c' are the counts that probing the filter gives and u is the token before w, an end before the first. Null
     and empty texts are one end token. Rows with null or repeated ids are scored like others; an empty table gives none.
 
-    The filter is built and kept in shards. It is broadcast if it takes up to ``broadcast_bytes``; beyond that the keys of
-    each chunk go to the shards and the levels come back. Both ways probe the same bits and give the same scores.
+    The filter is built in shards, each from the keys that the chunks send there, and the levels come back to the chunks. Where
+    it cannot take more than ``broadcast_bytes`` (as if each token were a new word and a new pair), the pairs are added up
+    in the tasks instead, and the pairs' filter is broadcast. Both ways probe the same bits and give the same scores.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    chunks = materialise(in_chunks(docs, F.coalesce(learn, F.lit(False)), id_col, text_col, chunk_tokens), "lm-chunks")
+    chunks = materialise(in_chunks(docs, F.coalesce(learn, F.lit(False)), id_col, text_col, chunk_tokens), "lm-chunks", "chunk")
     tokens_all = chunks.agg(F.sum("n")).first()[0] or 0
     shard_bits = max(0, (tokens_all // shard_tokens).bit_length())
-    counted = materialise(count_words(chunks, shard_bits, hashes, base), "lm-words")
-    n, v = counted.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
-    pairs = materialise(pair_filters(chunks, shard_bits, hashes, base), "lm-pairs")
-    filters = (counted.filter("chunk is null").select(F.lit(1).alias("order"), "shard", "size", "bits")
-               .union(pairs.select(F.lit(2).alias("order"), "shard", "size", "bits")))
-    small = (filters.agg(F.sum(F.length("bits"))).first()[0] or 0) <= broadcast_bytes
-    held = {}
+    small = 2 * tokens_all * hashes / np.log(2) / 8 <= broadcast_bytes
+    back = counted(chunks, shard_bits, 1, hashes, base)
+    held = None
     if small:
-        read: dict = {1: {}, 2: {}}
-        for r in filters.toLocalIterator():  # at most broadcast_bytes
-            read[r.order][r.shard] = r["size"], bytes(r.bits)
-        held = {order: spark.sparkContext.broadcast(FilterShards(read.pop(order), shard_bits, order, hashes)) for order in (1, 2)}
-    end_row = filters.filter((F.col("order") == 1) & (F.col("shard") == (END >> (64 - shard_bits) if shard_bits else 0))).first()
-    end_level = 0
-    if end_row:
-        end_filter = LogFrequencyBloom(np.frombuffer(bytes(end_row.bits), np.uint8), end_row["size"], hashes, base)
-        end_level = int(end_filter.lookup(np.array([END], np.uint64))[0])
-
-    def joined(rows: pd.DataFrame, kind: int) -> np.ndarray:
-        parts = rows[rows["order"] == kind].sort_values("shard")["levels"]
-        return np.concatenate([np.frombuffer(x, np.uint8) if kind else _widened(x) for x in parts]) if len(parts) else np.zeros(0, np.uint8)
-
-    def finish(key: tuple, rows: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
+        pairs = materialise(pair_filters(chunks, shard_bits, hashes, base), "lm-pairs")
+        read = {r.shard: (r["size"], bytes(r.bits)) for r in pairs.toLocalIterator()}  # at most broadcast_bytes
+        held = spark.sparkContext.broadcast(FilterShards(read, shard_bits, 2, hashes))
+        del read
+    else:
+        back = back.union(counted(chunks, shard_bits, 2, hashes, base))
+    back = materialise(back, "lm-counted")
+    n, v = back.filter((F.col("order") == 1) & F.col("chunk").isNull()).agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
+
+    def finish(key: tuple, rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         r = rows.iloc[0].to_dict()
         c = _Chunk(r)
         pair_keys_, pair_at = c.pairs()
-        words, pair_levels = (held[1].value.lookup(c.keys), held[2].value.lookup(pair_keys_)) if small else (joined(back, 1), joined(back, 2))
-        known, plain, smooth = _score_chunk(c, joined(back, 0), words, pair_levels, pair_at, end_level, n, v, base, strength)
+        one, two = (found[found["order"] == order].sort_values("shard") for order in (1, 2))
+        counts, words = _widened(one["counts"].tolist()), np.frombuffer(b"".join(one["levels"]), np.uint8)
+        pairs = held.value.lookup(pair_keys_) if small else np.frombuffer(b"".join(two["levels"]), np.uint8)
+        known, plain, smooth = _score_chunk(c, counts, words, pairs, pair_at, n, v, base, strength)
         return pd.DataFrame({"id": pd.array(r["ids"], dtype=pd_kind), "n_tokens": c.lengths, "n_known": known, "train_tokens": n, "base_score": plain, "score": smooth})
 
     pd_kind = "Int64" if kind in ("bigint", "int") else object
-    back = counted.filter("chunk is not null").select("chunk", "shard", F.lit(0).alias("order"), F.col("counts").alias("levels"))
-    if not small:
-        back = back.union(materialise(probe_by_shard(chunks, filters, shard_bits, hashes, base), "lm-levels"))
+    back = back.filter("chunk is not null").select("chunk", "shard", "order", "counts", "levels")
     out = chunks.select("chunk", "ids", "lengths", "keys", "places").groupBy("chunk").cogroup(back.groupBy("chunk")).applyInPandas(
         finish, f"id {kind}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
     return out.withColumnRenamed("id", id_col)

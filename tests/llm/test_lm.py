@@ -5,6 +5,8 @@ from collections import Counter
 from math import log10
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,3 +90,56 @@ def test_filter_holds_its_levels(base):
     assert (f.lookup(r.integers(0, 2**63, 20_000).astype(np.uint64)) > 0).mean() < 0.03
     low, high = f.edges(base)[:-1], f.edges(base)[1:] - 1
     assert ((f.estimates(base)[1:-1] >= low) & (f.estimates(base)[1:-1] <= high)).all()
+
+
+def test_tokens_as_bytes_split():
+    texts = [None, "", " ", "\n\t", "a", " A  b ", "a\x0bB\x0cc\rd", "x\x1cy\x85z\u00a0\u2003é É", "\x00 \x1f", "end\n"]
+    for kind in (pa.string(), pa.large_string()):
+        got = [[w.encode() for w in x] for x in lm.token_lists(pa.array(texts, kind)).to_pylist()]
+        assert got == [[*(t or "").encode().lower().split(), b""] for t in texts]
+
+
+@pytest.mark.parametrize("bits", [0, 3, 9])
+def test_packed_routes_come_back(bits):
+    r = np.random.default_rng(bits)
+    near = r.integers(0, 2**20, 5000).astype(np.uint64)
+    far = r.integers(0, 2**48, 3000).astype(np.uint64)
+    keys = np.unique(np.concatenate([near, far, np.array([0, 2**48 - 1, 2**32 - 1, 2**33 - 1], np.uint64)]))
+    spans = [(a, z) for _, a, z in lm._shards(keys, bits, 2)]
+    back, ends = lm.unpacked(lm.packed(keys, spans))
+    assert (back == keys).all() and ends.tolist() == [z for _, z in spans]
+    some = lm.packed(keys, spans)[::2]
+    assert (lm.unpacked(some)[0] == np.concatenate([keys[a:z] for a, z in spans[::2]])).all()
+    counts = r.choice([0, 1, 255, 256, 65535, 65536, 2**32 - 1, 2**32, 2**40], len(keys))
+    assert (lm._widened(lm._narrow(counts, spans)) == counts).all()
+
+
+def test_a_shard_probes_a_key_once_for_all_chunks(monkeypatch):
+    """Work of a shard must not grow with the number of chunks that have a key, else it goes with the square of the corpus."""
+    r = np.random.default_rng(5)
+    known = np.unique(r.integers(0, 2**48, 2000).astype(np.uint64))
+    chunks = [np.sort(r.choice(known, 900, replace=False)) for _ in range(200)]
+    seen = [r.integers(0, 4, 900) for _ in chunks]
+    rows = pd.DataFrame({"shard": 0, "chunk": range(200), "keys": [lm.packed(k, [(0, 900)])[0] for k in chunks],
+                         "counts": [lm._narrow(c, [(0, 900)])[0] for c in seen]})
+    probed, lookup = [], lm.LogFrequencyBloom.lookup
+    monkeypatch.setattr(lm.LogFrequencyBloom, "lookup", lambda self, keys: probed.append(len(keys)) or lookup(self, keys))
+    out = lm.count_shard((0,), rows, 2, 30, 1.5)
+    assert sum(probed) == len(known)
+    total = Counter()
+    for k, c in zip(chunks, seen, strict=True):
+        total.update(dict(zip(k.tolist(), c.tolist(), strict=True)))
+    level = {k: int(lm.LogFrequencyBloom.levels_of(np.array([c]), 1.5)[0]) if c else 0 for k, c in total.items()}
+    got = out[out["chunk"].notna()].sort_values("chunk")["levels"]
+    assert [list(x) for x in got] == [[level[i] for i in k.tolist()] for k in chunks]
+    whole = out[out["chunk"].isna()].iloc[0]
+    assert whole["total"] == sum(total.values()) and whole["distinct"] == sum(c > 0 for c in total.values())
+
+
+@pytest.mark.parametrize("size", [0, 1 << 30])
+def test_chunks_are_not_exchanged(spark, frame, size):
+    out = lm.score(frame([(i, f"a b{i} c") for i in range(50)]), fold(), chunk_tokens=20, broadcast_bytes=size)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(chunk") == 1 and "Bucketed: true" in plan
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("survista_")]
+    assert out.count() == 50
